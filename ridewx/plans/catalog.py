@@ -7,6 +7,7 @@ the feature (``sample_trips``).
 
 from __future__ import annotations
 
+import os
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,7 +42,7 @@ from ridewx.operators.quality import (
 )
 from ridewx.sources import responses, standin
 from ridewx.sources.tables import read_table
-from ridewx.session import source_path
+from ridewx.session import materialize_once, source_path
 
 # Parameters of the catalog queries.
 SAMPLE_FROM, SAMPLE_TO, SAMPLE_ROWS = "2024-01-01", "2024-01-30", 10_000
@@ -68,7 +69,12 @@ class Inputs:
         return unique_hours(self.weather())
 
     def silver(self) -> DataFrame:
-        return enrich_hourly(self.trips, self.hours())[0]
+        """The silver table, written once per application and folder; the
+        gold queries read it, as the layered pipeline does."""
+        key = ("taxi_weather_joined", os.path.abspath(self.sf_dir))
+        return materialize_once(self.spark, key,
+                                lambda: enrich_hourly(self.trips, self.hours())[0],
+                                "taxi_weather_joined")
 
     def checked_trips(self) -> DataFrame:
         return check_trips(self.trips).df
@@ -175,7 +181,7 @@ def condition_recode_q(i: Inputs) -> DataFrame:
 
 def expect_warn_report(i: Inputs) -> DataFrame:
     """Violations per expectation and dataset."""
-    silver = enrich_hourly(i.trips, i.hours(), observe=False)[0]
+    silver = i.silver()
     return (quality_report(i.weather(), BRONZE_EXPECTATIONS + WEATHER_ROW_CHECKS, "weather_hourly")
             .unionByName(quality_report(i.trips, TRIP_EXPECTATIONS + TRIP_ROW_CHECKS, "trips"))
             .unionByName(quality_report(silver, SILVER_EXPECTATIONS, "taxi_weather_joined")))

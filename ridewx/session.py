@@ -39,6 +39,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .appName(app_name)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
@@ -94,5 +95,24 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+_written: dict[tuple, DataFrame] = {}
+
+
+def materialize_once(spark: SparkSession, key: tuple, build, label: str) -> DataFrame:
+    """``materialize(build())`` once per application and ``key``.
+
+    For a layer several queries read (the silver table): the first caller
+    writes it, later callers read the written files. Like Spark's own
+    cache, the key names the inputs, which are assumed not to change while
+    the application runs.
+    """
+    full_key = (spark.sparkContext.applicationId,) + tuple(key)
+    hit = _written.get(full_key)
+    if hit is None:
+        hit = materialize(build(), label)
+        _written[full_key] = hit
+    return hit
+
+
 def source_path(sf_dir: str, table: str) -> str:
     return os.path.join(sf_dir, f"{table}.parquet")
