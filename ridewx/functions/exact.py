@@ -41,6 +41,7 @@ def mean_half_up(total: Column, n: Column, in_places: int, out_places: int) -> C
     """
     up = 10 ** max(out_places - in_places, 0)
     down = 10 ** max(in_places - out_places, 0)
+    total, n = total.cast("bigint"), n.cast("bigint")
     num = F.abs(total) * (2 * up)
     den = n * down
     q = _idiv(num + den, den * 2)
@@ -49,6 +50,7 @@ def mean_half_up(total: Column, n: Column, in_places: int, out_places: int) -> C
 
 def round_scaled(value: Column, in_places: int, out_places: int) -> Column:
     """A scaled integer rounded HALF_UP to fewer places, as a double."""
+    value = value.cast("bigint")
     if out_places >= in_places:
         return value / float(10 ** in_places)
     step = 10 ** (in_places - out_places)

@@ -1,0 +1,94 @@
+import datetime as dt
+import os
+
+import pytest
+from pyspark.errors import PySparkException
+
+from ridewx.operators.enrich import check_trips
+from ridewx.operators.quality import (
+    apply_expectations,
+    expect,
+    expect_or_drop,
+    expect_or_fail,
+    quality_report,
+)
+from ridewx.schemas import TRIP_SCHEMA
+
+
+def _trip(pickup, fare):
+    return (pickup, pickup, "10001", "10002", 1.0, fare)
+
+
+def test_fail_check_sees_a_row_alone_in_its_file(spark, tmp_dir):
+    """The bad row (no pickup time, negative fare) sits alone in its own
+    parquet file, whose statistics let a pushed-down drop predicate skip it;
+    the fail check must still fire."""
+    good = spark.createDataFrame([_trip(dt.datetime(2024, 1, 1, 8), 10.0)], TRIP_SCHEMA)
+    bad = spark.createDataFrame([_trip(None, -3.0)], TRIP_SCHEMA)
+    good.coalesce(1).write.parquet(os.path.join(tmp_dir, "t"), mode="append")
+    bad.coalesce(1).write.parquet(os.path.join(tmp_dir, "t"), mode="append")
+    trips = spark.read.parquet(os.path.join(tmp_dir, "t"))
+    assert len(trips.inputFiles()) == 2
+    with pytest.raises(PySparkException, match="valid_pickup_datetime"):
+        check_trips(trips).df.collect()
+
+
+def test_drop_counts_and_removes(spark):
+    rows = [_trip(dt.datetime(2024, 1, 1, 8), f) for f in (10.0, -1.0, None, 0.0)]
+    checked = check_trips(spark.createDataFrame(rows, TRIP_SCHEMA))
+    assert sorted(r.fare_amount for r in checked.df.collect()) == [0.0, 10.0]
+    m = checked.metrics()
+    assert m["rows"] == 4 and m["valid_fare"] == 2 and m["valid_pickup_datetime"] == 0
+
+
+def test_warn_keeps_rows_and_counts_nulls_as_violations(spark):
+    df = spark.createDataFrame([(1.0,), (60.0,), (None,)], "t double")
+    checked = apply_expectations(df, [expect("reasonable", "t BETWEEN -50 AND 50")], "w")
+    assert checked.df.count() == 3
+    assert checked.metrics()["reasonable"] == 2
+    assert checked.warnings() == {"reasonable": 2}
+
+
+def test_null_passes_for_optional_ranges(spark):
+    df = spark.createDataFrame([(1.0,), (60.0,), (None,)], "t double")
+    report = quality_report(df, [expect("r", "t BETWEEN -50 AND 50", null_passes=True)], "d")
+    r = report.first()
+    assert (r.dataset, r.expectation, r.action, r.checked_rows, r.violations) == ("d", "r", "warn", 3, 1)
+
+
+def test_fail_is_not_pruned_when_column_unused(spark):
+    df = spark.createDataFrame([(1, None)], "a int, b int")
+    checked = apply_expectations(df, [expect_or_fail("b_present", "b IS NOT NULL")], "f")
+    with pytest.raises(PySparkException, match="b_present"):
+        checked.df.select("a").collect()
+
+
+def test_fail_runs_before_drop(spark):
+    # The failing row would be dropped by the drop expectation; fail first.
+    df = spark.createDataFrame([(None, -1.0)], "a int, fare double")
+    checked = apply_expectations(
+        df, [expect_or_drop("fare", "fare >= 0"), expect_or_fail("a_present", "a IS NOT NULL")], "o")
+    with pytest.raises(PySparkException, match="a_present"):
+        checked.df.collect()
+
+
+def test_unknown_action_rejected():
+    from ridewx.operators.quality import Expectation
+    with pytest.raises(ValueError):
+        Expectation("x", "true", "explode")
+
+
+def test_report_on_standin(spark):
+    from ridewx.plans.catalog import QUERIES
+    from tests.conftest import SF_SMALL
+    rows = {(r.dataset, r.expectation): r for r in
+            QUERIES["expect_warn_report"](spark, SF_SMALL).collect()}
+    # Bronze checks every staged observation: 35 of 201 are outside [-50, 50].
+    assert rows[("weather_hourly", "reasonable_temperature")].checked_rows == 201
+    assert rows[("weather_hourly", "reasonable_temperature")].violations == 35
+    # FIXTURES.md counts the hour table: 28 of its 175 hours; 73 negative fares.
+    hours = QUERIES["unique_hours"](spark, SF_SMALL)
+    assert hours.count() == 175
+    assert hours.filter("NOT coalesce(temperature_2m BETWEEN -50 AND 50, false)").count() == 28
+    assert rows[("trips", "fare_non_negative")].violations == 73
+    assert rows[("taxi_weather_joined", "has_weather_data")].violations == 538
