@@ -43,6 +43,13 @@ from ridewx.operators.quality import (
 from ridewx.sources import responses, standin
 from ridewx.sources.tables import read_table
 from ridewx.session import materialize_once, source_path
+from ridewx.streaming.enrich_stream import (
+    check_trip_stream,
+    enrich_stream,
+    hourly_stream_metrics,
+    run_available,
+    stream_trips,
+)
 
 # Parameters of the catalog queries.
 SAMPLE_FROM, SAMPLE_TO, SAMPLE_ROWS = "2024-01-01", "2024-01-30", 10_000
@@ -287,6 +294,24 @@ def rainy_day_ridership(i: Inputs) -> DataFrame:
     return metrics.rainy_day_ridership(i.silver())
 
 
+# --- streaming ------------------------------------------------------------
+
+def stream_enrich(i: Inputs) -> DataFrame:
+    """The events file as a trip stream, enriched batch by batch; the
+    query runs to completion and its sink is returned."""
+    trips = check_trip_stream(stream_trips(i.spark, i.sf_dir))
+    out, _ = run_available(enrich_stream(trips, i.hours()), "stream_enrich")
+    return i.spark.read.parquet(out)
+
+
+def stream_hourly_metrics(i: Inputs) -> DataFrame:
+    """Hourly windows over the enriched stream, watermark one hour."""
+    trips = check_trip_stream(stream_trips(i.spark, i.sf_dir))
+    out, _ = run_available(hourly_stream_metrics(enrich_stream(trips, i.hours())),
+                           "stream_hourly_metrics")
+    return i.spark.read.parquet(out)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_events": scan_events,
     "sample_trips": _q(sample_trips),
@@ -318,6 +343,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "distance_trend": _q(distance_trend),
     "distance_by_degree": _q(distance_by_degree),
     "rainy_day_ridership": _q(rainy_day_ridership),
+    "stream_enrich": _q(stream_enrich),
+    "stream_hourly_metrics": _q(stream_hourly_metrics),
 }
 
 FLAGSHIP = "weather_impact_summary"

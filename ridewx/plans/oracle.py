@@ -306,6 +306,18 @@ FROM ({_SCALED_SILVER}) WHERE temperature_2m IS NOT NULL GROUP BY 1""")
 SELECT rainy_day, count(*) AS days, CAST(sum(trips) AS BIGINT) AS total_trips,
        {mean('sum(trips)', 'count(*)', 0, 2)} AS avg_trips_per_day
 FROM d GROUP BY rainy_day""")
+    q["stream_enrich"] = _with("SELECT * FROM silver")
+    q["stream_hourly_metrics"] = _with(f"""
+SELECT date_trunc('hour', tpep_pickup_datetime) AS window_start,
+       date_trunc('hour', tpep_pickup_datetime) + INTERVAL 1 HOUR AS window_end,
+       weather_category, count(*) AS trip_count,
+       {mean('sum(f)', 'count(f)', 2, 2)} AS avg_fare,
+       sum(f) / 100.0 AS total_revenue,
+       {mean('sum(d)', 'count(d)', 2, 2)} AS avg_distance
+FROM ({_SCALED_SILVER})
+WHERE date_trunc('hour', tpep_pickup_datetime) + INTERVAL 1 HOUR
+      <= (SELECT max(tpep_pickup_datetime) FROM checked) - INTERVAL 1 HOUR
+GROUP BY 1, 2, 3""")
     return q
 
 
