@@ -19,16 +19,17 @@ def write_table(df: DataFrame, name_or_path: str, fmt: str = "parquet",
 
 
 def write_clustered(df: DataFrame, path: str, date_col: str, time_col: str,
-                    partitions: int | None = None, fmt: str = "parquet",
-                    partition_by_date: bool = True) -> None:
-    """Write clustered by time: range-partitioned on the date, sorted by
-    the timestamp within each file.
+                    fmt: str = "parquet", partition_by_date: bool = True) -> None:
+    """Write clustered by time: one folder per date, files sorted by time.
 
-    Readers filtering on a time range then skip whole date folders
-    (partition pruning) and row groups (min/max statistics).
+    ``REBALANCE`` hashes rows by date and lets AQE split a date that holds
+    far more rows than the rest into several tasks (and merge small ones),
+    in one pass: unlike range partitioning it runs no sampling job, so the
+    upstream plan (and any expectation counters in it) is evaluated once.
+    Readers filtering on a time range skip whole date folders (partition
+    pruning) and row groups (min/max statistics on the sorted time).
     """
-    n = partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    out = df.repartitionByRange(int(n), date_col).sortWithinPartitions(time_col)
+    out = df.hint("rebalance", date_col).sortWithinPartitions(date_col, time_col)
     writer = out.write.mode("overwrite").format(fmt)
     if partition_by_date:
         writer = writer.partitionBy(date_col)
