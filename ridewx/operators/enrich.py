@@ -21,7 +21,7 @@ from ridewx.operators.quality import (
     apply_expectations,
 )
 from ridewx.schemas import SILVER_SCHEMA, TRIP_SCHEMA, WEATHER_JOIN_COLUMNS, check_schema
-from ridewx.session import materialize
+from ridewx.session import app_id, materialize
 
 # An hour row is under 100 bytes: one million rows (114 years of hours)
 # stay under ~100 MB per executor.
@@ -45,7 +45,7 @@ def size_checked(small: DataFrame, label: str,
     application, so several queries over one hour table write it once.
     """
     spark = small.sparkSession
-    key = (spark.sparkContext.applicationId, small.semanticHash())
+    key = (app_id(spark), small.semanticHash())
     hit = _materialized.get(key)
     if hit is not None and hit[0].sameSemantics(small):
         table, rows = hit[1], hit[2]

@@ -22,6 +22,7 @@ from ridewx.functions.classify import (
 )
 from ridewx.functions.timecols import between_inclusive
 from ridewx.operators import metrics, stats
+from ridewx.operators.sampling import first_rows_by_time
 from ridewx.operators.enrich import check_trips, enrich_daily, enrich_hourly, join_hours
 from ridewx.operators.observations import (
     bronze_weather,
@@ -108,8 +109,8 @@ def sample_trips(i: Inputs) -> DataFrame:
         F.col("tpep_pickup_datetime").alias("pickup_datetime"),
         F.col("tpep_dropoff_datetime").alias("dropoff_datetime"),
         "pickup_zip", "dropoff_zip", "trip_distance", "fare_amount")
-    return (t.filter(between_inclusive("pickup_datetime", SAMPLE_FROM, SAMPLE_TO))
-            .orderBy(*SAMPLE_COLUMNS).limit(SAMPLE_ROWS))
+    in_range = t.filter(between_inclusive("pickup_datetime", SAMPLE_FROM, SAMPLE_TO))
+    return first_rows_by_time(in_range, "pickup_datetime", SAMPLE_ROWS, SAMPLE_COLUMNS)
 
 
 def _hour_rows(i: Inputs) -> DataFrame:

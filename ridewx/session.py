@@ -51,6 +51,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def app_id(spark: SparkSession) -> str:
+    """The application id (classic sessions) or the session id (Connect)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        return spark.conf.get("spark.app.id", None) or spark.sessionId
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -58,21 +66,29 @@ def checkpoint_dir(spark: SparkSession) -> str:
     on a cluster a missing setting is an error, because a machine-local
     folder would not survive the loss of that machine.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: configuration only
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir() or configured
-    if not sc.master.startswith("local"):
+        if sc is not None:
+            sc.setCheckpointDir(configured)
+            return sc.getCheckpointDir() or configured
+        return configured
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if not master.startswith("local"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set: name a shared folder (HDFS, "
             "object store) so intermediate tables survive executor loss")
     folder = tempfile.mkdtemp(prefix="ridewx-ckpt-")
-    sc.setCheckpointDir(folder)
-    return sc.getCheckpointDir() or folder
+    if sc is not None:
+        sc.setCheckpointDir(folder)
+        return sc.getCheckpointDir() or folder
+    spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -106,7 +122,7 @@ def materialize_once(spark: SparkSession, key: tuple, build, label: str) -> Data
     cache, the key names the inputs, which are assumed not to change while
     the application runs.
     """
-    full_key = (spark.sparkContext.applicationId,) + tuple(key)
+    full_key = (app_id(spark),) + tuple(key)
     hit = _written.get(full_key)
     if hit is None:
         hit = materialize(build(), label)
