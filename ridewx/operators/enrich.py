@@ -21,7 +21,7 @@ from ridewx.operators.quality import (
     apply_expectations,
 )
 from ridewx.schemas import SILVER_SCHEMA, TRIP_SCHEMA, WEATHER_JOIN_COLUMNS, check_schema
-from ridewx.session import app_id, materialize
+from ridewx.session import app_id, materialize_counted
 
 # An hour row is under 100 bytes: one million rows (114 years of hours)
 # stay under ~100 MB per executor.
@@ -50,8 +50,7 @@ def size_checked(small: DataFrame, label: str,
     if hit is not None and hit[0].sameSemantics(small):
         table, rows = hit[1], hit[2]
     else:
-        table = materialize(small, label)
-        rows = table.count()
+        table, rows = materialize_counted(small, label)
         _materialized[key] = (small, table, rows)
     if rows <= max_broadcast_rows:
         return SizedSide(F.broadcast(table), rows, True)

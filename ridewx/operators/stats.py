@@ -19,7 +19,6 @@ from ridewx.functions.exact import (
     min_exact,
     scaled,
 )
-from ridewx.operators.enrich import size_checked
 
 QUARTILES = [0.25, 0.5, 0.75]
 WHISKER = 1.5
@@ -37,44 +36,43 @@ def profile_weather(weather: DataFrame) -> DataFrame:
     )
 
 
-def fare_boxplot(silver: DataFrame, max_groups: int = 64) -> DataFrame:
+def fare_boxplot(silver: DataFrame) -> DataFrame:
     """Box-plot statistics of fares per weather condition.
 
-    Quartiles are exact (``percentile``, linear interpolation) on whole
-    cents and reported in cents without rounding; its buffer holds one
-    entry per distinct fare, so it is bounded by the fare range, not the
-    row count. Fences are ``q1 - 1.5 iqr`` and ``q3 + 1.5 iqr``; whiskers
-    are the extreme fares inside them and outliers are counted outside, in
-    a second pass joined to the per-condition fences (a handful of rows,
-    size-checked before it is broadcast).
+    Pass 1: exact quartiles (``percentile``, linear interpolation) on whole
+    cents, reported in cents without rounding. Its buffer holds one entry
+    per distinct fare, so it is bounded by the fare range, not the row
+    count, and it merges map-side. Fences are ``q1 - 1.5 iqr`` and
+    ``q3 + 1.5 iqr``.
+
+    Pass 2: every fare joined to its condition's fences, then whiskers (the
+    extreme fares inside the fences) and the outlier count. The fence table
+    has one row per condition, and conditions are a fixed label set (the
+    category labels plus Rain, Snow and NULL), so it is broadcast without a
+    runtime check.
     """
-    rows = silver.select(condition_recode().alias("weather_condition"),
-                         scaled("fare_amount", MONEY_PLACES).alias("cents"))
-    rows = rows.filter(F.col("cents").isNotNull())
-    q = F.percentile("cents", QUARTILES)
-    quart = rows.groupBy("weather_condition").agg(F.count(F.lit(1)).alias("trips"), q.alias("q"))
+    rows = (silver.select(condition_recode().alias("weather_condition"),
+                          scaled("fare_amount", MONEY_PLACES).alias("cents"))
+            .filter(F.col("cents").isNotNull()))
+    quart = rows.groupBy("weather_condition").agg(
+        F.count(F.lit(1)).alias("trips"), F.percentile("cents", QUARTILES).alias("q"))
+    q1, q3 = F.col("q")[0], F.col("q")[2]
     fences = quart.select(
-        "weather_condition", "trips",
-        F.col("q")[0].alias("q1_cents"), F.col("q")[1].alias("median_cents"),
-        F.col("q")[2].alias("q3_cents"),
-    ).select(
-        "*",
-        (F.col("q1_cents") - (F.col("q3_cents") - F.col("q1_cents")) * WHISKER).alias("lower_fence_cents"),
-        (F.col("q3_cents") + (F.col("q3_cents") - F.col("q1_cents")) * WHISKER).alias("upper_fence_cents"),
+        F.col("weather_condition").alias("_wc"), "trips",
+        q1.alias("q1_cents"), F.col("q")[1].alias("median_cents"), q3.alias("q3_cents"),
+        (q1 - (q3 - q1) * WHISKER).alias("lower_fence_cents"),
+        (q3 + (q3 - q1) * WHISKER).alias("upper_fence_cents"),
     )
-    fences = fences.withColumnRenamed("weather_condition", "_wc")
-    side = size_checked(fences, "fences", max_groups).df
     inside = ((F.col("cents") >= F.col("lower_fence_cents"))
               & (F.col("cents") <= F.col("upper_fence_cents")))
-    tail = rows.join(side.select("_wc", "lower_fence_cents", "upper_fence_cents"),
-                     rows["weather_condition"].eqNullSafe(side["_wc"]), "inner")
-    whiskers = tail.groupBy(F.col("weather_condition").alias("_wk")).agg(
-        (F.min(F.when(inside, F.col("cents"))) / 100.0).alias("lower_whisker"),
-        (F.max(F.when(inside, F.col("cents"))) / 100.0).alias("upper_whisker"),
-        F.count_if(~inside).alias("outliers"),
-    )
-    return (side.join(whiskers, side["_wc"].eqNullSafe(whiskers["_wk"]), "left")
-            .drop("_wk").withColumnRenamed("_wc", "weather_condition"))
+    keys = ["_wc", "trips", "q1_cents", "median_cents", "q3_cents",
+            "lower_fence_cents", "upper_fence_cents"]
+    return (rows.join(F.broadcast(fences), rows["weather_condition"].eqNullSafe(fences["_wc"]))
+            .groupBy(*keys)
+            .agg((F.min(F.when(inside, F.col("cents"))) / 100.0).alias("lower_whisker"),
+                 (F.max(F.when(inside, F.col("cents"))) / 100.0).alias("upper_whisker"),
+                 F.count_if(~inside).alias("outliers"))
+            .withColumnRenamed("_wc", "weather_condition"))
 
 
 def distance_trend(silver: DataFrame) -> DataFrame:

@@ -11,7 +11,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # Settings the library relies on. ``spark.sql.session.timeZone`` is pinned
 # because observation times are local wall-clock hours (naive timestamps);
@@ -105,10 +106,17 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     on-disk size of the result. Use it for small, reused intermediate
     tables such as the hour table before a size-checked broadcast.
     """
+    return materialize_counted(df, label)[0]
+
+
+def materialize_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """``materialize`` that also returns the row count, taken from a
+    counter on the write itself (no second job)."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    obs = Observation(f"{label}_rows_{uuid.uuid4().hex[:8]}")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path), int(obs.get["rows"])
 
 
 _written: dict[tuple, DataFrame] = {}
