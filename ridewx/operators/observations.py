@@ -11,6 +11,20 @@ from ridewx.operators.quality import BRONZE_EXPECTATIONS, Checked, apply_expecta
 from ridewx.schemas import MEASURES, WEATHER_HOURLY_SCHEMA, check_schema
 
 
+# The exploration's unit names for the measures.
+UNIT_NAMES = {
+    "temperature_2m": "temperature_c",
+    "precipitation": "precipitation_mm",
+    "rain": "rain_mm",
+    "wind_speed_10m": "wind_speed_kmh",
+}
+
+
+def rename_to_units(df: DataFrame) -> DataFrame:
+    """Measures renamed to unit names (temperature_c, precipitation_mm, ...)."""
+    return df.withColumnsRenamed({k: v for k, v in UNIT_NAMES.items() if k in df.columns})
+
+
 def type_observations(raw: DataFrame, null_label: str = PIPELINE_NULL_LABEL) -> DataFrame:
     """Staged rows (either staged shape) → typed hourly observations.
 

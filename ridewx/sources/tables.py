@@ -49,3 +49,9 @@ def rows_to_frame(spark: SparkSession, rows: list[dict], schema: T.StructType) -
     """Small local rows (fixtures) → DataFrame with a declared schema."""
     names = [f.name for f in schema.fields]
     return spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], schema)
+
+
+def preview(df: DataFrame, n: int = 5, order: list[str] | None = None) -> DataFrame:
+    """The first ``n`` rows, repeatable when ``order`` names a sort key
+    (a bare ``limit`` returns whichever rows arrive first)."""
+    return (df.orderBy(*order) if order else df).limit(n)
