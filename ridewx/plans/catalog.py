@@ -55,7 +55,6 @@ from ridewx.streaming.enrich_stream import (
 # Parameters of the catalog queries.
 SAMPLE_FROM, SAMPLE_TO, SAMPLE_ROWS = "2024-01-01", "2024-01-30", 10_000
 WINDOW_DAYS = 7
-EPOCH = "1970-01-01"
 SAMPLE_COLUMNS = ["pickup_datetime", "dropoff_datetime", "pickup_zip", "dropoff_zip",
                   "trip_distance", "fare_amount"]
 
@@ -113,14 +112,9 @@ def sample_trips(i: Inputs) -> DataFrame:
     return first_rows_by_time(in_range, "pickup_datetime", SAMPLE_ROWS, SAMPLE_COLUMNS)
 
 
-def _hour_rows(i: Inputs) -> DataFrame:
-    raw = i.weather_raw.withColumns({"date": F.to_date("datetime"), "hour": F.hour("datetime")})
-    return unique_hours(raw).drop("date", "hour")
-
-
 def ingest_hourly(i: Inputs) -> DataFrame:
     """Hourly response documents (JSON text) → typed rows."""
-    docs = responses.pack_daily_responses(_hour_rows(i))
+    docs = responses.pack_daily_responses(i.weather_raw)
     return responses.with_time_parts(responses.parse_response_text(docs, "body"))
 
 
@@ -135,14 +129,12 @@ def plan_windows(i: Inputs) -> DataFrame:
 
 
 def union_chunks(i: Inputs) -> DataFrame:
-    """Observations staged in two shapes, window by window, unioned by
-    name and typed again (bronze recomputes the derived columns)."""
-    # Chunks are week windows counted from 1970-01-01, so no join is needed
-    # to find a row's chunk.
-    idx = responses.window_index(F.to_date("datetime"), F.lit(EPOCH).cast("date"), WINDOW_DAYS)
-    raw = i.weather_raw.withColumn("_w", idx)
-    notebook_shape = raw.filter(F.col("_w") % 2 == 0).drop("_w")
-    command_shape = (raw.filter(F.col("_w") % 2 == 1).drop("_w")
+    """Observations staged in two shapes (each month's first half by
+    the notebook, 8 columns; the rest by the command, 13 columns), unioned
+    by name and typed again; bronze recomputes the derived columns."""
+    first_half = F.dayofmonth("datetime") <= 15
+    notebook_shape = i.weather_raw.filter(first_half)
+    command_shape = (i.weather_raw.filter(~first_half)
                      .withColumns({"date": F.to_date("datetime"), "hour": F.hour("datetime"),
                                    "is_raining": F.col("rain") > 0,
                                    "is_snowing": F.col("snowfall") > 0,

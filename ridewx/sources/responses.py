@@ -76,18 +76,23 @@ def _field(name: str):
     return lambda x: x[name]
 
 
-def pack_daily_responses(hours: DataFrame, latitude: float = 0.0,
+def pack_daily_responses(rows: DataFrame, latitude: float = 0.0,
                          longitude: float = 0.0) -> DataFrame:
-    """Hour rows (unique per date and hour) → one response document per day.
+    """Observation rows → one response document per day.
 
-    The inverse of ``parse_response_text``; a document holds at most 24
-    hours, so the grouped list is bounded by construction. Times are the
-    start of each hour, as a response reports them.
+    The inverse of ``parse_response_text``. Rows are first reduced to one
+    per hour slot (the earliest, as ``unique_hours`` does), so a document
+    holds at most 24 entries whatever the input: the grouped list is
+    bounded by construction. Times are the start of each hour, as a
+    response reports them.
     """
     slot = F.date_trunc("hour", F.col("datetime"))
-    item = F.struct(F.date_format(slot, RESPONSE_TIME_FORMAT).alias("time"),
+    first = F.min(F.struct(F.col("datetime"), *[F.col(v) for v in HOURLY_VARIABLES]))
+    per_hour = (rows.groupBy(slot.alias("slot")).agg(first.alias("r"))
+                .select("slot", *[F.col(f"r.{v}").alias(v) for v in HOURLY_VARIABLES]))
+    item = F.struct(F.date_format("slot", RESPONSE_TIME_FORMAT).alias("time"),
                     *[F.col(v) for v in HOURLY_VARIABLES])
-    grouped = (hours.groupBy(F.to_date("datetime").alias("day"))
+    grouped = (per_hour.groupBy(F.to_date("slot").alias("day"))
                .agg(F.array_sort(F.collect_list(item)).alias("items")))
     hourly = F.struct(
         F.transform("items", lambda x: x["time"]).alias("time"),
