@@ -78,6 +78,21 @@ def build(trips: DataFrame, weather_raw: DataFrame) -> Layers:
     return layers
 
 
+def load_observations(spark, landing_path: str, target: str, fmt: str = "parquet") -> DataFrame:
+    """The load step: landed response documents → typed, classified
+    observations written (overwrite) to ``target``, clustered by time.
+
+    Replaces the serial fetch-and-concatenate loop: every landed document
+    is parsed where it lies, and the write replaces the whole table.
+    """
+    from ridewx.operators.observations import type_observations
+    from ridewx.sources.responses import read_responses
+
+    typed = type_observations(read_responses(spark, landing_path))
+    write_clustered(typed, target, "date", "datetime", fmt=fmt)
+    return spark.read.format(fmt).load(target)
+
+
 def write_all(trips: DataFrame, weather_raw: DataFrame, root: str,
               fmt: str = "parquet") -> Layers:
     """Write every layer under ``root``; each later layer reads the written
