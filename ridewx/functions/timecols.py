@@ -35,14 +35,45 @@ def hour_key(ts: str | Column) -> Column:
     return F.hour(_col(ts))
 
 
+def hour_start(ts: str | Column) -> Column:
+    """Start of the hour of a TIMESTAMP_NTZ, as TIMESTAMP_NTZ.
+
+    Built from the date-time fields: ``date_trunc`` and ``date_format``
+    convert through the session zone and move wall-clock times that fall
+    in a daylight-saving gap.
+    """
+    t = _col(ts)
+    return F.make_timestamp_ntz(F.year(t), F.month(t), F.dayofmonth(t), F.hour(t),
+                                F.lit(0), F.lit(0))
+
+
+def format_local_minute(ts: str | Column) -> Column:
+    """``yyyy-MM-ddTHH:mm`` text of a TIMESTAMP_NTZ, zone-free."""
+    t = _col(ts)
+    return F.format_string("%04d-%02d-%02dT%02d:%02d", F.year(t), F.month(t),
+                           F.dayofmonth(t), F.hour(t), F.minute(t))
+
+
+def ntz_literal(value: dt.datetime | dt.date | str) -> Column:
+    """A TIMESTAMP_NTZ literal built from text, so neither the Python
+    process's local zone nor the session zone can shift it."""
+    if isinstance(value, dt.datetime):
+        text = value.isoformat(sep=" ")
+    elif isinstance(value, dt.date):
+        text = value.isoformat() + " 00:00:00"
+    else:
+        text = value
+    return F.lit(text).cast("timestamp_ntz")
+
+
 def between_inclusive(ts: str | Column, start: str, end: str) -> Column:
     """SQL ``BETWEEN start AND end`` on a timestamp.
 
     With date literals the upper bound is midnight at the start of ``end``,
     so most of the last day is excluded (quirk Q8), exactly as in SQL.
     """
-    lo = F.lit(dt.datetime.fromisoformat(start)).cast("timestamp_ntz")
-    hi = F.lit(dt.datetime.fromisoformat(end)).cast("timestamp_ntz")
+    lo = ntz_literal(dt.datetime.fromisoformat(start))
+    hi = ntz_literal(dt.datetime.fromisoformat(end))
     return _col(ts).between(lo, hi)
 
 
@@ -51,4 +82,4 @@ def within_days(ts: str | Column, first_day: str, last_day: str) -> Column:
     lo = dt.datetime.fromisoformat(first_day)
     hi = dt.datetime.fromisoformat(last_day) + dt.timedelta(days=1)
     c = _col(ts)
-    return (c >= F.lit(lo).cast("timestamp_ntz")) & (c < F.lit(hi).cast("timestamp_ntz"))
+    return (c >= ntz_literal(lo)) & (c < ntz_literal(hi))

@@ -16,6 +16,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ridewx.functions.timecols import ntz_literal
+
 
 def first_rows_by_time(df: DataFrame, time_col: str, k: int,
                        order: list[str | Column] | None = None) -> DataFrame:
@@ -32,5 +34,5 @@ def first_rows_by_time(df: DataFrame, time_col: str, k: int,
     if cutoff is None:
         return df.orderBy(*order).limit(k)
     end = dt.datetime.combine(cutoff + dt.timedelta(days=1), dt.time())
-    kept = df.filter(F.col(time_col) < F.lit(end).cast("timestamp_ntz"))
+    kept = df.filter(F.col(time_col) < ntz_literal(end))
     return kept.orderBy(*order).limit(k)

@@ -14,11 +14,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridewx.functions.timecols import parse_local_time
+from ridewx.functions.timecols import format_local_minute, hour_start, parse_local_time
 from ridewx.schemas import HOURLY_VARIABLES, MEASURES, RESPONSE_SCHEMA
 
 MISSING_HOURLY = "Invalid response: missing 'hourly' data"
-RESPONSE_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm"
 
 
 def read_responses(spark: SparkSession, path: str) -> DataFrame:
@@ -86,11 +85,11 @@ def pack_daily_responses(rows: DataFrame, latitude: float = 0.0,
     bounded by construction. Times are the start of each hour, as a
     response reports them.
     """
-    slot = F.date_trunc("hour", F.col("datetime"))
+    slot = hour_start("datetime")
     first = F.min(F.struct(F.col("datetime"), *[F.col(v) for v in HOURLY_VARIABLES]))
     per_hour = (rows.groupBy(slot.alias("slot")).agg(first.alias("r"))
                 .select("slot", *[F.col(f"r.{v}").alias(v) for v in HOURLY_VARIABLES]))
-    item = F.struct(F.date_format("slot", RESPONSE_TIME_FORMAT).alias("time"),
+    item = F.struct(format_local_minute("slot").alias("time"),
                     *[F.col(v) for v in HOURLY_VARIABLES])
     grouped = (per_hour.groupBy(F.to_date("slot").alias("day"))
                .agg(F.array_sort(F.collect_list(item)).alias("items")))

@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ridewx.functions.timecols import hour_start
 from ridewx.functions.exact import DISTANCE_PLACES, MONEY_PLACES, avg_exact, sum_exact
 from ridewx.operators.enrich import hour_side, size_checked, with_hour_keys
 from ridewx.operators.quality import TRIP_EXPECTATIONS, DROP, FAIL
@@ -78,7 +79,7 @@ def hourly_stream_metrics(enriched: DataFrame, time_col: str = "tpep_pickup_date
     """Per one-hour window of pickup time and weather category."""
     timed = enriched.withColumns({
         EVENT_TIME: wall_clock_instant(F.col(time_col)),
-        "window_start": F.date_trunc("hour", F.col(time_col)),
+        "window_start": hour_start(time_col),
     })
     # The window (on the watermarked column) drives state eviction; the
     # truncated wall-clock hour names the same window as TIMESTAMP_NTZ.

@@ -83,3 +83,17 @@ def test_load_observations_from_landing(spark, tmp_dir):
     rows = {r.hour: r for r in out.collect()}
     assert rows[0].weather_category == "Partly Cloudy" and rows[1].weather_category == "Rain"
     assert rows[1].is_raining is True and str(rows[0].date) == "2023-01-01"
+
+
+def test_hour_helpers_are_zone_free_in_dst_gap(spark):
+    from ridewx.functions.timecols import format_local_minute, hour_start, ntz_literal
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.sql("SELECT timestamp_ntz'2024-03-10 02:30:45.5' AS t")
+        r = df.select(hour_start("t").alias("h"), format_local_minute("t").alias("f"),
+                      (F.col("t") > ntz_literal("2024-03-10 02:30:00")).alias("after")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert r.h == dt.datetime(2024, 3, 10, 2, 0)
+    assert r.f == "2024-03-10T02:30" and r.after is True
