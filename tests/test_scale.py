@@ -97,3 +97,11 @@ def test_hour_helpers_are_zone_free_in_dst_gap(spark):
         spark.conf.set("spark.sql.session.timeZone", old)
     assert r.h == dt.datetime(2024, 3, 10, 2, 0)
     assert r.f == "2024-03-10T02:30" and r.after is True
+
+
+def test_cluster_conf_sizes_partitions():
+    from ridewx.session import cluster_conf
+    conf = cluster_conf(100 * 10**12, cores=8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == -(-100 * 10**12 // (256 << 20))
+    assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    assert int(cluster_conf(10, cores=8)["spark.sql.shuffle.partitions"]) == 8
