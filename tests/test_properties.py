@@ -1,0 +1,41 @@
+"""Invariants of the join and the aggregates on random small inputs."""
+
+import datetime as dt
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from ridewx.operators import metrics
+from ridewx.operators.enrich import enrich_hourly, join_hours
+from ridewx.operators.observations import type_observations, unique_hours
+from ridewx.schemas import TRIP_SCHEMA, WEATHER_RAW_SCHEMA
+
+BASE = dt.datetime(2024, 1, 1)
+
+minutes = st.integers(min_value=0, max_value=6 * 60 - 1)
+trip = st.tuples(minutes, st.integers(0, 100), st.integers(-500, 5000))
+obs = st.tuples(minutes, st.integers(-300, 500), st.sampled_from([0, 3, 45, 61, 71, 95, 7]))
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(trip, min_size=1, max_size=40), st.lists(obs, max_size=20))
+def test_join_and_aggregate_invariants(spark, trips, observations):
+    t = spark.createDataFrame(
+        [(BASE + dt.timedelta(minutes=m), BASE + dt.timedelta(minutes=m + 5), "1", "2",
+          d / 10.0, f / 100.0) for m, d, f in trips], TRIP_SCHEMA)
+    w = spark.createDataFrame(
+        [(BASE + dt.timedelta(minutes=m), c / 10.0, 50.0, 0.0, 0.0, 0.0, 1.0, code)
+         for m, c, code in observations], WEATHER_RAW_SCHEMA)
+    hours = unique_hours(type_observations(w))
+    silver = enrich_hourly(t, hours, observe=False)[0].cache()
+    n = silver.count()
+    assert n == sum(1 for _, _, f in trips if f >= 0)  # left join keeps every kept trip
+    for g in (metrics.weather_impact_summary(silver), metrics.hourly_weather_metrics(silver),
+              metrics.temperature_band_analysis(silver)):
+        assert sum(r.trip_count for r in g.collect()) == n
+    kept = t.filter("fare_amount >= 0")
+    semi = join_hours(kept, hours, "left_semi").count()
+    anti = join_hours(kept, hours, "left_anti").count()
+    assert semi + anti == n
+    assert silver.filter("temperature_2m IS NOT NULL").count() == semi
+    silver.unpersist()
