@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridewx.functions.timecols import format_local_minute, hour_start, parse_local_time
-from ridewx.schemas import HOURLY_VARIABLES, MEASURES, RESPONSE_SCHEMA
+from ridewx.schemas import HOURLY_VARIABLES, RESPONSE_SCHEMA
 
 MISSING_HOURLY = "Invalid response: missing 'hourly' data"
 
