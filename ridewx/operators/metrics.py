@@ -74,7 +74,7 @@ def temperature_band_analysis(silver: DataFrame, ordered: bool = True,
         min_exact("temperature_2m", TEMPERATURE_PLACES, 1).alias("min_temp"),
         max_exact("temperature_2m", TEMPERATURE_PLACES, 1).alias("max_temp"),
     )
-    return out.orderBy(F.col("min_temp").asc_nulls_last(),
+    return out.orderBy(F.col("min_temp").asc(),
                        band_order("temperature_band")) if ordered else out
 
 
