@@ -24,15 +24,15 @@ def first_rows_by_time(df: DataFrame, time_col: str, k: int,
     """The ``k`` earliest rows of ``df`` by ``time_col`` (ties broken by
     ``order``, which should start with ``time_col``)."""
     order = order or [time_col]
-    day = F.to_date(F.col(time_col))
-    per_day = df.groupBy(day.alias("day")).agg(F.count(F.lit(1)).alias("n"))
-    # One row per day: the running total fits one partition.
-    earlier = F.sum("n").over(Window.orderBy("day")) - F.col("n")
-    cutoff = per_day.filter(F.col("day").isNotNull()) \
-        .withColumn("earlier", earlier).filter(F.col("earlier") < k) \
-        .agg(F.max("day")).first()[0]
-    if cutoff is None:
+    t = F.col(time_col)
+    per_day = df.groupBy(F.to_date(t).alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    # One row per day (NULL times first, as they sort first): the running
+    # total fits one partition.
+    earlier = F.sum("n").over(Window.orderBy(F.col("day").asc_nulls_first())) - F.col("n")
+    cutoff = (per_day.withColumn("earlier", earlier).filter(F.col("earlier") < k)
+              .agg(F.max("day")).first()[0])
+    if cutoff is None:  # no rows, or the NULL-time rows alone fill the sample
         return df.orderBy(*order).limit(k)
     end = dt.datetime.combine(cutoff + dt.timedelta(days=1), dt.time())
-    kept = df.filter(F.col(time_col) < ntz_literal(end))
+    kept = df.filter((t < ntz_literal(end)) | t.isNull())
     return kept.orderBy(*order).limit(k)

@@ -98,3 +98,15 @@ def test_between_keeps_midnight_bound(spark):
     assert df.filter(within_days("t", "2023-06-01", "2023-06-30")).count() == 3
 
 
+
+
+def test_first_rows_by_time_matches_direct_top_k(spark):
+    from ridewx.operators.sampling import first_rows_by_time
+    base = dt.datetime(2024, 1, 1)
+    rows = [(base + dt.timedelta(hours=7 * i + (i % 3)), i) for i in range(60)]
+    rows += [(None, 100), (None, 101)]
+    df = spark.createDataFrame(rows, "t timestamp_ntz, v int")
+    for k in (1, 2, 3, 10, 59, 62, 80):
+        got = [tuple(r) for r in first_rows_by_time(df, "t", k, ["t", "v"]).collect()]
+        want = [tuple(r) for r in df.orderBy("t", "v").limit(k).collect()]
+        assert got == want, k
