@@ -22,7 +22,8 @@ def spark():
                .appName("ridewx-tests")
                .config("spark.sql.shuffle.partitions", "8")
                .config("spark.ui.enabled", "false")
-               .config("spark.ui.showConsoleProgress", "false"))
+               .config("spark.ui.showConsoleProgress", "false")
+               .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="ridewx-wh-")))
     for k, v in RECOMMENDED_CONF.items():
         builder = builder.config(k, v)
     session = builder.getOrCreate()

@@ -45,3 +45,17 @@ def test_write_all_layers(spark, tmp_dir):
     assert m["taxi_weather_joined"]["valid_fare"] == 73
     assert m["taxi_weather_joined"]["has_weather_data"] == 538
     assert m["weather_hourly"]["reasonable_temperature"] == 35
+
+
+def test_catalog_tables_by_qualified_name(spark):
+    from ridewx.sources.tables import use_namespace
+    spark.sql("CREATE DATABASE IF NOT EXISTS ridewx_test")
+    use_namespace(spark, "spark_catalog", "ridewx_test")
+    try:
+        write_table(spark.range(4), "trips_t")  # current-schema name
+        assert read_table(spark, "spark_catalog.ridewx_test.trips_t").count() == 4
+        write_table(spark.range(2), "ridewx_test.trips_t")  # qualified overwrite
+        assert read_table(spark, "trips_t").count() == 2
+    finally:
+        use_namespace(spark, "spark_catalog", "default")
+        spark.sql("DROP DATABASE IF EXISTS ridewx_test CASCADE")
