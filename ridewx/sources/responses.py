@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ridewx.functions.classify import LIBRARY_NULL_LABEL, classify_code
 from ridewx.functions.timecols import format_local_minute, hour_start, parse_local_time
 from ridewx.schemas import HOURLY_VARIABLES, RESPONSE_SCHEMA
 
@@ -71,6 +72,11 @@ def with_time_parts(rows: DataFrame) -> DataFrame:
     )
 
 
+def with_category(rows: DataFrame, null_label: str = LIBRARY_NULL_LABEL) -> DataFrame:
+    """Add ``weather_category`` (library form: a NULL code is "Unknown")."""
+    return rows.withColumn("weather_category", classify_code("weather_code", null_label=null_label))
+
+
 def _field(name: str):
     return lambda x: x[name]
 
