@@ -57,3 +57,23 @@ def test_query_matches_oracle(spark, con, name):
     drows = [tuple(_norm(r[i]) for i in idx) for r in rel.fetchall()]
     assert len(srows) == len(drows)
     assert sorted(srows, key=_key) == sorted(drows, key=_key)
+
+
+ZONE_SENSITIVE = ["sample_trips", "ingest_hourly", "stream_hourly_metrics", "hourly_weather_metrics",
+                  "plan_windows", "enrich_daily"]
+
+
+@pytest.mark.parametrize("name", ZONE_SENSITIVE)
+def test_results_do_not_depend_on_session_zone(spark, con, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = entry_mod.queries()[name](spark, SF_SMALL)
+        srows = [tuple(_norm(x) for x in r) for r in df.collect()]
+        cols = df.columns
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    rel = con.sql(entry_mod.oracle_sql()[name])
+    idx = [rel.columns.index(c) for c in cols]
+    drows = [tuple(_norm(r[i]) for i in idx) for r in rel.fetchall()]
+    assert sorted(srows, key=_key) == sorted(drows, key=_key)
