@@ -1,12 +1,16 @@
 """The exploration's sample: the first ``k`` rows in time order.
 
 ``orderBy(...).limit(k)`` ships ``k`` rows from every input partition to a
-single task. On a large table most of them are discarded, so the first
-step finds the day by which ``k`` rows have accumulated (one small
-aggregate: a row per day) and filters to it with a plain time predicate
-that reaches the scan (partition pruning on a date-partitioned table,
-row-group skipping on a time-sorted one). The top-k then runs on that
-remainder only. The result is the same as the direct form.
+single task. On a large table most of them are discarded, so a cutoff
+time is found first: per-day counts (one small aggregate, a row per day)
+give the day by which ``k`` rows have accumulated; if that day is itself
+hot (more than ``fine_rows`` rows), per-minute counts within it (pruned to
+that day) narrow the cutoff to a minute. The filter up to the cutoff is a
+plain time predicate that reaches the scan (partition pruning on a
+date-partitioned table, row-group skipping on a time-sorted one), and the
+top-k runs on that remainder only. The result is the same as the direct
+form: NULL times sort first, so they are counted before every day and
+always kept.
 """
 
 from __future__ import annotations
@@ -18,21 +22,46 @@ from pyspark.sql import functions as F
 
 from ridewx.functions.timecols import ntz_literal
 
+_STEP = {"day": dt.timedelta(days=1), "minute": dt.timedelta(minutes=1)}
+
+
+def _bucket(t: Column, unit: str) -> Column:
+    # Zone-free truncation of a TIMESTAMP_NTZ to the start of its day/minute.
+    if unit == "day":
+        return F.make_timestamp_ntz(F.year(t), F.month(t), F.dayofmonth(t),
+                                    F.lit(0), F.lit(0), F.lit(0))
+    return F.make_timestamp_ntz(F.year(t), F.month(t), F.dayofmonth(t), F.hour(t),
+                                F.minute(t), F.lit(0))
+
+
+def _last_needed_bucket(df: DataFrame, t: Column, unit: str, k: int):
+    """(start, rows before it, rows in it) of the last bucket holding any of
+    the first ``k`` rows, or None when no dated bucket is needed."""
+    per = df.groupBy(_bucket(t, unit).alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    # One row per bucket (NULL first, as it sorts first): fits one partition.
+    earlier = F.sum("n").over(Window.orderBy(F.col("b").asc_nulls_first())) - F.col("n")
+    last = (per.withColumn("earlier", earlier).filter(F.col("earlier") < k)
+            .agg(F.max_by(F.struct("b", "earlier", "n"), "b").alias("x")).first()["x"])
+    return None if last is None or last["b"] is None else (last["b"], last["earlier"], last["n"])
+
 
 def first_rows_by_time(df: DataFrame, time_col: str, k: int,
-                       order: list[str | Column] | None = None) -> DataFrame:
+                       order: list[str | Column] | None = None,
+                       fine_rows: int | None = None) -> DataFrame:
     """The ``k`` earliest rows of ``df`` by ``time_col`` (ties broken by
     ``order``, which should start with ``time_col``)."""
     order = order or [time_col]
     t = F.col(time_col)
-    per_day = df.groupBy(F.to_date(t).alias("day")).agg(F.count(F.lit(1)).alias("n"))
-    # One row per day (NULL times first, as they sort first): the running
-    # total fits one partition.
-    earlier = F.sum("n").over(Window.orderBy(F.col("day").asc_nulls_first())) - F.col("n")
-    cutoff = (per_day.withColumn("earlier", earlier).filter(F.col("earlier") < k)
-              .agg(F.max("day")).first()[0])
-    if cutoff is None:  # no rows, or the NULL-time rows alone fill the sample
+    fine_rows = fine_rows if fine_rows is not None else 64 * k
+    day = _last_needed_bucket(df, t, "day", k)
+    if day is None:  # no dated rows, or the NULL-time rows alone fill the sample
         return df.orderBy(*order).limit(k)
-    end = dt.datetime.combine(cutoff + dt.timedelta(days=1), dt.time())
+    start, earlier, rows = day
+    end = start + _STEP["day"]
+    if rows > fine_rows:  # a hot day: narrow the cutoff to a minute within it
+        in_day = df.filter((t >= ntz_literal(start)) & (t < ntz_literal(end)))
+        minute = _last_needed_bucket(in_day, t, "minute", k - earlier)
+        if minute is not None:
+            end = minute[0] + _STEP["minute"]
     kept = df.filter((t < ntz_literal(end)) | t.isNull())
     return kept.orderBy(*order).limit(k)

@@ -110,3 +110,18 @@ def test_first_rows_by_time_matches_direct_top_k(spark):
         got = [tuple(r) for r in first_rows_by_time(df, "t", k, ["t", "v"]).collect()]
         want = [tuple(r) for r in df.orderBy("t", "v").limit(k).collect()]
         assert got == want, k
+
+
+def test_first_rows_by_time_narrows_a_hot_day(spark):
+    from ridewx.operators.sampling import first_rows_by_time
+    base = dt.datetime(2024, 1, 1)
+    rows = [(base + dt.timedelta(seconds=13 * i), i) for i in range(3000)]  # one hot day
+    rows += [(base + dt.timedelta(days=1 + i), 10_000 + i) for i in range(5)]
+    df = spark.createDataFrame(rows, "t timestamp_ntz, v int")
+    for k in (1, 7, 50, 2999, 3000, 3004):
+        got = first_rows_by_time(df, "t", k, ["t", "v"], fine_rows=100)
+        want = df.orderBy("t", "v").limit(k)
+        assert [tuple(r) for r in got.collect()] == [tuple(r) for r in want.collect()], k
+    plan = _initial_plan(first_rows_by_time(df, "t", 50, ["t", "v"], fine_rows=100))
+    # cutoff after the first 50 rows (50 * 13 s ≈ 11 minutes): a minute bound
+    assert "2024-01-01 00:11:00" in plan or "2024-01-01 00:10:00" in plan
