@@ -37,25 +37,30 @@ def profile_weather(weather: DataFrame) -> DataFrame:
 
 
 def fare_boxplot(silver: DataFrame) -> DataFrame:
-    """Box-plot statistics of fares per weather condition.
+    """Box-plot statistics of fares per weather condition, in one pass.
 
-    Pass 1: exact quartiles (``percentile``, linear interpolation) on whole
-    cents, reported in cents without rounding. Its buffer holds one entry
-    per distinct fare, so it is bounded by the fare range, not the row
-    count, and it merges map-side. Fences are ``q1 - 1.5 iqr`` and
-    ``q3 + 1.5 iqr``.
+    The pass builds a histogram: trips per (condition, fare in whole cents).
+    It is an ordinary hash aggregate keyed by both, so a condition holding a
+    third of all trips is spread over many reducers by fare value, and its
+    size is bounded by conditions x distinct fares, not by trips.
+    Everything else runs on the histogram:
 
-    Pass 2: every fare joined to its condition's fences, then whiskers (the
-    extreme fares inside the fences) and the outlier count. The fence table
-    has one row per condition, and conditions are a fixed label set (the
-    category labels plus Rain, Snow and NULL), so it is broadcast without a
-    runtime check.
+    - exact quartiles with ``percentile(cents, p, frequency)`` (linear
+      interpolation), reported in cents without rounding; fences
+      ``q1 - 1.5 iqr`` and ``q3 + 1.5 iqr``;
+    - whiskers (the extreme fares inside the fences) and the outlier count,
+      from the histogram joined to its condition's fences. The fence table
+      has one row per condition, and conditions are a fixed label set (the
+      category labels plus Rain, Snow and NULL), so it is broadcast without
+      a runtime check.
     """
-    rows = (silver.select(condition_recode().alias("weather_condition"),
+    hist = (silver.select(condition_recode().alias("weather_condition"),
                           scaled("fare_amount", MONEY_PLACES).alias("cents"))
-            .filter(F.col("cents").isNotNull()))
-    quart = rows.groupBy("weather_condition").agg(
-        F.count(F.lit(1)).alias("trips"), F.percentile("cents", QUARTILES).alias("q"))
+            .filter(F.col("cents").isNotNull())
+            .groupBy("weather_condition", "cents").agg(F.count(F.lit(1)).alias("freq")))
+    quart = hist.groupBy("weather_condition").agg(
+        F.sum("freq").alias("trips"),
+        F.percentile("cents", QUARTILES, F.col("freq")).alias("q"))
     q1, q3 = F.col("q")[0], F.col("q")[2]
     fences = quart.select(
         F.col("weather_condition").alias("_wc"), "trips",
@@ -67,11 +72,12 @@ def fare_boxplot(silver: DataFrame) -> DataFrame:
               & (F.col("cents") <= F.col("upper_fence_cents")))
     keys = ["_wc", "trips", "q1_cents", "median_cents", "q3_cents",
             "lower_fence_cents", "upper_fence_cents"]
-    return (rows.join(F.broadcast(fences), rows["weather_condition"].eqNullSafe(fences["_wc"]))
+    return (hist.join(F.broadcast(fences), hist["weather_condition"].eqNullSafe(fences["_wc"]))
             .groupBy(*keys)
             .agg((F.min(F.when(inside, F.col("cents"))) / 100.0).alias("lower_whisker"),
                  (F.max(F.when(inside, F.col("cents"))) / 100.0).alias("upper_whisker"),
-                 F.count_if(~inside).alias("outliers"))
+                 F.coalesce(F.sum(F.when(~inside, F.col("freq"))), F.lit(0).cast("bigint"))
+                 .alias("outliers"))
             .withColumnRenamed("_wc", "weather_condition"))
 
 
