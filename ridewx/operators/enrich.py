@@ -57,6 +57,12 @@ def size_checked(small: DataFrame, label: str,
     return SizedSide(table, rows, False)
 
 
+def forget(app: str) -> None:
+    """Drop this application's size-checked tables from the cache."""
+    for key in [k for k in _materialized if k[0] == app]:
+        del _materialized[key]
+
+
 def with_hour_keys(trips: DataFrame, time_col: str = "tpep_pickup_datetime") -> DataFrame:
     return trips.withColumns({
         "pickup_date": F.to_date(F.col(time_col)),

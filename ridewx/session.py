@@ -115,10 +115,38 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """This application's folder under the checkpoint folder."""
+    app = "".join(ch if ch.isalnum() or ch in "-_" else "_" for ch in str(app_id(spark)))
+    return f"{checkpoint_dir(spark).rstrip('/')}/ridewx/{app}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the checkpoint folder."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/ridewx/{label}-{uuid.uuid4().hex}"
+    """A fresh path in this application's scratch folder."""
+    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def release_scratch(spark: SparkSession) -> bool:
+    """Delete this application's scratch folder (written layers, hour
+    tables, stream sinks and checkpoints) and forget the cached tables.
+
+    Call it when the application is done with them; returns False when the
+    file system cannot be reached from this session (Spark Connect).
+    """
+    root = scratch_root(spark)
+    app = app_id(spark)
+    for cache in (_written,):
+        for key in [k for k in cache if k[0] == app]:
+            del cache[key]
+    from ridewx.operators import enrich  # late import: enrich imports this module
+    enrich.forget(app)
+    try:
+        jvm, hconf = spark._jvm, spark._jsc.hadoopConfiguration()
+    except Exception:  # noqa: BLE001 - Spark Connect: no JVM handle
+        return False
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(hconf)
+    return bool(fs.delete(path, True)) if fs.exists(path) else True
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -59,3 +59,14 @@ def test_catalog_tables_by_qualified_name(spark):
     finally:
         use_namespace(spark, "spark_catalog", "default")
         spark.sql("DROP DATABASE IF EXISTS ridewx_test CASCADE")
+
+
+def test_release_scratch_removes_app_folder(spark):
+    from ridewx.session import materialize, release_scratch, scratch_root
+    root = scratch_root(spark)
+    df = materialize(spark.range(3), "tmp_release")
+    assert df.count() == 3
+    local = root.replace("file:", "")
+    assert os.path.isdir(local)
+    assert release_scratch(spark)
+    assert not os.path.exists(local)
