@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-# The seven hourly variables of an observation response, in response order.
+# The seven hourly variables of an observation response, in
+# response order (they name the arrays of a response and the columns).
 HOURLY_VARIABLES = [
     "temperature_2m",
     "relative_humidity_2m",

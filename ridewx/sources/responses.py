@@ -18,6 +18,7 @@ from ridewx.functions.classify import LIBRARY_NULL_LABEL, classify_code
 from ridewx.functions.timecols import format_local_minute, hour_start, parse_local_time
 from ridewx.schemas import HOURLY_VARIABLES, RESPONSE_SCHEMA
 
+# Fixed value: the message a response without hourly data fails with.
 MISSING_HOURLY = "Invalid response: missing 'hourly' data"
 
 
