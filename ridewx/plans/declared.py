@@ -53,7 +53,8 @@ def declare(trips_table: str = TRIPS) -> None:
 
     dp.materialized_view(bronze, name=BRONZE, comment="Typed hourly observations",
                          table_properties={"quality": "bronze"}, partition_cols=["date"])
-    dp.materialized_view(_silver(trips_table), name=SILVER, comment="Trips enriched with the hour's observation",
+    dp.materialized_view(_silver(trips_table), name=SILVER,
+                         comment="Trips enriched with the hour's observation",
                          table_properties={"quality": "silver"}, partition_cols=["pickup_date"])
     for name, fn in zip(GOLD, (metrics.weather_impact_summary, metrics.hourly_weather_metrics,
                                metrics.temperature_band_analysis)):
