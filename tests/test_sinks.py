@@ -70,3 +70,23 @@ def test_release_scratch_removes_app_folder(spark):
     assert os.path.isdir(local)
     assert release_scratch(spark)
     assert not os.path.exists(local)
+
+
+def test_clustered_write_splits_a_hot_date(spark, tmp_dir):
+    from pyspark.sql import functions as F
+    hot = spark.range(60000).select(F.lit("2024-01-01").cast("date").alias("d"),
+                                    F.col("id"), F.sha2(F.col("id").cast("string"), 256).alias("x"))
+    cold = spark.range(2000).select(F.lit("2024-01-02").cast("date").alias("d"),
+                                    F.col("id"), F.sha2(F.col("id").cast("string"), 256).alias("x"))
+    df = hot.unionByName(cold).withColumn("t", F.col("id"))
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256KB")
+    try:
+        path = os.path.join(tmp_dir, "c")
+        write_clustered(df, path, "d", "t")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    hot_files = [f for f in os.listdir(os.path.join(path, "d=2024-01-01")) if f.endswith(".parquet")]
+    cold_files = [f for f in os.listdir(os.path.join(path, "d=2024-01-02")) if f.endswith(".parquet")]
+    assert len(hot_files) > 1 and len(cold_files) >= 1
+    assert spark.read.parquet(path).count() == 62000
