@@ -43,7 +43,7 @@ from ridewx.operators.quality import (
 )
 from ridewx.sources import responses, standin
 from ridewx.sources.tables import read_table
-from ridewx.session import materialize_once, source_path
+from ridewx.session import app_id, materialize_once, source_path
 from ridewx.streaming.enrich_stream import (
     check_trip_stream,
     enrich_stream,
@@ -60,20 +60,40 @@ SAMPLE_COLUMNS = ["pickup_datetime", "dropoff_datetime", "pickup_zip", "dropoff_
 
 
 class Inputs:
-    """Lazily derived inputs for one scale-factor folder."""
+    """Lazily derived inputs for one scale-factor folder.
+
+    DataFrames here carry no expectation counters, so one instance per
+    application and folder is shared by all queries (``Inputs.of``): the
+    file listing and plan analysis of the shared steps happen once.
+    """
+
+    _shared: dict[tuple, "Inputs"] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
         self.events = standin.read_events(spark, sf_dir)
         self.trips = standin.trips(self.events)
         self.weather_raw = standin.weather_raw(self.events)
+        self._weather: DataFrame | None = None
+        self._hours: DataFrame | None = None
+
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str) -> "Inputs":
+        key = (app_id(spark), os.path.abspath(sf_dir))
+        if key not in cls._shared:
+            cls._shared[key] = cls(spark, sf_dir)
+        return cls._shared[key]
 
     def weather(self) -> DataFrame:
         """Typed observations (bronze without counters)."""
-        return type_observations(self.weather_raw)
+        if self._weather is None:
+            self._weather = type_observations(self.weather_raw)
+        return self._weather
 
     def hours(self) -> DataFrame:
-        return unique_hours(self.weather())
+        if self._hours is None:
+            self._hours = unique_hours(self.weather())
+        return self._hours
 
     def silver(self) -> DataFrame:
         """The silver table, written once per application and folder; the
@@ -89,7 +109,7 @@ class Inputs:
 
 def _q(fn: Callable[[Inputs], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(Inputs(spark, sf_dir))
+        return fn(Inputs.of(spark, sf_dir))
     run.__name__ = fn.__name__
     run.__doc__ = fn.__doc__
     return run
