@@ -61,6 +61,9 @@ def unique_hours(weather: DataFrame, date_col: str = "date", hour_col: str = "ho
     An aggregate (``min`` of a struct led by the time) rather than a window:
     it combines map-side, so an hour holding a third of all rows costs one
     partial row per task, and it tells the optimizer the keys are unique.
+    A struct buffer is not fixed-width, so Spark plans it as a sort-based
+    aggregate (partial and final, both spillable); per-column ``min_by``
+    would hash-aggregate but could mix columns of different rows on a tie.
     """
     rest = [c for c in weather.columns if c not in (date_col, hour_col, time_col)]
     order = [time_col] + rest
