@@ -41,6 +41,7 @@ from ridewx.operators.quality import (
     match_rate,
     quality_report,
 )
+from ridewx.schemas import TRIP_SCHEMA
 from ridewx.sources import responses, standin
 from ridewx.sources.tables import read_table
 from ridewx.session import app_id, materialize_once, source_path
@@ -55,6 +56,7 @@ from ridewx.streaming.enrich_stream import (
 # Parameters of the catalog queries.
 SAMPLE_FROM, SAMPLE_TO, SAMPLE_ROWS = "2024-01-01", "2024-01-30", 10_000
 WINDOW_DAYS = 7
+PREVIEW_ROWS = 5
 SAMPLE_COLUMNS = ["pickup_datetime", "dropoff_datetime", "pickup_zip", "dropoff_zip",
                   "trip_distance", "fare_amount"]
 
@@ -138,6 +140,12 @@ def ingest_hourly(i: Inputs) -> DataFrame:
     return responses.with_time_parts(responses.parse_response_text(docs, "body"))
 
 
+def preview_trips(i: Inputs) -> DataFrame:
+    """A repeatable preview, the first trips by pickup time."""
+    order = list(TRIP_SCHEMA.names)
+    return first_rows_by_time(i.trips, "tpep_pickup_datetime", PREVIEW_ROWS, order)
+
+
 def _trip_bounds(i: Inputs) -> DataFrame:
     return i.trips.agg(F.to_date(F.min("tpep_pickup_datetime")).alias("start_date"),
                        F.to_date(F.max("tpep_pickup_datetime")).alias("end_date"))
@@ -328,6 +336,7 @@ def stream_hourly_metrics(i: Inputs) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_events": scan_events,
     "sample_trips": _q(sample_trips),
+    "preview_trips": _q(preview_trips),
     "ingest_hourly": _q(ingest_hourly),
     "plan_windows": _q(plan_windows),
     "union_chunks": _q(union_chunks),

@@ -153,6 +153,11 @@ SELECT tpep_pickup_datetime AS pickup_datetime, tpep_dropoff_datetime AS dropoff
 FROM trips
 WHERE tpep_pickup_datetime BETWEEN TIMESTAMP '{catalog.SAMPLE_FROM}' AND TIMESTAMP '{catalog.SAMPLE_TO}'
 ORDER BY {cols} LIMIT {catalog.SAMPLE_ROWS}""")
+    q["preview_trips"] = _with(f"""
+SELECT * FROM trips
+ORDER BY tpep_pickup_datetime, tpep_dropoff_datetime, pickup_zip, dropoff_zip,
+         trip_distance, fare_amount
+LIMIT {catalog.PREVIEW_ROWS}""")
     q["ingest_hourly"] = _with("""
 SELECT date_trunc('hour', datetime) AS datetime, temperature_2m, relative_humidity_2m,
        precipitation, rain, snowfall, wind_speed_10m, weather_code,
