@@ -105,3 +105,36 @@ def test_cluster_conf_sizes_partitions():
     assert int(conf["spark.sql.shuffle.partitions"]) == -(-100 * 10**12 // (256 << 20))
     assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
     assert int(cluster_conf(10, cores=8)["spark.sql.shuffle.partitions"]) == 8
+
+
+def test_checkpoint_folder_rules():
+    import pytest
+
+    from ridewx.session import checkpoint_dir
+
+    class Conf(dict):
+        def get(self, k, default=None):
+            return super().get(k, default)
+
+    class Ctx:
+        def __init__(self, master, folder=None):
+            self.master, self.folder = master, folder
+
+        def getCheckpointDir(self):
+            return self.folder
+
+        def setCheckpointDir(self, folder):
+            self.folder = folder
+
+    class Session:
+        def __init__(self, master, conf, folder=None):
+            self.sparkContext, self.conf = Ctx(master, folder), Conf(conf)
+
+    # configured shared folder is used as is
+    s = Session("yarn", {"spark.checkpoint.dir": "hdfs://nn/ckpt"})
+    assert checkpoint_dir(s) == "hdfs://nn/ckpt"
+    # a cluster without one is refused: no machine-local fallback
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(Session("k8s://api", {}))
+    # local mode gets a temporary folder
+    assert checkpoint_dir(Session("local[2]", {})).startswith("/")
