@@ -109,25 +109,22 @@ def enrich_hourly(trips: DataFrame, hours: DataFrame,
                   time_col: str = "tpep_pickup_datetime",
                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                   observe: bool = True) -> tuple[DataFrame, list[Checked]]:
-    """The silver layer: checked trips left-joined to their hour.
-
-    Trip-level expectations run before the join (the join cannot change
-    them, and the filters then reach the scan); the weather warnings are
-    counted on the joined rows. Returns the 18-column table and the
-    checks, whose counters fill after the first action.
+    """The silver layer: trips left-joined to their hour, with the layer's
+    expectations applied to the joined rows in one step (fail on a missing
+    pickup time, then one set of counters, then drop negative fares), so
+    every counter sees the same rows, as for any declared dataset.
+
+    ``observe=False`` keeps the fail and drop checks but no warn counters.
+    Returns the 18-column table and the checks, whose counters fill after
+    the first action.
     """
-    checked = check_trips(trips)
-    joined = join_hours(checked.df, hours, "left", time_col,
-                        max_broadcast_rows=max_broadcast_rows)
+    joined = join_hours(trips, hours, "left", time_col, max_broadcast_rows=max_broadcast_rows)
     out = joined.select(*trips.columns, *WEATHER_JOIN_COLUMNS, "pickup_date", "pickup_hour")
-    checks = [checked]
-    if observe:
-        warned = apply_expectations(out, SILVER_EXPECTATIONS, "taxi_weather_joined")
-        out = warned.df
-        checks.append(warned)
+    expectations = TRIP_EXPECTATIONS + (SILVER_EXPECTATIONS if observe else [])
+    checked = apply_expectations(out, expectations, "taxi_weather_joined")
     if trips.columns == TRIP_SCHEMA.names:
-        check_schema(out, SILVER_SCHEMA, what="taxi_weather_joined")
-    return out, checks
+        check_schema(checked.df, SILVER_SCHEMA, what="taxi_weather_joined")
+    return checked.df, [checked]
 
 
 def enrich_daily(trips: DataFrame, days: DataFrame, how: str = "inner",

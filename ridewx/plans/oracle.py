@@ -189,9 +189,13 @@ SELECT tpep_pickup_datetime, weather_category, is_raining, is_snowing,
          AS weather_condition
 FROM silver""")
     q["expect_warn_report"] = _with(
-        _report(BRONZE_EXPECTATIONS + WEATHER_ROW_CHECKS, "weather_hourly", "wx")
-        + "\nUNION ALL\n" + _report(TRIP_EXPECTATIONS + TRIP_ROW_CHECKS, "trips", "trips")
-        + "\nUNION ALL\n" + _report(SILVER_EXPECTATIONS, "taxi_weather_joined", "silver"))
+        ", joined AS (SELECT t.*, h.temperature_2m FROM trips t LEFT JOIN hours h"
+        " ON h.date = CAST(t.tpep_pickup_datetime AS DATE)"
+        " AND h.hour = hour(t.tpep_pickup_datetime))\n"
+        + _report(BRONZE_EXPECTATIONS + WEATHER_ROW_CHECKS, "weather_hourly", "wx")
+        + "\nUNION ALL\n" + _report(TRIP_ROW_CHECKS, "trips", "trips")
+        + "\nUNION ALL\n" + _report(TRIP_EXPECTATIONS + SILVER_EXPECTATIONS,
+                                      "taxi_weather_joined", "joined"))
     q["expect_drop"] = _with("SELECT * FROM checked")
     q["expect_fail_pass"] = _with("SELECT * FROM trips")
     q["match_rate"] = _with("""

@@ -91,4 +91,20 @@ def test_report_on_standin(spark):
     assert hours.count() == 175
     assert hours.filter("NOT coalesce(temperature_2m BETWEEN -50 AND 50, false)").count() == 28
     assert rows[("trips", "fare_non_negative")].violations == 73
-    assert rows[("taxi_weather_joined", "has_weather_data")].violations == 538
+    # silver checks see the joined rows before the drop (799 trips)
+    assert rows[("taxi_weather_joined", "valid_fare")].violations == 73
+    assert rows[("taxi_weather_joined", "has_weather_data")].violations == 600
+
+
+def test_silver_fail_check_sees_a_row_alone_in_its_file(spark, tmp_dir):
+    from ridewx.operators.enrich import enrich_hourly
+    from ridewx.plans.catalog import Inputs
+    from tests.conftest import SF_SMALL
+    good = spark.createDataFrame([_trip(dt.datetime(2024, 1, 1, 8), 10.0)], TRIP_SCHEMA)
+    bad = spark.createDataFrame([_trip(None, -3.0)], TRIP_SCHEMA)
+    good.coalesce(1).write.parquet(os.path.join(tmp_dir, "s"), mode="append")
+    bad.coalesce(1).write.parquet(os.path.join(tmp_dir, "s"), mode="append")
+    trips = spark.read.parquet(os.path.join(tmp_dir, "s"))
+    silver, _ = enrich_hourly(trips, Inputs.of(spark, SF_SMALL).hours())
+    with pytest.raises(PySparkException, match="valid_pickup_datetime"):
+        silver.collect()

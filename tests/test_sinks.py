@@ -43,7 +43,9 @@ def test_write_all_layers(spark, tmp_dir):
     assert sum(r.trip_count for r in layers["weather_impact_summary"].collect()) == 726
     m = layers.expectation_metrics()
     assert m["taxi_weather_joined"]["valid_fare"] == 73
-    assert m["taxi_weather_joined"]["has_weather_data"] == 538
+    # counted on the joined rows before the drop: 600 of 799 trips lack weather
+    assert m["taxi_weather_joined"]["rows"] == 799
+    assert m["taxi_weather_joined"]["has_weather_data"] == 600
     assert m["weather_hourly"]["reasonable_temperature"] == 35
 
 
