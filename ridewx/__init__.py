@@ -46,11 +46,13 @@ from ridewx.operators.stats import (
     fare_boxplot,
     profile_weather,
 )
+from ridewx.operators.sampling import first_rows_by_time
 from ridewx.sources.responses import (
     parse_response_text,
     plan_windows,
     read_responses,
     union_chunks,
+    with_category,
 )
 
 __version__ = "0.1.0"
@@ -60,6 +62,7 @@ __all__ = [
     "classify_code_coarse", "condition_compare", "condition_recode", "daily_weather",
     "distance_by_degree", "distance_trend", "enrich_daily", "enrich_hourly", "expect",
     "expect_or_drop", "expect_or_fail", "explore_summary", "fare_boxplot",
+    "first_rows_by_time", "with_category",
     "hourly_weather_metrics", "join_hours", "match_rate", "parse_response_text",
     "plan_windows", "profile_weather", "quality_report", "rainy_day_ridership",
     "read_responses", "temperature_band", "temperature_band_analysis",
