@@ -14,6 +14,8 @@ stopped.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -113,6 +115,11 @@ def run_available(df: DataFrame, label: str, output_mode: str = "append",
 
 
 def stream_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stand-in trips as a stream over the events file."""
-    events = read_file_stream(spark, sf_dir, "events.parquet")
+    """The stand-in trips as a stream over the events table: its folder of
+    part files, or the single ``events.parquet`` file in ``sf_dir``."""
+    table = standin.source_path(sf_dir, "events")
+    if "://" in table or os.path.isdir(table):
+        events = read_file_stream(spark, table, "*.parquet")
+    else:
+        events = read_file_stream(spark, sf_dir, "events.parquet")
     return standin.trips(events)
