@@ -77,3 +77,27 @@ def test_results_do_not_depend_on_session_zone(spark, con, name):
     idx = [rel.columns.index(c) for c in cols]
     drows = [tuple(_norm(r[i]) for i in idx) for r in rel.fetchall()]
     assert sorted(srows, key=_key) == sorted(drows, key=_key)
+
+
+MULTI_TASK = ["weather_impact_summary", "unique_hours", "fare_boxplot", "sample_trips",
+              "expect_warn_report", "ingest_hourly", "stream_hourly_metrics"]
+
+
+@pytest.fixture(scope="module")
+def split_dir(spark):
+    import tempfile
+    root = tempfile.mkdtemp(prefix="ridewx-split-")
+    (spark.read.parquet(os.path.join(SF_SMALL, "events.parquet")).repartition(4)
+     .write.parquet(os.path.join(root, "events.parquet")))
+    return root
+
+
+@pytest.mark.parametrize("name", MULTI_TASK)
+def test_query_on_many_files_matches_oracle(spark, con, split_dir, name):
+    df = entry_mod.queries()[name](spark, split_dir)
+    assert len(df.inputFiles()) >= 1
+    srows = [tuple(_norm(x) for x in r) for r in df.collect()]
+    rel = con.sql(entry_mod.oracle_sql()[name])
+    idx = [rel.columns.index(c) for c in df.columns]
+    drows = [tuple(_norm(r[i]) for i in idx) for r in rel.fetchall()]
+    assert sorted(srows, key=_key) == sorted(drows, key=_key)
