@@ -3,12 +3,13 @@
 ``orderBy(...).limit(k)`` ships ``k`` rows from every input partition to a
 single task. On a large table most of them are discarded, so a cutoff
 time is found first: per-day counts (one small aggregate, a row per day)
-give the day by which ``k`` rows have accumulated; if that day is itself
-hot (more than ``fine_rows`` rows), per-minute counts within it (pruned to
-that day) narrow the cutoff to a minute. The filter up to the cutoff is a
-plain time predicate that reaches the scan (partition pruning on a
-date-partitioned table, row-group skipping on a time-sorted one), and the
-top-k runs on that remainder only. The result is the same as the direct
+give the day by which ``k`` rows have accumulated; while that bucket is
+itself hot (more than ``fine_rows`` rows), counts per minute and then per
+second within it (pruned to that bucket) narrow the cutoff. Only rows
+sharing one timestamp are left to the top-k's tie-break. The filter up to
+the cutoff is a plain time predicate that reaches the scan (partition
+pruning on a date-partitioned table, row-group skipping on a time-sorted
+one), and the top-k runs on that remainder only. The result is the same as the direct
 form: NULL times sort first, so they are counted before every day and
 always kept.
 """
@@ -22,16 +23,19 @@ from pyspark.sql import functions as F
 
 from ridewx.functions.timecols import ntz_literal
 
-_STEP = {"day": dt.timedelta(days=1), "minute": dt.timedelta(minutes=1)}
+# Cutoff granularities, coarse to fine.
+_STEP = {"day": dt.timedelta(days=1), "minute": dt.timedelta(minutes=1),
+         "second": dt.timedelta(seconds=1)}
 
 
 def _bucket(t: Column, unit: str) -> Column:
-    # Zone-free truncation of a TIMESTAMP_NTZ to the start of its day/minute.
+    # Zone-free truncation of a TIMESTAMP_NTZ to the start of its unit.
+    zero = F.lit(0)
     if unit == "day":
-        return F.make_timestamp_ntz(F.year(t), F.month(t), F.dayofmonth(t),
-                                    F.lit(0), F.lit(0), F.lit(0))
+        return F.make_timestamp_ntz(F.year(t), F.month(t), F.dayofmonth(t), zero, zero, zero)
+    secs = F.second(t) if unit == "second" else zero
     return F.make_timestamp_ntz(F.year(t), F.month(t), F.dayofmonth(t), F.hour(t),
-                                F.minute(t), F.lit(0))
+                                F.minute(t), secs)
 
 
 def _last_needed_bucket(df: DataFrame, t: Column, unit: str, k: int):
@@ -53,15 +57,19 @@ def first_rows_by_time(df: DataFrame, time_col: str, k: int,
     order = order or [time_col]
     t = F.col(time_col)
     fine_rows = fine_rows if fine_rows is not None else 64 * k
-    day = _last_needed_bucket(df, t, "day", k)
-    if day is None:  # no dated rows, or the NULL-time rows alone fill the sample
+    first = _last_needed_bucket(df, t, "day", k)
+    if first is None:  # no dated rows, or the NULL-time rows alone fill the sample
         return df.orderBy(*order).limit(k)
-    start, earlier, rows = day
+    start, earlier, rows = first
     end = start + _STEP["day"]
-    if rows > fine_rows:  # a hot day: narrow the cutoff to a minute within it
-        in_day = df.filter((t >= ntz_literal(start)) & (t < ntz_literal(end)))
-        minute = _last_needed_bucket(in_day, t, "minute", k - earlier)
-        if minute is not None:
-            end = minute[0] + _STEP["minute"]
+    for unit in ("minute", "second"):  # a hot bucket: narrow within it
+        if rows <= fine_rows:
+            break
+        inside = df.filter((t >= ntz_literal(start)) & (t < ntz_literal(end)))
+        finer = _last_needed_bucket(inside, t, unit, k - earlier)
+        if finer is None:
+            break
+        start, earlier, rows = finer[0], earlier + finer[1], finer[2]
+        end = start + _STEP[unit]
     kept = df.filter((t < ntz_literal(end)) | t.isNull())
     return kept.orderBy(*order).limit(k)

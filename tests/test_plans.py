@@ -125,3 +125,17 @@ def test_first_rows_by_time_narrows_a_hot_day(spark):
     plan = _initial_plan(first_rows_by_time(df, "t", 50, ["t", "v"], fine_rows=100))
     # cutoff after the first 50 rows (50 * 13 s ≈ 11 minutes): a minute bound
     assert "2024-01-01 00:11:00" in plan or "2024-01-01 00:10:00" in plan
+
+
+def test_first_rows_by_time_narrows_a_hot_minute(spark):
+    from ridewx.operators.sampling import first_rows_by_time
+    base = dt.datetime(2024, 1, 1, 5, 0)
+    rows = [(base + dt.timedelta(microseconds=7919 * i), i) for i in range(4000)]  # ~32 s
+    rows += [(base + dt.timedelta(hours=3 + i), 10_000 + i) for i in range(5)]
+    df = spark.createDataFrame(rows, "t timestamp_ntz, v int")
+    for k in (1, 40, 333, 4000, 4004):
+        got = first_rows_by_time(df, "t", k, ["t", "v"], fine_rows=50)
+        want = df.orderBy("t", "v").limit(k)
+        assert [tuple(r) for r in got.collect()] == [tuple(r) for r in want.collect()], k
+    plan = _initial_plan(first_rows_by_time(df, "t", 40, ["t", "v"], fine_rows=50))
+    assert "2024-01-01 05:00:01" in plan  # the cutoff is a second, not a minute
