@@ -101,3 +101,17 @@ def test_query_on_many_files_matches_oracle(spark, con, split_dir, name):
     idx = [rel.columns.index(c) for c in df.columns]
     drows = [tuple(_norm(r[i]) for i in idx) for r in rel.fetchall()]
     assert sorted(srows, key=_key) == sorted(drows, key=_key)
+
+
+def test_oracles_run_with_every_driver_view_registered():
+    tables = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+              "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
+    c = duckdb.connect()
+    for t in tables:
+        path = os.path.join(SF_SMALL, f"{t}.parquet")
+        if os.path.exists(path):
+            c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{path}')")
+    for name, sql in entry_mod.oracle_sql().items():
+        rel = c.sql(sql)
+        assert rel.columns, name
+        rel.fetchall()
