@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ridewx.functions.classify import PIPELINE_NULL_LABEL, classify_code
 from ridewx.functions.exact import avg_exact, max_exact, min_exact, scaled
@@ -53,25 +54,76 @@ def bronze_weather(raw: DataFrame) -> Checked:
     return apply_expectations(type_observations(raw), BRONZE_EXPECTATIONS, "weather_hourly")
 
 
-def unique_hours(weather: DataFrame, date_col: str = "date", hour_col: str = "hour",
-                 time_col: str = "datetime") -> DataFrame:
-    """One observation per (date, hour): the earliest, ties broken by the
-    remaining columns, so the choice is deterministic.
-
-    An aggregate (``min`` of a struct led by the time) rather than a window:
-    it combines map-side, so an hour holding a third of all rows costs one
-    partial row per task, and it tells the optimizer the keys are unique.
-    A struct buffer is not fixed-width, so Spark plans it as a sort-based
-    aggregate (partial and final, both spillable); per-column ``min_by``
-    would hash-aggregate but could mix columns of different rows on a tie.
+# Types with a fixed-width aggregation buffer (hash-aggregatable).
+_FIXED_WIDTH = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType,
+                T.FloatType, T.DoubleType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def _dec(value: int):
+    # Decimal literal from text: Python ints above 64 bits do not cross py4j.
+    return F.lit(str(value)).cast("decimal(38,0)")
+
+
+def _row_key(df: DataFrame, time_col: str, others: list[str]):
+    """A decimal key unique per row that orders rows by time: microseconds
+    since the epoch (wall clock for TIMESTAMP_NTZ), then a 64-bit hash of
+    the other columns for rows sharing a timestamp."""
+    t = F.col(time_col)
+    if isinstance(df.schema[time_col].dataType, T.TimestampNTZType):
+        micros = (F.unix_date(F.to_date(t)).cast("decimal(38,0)") * 86_400_000_000
+                  + F.hour(t).cast("bigint") * 3_600_000_000
+                  + F.minute(t).cast("bigint") * 60_000_000
+                  + (F.date_part(F.lit("SECOND"), t) * 1_000_000).cast("bigint"))
+    else:
+        micros = F.unix_micros(t.cast("timestamp")).cast("decimal(38,0)")
+    tie = F.xxhash64(*[F.col(c) for c in others]).cast("decimal(38,0)") + _dec(2 ** 63)
+    return micros * _dec(2 ** 64) + tie
+
+
+def earliest_per_group(df: DataFrame, keys: list[str | Column], time_col: str = "datetime",
+                       ) -> DataFrame:
+    """One row per group: the earliest by ``time_col``, ties broken by the
+    remaining columns, so the choice is deterministic. Output columns are
+    the keys (as named) followed by the other columns of ``df``.
+
+    An aggregate rather than a window: it combines map-side, so a group
+    holding a third of all rows costs one partial row per task, and it
+    tells the optimizer the keys are unique. When every column has a
+    fixed-width type, each column is picked with ``min_by`` against one
+    unique row key (time, then a row hash), which Spark hash-aggregates;
+    otherwise ``min`` of a struct led by the time, which Spark plans as a
+    sort-based aggregate (partial and final, spillable).
     """
-    rest = [c for c in weather.columns if c not in (date_col, hour_col, time_col)]
+    key_cols = [F.col(k) if isinstance(k, str) else k for k in keys]
+    key_names = [k if isinstance(k, str) else None for k in keys]
+    rest = [c for c in df.columns if c != time_col and c not in key_names]
     order = [time_col] + rest
+    if all(isinstance(df.schema[c].dataType, _FIXED_WIDTH) for c in order):
+        keyed = df.withColumn("_row_key", _row_key(df, time_col, rest))
+        return (keyed.groupBy(*key_cols)
+                .agg(*[F.min_by(c, "_row_key").alias(c) for c in order]))
     first = F.min(F.struct(*[F.col(c) for c in order])).alias("_first")
-    keys = (date_col, hour_col)
-    return (weather.groupBy(*keys).agg(first)
-            .select(*[F.col(c) if c in keys else F.col(f"_first.{c}").alias(c)
-                      for c in weather.columns]))
+    grouped = df.groupBy(*key_cols).agg(first)
+    group_names = [c for c in grouped.columns if c != "_first"]
+    return grouped.select(*group_names, *[F.col(f"_first.{c}").alias(c) for c in order])
+
+
+def unique_hours(weather: DataFrame, date_col: str = "date", hour_col: str = "hour",
+                 time_col: str = "datetime") -> DataFrame:
+    """One observation per (date, hour): the earliest, ties broken by the
+    remaining columns (see ``earliest_per_group``). Columns keep their
+    order."""
+    out = earliest_per_group(weather, [date_col, hour_col], time_col)
+    return out.select(*weather.columns)
+
+
+def unique_raw_hours(raw: DataFrame, time_col: str = "datetime") -> DataFrame:
+    """``unique_hours`` for staged rows (no date/hour columns yet): their
+    columns are all fixed-width, so the guard hash-aggregates. Type the
+    result with ``type_observations``."""
+    t = F.col(time_col)
+    out = earliest_per_group(raw, [F.to_date(t).alias("_d"), F.hour(t).alias("_h")], time_col)
+    return out.select(*raw.columns)
 
 
 def daily_weather(weather: DataFrame) -> DataFrame:

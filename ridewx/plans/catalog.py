@@ -28,7 +28,7 @@ from ridewx.operators.observations import (
     bronze_weather,
     daily_weather,
     type_observations,
-    unique_hours,
+    unique_raw_hours,
 )
 from ridewx.operators.quality import (
     BRONZE_EXPECTATIONS,
@@ -93,8 +93,11 @@ class Inputs:
         return self._weather
 
     def hours(self) -> DataFrame:
+        """One typed observation per hour. The guard runs on the staged
+        rows, whose columns are fixed-width, so it hash-aggregates; typing
+        after it gives the same rows as typing first."""
         if self._hours is None:
-            self._hours = unique_hours(self.weather())
+            self._hours = type_observations(unique_raw_hours(self.weather_raw))
         return self._hours
 
     def silver(self) -> DataFrame:

@@ -92,10 +92,10 @@ def pack_daily_responses(rows: DataFrame, latitude: float = 0.0,
     bounded by construction. Times are the start of each hour, as a
     response reports them.
     """
-    slot = hour_start("datetime")
-    first = F.min(F.struct(F.col("datetime"), *[F.col(v) for v in HOURLY_VARIABLES]))
-    per_hour = (rows.groupBy(slot.alias("slot")).agg(first.alias("r"))
-                .select("slot", *[F.col(f"r.{v}").alias(v) for v in HOURLY_VARIABLES]))
+    from ridewx.operators.observations import earliest_per_group
+
+    staged = rows.select("datetime", *HOURLY_VARIABLES)
+    per_hour = earliest_per_group(staged, [hour_start("datetime").alias("slot")], "datetime")
     item = F.struct(format_local_minute("slot").alias("time"),
                     *[F.col(v) for v in HOURLY_VARIABLES])
     grouped = (per_hour.groupBy(F.to_date("slot").alias("day"))

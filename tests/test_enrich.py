@@ -64,3 +64,26 @@ def test_daily_weather_one_row_per_day(spark):
     from ridewx.plans.catalog import Inputs
     days = daily_weather(Inputs(spark, SF_SMALL).weather())
     assert days.count() == days.select("weather_date").distinct().count()
+
+
+def test_earliest_per_group_paths_agree_and_ties_keep_whole_rows(spark):
+    from pyspark.sql import functions as F
+
+    from ridewx.operators.observations import earliest_per_group
+    t0 = dt.datetime(2024, 1, 1, 9, 15)
+    rows = [(t0, 1.0, 7), (t0, 2.0, 8), (t0 + dt.timedelta(minutes=1), 0.5, 9),
+            (t0 + dt.timedelta(hours=1), 3.0, 1), (t0 + dt.timedelta(hours=1, seconds=1), 4.0, 2)]
+    df = spark.createDataFrame(rows, "t timestamp_ntz, x double, c int")
+    keys = [F.hour("t").alias("h")]
+    picks = []
+    for ordered in (rows, list(reversed(rows))):
+        d = spark.createDataFrame(ordered, "t timestamp_ntz, x double, c int").repartition(3)
+        picks.append(sorted(tuple(r) for r in earliest_per_group(d, keys, "t").collect()))
+    assert picks[0] == picks[1]  # the tie at 09:15 resolves the same way
+    chosen = {r[0]: r for r in picks[0]}
+    assert (chosen[9][2], chosen[9][3]) in {(1.0, 7), (2.0, 8)}  # a whole row, never mixed
+    assert chosen[10][2:] == (3.0, 1)
+    # the struct path (a string column) agrees where there is no tie
+    s = df.withColumn("s", F.col("c").cast("string")).filter("x != 2.0")
+    got = {r.h: (r.x, r.s) for r in earliest_per_group(s, keys, "t").collect()}
+    assert got == {9: (1.0, "7"), 10: (3.0, "1")}

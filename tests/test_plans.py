@@ -45,10 +45,10 @@ def test_expectation_barrier_sits_between_fail_and_drop(spark):
 
 def test_unique_hours_aggregates_map_side(spark):
     plan = _initial_plan(QUERIES["unique_hours"](spark, SF_SMALL))
-    # min(struct) needs a variable-width buffer, so Spark plans a sort-based
-    # aggregate; it is still partial (map side) + final, never a window.
-    assert "Window" not in plan
-    assert plan.count("SortAggregate (") + plan.count("HashAggregate (") >= 2
+    # staged rows are fixed-width: min_by on one row key hash-aggregates,
+    # partial (map side) + final, never a window or a sort
+    assert "Window" not in plan and "SortAggregate" not in plan
+    assert plan.count("HashAggregate (") >= 2
 
 
 def test_silver_join_is_broadcast(spark):
