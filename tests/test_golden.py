@@ -75,3 +75,35 @@ def test_counts_add_up_across_gold(silver):
     for g in (metrics.weather_impact_summary(df), metrics.hourly_weather_metrics(df),
               metrics.temperature_band_analysis(df)):
         assert sum(r.trip_count for r in g.collect()) == n
+
+
+def test_condition_compare(silver):
+    r = metrics.condition_compare(silver[0]).first()
+    # Clear: 11.00, 16.25, 9.50 -> 12.25; Rain: 22.00, 12.75 -> 17.375
+    assert (r.base_trips, r.other_trips) == (3, 2)
+    assert (r.base_avg_fare, r.other_avg_fare) == (12.25, 17.38)
+    assert r.fare_difference == 5.13       # 5.125, HALF_UP
+    assert r.pct_change == 41.8            # (17.375 / 12.25 - 1) * 100 = 41.84...
+
+
+def test_fare_boxplot(silver):
+    from ridewx.operators.stats import fare_boxplot
+    rows = {r.weather_condition: r for r in fare_boxplot(silver[0]).collect()}
+    assert set(rows) == {"Clear", "Rain", "Snow", "Partly Cloudy"}
+    clear = rows["Clear"]  # fares 950, 1100, 1625 cents
+    assert (clear.trips, clear.q1_cents, clear.median_cents, clear.q3_cents) == (3, 1025.0, 1100.0, 1362.5)
+    assert (clear.lower_fence_cents, clear.upper_fence_cents) == (518.75, 1868.75)
+    assert (clear.lower_whisker, clear.upper_whisker, clear.outliers) == (9.5, 16.25, 0)
+
+
+def test_rainy_day_ridership(silver):
+    got = {r.rainy_day: (r.days, r.total_trips, r.avg_trips_per_day)
+           for r in metrics.rainy_day_ridership(silver[0]).collect()}
+    assert got == {True: (1, 4, 4.0), False: (2, 4, 2.0)}
+
+
+def test_explore_summary_coarse_categories(silver):
+    got = {r.weather_category: (r.trip_count, r.avg_fare) for r in
+           metrics.explore_summary(silver[0]).collect()}
+    assert got == {"Clear": (3, 12.25), "Rain": (2, 17.38), "Snow": (2, 27.13),
+                   "Partly Cloudy": (1, 15.5)}
