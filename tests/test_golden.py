@@ -107,3 +107,31 @@ def test_explore_summary_coarse_categories(silver):
            metrics.explore_summary(silver[0]).collect()}
     assert got == {"Clear": (3, 12.25), "Rain": (2, 17.38), "Snow": (2, 27.13),
                    "Partly Cloudy": (1, 15.5)}
+
+
+def test_distance_trend_and_bins(silver):
+    import numpy as np
+
+    from ridewx.operators.stats import distance_by_degree, distance_trend
+    temps = np.array([2.5, 3.1, 3.1, 3.5, -5.2, -5.2, 32.8, 32.8], dtype=np.float32).astype(float)
+    dist = np.array([2.5, 3.2, 1.8, 1.5, 4.1, 3.8, 2.2, 1.1])
+    slope, intercept = np.polyfit(temps, dist, 1)
+    r2 = np.corrcoef(temps, dist)[0, 1] ** 2
+    t = distance_trend(silver[0]).first()
+    assert t.pairs == 8
+    assert abs(t.slope - slope) < 1e-9 and abs(t.intercept - intercept) < 1e-9
+    assert abs(t.r2 - r2) < 1e-9
+    bins = {r.temperature_degree: (r.trip_count, r.avg_distance)
+            for r in distance_by_degree(silver[0]).collect()}
+    assert bins == {2: (1, 2.5), 3: (3, 2.17), -6: (2, 3.95), 32: (2, 1.65)}
+
+
+def test_profile_and_category_counts(fixture_weather_raw):
+    from ridewx.operators.observations import type_observations
+    from ridewx.operators.stats import profile_weather
+    w = type_observations(fixture_weather_raw)
+    p = profile_weather(w).first()
+    assert (p.records, str(p.first_date), str(p.last_date)) == (5, "2023-01-15", "2023-07-04")
+    assert (p.min_temperature, p.max_temperature) == (-5.2, 32.8)
+    counts = {r.weather_category: r.observations for r in metrics.category_counts(w).collect()}
+    assert counts == {"Clear": 2, "Partly Cloudy": 1, "Rain": 1, "Snow": 1}
