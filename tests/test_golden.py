@@ -135,3 +135,29 @@ def test_profile_and_category_counts(fixture_weather_raw):
     assert (p.min_temperature, p.max_temperature) == (-5.2, 32.8)
     counts = {r.weather_category: r.observations for r in metrics.category_counts(w).collect()}
     assert counts == {"Clear": 2, "Partly Cloudy": 1, "Rain": 1, "Snow": 1}
+
+
+def test_stream_windows_on_fixture(spark, fixture_trips, fixture_weather_raw, tmp_dir):
+    import os
+
+    from ridewx.streaming.enrich_stream import (
+        check_trip_stream,
+        enrich_stream,
+        hourly_stream_metrics,
+        read_file_stream,
+        run_available,
+    )
+    folder = os.path.join(tmp_dir, "trips")
+    fixture_trips.coalesce(1).write.parquet(folder)
+    hours = unique_hours(bronze_weather(fixture_weather_raw).df)
+    stream = check_trip_stream(read_file_stream(spark, folder))
+    out, _ = run_available(hourly_stream_metrics(enrich_stream(stream, hours)), "fixture_x2")
+    got = sorted((str(r.window_start), r.weather_category, r.trip_count, r.avg_fare)
+                 for r in spark.read.parquet(out).collect())
+    # latest pickup 2023-07-04 12:30, watermark 11:30: the July window stays open
+    assert got == [
+        ("2023-01-15 08:00:00", "Partly Cloudy", 1, 15.5),
+        ("2023-01-15 09:00:00", "Rain", 2, 17.38),
+        ("2023-01-15 10:00:00", "Clear", 1, 11.0),
+        ("2023-02-20 14:00:00", "Snow", 2, 27.13),
+    ]
