@@ -161,3 +161,18 @@ def test_stream_windows_on_fixture(spark, fixture_trips, fixture_weather_raw, tm
         ("2023-01-15 10:00:00", "Clear", 1, 11.0),
         ("2023-02-20 14:00:00", "Snow", 2, 27.13),
     ]
+
+
+def test_enrich_daily_on_fixture(fixture_trips, fixture_weather_raw):
+    from ridewx.operators.enrich import enrich_daily
+    from ridewx.operators.observations import daily_weather, type_observations
+    days = daily_weather(type_observations(fixture_weather_raw))
+    rows = enrich_daily(fixture_trips, days).collect()
+    assert len(rows) == 8
+    jan = {(r.observations, r.day_avg_temperature, r.day_min_temperature, r.day_max_temperature,
+            r.day_precipitation, r.day_had_rain, r.day_had_snow)
+           for r in rows if str(r.pickup_date) == "2023-01-15"}
+    assert jan == {(3, 3.0, 2.5, 3.5, 0.2, True, False)}
+    feb = {(r.day_avg_temperature, r.day_precipitation, r.day_had_snow)
+           for r in rows if str(r.pickup_date) == "2023-02-20"}
+    assert feb == {(-5.2, 1.5, True)}
