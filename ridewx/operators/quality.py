@@ -124,6 +124,27 @@ def match_rate(enriched: DataFrame, probe_col: str = "temperature_2m",
     )
 
 
+class MatchRateWarning(UserWarning):
+    pass
+
+
+def check_match_rate(enriched: DataFrame, threshold: float = 0.9, fail: bool = False,
+                     probe_col: str = "temperature_2m"):
+    """Run the match-rate aggregate (one row) and warn, or raise with
+    ``fail=True``, when fewer than ``threshold`` of the rows found an
+    observation. Returns the row."""
+    import warnings
+
+    row = match_rate(enriched, probe_col, threshold).first()
+    if row.total_trips and not row.meets_threshold:
+        msg = (f"only {row.matched_trips} of {row.total_trips} rows "
+               f"({row.match_rate:.1%}) found an observation; expected {threshold:.0%}")
+        if fail:
+            raise ExpectationFailed(msg)
+        warnings.warn(msg, MatchRateWarning, stacklevel=2)
+    return row
+
+
 # ---------------------------------------------------------------------------
 # The reference's declared expectations, by layer.
 BRONZE_EXPECTATIONS = [
