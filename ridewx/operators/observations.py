@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from ridewx.functions.classify import PIPELINE_NULL_LABEL, classify_code
 from ridewx.functions.exact import avg_exact, max_exact, min_exact, scaled
 from ridewx.operators.quality import BRONZE_EXPECTATIONS, Checked, apply_expectations
-from ridewx.schemas import MEASURES, WEATHER_HOURLY_SCHEMA, check_schema
+from ridewx.schemas import HOURLY_VARIABLES, MEASURES, WEATHER_HOURLY_SCHEMA, check_schema
 
 
 # The exploration's unit names for the measures.
@@ -126,6 +126,15 @@ def unique_raw_hours(raw: DataFrame, time_col: str = "datetime") -> DataFrame:
     return out.select(*raw.columns)
 
 
+def hours_of(observations: DataFrame) -> DataFrame:
+    """The typed hour table (one observation per date and hour) from staged
+    or typed observations. The guard runs on the base columns, which are
+    fixed-width, so it hash-aggregates; typing afterwards re-derives date,
+    hour, flags and category from them."""
+    base = observations.select("datetime", *HOURLY_VARIABLES)
+    return type_observations(unique_raw_hours(base))
+
+
 def daily_weather(weather: DataFrame) -> DataFrame:
     """Observations rolled up to one row per date (for day-grain joins).
 

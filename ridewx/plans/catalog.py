@@ -27,8 +27,8 @@ from ridewx.operators.enrich import check_trips, enrich_daily, enrich_hourly, jo
 from ridewx.operators.observations import (
     bronze_weather,
     daily_weather,
+    hours_of,
     type_observations,
-    unique_raw_hours,
 )
 from ridewx.operators.quality import (
     BRONZE_EXPECTATIONS,
@@ -97,7 +97,7 @@ class Inputs:
         rows, whose columns are fixed-width, so it hash-aggregates; typing
         after it gives the same rows as typing first."""
         if self._hours is None:
-            self._hours = type_observations(unique_raw_hours(self.weather_raw))
+            self._hours = hours_of(self.weather_raw)
         return self._hours
 
     def silver(self) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ridewx.operators import metrics
 from ridewx.operators.enrich import enrich_hourly
-from ridewx.operators.observations import bronze_weather, unique_hours
+from ridewx.operators.observations import bronze_weather, hours_of
 
 # Table names of the sources and of each declared layer.
 STAGED_OBSERVATIONS = "weather_raw"
@@ -36,7 +36,7 @@ def bronze() -> DataFrame:
 def _silver(trips_table: str):
     def silver() -> DataFrame:
         spark = _spark()
-        return enrich_hourly(spark.table(trips_table), unique_hours(spark.table(BRONZE)))[0]
+        return enrich_hourly(spark.table(trips_table), hours_of(spark.table(BRONZE)))[0]
     return silver
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 
 from ridewx.operators import metrics
 from ridewx.operators.enrich import enrich_hourly
-from ridewx.operators.observations import bronze_weather, unique_hours
+from ridewx.operators.observations import bronze_weather, hours_of
 from ridewx.operators.quality import Checked
 from ridewx.sources.sinks import write_clustered, write_table
 
@@ -49,7 +49,7 @@ def _bronze(layers: Layers, weather_raw: DataFrame) -> DataFrame:
 
 
 def _silver(layers: Layers, trips: DataFrame, weather_hourly: DataFrame) -> DataFrame:
-    silver, checks = enrich_hourly(trips, unique_hours(weather_hourly))
+    silver, checks = enrich_hourly(trips, hours_of(weather_hourly))
     layers.checks["taxi_weather_joined"] = checks
     return silver
 
