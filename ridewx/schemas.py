@@ -29,6 +29,9 @@ RESPONSE_SCHEMA = T.StructType([
     )),
 ])
 
+# Fixed values below: the column names and order of each layer (the
+# reference's table schemas), so existing queries keep working.
+
 # Staged observations (the load step's output, before typing).
 WEATHER_RAW_SCHEMA = T.StructType(
     [T.StructField("datetime", T.TimestampNTZType())]
