@@ -21,3 +21,14 @@ def test_bench_prints_one_json_line():
     assert d["unit"] == "sec" and d["sf"] == 0.001
     assert set(d["queries"]) == {"weather_impact_summary", "scan_events"}
     assert d["value"] == round(sum(d["queries"].values()), 3)
+
+
+def test_entry_module_loads_from_any_directory(tmp_path):
+    code = ("import importlib.util as u; "
+            f"s = u.spec_from_file_location('e', {os.path.join(ROOT, '__spark_entry__.py')!r}); "
+            "m = u.module_from_spec(s); s.loader.exec_module(m); "
+            "print(len(m.queries()), sorted(m.queries()) == sorted(m.oracle_sql()))")
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True,
+                         text=True, timeout=300, check=True)
+    count, same = out.stdout.split()
+    assert int(count) >= 33 and same == "True"
