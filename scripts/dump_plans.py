@@ -67,6 +67,19 @@ def main(argv) -> None:
         df = fn(spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()
         out += [f"## {name}", "", "```", summarize(formatted(df)), "```", ""]
+    # The streaming queries themselves (the rows above show their sinks).
+    from ridewx.plans.catalog import Inputs
+    from ridewx.streaming.enrich_stream import (
+        check_trip_stream,
+        enrich_stream,
+        hourly_stream_metrics,
+        stream_trips,
+    )
+    i = Inputs.of(spark, sf_dir)
+    enriched = enrich_stream(check_trip_stream(stream_trips(spark, sf_dir)), i.hours())
+    for name, df in (("stream_enrich (streaming plan)", enriched),
+                     ("stream_hourly_metrics (streaming plan)", hourly_stream_metrics(enriched))):
+        out += [f"## {name}", "", "```", summarize(formatted(df)), "```", ""]
     path = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md")
     with open(path, "w") as f:
         f.write("\n".join(out))
