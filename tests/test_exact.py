@@ -46,3 +46,22 @@ def test_mean_matches_decimal_half_up(spark, cents):
 def test_round_scaled_matches_decimal(spark, v):
     got = spark.range(1).select(round_scaled(F.lit(v), 2, 1)).first()[0]
     assert got == half_up(Decimal(v) / 100, 1)
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.integers(min_value=-10**7, max_value=10**7), min_size=1, max_size=25),
+       st.sampled_from([(2, 2), (2, 1), (1, 2), (0, 2)]))
+def test_spark_and_oracle_rounding_agree(spark, values, places):
+    import duckdb
+
+    from ridewx.functions.exact import mean_half_up, round_scaled
+    from ridewx.plans import oracle
+    in_p, out_p = places
+    df = spark.createDataFrame([(v,) for v in values], "v bigint")
+    got = df.agg(mean_half_up(F.sum("v"), F.count("v"), in_p, out_p).alias("m"),
+                 round_scaled(F.min("v"), 2, 1).alias("r")).first()
+    rows = ", ".join(f"({v})" for v in values)
+    sql = (f"SELECT {oracle.mean('sum(v)', 'count(v)', in_p, out_p)} AS m, "
+           f"{oracle.rnd('min(v)', 2, 1)} AS r FROM (VALUES {rows}) t(v)")
+    want = duckdb.sql(sql).fetchall()[0]
+    assert (got.m, got.r) == want
