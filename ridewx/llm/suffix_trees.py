@@ -39,6 +39,8 @@ SYMBOLS = DEPTH // SYMBOL
 REACH = DEPTH - SYMBOL + 1
 #: Suffixes of one group, and the share of documents sampled for prefixes.
 GROUP_ROWS, SAMPLE = 400_000, 64
+#: Windows in one list of a group's answer.
+PACKED = 1 << 16
 U = np.uint64
 _NO_ID = (1 << 63) - 1
 
@@ -213,7 +215,7 @@ def _suffix_batch(bins, known, s0, s12, s3pos, row, ids):
 
 def _subtree(table: pa.Table) -> pa.Table:
     """One group: the windows that aren't their node's earliest leaf, as
-    (row, start << 32 | number of windows)."""
+    lists of rows and of start << 32 | number of windows."""
     known, s0, s12, s3pos, row, ids = (table.column(c).to_numpy() for c in
                                        ("known", "s0", "s12", "s3pos", "row", "doc_id"))
     runs_row = row[known]
@@ -234,11 +236,9 @@ def _subtree(table: pa.Table) -> pa.Table:
     later = order[lcp == SYMBOLS]
     out_row = np.concatenate([runs_row, row[later]])
     out = np.concatenate([runs, (pos[later] << 32) | 1])
-    by = np.argsort(out_row, kind="stable")
-    out_row, out = out_row[by], out[by]
-    edges = np.flatnonzero(np.diff(out_row, prepend=-1, append=-1)) if len(out_row) else np.zeros(1, np.int64)
-    return pa.table({"row": pa.array(out_row[edges[:-1]]),
-                     "runs": pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(out))})
+    edges = np.append(np.arange(0, len(out), PACKED), len(out)).astype(np.int32)
+    return pa.table({"rows": pa.ListArray.from_arrays(pa.array(edges), pa.array(out_row)),
+                     "runs": pa.ListArray.from_arrays(pa.array(edges), pa.array(out))})
 
 
 def _keep(batches):
@@ -290,8 +290,9 @@ def remove_repeats(docs: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
     heavy = heavy_prefixes(texts, group_rows)
     runs = (texts.join(wanted, "row").select("row", "doc_id", "text", "positions")
             .mapInArrow(_suffix_rows(heavy, bins), _SUFFIX)
-            .groupBy("bin").applyInArrow(_subtree, "row long, runs array<long>")
-            .groupBy("row").agg(F.flatten(F.collect_list("runs")).alias("runs")))
+            .groupBy("bin").applyInArrow(_subtree, "rows array<long>, runs array<long>")
+            .select(F.inline(F.arrays_zip("rows", "runs")))
+            .groupBy(F.col("rows").alias("row")).agg(F.collect_list("runs").alias("runs")))
     none = F.array().cast("array<long>")
     return (texts.join(runs, "row", "left")
             .select("row", "doc_id", "text", F.coalesce("runs", none).alias("runs"))
