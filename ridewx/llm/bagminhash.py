@@ -17,9 +17,11 @@ share a band are candidates (a pair at 0.8 is missed with probability
 * equal word sequences are first reduced to one representative;
 * in every band bucket each member is checked against the member with the
   smallest id (a star, not all pairs), and components are found;
-* buckets that still hold several components are compared between
-  components, in blocks, by their signatures; pairs with an estimated
-  similarity within ``SLACK`` of the threshold are checked exactly.
+* buckets that still hold several components are cut into blocks; inside a
+  block, then between its blocks, texts of different components are
+  compared exactly over an inverted index of their shingles. Texts of the
+  largest component are not compared with each other, and only links that
+  join two components are returned.
 
 Hence no link between different texts is lost by the stars, and no bucket
 emits all its pairs. Classes are the connected components of the links.
@@ -44,7 +46,8 @@ from ridewx.llm.common import cut, keyed, slices, without_rows
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 24, 5
 SIZE = BANDS * ROWS
-SLACK, BLOCK = 0.2, 1024
+#: Texts, and words, of one block of a bucket.
+BLOCK, BLOCK_WORDS = 1024, 1 << 20
 U = np.uint64
 
 
@@ -83,7 +86,7 @@ def signatures(doc: np.ndarray, shingle: np.ndarray, n: int) -> np.ndarray:
     return best.reshape(n, SIZE)
 
 
-_SIGNED = "row long, doc_id long, h1 long, h2 long, bands array<long>, sig binary"
+_SIGNED = "row long, doc_id long, h1 long, h2 long, bands array<long>, words int"
 
 
 def _sign(batches):
@@ -108,13 +111,12 @@ def _sign(batches):
         ident[0][~filled] = batch.column(0).to_numpy()[~filled].astype(U)
         ident[1][~filled] = 1
         offsets = np.concatenate([[0], np.cumsum(np.where(filled, BANDS, 0))]).astype(np.int32)
-        low = sig.astype(np.uint8)
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(ident[0].view(np.int64)),
              pa.array(ident[1].view(np.int64)),
              pa.ListArray.from_arrays(pa.array(offsets), pa.array(band[filled].ravel().view(np.int64))),
-             pa.array([x.tobytes() for x in low], pa.binary())],
-            names=["row", "doc_id", "h1", "h2", "bands", "sig"])
+             pa.array(np.diff(bounds).astype(np.int32))],
+            names=["row", "doc_id", "h1", "h2", "bands", "words"])
 
 
 def overlap(a: pa.Array, b: pa.Array) -> np.ndarray:
@@ -177,45 +179,84 @@ def components(links: DataFrame) -> DataFrame:
         labels = new.select("v", "c")
 
 
-def _between(threshold: float):
-    """Pairs of one block pair that lie in different components and whose
-    signatures agree in nearly ``threshold`` of the places."""
-    least = int(SIZE * (threshold - SLACK))
+def linked(comp: np.ndarray, side: np.ndarray, doc: np.ndarray, shingle: np.ndarray,
+           threshold: float) -> list[tuple[int, int]]:
+    """Links between texts of different components that join all components
+    linked in this block: a spanning set, found over an inverted index.
+    Texts of side 0 are compared with side 1 only; side 2 with all."""
+    n = len(comp)
+    order = np.lexsort((shingle, doc))
+    doc, shingle = doc[order], shingle[order]
+    # The i-th copy of a shingle in a text is an element of its own, so the
+    # overlap of sets is the overlap of bags.
+    new = np.ones(len(doc), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (shingle[1:] != shingle[:-1])
+    at = np.flatnonzero(new)
+    copy = np.arange(len(doc)) - np.repeat(at, np.diff(np.append(at, len(doc))))
+    _, element = np.unique(t.mix(shingle + copy.astype(U)), return_inverse=True)
+    size = np.bincount(doc, minlength=n)
+    by_element = np.argsort(element, kind="stable")
+    holders = doc[by_element]
+    count = np.bincount(element)
+    first = np.cumsum(count) - count
+    own = np.concatenate([[0], np.cumsum(size)])
+    _, root = np.unique(comp, return_inverse=True)
+    out, waiting = [], np.ones(n, bool)
+    while True:
+        # Of two components one is not the largest: only texts outside it
+        # need comparing, each once.
+        members = np.bincount(root)
+        todo = np.flatnonzero(waiting & (root != members.argmax()))
+        if not len(todo):
+            return out
+        i = todo[members[root[todo]].argmin()]
+        waiting[i] = False
+        e = element[own[i]:own[i + 1]]
+        length = count[e]
+        places = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length) + np.repeat(first[e], length)
+        common = np.bincount(holders[places], minlength=n)
+        near = (common >= threshold * (size + size[i] - common)) & (root != root[i])
+        near &= (side == 2) | (side[i] == 2) | (side != side[i])
+        for j in np.flatnonzero(near):
+            if root[j] != root[i]:
+                out.append((int(i), int(j)))
+                root[root == root[j]] = root[i]
+
 
+def _between(threshold: float):
     def run(table: pa.Table) -> pa.Table:
-        vs, comp = table.column("v").to_numpy(), table.column("c").to_numpy()
-        side = table.column("side").to_numpy()
-        sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(-1, SIZE)
-        one = np.flatnonzero(side != 1)
-        two = np.flatnonzero(side != 0)
-        a, b = [], []
-        for i in one:
-            near = two[(comp[two] != comp[i])]
-            near = near[(sig[near] == sig[i]).sum(axis=1) >= least]
-            a.append(np.full(len(near), vs[i]))
-            b.append(vs[near])
-        a = np.concatenate(a) if a else np.empty(0, np.int64)
-        b = np.concatenate(b) if b else np.empty(0, np.int64)
+        v = table.column("v").to_numpy()
+        doc, shingle = t.shingles(table.column("text").combine_chunks(), SHINGLE)
+        found = np.array(linked(table.column("c").to_numpy(), table.column("side").to_numpy(),
+                                doc, shingle, threshold), np.int64).reshape(-1, 2)
+        a, b = v[found[:, 0]], v[found[:, 1]]
         return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
     return run
 
 
-def between_components(members: DataFrame, labels: DataFrame, signed: DataFrame,
-                       threshold: float) -> DataFrame:
-    """Candidate pairs of buckets that hold several components."""
-    marked = members.join(labels, "v", "left").withColumn("c", F.coalesce("c", "v"))
+def between_components(members: DataFrame, labels: DataFrame, sized: DataFrame, texts: DataFrame,
+                       threshold: float, across: bool) -> DataFrame:
+    """Links inside the blocks of buckets that hold several components, or
+    (``across``) between the blocks."""
+    marked = members.join(sized, "v").join(labels, "v", "left").withColumn("c", F.coalesce("c", "v"))
+    blocks = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("words") / BLOCK_WORDS))
     mixed = (marked.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"),
-                                       F.count(F.lit(1)).alias("n"))
+                                       F.count(F.lit(1)).alias("n"), F.sum("words").alias("words"))
              # In a bucket of two the star has been the only pair.
-             .filter("lo < hi and n > 2").select("key", F.ceil(F.col("n") / BLOCK).alias("blocks")))
-    rows = (marked.join(mixed, "key").join(signed.select(F.col("row").alias("v"), "sig"), "v")
-            .withColumn("block", F.pmod(F.xxhash64("v"), F.col("blocks")))
-            .withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
-            .select("key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"),
-                    F.when(F.col("block") == F.col("other"), 2)
-                    .when(F.col("block") < F.col("other"), 0).otherwise(1).alias("side"), "v", "c", "sig"))
-    return rows.groupBy("key", "x", "y").applyInArrow(_between(threshold), "a long, b long").distinct()
+             .filter("lo < hi and n > 2").select("key", blocks.alias("blocks")))
+    rows = marked.join(mixed.filter("blocks > 1") if across else mixed, "key").withColumn(
+        "block", F.pmod(F.xxhash64("v"), F.col("blocks")))
+    if across:
+        rows = (rows.withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
+                .filter("block <> other")
+                .withColumn("side", F.when(F.col("block") < F.col("other"), 0).otherwise(1)))
+    else:
+        rows = rows.withColumns({"other": F.col("block"), "side": F.lit(2)})
+    rows = rows.select("key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"),
+                       "side", "v", "c")
+    return (rows.join(texts.withColumnRenamed("row", "v"), "v")
+            .groupBy("key", "x", "y").applyInArrow(_between(threshold), "a long, b long").distinct())
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -230,7 +271,7 @@ def _classes(texts: DataFrame, signed: DataFrame, threshold: float) -> DataFrame
     reps = cut(signed.groupBy("h1", "h2").agg(F.min("row").alias("v"), F.min(ranked).alias("first"),
                                               F.count(F.lit(1)).alias("n"),
                                               F.min_by("bands", "row").alias("bands"),
-                                              F.min_by("sig", "row").alias("sig")), "representatives")
+                                              F.max("words").alias("words")), "representatives")
     members = reps.select("v", F.explode("bands").alias("key"))
     buckets = members.groupBy("key").agg(F.min("v").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = cut(members.join(buckets.select("key", "a"), "key"), "buckets")
@@ -238,11 +279,12 @@ def _classes(texts: DataFrame, signed: DataFrame, threshold: float) -> DataFrame
     texts = texts.select("row", "text")
     links = cut(verify(pairs, texts, threshold), "links")
     labels = components(links)
-    more = cut(between_components(members.select("v", "key"), labels,
-                                  reps.select(F.col("v").alias("row"), "sig"), threshold), "between")
-    if more.head(1):
-        links = cut(links.unionByName(verify(more, texts, threshold)), "links")
-        labels = components(links)
+    for across in (False, True):
+        more = cut(between_components(members.select("v", "key"), labels, reps.select("v", "words"),
+                                      texts, threshold, across), "between")
+        if more.head(1):
+            links = cut(links.unionByName(more), "links")
+            labels = components(links)
     classes = cut(reps.select("h1", "h2", "v", "first", "n").join(labels, "v", "left")
                   .withColumn("c", F.coalesce("c", "v")), "classes")
     best = classes.groupBy("c").agg(F.min("first").alias("best"), F.sum("n").alias("class_size"))
