@@ -71,6 +71,7 @@ def signatures(doc: np.ndarray, shingle: np.ndarray, n: int) -> np.ndarray:
     d, weight = d[rep], weight[rep]
     seed = t.mix(s[rep] + level.astype(U) * U(0x9E3779B97F4A7C15))
     time = np.zeros(len(d))
+    limit = np.full(n, np.inf)
     while len(d):
         seed = seed + U(0xD1B54A32D192ED03)
         r = t.mix(seed)
@@ -80,7 +81,9 @@ def signatures(doc: np.ndarray, shingle: np.ndarray, n: int) -> np.ndarray:
         cell = low + (((r & U(0xFFFFFFFF)) * width.astype(U)) >> U(32)).astype(np.int64)
         seen = cell < weight
         np.minimum.at(best, d[seen] * SIZE + component[seen], time[seen])
-        limit = best.reshape(n, SIZE).max(axis=1)
+        # Bags with running processes (``d`` is sorted); the rest are done.
+        running = d[np.append(True, d[1:] != d[:-1])]
+        limit[running] = best.reshape(n, SIZE)[running].max(axis=1)
         going = time < limit[d]
         d, weight, low, width, seed, time = (x[going] for x in (d, weight, low, width, seed, time))
     return best.reshape(n, SIZE)

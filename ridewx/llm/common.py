@@ -25,7 +25,7 @@ from ridewx.session import scratch_path
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text a Python worker handles at a time.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def keyed(docs: DataFrame, *columns: str) -> DataFrame:
@@ -88,3 +88,5 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text",
             to = min(n, max(to, at + 1))
             yield batch.slice(at, to - at)
             at = to
+    # Workers are reused: hand back what this task's batches took.
+    pa.default_memory_pool().release_unused()

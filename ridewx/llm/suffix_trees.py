@@ -41,6 +41,8 @@ REACH = DEPTH - SYMBOL + 1
 GROUP_ROWS, SAMPLE = 400_000, 64
 #: Windows in one list of a group's answer.
 PACKED = 1 << 16
+#: Bytes of text inside which equal windows are sent once.
+LOCAL_BYTES = 4 << 20
 U = np.uint64
 _NO_ID = (1 << 63) - 1
 
@@ -66,7 +68,7 @@ def anchors(col: pa.Array):
 
 
 def _anchor_rows(batches):
-    for batch in slices(batches):
+    for batch in slices(batches, "text", LOCAL_BYTES):
         first, doc, place, g, bounds = anchors(batch.column(1))
         if not len(first):
             continue
@@ -163,7 +165,7 @@ _SUFFIX = "bin int, known boolean, s0 long, s12 long, s3pos long, row long, doc_
 
 def _suffix_rows(heavy: list[np.ndarray], bins: int):
     def run(batches):
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", LOCAL_BYTES):
             first, doc, place, g, bounds = anchors(batch.column(2))
             if not len(first):
                 continue
