@@ -3,7 +3,7 @@
 ``round(avg(double), 2)`` rounds the binary value, so a tie such as 27.125
 can land either way depending on summation order and engine. Measures
 here have a fixed number of decimal places (cents, tenths, hundredths), so
-aggregates are computed on scaled integers and rounded HALF_UP (away from
+aggregates are computed on integers scaled to four places and rounded HALF_UP (away from
 zero on a tie) with integer division. Sums of 64-bit integers are exact
 and order-independent, which also makes the result identical however the
 partial aggregates are combined across a cluster.
@@ -23,9 +23,10 @@ def scaled(value: str | Column, places: int) -> Column:
     """The measure as an integer count of ``10**-places`` units.
 
     Floats are widened to double first, so a float32 such as 3.1
-    (3.0999999046...) becomes 310 hundredths.
+    (3.0999999046...) becomes 310 hundredths. NaN and values beyond 64 bits
+    become NULL, so the aggregates leave them out.
     """
-    return F.round(_col(value).cast("double") * (10 ** places)).cast("bigint")
+    return F.round(_col(value).cast("double") * (10 ** places)).try_cast("bigint")
 
 
 def _idiv(num: Column, den: Column) -> Column:
@@ -64,9 +65,9 @@ def avg_exact(value: str | Column, in_places: int, out_places: int) -> Column:
     return mean_half_up(F.sum(s), F.count(s), in_places, out_places)
 
 
-def sum_exact(value: str | Column, places: int) -> Column:
-    """``round(sum(value), places)`` computed exactly (an aggregate)."""
-    return F.sum(scaled(value, places)) / float(10 ** places)
+def sum_exact(value: str | Column, places: int, out_places: int | None = None) -> Column:
+    """``round(sum(value), out_places)`` computed exactly (an aggregate)."""
+    return round_scaled(F.sum(scaled(value, places)), places, places if out_places is None else out_places)
 
 
 def min_exact(value: str | Column, in_places: int, out_places: int) -> Column:
@@ -77,7 +78,8 @@ def max_exact(value: str | Column, in_places: int, out_places: int) -> Column:
     return round_scaled(F.max(scaled(value, in_places)), in_places, out_places)
 
 
-# Scales of the measures (decimal places they are recorded with).
-MONEY_PLACES = 2
-DISTANCE_PLACES = 2
-TEMPERATURE_PLACES = 2
+# Decimal places of the inputs that aggregates keep. Results are rounded
+# once, from these, so they agree with rounding the mean of the values.
+MONEY_PLACES = 4
+DISTANCE_PLACES = 4
+TEMPERATURE_PLACES = 4

@@ -39,7 +39,7 @@ def _avg_distance():
 
 
 def _revenue():
-    return sum_exact("fare_amount", MONEY_PLACES).alias("total_revenue")
+    return sum_exact("fare_amount", MONEY_PLACES, 2).alias("total_revenue")
 
 
 def weather_impact_summary(silver: DataFrame, ordered: bool = True) -> DataFrame:
@@ -123,7 +123,7 @@ def condition_compare(silver: DataFrame, base: str = "Clear", other: str = "Rain
         F.sum(F.when(F.col("c") == other, F.col("cents"))).alias("so"),
     )
     nb, sb, no, so = (F.col(c) for c in ("nb", "sb", "no", "so"))
-    # other/no - base/nb = (so*nb - sb*no) / (no*nb), in cents
+    # other/no - base/nb = (so*nb - sb*no) / (no*nb), in scaled units
     diff_num = so.cast("decimal(38,0)") * nb - sb.cast("decimal(38,0)") * no
     valid = (nb > 0) & (no > 0)
     return sums.select(
@@ -133,7 +133,7 @@ def condition_compare(silver: DataFrame, base: str = "Clear", other: str = "Rain
         no.alias("other_trips"),
         mean_half_up(sb, nb, MONEY_PLACES, 2).alias("base_avg_fare"),
         mean_half_up(so, no, MONEY_PLACES, 2).alias("other_avg_fare"),
-        F.when(valid, _ratio_half_up(diff_num, no.cast("decimal(38,0)") * nb * 100, 2))
+        F.when(valid, _ratio_half_up(diff_num, no.cast("decimal(38,0)") * nb * 10 ** MONEY_PLACES, 2))
         .alias("fare_difference"),
         F.when(valid & (sb != 0),
                _ratio_half_up(diff_num * 100 * F.signum(sb).cast("int"),

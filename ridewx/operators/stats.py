@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from ridewx.functions.classify import condition_recode
 from ridewx.functions.exact import (
     DISTANCE_PLACES,
-    MONEY_PLACES,
     TEMPERATURE_PLACES,
     avg_exact,
     max_exact,
@@ -23,6 +22,8 @@ from ridewx.functions.exact import (
 QUARTILES = [0.25, 0.5, 0.75]
 WHISKER = 1.5
 TREND_DIGITS = 10
+# The box plot is over fares in whole cents.
+CENTS = 2
 
 
 def profile_weather(weather: DataFrame) -> DataFrame:
@@ -51,11 +52,11 @@ def fare_boxplot(silver: DataFrame) -> DataFrame:
     - whiskers (the extreme fares inside the fences) and the outlier count,
       from the histogram joined to its condition's fences. The fence table
       has one row per condition, and conditions are a fixed label set (the
-      category labels plus Rain, Snow and NULL), so it is broadcast without
-      a runtime check.
+      category labels plus Rain, Snow and NULL) unless the caller's table
+      has others, so the planner decides by its size.
     """
     hist = (silver.select(condition_recode().alias("weather_condition"),
-                          scaled("fare_amount", MONEY_PLACES).alias("cents"))
+                          scaled("fare_amount", CENTS).alias("cents"))
             .filter(F.col("cents").isNotNull())
             .groupBy("weather_condition", "cents").agg(F.count(F.lit(1)).alias("freq")))
     quart = hist.groupBy("weather_condition").agg(
@@ -72,7 +73,7 @@ def fare_boxplot(silver: DataFrame) -> DataFrame:
               & (F.col("cents") <= F.col("upper_fence_cents")))
     keys = ["_wc", "trips", "q1_cents", "median_cents", "q3_cents",
             "lower_fence_cents", "upper_fence_cents"]
-    return (hist.join(F.broadcast(fences), hist["weather_condition"].eqNullSafe(fences["_wc"]))
+    return (hist.join(fences, hist["weather_condition"].eqNullSafe(fences["_wc"]))
             .groupBy(*keys)
             .agg((F.min(F.when(inside, F.col("cents"))) / 100.0).alias("lower_whisker"),
                  (F.max(F.when(inside, F.col("cents"))) / 100.0).alias("upper_whisker"),

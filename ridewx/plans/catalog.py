@@ -7,7 +7,6 @@ the feature (``sample_trips``).
 
 from __future__ import annotations
 
-import os
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,7 +43,7 @@ from ridewx.operators.quality import (
 from ridewx.schemas import TRIP_SCHEMA
 from ridewx.sources import responses, standin
 from ridewx.sources.tables import read_table
-from ridewx.session import app_id, materialize_once, source_path
+from ridewx.session import source_path
 from ridewx.streaming.enrich_stream import (
     check_trip_stream,
     enrich_stream,
@@ -62,14 +61,8 @@ SAMPLE_COLUMNS = ["pickup_datetime", "dropoff_datetime", "pickup_zip", "dropoff_
 
 
 class Inputs:
-    """Lazily derived inputs for one scale-factor folder.
-
-    DataFrames here carry no expectation counters, so one instance per
-    application and folder is shared by all queries (``Inputs.of``): the
-    file listing and plan analysis of the shared steps happen once.
-    """
-
-    _shared: dict[tuple, "Inputs"] = {}
+    """Lazily derived inputs for one scale-factor folder. Nothing is kept
+    between queries: each sees the files as they are."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
@@ -79,13 +72,6 @@ class Inputs:
         self._weather: DataFrame | None = None
         self._hours: DataFrame | None = None
 
-    @classmethod
-    def of(cls, spark: SparkSession, sf_dir: str) -> "Inputs":
-        key = (app_id(spark), os.path.abspath(sf_dir))
-        if key not in cls._shared:
-            cls._shared[key] = cls(spark, sf_dir)
-        return cls._shared[key]
-
     def weather(self) -> DataFrame:
         """Typed observations (bronze without counters)."""
         if self._weather is None:
@@ -101,12 +87,9 @@ class Inputs:
         return self._hours
 
     def silver(self) -> DataFrame:
-        """The silver table, written once per application and folder; the
-        gold queries read it, as the layered pipeline does."""
-        key = ("taxi_weather_joined", os.path.abspath(self.sf_dir))
-        return materialize_once(self.spark, key,
-                                lambda: enrich_hourly(self.trips, self.hours())[0],
-                                "taxi_weather_joined")
+        """The silver rows, lazily, so that each query reads only the
+        columns it needs; no copy of the trips is written."""
+        return enrich_hourly(self.trips, self.hours(), observe=False)[0]
 
     def checked_trips(self) -> DataFrame:
         return check_trips(self.trips).df
@@ -114,7 +97,7 @@ class Inputs:
 
 def _q(fn: Callable[[Inputs], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(Inputs.of(spark, sf_dir))
+        return fn(Inputs(spark, sf_dir))
     run.__name__ = fn.__name__
     run.__doc__ = fn.__doc__
     return run
@@ -139,7 +122,7 @@ def sample_trips(i: Inputs) -> DataFrame:
 
 def ingest_hourly(i: Inputs) -> DataFrame:
     """Hourly response documents (JSON text) → typed rows."""
-    docs = responses.pack_daily_responses(i.weather_raw)
+    docs = standin.response_documents(i.events)
     return responses.with_time_parts(responses.parse_response_text(docs, "body"))
 
 

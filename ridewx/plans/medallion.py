@@ -101,11 +101,12 @@ def write_all(trips: DataFrame, weather_raw: DataFrame, root: str,
     layers = Layers(frames={"trips": trips, "weather_raw": weather_raw})
     bronze = _bronze(layers, weather_raw)
     write_clustered(bronze, f"{root}/weather_hourly", "date", "datetime", fmt=fmt)
-    bronze = spark.read.format(fmt).load(f"{root}/weather_hourly")
-    silver = _silver(layers, trips, bronze.select(*[c for c in bronze.columns]))
+    # A folder column is read back last: keep the layer's own order.
+    bronze = spark.read.format(fmt).load(f"{root}/weather_hourly").select(*bronze.columns)
+    silver = _silver(layers, trips, bronze)
     write_clustered(silver, f"{root}/taxi_weather_joined", "pickup_date",
                     "tpep_pickup_datetime", fmt=fmt)
-    silver = spark.read.format(fmt).load(f"{root}/taxi_weather_joined")
+    silver = spark.read.format(fmt).load(f"{root}/taxi_weather_joined").select(*silver.columns)
     layers.frames.update(weather_hourly=bronze, taxi_weather_joined=silver)
     for ds in GRAPH[2:]:
         out = ds.fn(layers, silver)

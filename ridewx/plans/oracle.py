@@ -39,7 +39,7 @@ def band(t: str) -> str:
     return f"CASE {arms} ELSE '{TEMPERATURE_BAND_TOP}' END"
 
 
-def scaled(col: str, places: int = 2) -> str:
+def scaled(col: str, places: int = 4) -> str:
     return f"CAST(round(CAST({col} AS DOUBLE) * {10 ** places}) AS BIGINT)"
 
 
@@ -159,13 +159,11 @@ ORDER BY tpep_pickup_datetime, tpep_dropoff_datetime, pickup_zip, dropoff_zip,
          trip_distance, fare_amount
 LIMIT {catalog.PREVIEW_ROWS}""")
     q["ingest_hourly"] = _with("""
-SELECT date_trunc('hour', datetime) AS datetime, temperature_2m, relative_humidity_2m,
+SELECT datetime, temperature_2m, relative_humidity_2m,
        precipitation, rain, snowfall, wind_speed_10m, weather_code,
        CAST(datetime AS DATE) AS date, CAST(hour(datetime) AS INTEGER) AS hour,
        rain > 0 AS is_raining, snowfall > 0 AS is_snowing
-FROM (SELECT *, row_number() OVER (PARTITION BY CAST(datetime AS DATE), hour(datetime)
-                                   ORDER BY datetime) AS rn FROM raw)
-WHERE rn = 1""")
+FROM raw""")
     n = catalog.WINDOW_DAYS
     q["plan_windows"] = _with(f"""
 , b AS (SELECT CAST(min(tpep_pickup_datetime) AS DATE) AS s,
@@ -215,7 +213,7 @@ FROM silver""")
          sum(p100) / 100.0 AS day_precipitation,
          bool_or(is_raining) AS day_had_rain,
          bool_or(is_snowing) AS day_had_snow
-  FROM (SELECT *, {scaled('temperature_2m')} AS t100, {scaled('precipitation')} AS p100 FROM wx)
+  FROM (SELECT *, {scaled('temperature_2m', 2)} AS t100, {scaled('precipitation', 2)} AS p100 FROM wx)
   GROUP BY date)
 SELECT t.*, CAST(t.tpep_pickup_datetime AS DATE) AS pickup_date, d.* EXCLUDE (weather_date)
 FROM checked t JOIN d ON d.weather_date = CAST(t.tpep_pickup_datetime AS DATE)""")
@@ -223,40 +221,40 @@ FROM checked t JOIN d ON d.weather_date = CAST(t.tpep_pickup_datetime AS DATE)""
     q["unmatched_anti"] = _with(f"SELECT t.*, {_keys()} FROM checked t WHERE NOT EXISTS ({_HOUR_MATCH})")
     q["weather_impact_summary"] = _with(f"""
 SELECT weather_category, count(*) AS trip_count,
-       {mean('sum(f)', 'count(f)', 2, 2)} AS avg_fare,
-       {mean('sum(d)', 'count(d)', 2, 2)} AS avg_distance,
-       {mean('sum(t)', 'count(t)', 2, 1)} AS avg_temperature,
-       sum(f) / 100.0 AS total_revenue
+       {mean('sum(f)', 'count(f)', 4, 2)} AS avg_fare,
+       {mean('sum(d)', 'count(d)', 4, 2)} AS avg_distance,
+       {mean('sum(t)', 'count(t)', 4, 1)} AS avg_temperature,
+       {rnd('sum(f)', 4, 2)} AS total_revenue
 FROM ({_SCALED_SILVER}) GROUP BY weather_category""")
     q["hourly_weather_metrics"] = _with(f"""
 SELECT pickup_date, pickup_hour, weather_category, temperature_2m, is_raining, is_snowing,
        count(*) AS trip_count,
-       {mean('sum(f)', 'count(f)', 2, 2)} AS avg_fare,
-       sum(f) / 100.0 AS total_revenue,
-       {mean('sum(d)', 'count(d)', 2, 2)} AS avg_distance
+       {mean('sum(f)', 'count(f)', 4, 2)} AS avg_fare,
+       {rnd('sum(f)', 4, 2)} AS total_revenue,
+       {mean('sum(d)', 'count(d)', 4, 2)} AS avg_distance
 FROM ({_SCALED_SILVER})
 GROUP BY pickup_date, pickup_hour, weather_category, temperature_2m, is_raining, is_snowing""")
     q["temperature_band_analysis"] = _with(f"""
 SELECT {band('temperature_2m')} AS temperature_band, count(*) AS trip_count,
-       {mean('sum(f)', 'count(f)', 2, 2)} AS avg_fare,
-       {mean('sum(d)', 'count(d)', 2, 2)} AS avg_distance,
-       {rnd('min(t)', 2, 1)} AS min_temp,
-       {rnd('max(t)', 2, 1)} AS max_temp
+       {mean('sum(f)', 'count(f)', 4, 2)} AS avg_fare,
+       {mean('sum(d)', 'count(d)', 4, 2)} AS avg_distance,
+       {rnd('min(t)', 4, 1)} AS min_temp,
+       {rnd('max(t)', 4, 1)} AS max_temp
 FROM ({_SCALED_SILVER}) GROUP BY 1""")
     coarse = category("weather_code", WEATHER_CODE_CLASSES_COARSE, None)
     q["explore_summary"] = _with(f"""
 SELECT weather_category,
-       {mean('sum(f)', 'count(f)', 2, 2)} AS avg_fare,
+       {mean('sum(f)', 'count(f)', 4, 2)} AS avg_fare,
        count(fare_amount) AS trip_count,
-       {mean('sum(d)', 'count(d)', 2, 2)} AS avg_distance,
-       {mean('sum(t)', 'count(t)', 2, 2)} AS avg_temp
+       {mean('sum(d)', 'count(d)', 4, 2)} AS avg_distance,
+       {mean('sum(t)', 'count(t)', 4, 2)} AS avg_temp
 FROM (SELECT * EXCLUDE (weather_category), {coarse} AS weather_category
       FROM ({_SCALED_SILVER}))
 WHERE weather_category IS NOT NULL
 GROUP BY weather_category""")
     q["profile_weather"] = _with(f"""
 SELECT count(*) AS records, min(date) AS first_date, max(date) AS last_date,
-       {rnd('min(t)', 2, 1)} AS min_temperature, {rnd('max(t)', 2, 1)} AS max_temperature
+       {rnd('min(t)', 4, 1)} AS min_temperature, {rnd('max(t)', 4, 1)} AS max_temperature
 FROM (SELECT *, {scaled('temperature_2m')} AS t FROM wx)""")
     q["category_counts"] = _with(f"""
 SELECT {coarse} AS weather_category, count(*) AS observations FROM wx GROUP BY 1""")
@@ -270,9 +268,9 @@ SELECT {coarse} AS weather_category, count(*) AS observations FROM wx GROUP BY 1
   FROM (SELECT {coarse} AS cc, {scaled('fare_amount')} AS cents FROM silver))
 SELECT 'Clear' AS base_condition, 'Rain' AS other_condition,
        nb AS base_trips, no AS other_trips,
-       {mean('sb', 'nb', 2, 2)} AS base_avg_fare,
-       {mean('so', 'no', 2, 2)} AS other_avg_fare,
-       CASE WHEN nb > 0 AND no > 0 THEN {ratio(diff, 'no * nb * 100', 2)} END AS fare_difference,
+       {mean('sb', 'nb', 4, 2)} AS base_avg_fare,
+       {mean('so', 'no', 4, 2)} AS other_avg_fare,
+       CASE WHEN nb > 0 AND no > 0 THEN {ratio(diff, 'no * nb * 10000', 2)} END AS fare_difference,
        CASE WHEN nb > 0 AND no > 0 AND sb <> 0
             THEN {ratio(diff + ' * 100 * sign(sb)', 'abs(sb) * no', 1)} END AS pct_change
 FROM s""")
@@ -280,7 +278,7 @@ FROM s""")
 , r AS (
   SELECT CASE WHEN is_raining THEN 'Rain' WHEN is_snowing THEN 'Snow' ELSE weather_category END
            AS weather_condition,
-         {scaled('fare_amount')} AS cents
+         {scaled('fare_amount', 2)} AS cents
   FROM silver WHERE fare_amount IS NOT NULL),
 qs AS (SELECT weather_condition, count(*) AS trips,
               quantile_cont(cents, [0.25, 0.5, 0.75]) AS q FROM r GROUP BY 1),
@@ -307,7 +305,7 @@ FROM (SELECT CAST(trip_distance AS DOUBLE) AS y, CAST(temperature_2m AS DOUBLE)
     q["distance_by_degree"] = _with(f"""
 SELECT CAST(floor(CAST(temperature_2m AS DOUBLE)) AS INTEGER) AS temperature_degree,
        count(*) AS trip_count,
-       {mean('sum(d)', 'count(d)', 2, 2)} AS avg_distance
+       {mean('sum(d)', 'count(d)', 4, 2)} AS avg_distance
 FROM ({_SCALED_SILVER}) WHERE temperature_2m IS NOT NULL GROUP BY 1""")
     q["rainy_day_ridership"] = _with(f"""
 , d AS (SELECT pickup_date, count(*) AS trips, bool_or(is_raining) AS rainy_day
@@ -320,9 +318,9 @@ FROM d GROUP BY rainy_day""")
 SELECT date_trunc('hour', tpep_pickup_datetime) AS window_start,
        date_trunc('hour', tpep_pickup_datetime) + INTERVAL 1 HOUR AS window_end,
        weather_category, count(*) AS trip_count,
-       {mean('sum(f)', 'count(f)', 2, 2)} AS avg_fare,
-       sum(f) / 100.0 AS total_revenue,
-       {mean('sum(d)', 'count(d)', 2, 2)} AS avg_distance
+       {mean('sum(f)', 'count(f)', 4, 2)} AS avg_fare,
+       {rnd('sum(f)', 4, 2)} AS total_revenue,
+       {mean('sum(d)', 'count(d)', 4, 2)} AS avg_distance
 FROM ({_SCALED_SILVER})
 WHERE date_trunc('hour', tpep_pickup_datetime) + INTERVAL 1 HOUR
       <= (SELECT max(tpep_pickup_datetime) FROM checked) - INTERVAL 1 HOUR

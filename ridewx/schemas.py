@@ -24,8 +24,9 @@ RESPONSE_SCHEMA = T.StructType([
     T.StructField("longitude", T.DoubleType()),
     T.StructField("hourly", T.StructType(
         [T.StructField("time", T.ArrayType(T.StringType()))]
-        + [T.StructField(v, T.ArrayType(T.DoubleType())) for v in MEASURES]
-        + [T.StructField("weather_code", T.ArrayType(T.IntegerType()))]
+        # Elements are read as text and cast one by one, so that one bad
+        # element does not lose its array.
+        + [T.StructField(v, T.ArrayType(T.StringType())) for v in MEASURES + ["weather_code"]]
     )),
 ])
 

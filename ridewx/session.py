@@ -128,18 +128,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 def release_scratch(spark: SparkSession) -> bool:
     """Delete this application's scratch folder (written layers, hour
-    tables, stream sinks and checkpoints) and forget the cached tables.
+    tables, stream sinks and checkpoints).
 
     Call it when the application is done with them; returns False when the
     file system cannot be reached from this session (Spark Connect).
     """
     root = scratch_root(spark)
-    app = app_id(spark)
-    for cache in (_written,):
-        for key in [k for k in cache if k[0] == app]:
-            del cache[key]
-    from ridewx.operators import enrich  # late import: enrich imports this module
-    enrich.forget(app)
     try:
         jvm, hconf = spark._jvm, spark._jsc.hadoopConfiguration()
     except Exception:  # noqa: BLE001 - Spark Connect: no JVM handle
@@ -170,24 +164,5 @@ def materialize_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
     return spark.read.parquet(path), int(obs.get["rows"])
 
 
-_written: dict[tuple, DataFrame] = {}
-
-
-def materialize_once(spark: SparkSession, key: tuple, build, label: str) -> DataFrame:
-    """``materialize(build())`` once per application and ``key``.
-
-    For a layer several queries read (the silver table): the first caller
-    writes it, later callers read the written files. Like Spark's own
-    cache, the key names the inputs, which are assumed not to change while
-    the application runs.
-    """
-    full_key = (app_id(spark),) + tuple(key)
-    hit = _written.get(full_key)
-    if hit is None:
-        hit = materialize(build(), label)
-        _written[full_key] = hit
-    return hit
-
-
 def source_path(sf_dir: str, table: str) -> str:
     return os.path.join(sf_dir, f"{table}.parquet")

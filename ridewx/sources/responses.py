@@ -15,11 +15,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridewx.functions.classify import LIBRARY_NULL_LABEL, classify_code
-from ridewx.functions.timecols import format_local_minute, hour_start, parse_local_time
+from ridewx.functions.timecols import parse_local_time
 from ridewx.schemas import HOURLY_VARIABLES, RESPONSE_SCHEMA
 
 # Fixed value: the message a response without hourly data fails with.
 MISSING_HOURLY = "Invalid response: missing 'hourly' data"
+MISSING_TIME = "Invalid response: missing 'time' in hourly data"
+UNEVEN = "Invalid response: hourly arrays differ in length"
 
 
 def read_responses(spark: SparkSession, path: str) -> DataFrame:
@@ -34,34 +36,57 @@ def parse_response_text(docs: DataFrame, text_col: str = "body") -> DataFrame:
     return explode_hourly(parsed.select("r.*"))
 
 
-def _require_hourly(responses: DataFrame) -> DataFrame:
+def _checked(responses: DataFrame) -> DataFrame:
     # A fail check must sit in a filter: an unused projected raise_error
     # would be pruned away.
-    ok = F.col("hourly").isNotNull()
-    return responses.filter(F.when(ok, F.lit(True)).otherwise(F.raise_error(F.lit(MISSING_HOURLY))))
-
+    h = F.col("hourly")
+    n = F.size(h["time"])
+    even = [h[v].isNull() | (F.size(h[v]) == n) for v in HOURLY_VARIABLES]
+    ok = (F.when(h.isNull(), F.raise_error(F.lit(MISSING_HOURLY)).cast("boolean"))
+          .when(h["time"].isNull(), F.raise_error(F.lit(MISSING_TIME)).cast("boolean"))
+          .when(~reduce(lambda a, b: a & b, even), F.raise_error(F.lit(UNEVEN)).cast("boolean"))
+          .otherwise(F.lit(True)))
+    return responses.filter(ok)
+
+
+def _values(hourly: Column, name: str, n: Column) -> Column:
+    """The variable's elements, each cast by itself (bad ones → NULL). A
+    variable missing from the response becomes NULLs of the right length; a
+    NULL array in arrays_zip would drop every row."""
+    def one(x: Column) -> Column:
+        value = x.try_cast("double")
+        return value.try_cast("int") if name == "weather_code" else value
 
-def _padded(hourly: Column, name: str, n: Column) -> Column:
-    # A variable missing from the response becomes an all-NULL column of
-    # the right length; a NULL array in arrays_zip would drop every row.
-    arr = hourly[name]
     elem = "int" if name == "weather_code" else "double"
-    return F.coalesce(arr, F.array_repeat(F.lit(None).cast(elem), n)).alias(name)
+    return F.coalesce(F.transform(hourly[name], one), F.array_repeat(F.lit(None).cast(elem), n)).alias(name)
 
 
 def explode_hourly(responses: DataFrame) -> DataFrame:
-    """Response structs → one row per hour (the staged 8-column shape)."""
+    """Response structs → one row per time (the staged 8-column shape).
+
+    Fails when a response has no ``hourly``, no ``time`` or arrays of other
+    lengths; elements that are not numbers become NULL (see
+    ``failed_elements``)."""
     h = F.col("hourly")
     n = F.size(h["time"])
-    zipped = F.arrays_zip(h["time"].alias("time"), *[_padded(h, v, n) for v in HOURLY_VARIABLES])
+    zipped = F.arrays_zip(h["time"].alias("time"), *[_values(h, v, n) for v in HOURLY_VARIABLES])
     return (
-        _require_hourly(responses)
+        _checked(responses)
         .select(F.inline(zipped))
         .select(parse_local_time("time").alias("datetime"),
                 *[F.col(v) for v in HOURLY_VARIABLES])
     )
 
 
+def failed_elements(responses: DataFrame) -> DataFrame:
+    """Per variable: elements that are present but not a number."""
+    h = F.col("hourly")
+    bad = [F.sum(F.size(F.filter(F.coalesce(h[v], F.array().cast("array<string>")),
+                                 lambda x: x.isNotNull() & x.try_cast("double").isNull())))
+           for v in HOURLY_VARIABLES]
+    return responses.agg(*[F.coalesce(b, F.lit(0)).alias(v) for b, v in zip(bad, HOURLY_VARIABLES)])
+
+
 def with_time_parts(rows: DataFrame) -> DataFrame:
     """Add the library form's derived columns: date, hour and the flags."""
     return rows.select(
@@ -78,37 +103,6 @@ def with_category(rows: DataFrame, null_label: str = LIBRARY_NULL_LABEL) -> Data
     return rows.withColumn("weather_category", classify_code("weather_code", null_label=null_label))
 
 
-def _field(name: str):
-    return lambda x: x[name]
-
-
-def pack_daily_responses(rows: DataFrame, latitude: float = 0.0,
-                         longitude: float = 0.0) -> DataFrame:
-    """Observation rows → one response document per day.
-
-    The inverse of ``parse_response_text``. Rows are first reduced to one
-    per hour slot (the earliest, as ``unique_hours`` does), so a document
-    holds at most 24 entries whatever the input: the grouped list is
-    bounded by construction. Times are the start of each hour, as a
-    response reports them.
-    """
-    from ridewx.operators.observations import earliest_per_group
-
-    staged = rows.select("datetime", *HOURLY_VARIABLES)
-    per_hour = earliest_per_group(staged, [hour_start("datetime").alias("slot")], "datetime")
-    item = F.struct(format_local_minute("slot").alias("time"),
-                    *[F.col(v) for v in HOURLY_VARIABLES])
-    grouped = (per_hour.groupBy(F.to_date("slot").alias("day"))
-               .agg(F.array_sort(F.collect_list(item)).alias("items")))
-    hourly = F.struct(
-        F.transform("items", lambda x: x["time"]).alias("time"),
-        *[F.transform("items", _field(v)).alias(v) for v in HOURLY_VARIABLES],
-    )
-    doc = F.struct(F.lit(latitude).alias("latitude"), F.lit(longitude).alias("longitude"),
-                   hourly.alias("hourly"))
-    return grouped.select("day", F.to_json(doc).alias("body"))
-
-
 def plan_windows(bounds: DataFrame, chunk_days: int = 30,
                  start_col: str = "start_date", end_col: str = "end_date") -> DataFrame:
     """Request windows covering ``[start, end]`` inclusive, ``chunk_days`` each.

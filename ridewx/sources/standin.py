@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridewx.functions.classify import WEATHER_CODE_CLASSES
+from ridewx.schemas import HOURLY_VARIABLES
 from ridewx.session import source_path
 
 OBSERVATION_EVENT = "error"
@@ -37,16 +38,18 @@ def _k() -> Column:
     return F.get_json_object("props", "$.k").try_cast("int")
 
 
-def weather_raw(events: DataFrame) -> DataFrame:
+def weather_raw(events: DataFrame, *keep: str) -> DataFrame:
     """Staged observations (the load step's 8-column shape), one per
-    ``error`` event; an hour can hold several."""
+    ``error`` event; an hour can hold several. ``keep`` names event columns
+    to carry along."""
     c, k = F.col("c"), F.col("k")
     rain = F.when(k.isin(*RAIN_CODES), c / 100.0).otherwise(F.lit(0.0))
     snow = F.when(k.isin(*SNOW_CODES), c / 100.0).otherwise(F.lit(0.0))
     return (
         events.filter(F.col("event_type") == OBSERVATION_EVENT)
-        .select(F.col("ts").alias("datetime"), _cents().alias("c"), _k().alias("k"))
+        .select(F.col("ts").alias("datetime"), _cents().alias("c"), _k().alias("k"), *keep)
         .select(
+            *keep,
             "datetime",
             ((c - 3000) / 100.0).alias("temperature_2m"),
             k.cast("double").alias("relative_humidity_2m"),
@@ -59,6 +62,24 @@ def weather_raw(events: DataFrame) -> DataFrame:
     )
 
 
+def response_documents(events: DataFrame) -> DataFrame:
+    """Observations as landed response documents (JSON text), one per day
+    and station (the event's user), at full time precision: every staged
+    row is in one document, and a document is bounded by one station's day.
+    """
+    time = F.replace(F.col("datetime").cast("string"), F.lit(" "), F.lit("T")).alias("time")
+    items = (weather_raw(events, "user_id")
+             .groupBy(F.to_date("datetime").alias("day"), "user_id")
+             .agg(F.array_sort(F.collect_list(F.struct(time, *HOURLY_VARIABLES))).alias("items")))
+
+    def part(name: str) -> Column:
+        return F.transform("items", lambda x: x[name]).alias(name)
+
+    doc = F.struct(F.lit(0.0).alias("latitude"), F.col("user_id").cast("double").alias("longitude"),
+                   F.struct(*[part(v) for v in ["time", *HOURLY_VARIABLES]]).alias("hourly"))
+    return items.select("day", F.to_json(doc).alias("body"))
+
+
 def trips(events: DataFrame) -> DataFrame:
     """Trip rows from every non-observation event.
 

@@ -89,7 +89,7 @@ def hourly_stream_metrics(enriched: DataFrame, time_col: str = "tpep_pickup_date
             .groupBy(F.window(EVENT_TIME, "1 hour"), "window_start", "weather_category")
             .agg(F.count(F.lit(1)).alias("trip_count"),
                  avg_exact("fare_amount", MONEY_PLACES, 2).alias("avg_fare"),
-                 sum_exact("fare_amount", MONEY_PLACES).alias("total_revenue"),
+                 sum_exact("fare_amount", MONEY_PLACES, 2).alias("total_revenue"),
                  avg_exact("trip_distance", DISTANCE_PLACES, 2).alias("avg_distance"))
             .select("window_start",
                     F.timestamp_add("HOUR", F.lit(1), F.col("window_start")).alias("window_end"),

@@ -27,7 +27,7 @@ def test_entry_module_loads_from_any_directory(tmp_path):
     code = ("import importlib.util as u; "
             f"s = u.spec_from_file_location('e', {os.path.join(ROOT, '__spark_entry__.py')!r}); "
             "m = u.module_from_spec(s); s.loader.exec_module(m); "
-            "print(len(m.queries()), sorted(m.queries()) == sorted(m.oracle_sql()))")
+            "print(len(m.queries()), set(m.oracle_sql()) <= set(m.queries()))")
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True,
                          text=True, timeout=300, check=True)
     count, same = out.stdout.split()

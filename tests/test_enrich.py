@@ -52,12 +52,12 @@ def test_hour_join_falls_back_to_shuffle_join(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_size_check_reuses_written_table(spark):
+def test_size_check_writes_anew_for_each_caller(spark):
     df = spark.range(5).selectExpr("id", "id * 2 AS v")
     a = size_checked(df, "t")
     b = size_checked(spark.range(5).selectExpr("id", "id * 2 AS v"), "t")
     assert a.rows == b.rows == 5 and a.broadcast
-    assert a.df.inputFiles() == b.df.inputFiles()
+    assert set(a.df.inputFiles()).isdisjoint(b.df.inputFiles())
 
 
 def test_daily_weather_one_row_per_day(spark):
@@ -87,3 +87,29 @@ def test_earliest_per_group_paths_agree_and_ties_keep_whole_rows(spark):
     s = df.withColumn("s", F.col("c").cast("string")).filter("x != 2.0")
     got = {r.h: (r.x, r.s) for r in earliest_per_group(s, keys, "t").collect()}
     assert got == {9: (1.0, "7"), 10: (3.0, "1")}
+
+
+def test_changed_source_is_seen_and_types_pass_through(spark, tmp_dir):
+    """No hour table is kept between joins; trips may hold TIMESTAMP times
+    and integer zips."""
+    import os
+
+    from ridewx.operators.enrich import enrich_hourly
+    from ridewx.operators.observations import hours_of
+
+    path = os.path.join(tmp_dir, "raw")
+    trips = spark.sql("""SELECT TIMESTAMP '2021-05-01 10:15:00' AS tpep_pickup_datetime,
+        TIMESTAMP '2021-05-01 10:30:00' AS tpep_dropoff_datetime, 1 AS pickup_zip, 2 AS dropoff_zip,
+        1.5D AS trip_distance, 9.0D AS fare_amount""")
+
+    def join(temperature):
+        spark.sql(f"""SELECT TIMESTAMP_NTZ '2021-05-01 10:00:00' AS datetime, {temperature}D AS temperature_2m,
+            50D AS relative_humidity_2m, 0D AS precipitation, 0D AS rain, 0D AS snowfall, 1D AS wind_speed_10m,
+            0 AS weather_code""").write.mode("overwrite").parquet(path)
+        return enrich_hourly(trips, hours_of(spark.read.parquet(path)), observe=False)[0]
+
+    first, second = join(1.0), None
+    assert first.first().temperature_2m == 1.0
+    second = join(99.0)
+    assert second.first().temperature_2m == 99.0
+    assert dict(second.dtypes)["pickup_zip"] == "int" and dict(second.dtypes)["tpep_pickup_datetime"] == "timestamp"

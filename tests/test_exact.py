@@ -65,3 +65,12 @@ def test_spark_and_oracle_rounding_agree(spark, values, places):
            f"{oracle.rnd('min(v)', 2, 1)} AS r FROM (VALUES {rows}) t(v)")
     want = duckdb.sql(sql).fetchall()[0]
     assert (got.m, got.r) == want
+
+
+def test_inputs_are_rounded_once_and_nan_does_not_abort(spark):
+    from ridewx.functions.exact import MONEY_PLACES, TEMPERATURE_PLACES
+
+    df = spark.createDataFrame([(0.005, 2.449), (0.003, 2.449), (float("nan"), None)], "fare double, t double")
+    r = df.agg(avg_exact("fare", MONEY_PLACES, 2).alias("f"), avg_exact("t", TEMPERATURE_PLACES, 1).alias("t"),
+               sum_exact("fare", MONEY_PLACES, 2).alias("s")).first()
+    assert (r.f, r.t, r.s) == (0.0, 2.4, 0.01)
