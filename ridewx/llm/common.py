@@ -8,7 +8,10 @@ Rules all operators follow:
 * A row is identified by ``row``, its place in the scan, so repeated rows
   and repeated or null ids stay separate. The input must therefore be a
   scan of files (or another source that returns the same rows in the same
-  order when it is read again).
+  order when it is read again). Scans are split by the session's settings
+  and, unless ``spark.sql.files.minPartitionNum`` is set, by the executors
+  alive at that moment; ``fix_splits`` sets it, so a lost or added executor
+  cannot move rows to other places between two reads.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridewx.session import scratch_path
@@ -28,8 +31,17 @@ WORD = r"[^\x20\x09-\x0D]+"
 SLICE_BYTES = 1 << 20
 
 
+def fix_splits(spark: SparkSession) -> None:
+    """Split scans alike for the rest of the session (a value the user has
+    set stays)."""
+    name = "spark.sql.files.minPartitionNum"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, str(spark.sparkContext.defaultParallelism))
+
+
 def keyed(docs: DataFrame, *columns: str) -> DataFrame:
     """``row`` and the named columns (text null → empty)."""
+    fix_splits(docs.sparkSession)
     cols = [F.coalesce(docs[c], F.lit("")).alias("text") if c == "text"
             else docs[c].alias(c) for c in columns]
     return docs.select(F.monotonically_increasing_id().alias("row"), *cols)
@@ -58,6 +70,7 @@ def own_columns(docs: DataFrame) -> list:
 
 def without_rows(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """``docs`` without the rows whose ``row`` key is in ``rows``."""
+    fix_splits(docs.sparkSession)
     key = free_name(docs, "_row")
     drop = cut(rows.select(F.col("row").alias(key)), "dropped")
     return (docs.withColumn(key, F.monotonically_increasing_id())

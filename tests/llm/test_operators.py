@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from ridewx.llm import (bagminhash, chat_windows, golomb_dedup, langid, line_rules, mixing, pow2_pack,
+from ridewx.llm import (bagminhash, chat_windows, common, golomb_dedup, langid, line_rules, mixing, pow2_pack,
                         quality_crf, suffix_trees, textops, toxicity_gbt)
 
 random.seed(11)
@@ -377,3 +377,17 @@ def test_pipeline_stages(spark, tmp_dir, docs):
     assert ids["near_dedup"] == ids["exact_dedup"] - {101}
     tokens = current.filter("start + length = doc_tokens").count()
     assert tokens == seen["mixing"].count()
+
+
+def test_row_keys_stay_when_executors_change(spark, tmp_dir):
+    path = f"{tmp_dir}/many_files"
+    spark.range(400).selectExpr("id AS doc_id", "cast(id AS string) AS text").repartition(16).write.parquet(path)
+    common.fix_splits(spark)
+    docs, seen = spark.read.parquet(path), []
+    for cores in ("1", "64"):
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", cores)
+        try:
+            seen.append({tuple(r) for r in common.keyed(docs, "doc_id").collect()})
+        finally:
+            spark.conf.unset("spark.sql.leafNodeDefaultParallelism")
+    assert seen[0] == seen[1]
