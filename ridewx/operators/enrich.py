@@ -36,13 +36,16 @@ class SizedSide:
 
 
 def size_checked(small: DataFrame, label: str,
-                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> SizedSide:
+                 max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS) -> SizedSide:
     """Materialize ``small`` in the checkpoint folder and decide broadcast.
 
     Nothing is kept between calls, so a changed source is seen by the next
     join. A caller with several joins over one hour table writes it once
-    and passes the written table.
+    and passes the written table. ``max_broadcast_rows=None`` runs nothing
+    and leaves the join to the planner, which knows sizes at run time.
     """
+    if max_broadcast_rows is None:
+        return SizedSide(small, -1, False)
     table, rows = materialize_counted(small, label)
     if rows <= max_broadcast_rows:
         return SizedSide(F.broadcast(table), rows, True)
@@ -71,7 +74,7 @@ def _hour_match(left: DataFrame, right: DataFrame) -> Column:
 def join_hours(trips: DataFrame, hours: DataFrame, how: str = "left",
                time_col: str = "tpep_pickup_datetime",
                columns: list[str] | None = None,
-               max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+               max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Trips joined to the observation of their pickup hour.
 
     ``hours`` must be unique on (date, hour) (see ``unique_hours``), or
@@ -93,7 +96,7 @@ def check_trips(trips: DataFrame) -> Checked:
 
 def enrich_hourly(trips: DataFrame, hours: DataFrame,
                   time_col: str = "tpep_pickup_datetime",
-                  max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                  max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
                   observe: bool = True) -> tuple[DataFrame, list[Checked]]:
     """The silver layer: trips left-joined to their hour, with the layer's
     expectations applied to the joined rows in one step (fail on a missing

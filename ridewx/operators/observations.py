@@ -76,7 +76,9 @@ def _row_key(df: DataFrame, time_col: str, others: list[str]):
                   + (F.date_part(F.lit("SECOND"), t) * 1_000_000).cast("bigint"))
     else:
         micros = F.unix_micros(t.cast("timestamp")).cast("decimal(38,0)")
-    tie = F.xxhash64(*[F.col(c) for c in others]).cast("decimal(38,0)") + _dec(2 ** 63)
+    # The hash passes over NULLs, so each column's NULL flag is hashed too.
+    parts = [part for c in others for part in (F.col(c), F.col(c).isNull())]
+    tie = F.xxhash64(*parts).cast("decimal(38,0)") + _dec(2 ** 63)
     return micros * _dec(2 ** 64) + tie
 
 
@@ -112,7 +114,9 @@ def unique_hours(weather: DataFrame, date_col: str = "date", hour_col: str = "ho
                  time_col: str = "datetime") -> DataFrame:
     """One observation per (date, hour): the earliest, ties broken by the
     remaining columns (see ``earliest_per_group``). Columns keep their
-    order."""
+    order. Rows without a time belong to no hour and are left out;
+    ``guard_report`` counts them and the rows the guard drops."""
+    weather = weather.filter(F.col(time_col).isNotNull())
     out = earliest_per_group(weather, [date_col, hour_col], time_col)
     return out.select(*weather.columns)
 
@@ -122,6 +126,7 @@ def unique_raw_hours(raw: DataFrame, time_col: str = "datetime") -> DataFrame:
     columns are all fixed-width, so the guard hash-aggregates. Type the
     result with ``type_observations``."""
     t = F.col(time_col)
+    raw = raw.filter(t.isNotNull())
     out = earliest_per_group(raw, [F.to_date(t).alias("_d"), F.hour(t).alias("_h")], time_col)
     return out.select(*raw.columns)
 
@@ -135,6 +140,18 @@ def hours_of(observations: DataFrame) -> DataFrame:
     return type_observations(unique_raw_hours(base))
 
 
+def guard_report(observations: DataFrame, time_col: str = "datetime") -> DataFrame:
+    """What the one-per-hour guard keeps and drops: observations, those
+    without a time, hours, and observations dropped as repeats."""
+    t = F.col(time_col)
+    per = observations.groupBy(F.to_date(t).alias("d"), F.hour(t).alias("h")).agg(F.count(F.lit(1)).alias("n"))
+    untimed = F.col("d").isNull()
+    total = per.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("observations"),
+                    F.coalesce(F.sum(F.when(untimed, F.col("n"))), F.lit(0)).alias("without_time"),
+                    F.count_if(~untimed).alias("hours"))
+    return total.withColumn("dropped", F.col("observations") - F.col("without_time") - F.col("hours"))
+
+
 def daily_weather(weather: DataFrame) -> DataFrame:
     """Observations rolled up to one row per date (for day-grain joins).
 

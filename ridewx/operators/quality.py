@@ -14,6 +14,7 @@ A NULL predicate result counts as a violation unless the expectation says
 
 from __future__ import annotations
 
+import time
 import uuid
 from dataclasses import dataclass, field
 
@@ -61,8 +62,18 @@ class Checked:
     observation: Observation | None
     expectations: list[Expectation] = field(default_factory=list)
 
-    def metrics(self) -> dict:
-        return dict(self.observation.get) if self.observation is not None else {}
+    def metrics(self, wait: float = 10.0) -> dict:
+        """The counters; empty when no action has run ``wait`` seconds on
+        (they arrive shortly after the action that filled them)."""
+        if self.observation is None:
+            return {}
+        arrived = self.observation._jo.future()
+        until = time.monotonic() + wait
+        while not arrived.isCompleted():
+            if time.monotonic() > until:
+                return {}
+            time.sleep(0.02)
+        return dict(self.observation.get)
 
     def warnings(self) -> dict[str, int]:
         m = self.metrics()
@@ -100,15 +111,22 @@ def quality_report(df: DataFrame, expectations: list[Expectation], dataset: str)
     from ``observe`` exist only after an action, so a report that is itself
     a result is a plain aggregate.
     """
+    return quality_reports(df, {dataset: expectations})
+
+
+def quality_reports(df: DataFrame, datasets: dict[str, list[Expectation]]) -> DataFrame:
+    """``quality_report`` for several datasets that have the same rows, such
+    as events and the same events enriched by a left join, in one pass."""
+    items = [(dataset, e) for dataset, es in datasets.items() for e in es]
     agg = df.agg(F.count(F.lit(1)).alias("_rows"),
-                 *[F.count_if(~e.passes()).alias(f"_v{i}") for i, e in enumerate(expectations)])
-    items = F.array(*[
+                 *[F.count_if(~e.passes()).alias(f"_v{i}") for i, (_, e) in enumerate(items)])
+    rows = F.array(*[
         F.struct(F.lit(dataset).alias("dataset"), F.lit(e.name).alias("expectation"),
                  F.lit(e.action).alias("action"), F.col("_rows").alias("checked_rows"),
                  F.col(f"_v{i}").cast("bigint").alias("violations"))
-        for i, e in enumerate(expectations)
+        for i, (dataset, e) in enumerate(items)
     ])
-    return agg.select(F.inline(items))
+    return agg.select(F.inline(rows))
 
 
 def match_rate(enriched: DataFrame, probe_col: str = "temperature_2m",

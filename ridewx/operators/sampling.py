@@ -1,75 +1,17 @@
 """The exploration's sample: the first ``k`` rows in time order.
 
-``orderBy(...).limit(k)`` ships ``k`` rows from every input partition to a
-single task. On a large table most of them are discarded, so a cutoff
-time is found first: per-day counts (one small aggregate, a row per day)
-give the day by which ``k`` rows have accumulated; while that bucket is
-itself hot (more than ``fine_rows`` rows), counts per minute and then per
-second within it (pruned to that bucket) narrow the cutoff. Only rows
-sharing one timestamp are left to the top-k's tie-break. The filter up to
-the cutoff is a plain time predicate that reaches the scan (partition
-pruning on a date-partitioned table, row-group skipping on a time-sorted
-one), and the top-k runs on that remainder only. The result is the same as the direct
-form: NULL times sort first, so they are counted before every day and
-always kept.
+Spark plans ``orderBy().limit(k)`` as a top-k: every task keeps its own
+``k`` rows and one task merges them, so ``k`` must fit one task. NULL times
+sort first.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
-
-from ridewx.functions.timecols import ntz_literal
-
-# Cutoff granularities, coarse to fine.
-_STEP = {"day": dt.timedelta(days=1), "minute": dt.timedelta(minutes=1),
-         "second": dt.timedelta(seconds=1)}
-
-
-def _bucket(t: Column, unit: str) -> Column:
-    # Zone-free truncation of a TIMESTAMP_NTZ to the start of its unit.
-    zero = F.lit(0)
-    if unit == "day":
-        return F.make_timestamp_ntz(F.year(t), F.month(t), F.dayofmonth(t), zero, zero, zero)
-    secs = F.second(t) if unit == "second" else zero
-    return F.make_timestamp_ntz(F.year(t), F.month(t), F.dayofmonth(t), F.hour(t),
-                                F.minute(t), secs)
-
-
-def _last_needed_bucket(df: DataFrame, t: Column, unit: str, k: int):
-    """(start, rows before it, rows in it) of the last bucket holding any of
-    the first ``k`` rows, or None when no dated bucket is needed."""
-    per = df.groupBy(_bucket(t, unit).alias("b")).agg(F.count(F.lit(1)).alias("n"))
-    # One row per bucket (NULL first, as it sorts first): fits one partition.
-    earlier = F.sum("n").over(Window.orderBy(F.col("b").asc_nulls_first())) - F.col("n")
-    last = (per.withColumn("earlier", earlier).filter(F.col("earlier") < k)
-            .agg(F.max_by(F.struct("b", "earlier", "n"), "b").alias("x")).first()["x"])
-    return None if last is None or last["b"] is None else (last["b"], last["earlier"], last["n"])
+from pyspark.sql import Column, DataFrame
 
 
 def first_rows_by_time(df: DataFrame, time_col: str, k: int,
-                       order: list[str | Column] | None = None,
-                       fine_rows: int | None = None) -> DataFrame:
+                       order: list[str | Column] | None = None) -> DataFrame:
     """The ``k`` earliest rows of ``df`` by ``time_col`` (ties broken by
     ``order``, which should start with ``time_col``)."""
-    order = order or [time_col]
-    t = F.col(time_col)
-    fine_rows = fine_rows if fine_rows is not None else 64 * k
-    first = _last_needed_bucket(df, t, "day", k)
-    if first is None:  # no dated rows, or the NULL-time rows alone fill the sample
-        return df.orderBy(*order).limit(k)
-    start, earlier, rows = first
-    end = start + _STEP["day"]
-    for unit in ("minute", "second"):  # a hot bucket: narrow within it
-        if rows <= fine_rows:
-            break
-        inside = df.filter((t >= ntz_literal(start)) & (t < ntz_literal(end)))
-        finer = _last_needed_bucket(inside, t, unit, k - earlier)
-        if finer is None:
-            break
-        start, earlier, rows = finer[0], earlier + finer[1], finer[2]
-        end = start + _STEP[unit]
-    kept = df.filter((t < ntz_literal(end)) | t.isNull())
-    return kept.orderBy(*order).limit(k)
+    return df.orderBy(*(order or [time_col])).limit(k)

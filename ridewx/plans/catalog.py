@@ -26,6 +26,7 @@ from ridewx.operators.enrich import check_trips, enrich_daily, enrich_hourly, jo
 from ridewx.operators.observations import (
     bronze_weather,
     daily_weather,
+    guard_report,
     hours_of,
     type_observations,
 )
@@ -39,11 +40,12 @@ from ridewx.operators.quality import (
     apply_expectations,
     match_rate,
     quality_report,
+    quality_reports,
 )
 from ridewx.schemas import TRIP_SCHEMA
 from ridewx.sources import responses, standin
 from ridewx.sources.tables import read_table
-from ridewx.session import source_path
+from ridewx.session import scratch_path, source_path
 from ridewx.streaming.enrich_stream import (
     check_trip_stream,
     enrich_stream,
@@ -195,12 +197,24 @@ def condition_recode_q(i: Inputs) -> DataFrame:
 
 def expect_warn_report(i: Inputs) -> DataFrame:
     """Violations per expectation and dataset. The silver rows
-    are counted as its declared checks see them: joined, before the drop."""
+    are counted as its declared checks see them: joined, before the drop.
+    The left join keeps every trip once, so one pass counts both."""
     joined = join_hours(i.trips, i.hours(), "left")
     return (quality_report(i.weather(), BRONZE_EXPECTATIONS + WEATHER_ROW_CHECKS, "weather_hourly")
-            .unionByName(quality_report(i.trips, TRIP_ROW_CHECKS, "trips"))
-            .unionByName(quality_report(joined, TRIP_EXPECTATIONS + SILVER_EXPECTATIONS,
-                                        "taxi_weather_joined")))
+            .unionByName(quality_reports(joined, {
+                "trips": TRIP_ROW_CHECKS,
+                "taxi_weather_joined": TRIP_EXPECTATIONS + SILVER_EXPECTATIONS})))
+
+
+def staged_checks(i: Inputs) -> DataFrame:
+    """The row checks on staged rows, whose flag and category came
+    with them and can therefore be wrong."""
+    return quality_report(standin.weather_staged(i.events), WEATHER_ROW_CHECKS, "weather_raw")
+
+
+def guard_report_q(i: Inputs) -> DataFrame:
+    """What the one-per-hour guard keeps and drops."""
+    return guard_report(i.weather_raw)
 
 
 def expect_drop(i: Inputs) -> DataFrame:
@@ -309,15 +323,17 @@ def stream_enrich(i: Inputs) -> DataFrame:
     """The events file as a trip stream, enriched batch by batch; the
     query runs to completion and its sink is returned."""
     trips = check_trip_stream(stream_trips(i.spark, i.sf_dir))
-    out, _ = run_available(enrich_stream(trips, i.hours()), "stream_enrich")
+    out = scratch_path(i.spark, "stream_enrich-out")
+    run_available(enrich_stream(trips, i.hours()), out, scratch_path(i.spark, "stream_enrich-chk"))
     return i.spark.read.parquet(out)
 
 
 def stream_hourly_metrics(i: Inputs) -> DataFrame:
     """Hourly windows over the enriched stream, watermark one hour."""
     trips = check_trip_stream(stream_trips(i.spark, i.sf_dir))
-    out, _ = run_available(hourly_stream_metrics(enrich_stream(trips, i.hours())),
-                           "stream_hourly_metrics")
+    out = scratch_path(i.spark, "stream_hourly_metrics-out")
+    run_available(hourly_stream_metrics(enrich_stream(trips, i.hours())), out,
+                  scratch_path(i.spark, "stream_hourly_metrics-chk"))
     return i.spark.read.parquet(out)
 
 
@@ -334,6 +350,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "temperature_bands": _q(temperature_bands),
     "condition_recode": _q(condition_recode_q),
     "expect_warn_report": _q(expect_warn_report),
+    "staged_checks": _q(staged_checks),
+    "guard_report": _q(guard_report_q),
     "expect_drop": _q(expect_drop),
     "expect_fail_pass": _q(expect_fail_pass),
     "match_rate": _q(match_rate_q),

@@ -1,42 +1,71 @@
 """DuckDB SQL for every catalog query, over the raw driver tables.
 
 Used to check the Spark queries with an independent engine. The stand-in
-derivation and every query are restated in SQL; only the fixed values
-(labels, code lists, expectation predicates) are shared.
+derivation, labels, code lists, checks and every query are restated in SQL;
+only the queries' parameters (dates, row counts) are shared.
 """
 
 from __future__ import annotations
 
-from ridewx.functions.classify import (
-    TEMPERATURE_BAND_TOP,
-    TEMPERATURE_BANDS,
-    WEATHER_CODE_CLASSES,
-    WEATHER_CODE_CLASSES_COARSE,
-)
-from ridewx.operators.quality import (
-    BRONZE_EXPECTATIONS,
-    SILVER_EXPECTATIONS,
-    TRIP_EXPECTATIONS,
-    TRIP_ROW_CHECKS,
-    WEATHER_ROW_CHECKS,
-)
 from ridewx.plans import catalog
-from ridewx.sources.standin import RAIN_CODES, SNOW_CODES
 
-
-def _in(codes) -> str:
-    return ", ".join(str(c) for c in codes)
-
-
-def category(code: str, classes=WEATHER_CODE_CLASSES, null_label: str | None = "Other") -> str:
-    arms = " ".join(f"WHEN {code} IN ({_in(cs)}) THEN '{label}'" for label, cs in classes)
+# ---------------------------------------------------------------------------
+# Labels, code sets, bands and checks as published.
+CLASSES = {
+    "Clear": "0", "Partly Cloudy": "1, 2, 3", "Foggy": "45, 48", "Drizzle": "51, 53, 55, 56, 57",
+    "Rain": "61, 63, 65, 66, 67", "Snow": "71, 73, 75, 77", "Rain Showers": "80, 81, 82",
+    "Snow Showers": "85, 86", "Thunderstorm": "95, 96, 99"}
+COARSE_CLASSES = {
+    "Clear": "0", "Partly Cloudy": "1, 2, 3", "Rain": "61, 63, 65, 80, 81, 82",
+    "Snow": "71, 73, 75, 85, 86", "Thunderstorm": "95, 96, 99"}
+COARSE_CODES = "0, 1, 2, 3, 61, 63, 65, 80, 81, 82, 71, 73, 75, 85, 86, 95, 96, 99"
+RAIN_CODES = "51, 53, 55, 56, 57, 61, 63, 65, 66, 67, 80, 81, 82"
+SNOW_CODES = "71, 73, 75, 77, 85, 86"
+# (name, action, the row is good)
+BRONZE_CHECKS = [
+    ("valid_datetime", "warn", "datetime IS NOT NULL"),
+    ("reasonable_temperature", "warn", "temperature_2m IS NOT NULL AND temperature_2m >= -50 AND temperature_2m <= 50"),
+    ("valid_humidity", "warn",
+     "relative_humidity_2m IS NOT NULL AND relative_humidity_2m >= 0 AND relative_humidity_2m <= 100"),
+]
+WEATHER_CHECKS = [
+    ("temperature_in_range", "warn", "temperature_2m IS NULL OR (temperature_2m >= -50 AND temperature_2m <= 50)"),
+    ("humidity_in_range", "warn",
+     "relative_humidity_2m IS NULL OR (relative_humidity_2m >= 0 AND relative_humidity_2m <= 100)"),
+    ("precipitation_non_negative", "warn", "precipitation IS NULL OR precipitation >= 0"),
+    ("category_present", "warn", "weather_category IS NOT NULL AND weather_category <> ''"),
+    ("rain_flag_consistent", "warn", "is_raining IS NOT DISTINCT FROM (rain > 0)"),
+]
+TRIP_CHECKS = [
+    ("fare_non_negative", "warn", "fare_amount IS NOT NULL AND fare_amount >= 0"),
+    ("distance_non_negative", "warn", "trip_distance IS NOT NULL AND trip_distance >= 0"),
+    ("pickup_before_dropoff", "warn", "coalesce(tpep_pickup_datetime < tpep_dropoff_datetime, false)"),
+    ("tpep_pickup_datetime_present", "warn", "tpep_pickup_datetime IS NOT NULL"),
+    ("tpep_dropoff_datetime_present", "warn", "tpep_dropoff_datetime IS NOT NULL"),
+    ("pickup_zip_present", "warn", "pickup_zip IS NOT NULL"),
+    ("dropoff_zip_present", "warn", "dropoff_zip IS NOT NULL"),
+    ("trip_distance_present", "warn", "trip_distance IS NOT NULL"),
+    ("fare_amount_present", "warn", "fare_amount IS NOT NULL"),
+]
+SILVER_CHECKS = [
+    ("valid_pickup_datetime", "fail", "tpep_pickup_datetime IS NOT NULL"),
+    ("valid_fare", "drop", "fare_amount IS NOT NULL AND fare_amount >= 0"),
+    ("has_weather_data", "warn", "temperature_2m IS NOT NULL"),
+    ("reasonable_temp", "warn", "temperature_2m IS NOT NULL AND temperature_2m >= -50 AND temperature_2m <= 50"),
+]
+# ---------------------------------------------------------------------------
+
+
+def category(code: str, classes=CLASSES, null_label: str | None = "Other") -> str:
+    arms = " ".join(f"WHEN {code} IN ({codes}) THEN '{label}'" for label, codes in classes.items())
     tail = f" ELSE '{null_label}'" if null_label else ""
     return f"CASE {arms} WHEN {code} IS NOT NULL THEN 'Other'{tail} END"
 
 
 def band(t: str) -> str:
-    arms = " ".join(f"WHEN {t} < {upper} THEN '{label}'" for upper, label in TEMPERATURE_BANDS)
-    return f"CASE {arms} ELSE '{TEMPERATURE_BAND_TOP}' END"
+    return (f"CASE WHEN {t} < 0 THEN 'Freezing (<0°C)' WHEN {t} < 10 THEN 'Cold (0-10°C)'"
+            f" WHEN {t} < 18 THEN 'Cool (10-18°C)' WHEN {t} < 25 THEN 'Comfortable (18-25°C)'"
+            f" WHEN {t} < 30 THEN 'Warm (25-30°C)' ELSE 'Hot (>30°C)' END")
 
 
 def scaled(col: str, places: int = 4) -> str:
@@ -59,8 +88,8 @@ def ratio(num: str, den: str, places: int) -> str:
             f" / {float(10 ** places)}")
 
 
-RAIN_AMOUNT = f"CASE WHEN k IN ({_in(RAIN_CODES)}) THEN c / 100.0 ELSE 0.0 END"
-SNOW_AMOUNT = f"CASE WHEN k IN ({_in(SNOW_CODES)}) THEN c / 100.0 ELSE 0.0 END"
+RAIN_AMOUNT = f"CASE WHEN k IN ({RAIN_CODES}) THEN c / 100.0 ELSE 0.0 END"
+SNOW_AMOUNT = f"CASE WHEN k IN ({SNOW_CODES}) THEN c / 100.0 ELSE 0.0 END"
 
 BASE = f"""
 ev AS (
@@ -95,7 +124,7 @@ wx AS (
   FROM raw),
 hours AS (
   SELECT * EXCLUDE (rn) FROM (
-    SELECT *, row_number() OVER (PARTITION BY date, hour ORDER BY datetime) AS rn FROM wx)
+    SELECT *, row_number() OVER (PARTITION BY date, hour ORDER BY datetime) AS rn FROM wx WHERE datetime IS NOT NULL)
   WHERE rn = 1),
 trips AS (
   SELECT ts AS tpep_pickup_datetime,
@@ -121,14 +150,11 @@ def _with(body: str) -> str:
     return f"WITH {BASE}\n{body}"
 
 
-def _report(expectations, dataset: str, table: str) -> str:
-    parts = []
-    for e in expectations:
-        ok = f"coalesce(({e.predicate}), {'true' if e.null_passes else 'false'})"
-        parts.append(
-            f"SELECT '{dataset}' AS dataset, '{e.name}' AS expectation, '{e.action}' AS action,"
-            f" count(*) AS checked_rows, count(*) FILTER (WHERE NOT {ok}) AS violations FROM {table}")
-    return "\nUNION ALL\n".join(parts)
+def _report(checks, dataset: str, table: str) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{dataset}' AS dataset, '{name}' AS expectation, '{action}' AS action,"
+        f" count(*) AS checked_rows, count(*) FILTER (WHERE NOT ({good})) AS violations FROM {table}"
+        for name, action, good in checks)
 
 
 def _keys(t: str = "t") -> str:
@@ -178,7 +204,7 @@ FROM w""")
     q["classify_code"] = _with(
         f"SELECT event_id, k AS weather_code, {category('k', null_label='Unknown')} AS weather_category FROM ev")
     q["classify_code_coarse"] = _with(
-        f"SELECT event_id, k AS weather_code, {category('k', WEATHER_CODE_CLASSES_COARSE)} AS weather_category FROM ev")
+        f"SELECT event_id, k AS weather_code, {category('k', COARSE_CLASSES)} AS weather_category FROM ev")
     q["temperature_bands"] = _with(
         f"SELECT datetime, temperature_2m, {band('temperature_2m')} AS temperature_band FROM wx")
     q["condition_recode"] = _with("""
@@ -190,10 +216,21 @@ FROM silver""")
         ", joined AS (SELECT t.*, h.temperature_2m FROM trips t LEFT JOIN hours h"
         " ON h.date = CAST(t.tpep_pickup_datetime AS DATE)"
         " AND h.hour = hour(t.tpep_pickup_datetime))\n"
-        + _report(BRONZE_EXPECTATIONS + WEATHER_ROW_CHECKS, "weather_hourly", "wx")
-        + "\nUNION ALL\n" + _report(TRIP_ROW_CHECKS, "trips", "trips")
-        + "\nUNION ALL\n" + _report(TRIP_EXPECTATIONS + SILVER_EXPECTATIONS,
-                                      "taxi_weather_joined", "joined"))
+        + _report(BRONZE_CHECKS + WEATHER_CHECKS, "weather_hourly", "wx")
+        + "\nUNION ALL\n" + _report(TRIP_CHECKS, "trips", "trips")
+        + "\nUNION ALL\n" + _report(SILVER_CHECKS, "taxi_weather_joined", "joined"))
+    q["staged_checks"] = _with(f"""
+, staged AS (SELECT * EXCLUDE (is_raining, weather_category),
+                    precipitation > 0 AS is_raining,
+                    CASE WHEN weather_code IN ({COARSE_CODES}) THEN 'known' END AS weather_category
+             FROM (SELECT *, NULL AS is_raining, NULL AS weather_category FROM raw))
+""" + _report(WEATHER_CHECKS, "weather_raw", "staged"))
+    q["guard_report"] = _with("""
+SELECT count(*) AS observations, count(*) - count(datetime) AS without_time,
+       count(DISTINCT (CAST(datetime AS DATE), hour(datetime))) FILTER (WHERE datetime IS NOT NULL) AS hours,
+       count(datetime) - count(DISTINCT (CAST(datetime AS DATE), hour(datetime)))
+                           FILTER (WHERE datetime IS NOT NULL) AS dropped
+FROM raw""")
     q["expect_drop"] = _with("SELECT * FROM checked")
     q["expect_fail_pass"] = _with("SELECT * FROM trips")
     q["match_rate"] = _with("""
@@ -241,7 +278,7 @@ SELECT {band('temperature_2m')} AS temperature_band, count(*) AS trip_count,
        {rnd('min(t)', 4, 1)} AS min_temp,
        {rnd('max(t)', 4, 1)} AS max_temp
 FROM ({_SCALED_SILVER}) GROUP BY 1""")
-    coarse = category("weather_code", WEATHER_CODE_CLASSES_COARSE, None)
+    coarse = category("weather_code", COARSE_CLASSES, None)
     q["explore_summary"] = _with(f"""
 SELECT weather_category,
        {mean('sum(f)', 'count(f)', 4, 2)} AS avg_fare,

@@ -32,15 +32,18 @@ RECOMMENDED_CONF = {
 }
 
 
-def cluster_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 << 20) -> dict:
-    """Settings sized to the data: about ``target_partition_bytes`` per scan
-    split and per shuffle partition (AQE merges small ones and splits skewed
-    ones at run time), never fewer partitions than cores.
-
-    At 100 TB and 256 MB that is about 400,000 partitions: spillable, and
-    small enough per task that a hot key split by AQE fits in memory.
+def cluster_conf(cores: int, shuffled_bytes: int = 0, target_partition_bytes: int = 256 << 20,
+                 max_partitions: int = 50_000) -> dict:
+    """Settings for a cluster of ``cores``: about ``target_partition_bytes``
+    per scan split and per shuffle partition.
+
+    Shuffle partitions follow the bytes the largest shuffle moves (a partial
+    aggregate's rows, or both sides of a shuffle join), not the bytes read:
+    the driver tracks one size per map task and partition, so partitions
+    that stay empty are not free. AQE merges small ones and splits skewed
+    ones; above ``max_partitions`` partitions grow instead, and spill.
     """
-    partitions = max(cores, -(-input_bytes // target_partition_bytes))
+    partitions = max(cores, min(-(-shuffled_bytes // target_partition_bytes), max_partitions))
     return {
         **RECOMMENDED_CONF,
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),

@@ -12,7 +12,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridewx.functions.classify import WEATHER_CODE_CLASSES
+from ridewx.functions.classify import (
+    WEATHER_CODE_CLASSES,
+    WEATHER_CODE_CLASSES_COARSE,
+    classify_code_coarse,
+)
 from ridewx.schemas import HOURLY_VARIABLES
 from ridewx.session import source_path
 
@@ -62,6 +66,18 @@ def weather_raw(events: DataFrame, *keep: str) -> DataFrame:
     )
 
 
+def weather_staged(events: DataFrame) -> DataFrame:
+    """Observations staged with derived columns (the command's 13-column
+    shape) by a careless loader: the rain flag is taken from precipitation,
+    so snow counts as rain, and codes outside the coarse table have no
+    category. The row checks on staged data find both."""
+    known = [c for _, codes in WEATHER_CODE_CLASSES_COARSE for c in codes]
+    return weather_raw(events).withColumns({
+        "date": F.to_date("datetime"), "hour": F.hour("datetime"),
+        "is_raining": F.col("precipitation") > 0, "is_snowing": F.col("snowfall") > 0,
+        "weather_category": F.when(F.col("weather_code").isin(*known), classify_code_coarse("weather_code"))})
+
+
 def response_documents(events: DataFrame) -> DataFrame:
     """Observations as landed response documents (JSON text), one per day
     and station (the event's user), at full time precision: every staged

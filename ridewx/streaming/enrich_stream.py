@@ -7,24 +7,25 @@ watermark, in append mode: a window is emitted once the watermark passes
 its end and its state is dropped, so state holds only the open windows.
 Trips later than the watermark are dropped, as in any append aggregate.
 
-Sources and sinks are files; the streaming checkpoint lives under the
-session's checkpoint folder, so a restarted query resumes where it
-stopped.
+Sources and sinks are files. The caller names the sink and the streaming
+checkpoint, so a query restarted with the same ones resumes where it
+stopped. The hour table of X1 and X2 is the one read when the query starts;
+``enrich_batches`` reads it anew for every micro-batch.
 """
 
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridewx.functions.timecols import hour_start
 from ridewx.functions.exact import DISTANCE_PLACES, MONEY_PLACES, avg_exact, sum_exact
-from ridewx.operators.enrich import hour_side, size_checked, with_hour_keys
-from ridewx.operators.quality import TRIP_EXPECTATIONS, DROP, FAIL
+from ridewx.operators.enrich import hour_side, join_hours, size_checked, with_hour_keys
+from ridewx.operators.quality import SILVER_EXPECTATIONS, TRIP_EXPECTATIONS, DROP, FAIL
 from ridewx.schemas import WEATHER_JOIN_COLUMNS
-from ridewx.session import scratch_path
 from ridewx.sources import standin
 
 EVENT_TIME = "event_time"
@@ -63,7 +64,27 @@ def enrich_stream(trips: DataFrame, hours: DataFrame,
     keyed = with_hour_keys(trips, time_col)
     joined = keyed.join(side, (keyed["pickup_date"] == side["weather_date"])
                         & (keyed["pickup_hour"] == side["weather_hour"]), "left")
-    return joined.select(*trips.columns, *WEATHER_JOIN_COLUMNS, "pickup_date", "pickup_hour")
+    out = joined.select(*trips.columns, *WEATHER_JOIN_COLUMNS, "pickup_date", "pickup_hour")
+    # The silver layer's warn checks, reported with the query progress.
+    return out.observe("silver_stream", F.count(F.lit(1)).alias("rows"),
+                       *[F.count_if(~e.passes()).alias(e.name) for e in SILVER_EXPECTATIONS])
+
+
+def enrich_batches(trips: DataFrame, hours: Callable[[], DataFrame], out: str, checkpoint: str,
+                   time_col: str = "tpep_pickup_datetime", fmt: str = "parquet") -> str:
+    """X1 with an hour table that may grow: every micro-batch of ``trips``
+    is joined to ``hours()`` as it is then, and written to a folder of its
+    own under ``out`` (overwritten if the batch is run again, so each trip
+    is written once). Processes what is available now; returns ``out``."""
+    columns = [*trips.columns, *WEATHER_JOIN_COLUMNS, "pickup_date", "pickup_hour"]
+
+    def write(batch: DataFrame, number: int) -> None:
+        (join_hours(batch, hours(), "left", time_col).select(*columns)
+         .write.mode("overwrite").format(fmt).save(f"{out}/batch={number}"))
+
+    _finish(trips.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
+    return out
 
 
 def wall_clock_instant(ts_ntz):
@@ -97,21 +118,22 @@ def hourly_stream_metrics(enriched: DataFrame, time_col: str = "tpep_pickup_date
                     "avg_distance"))
 
 
-def run_available(df: DataFrame, label: str, output_mode: str = "append",
-                  fmt: str = "parquet") -> tuple[str, dict]:
-    """Process everything available now into a file sink; return the sink
-    path and the last progress report."""
-    spark = df.sparkSession
-    out = scratch_path(spark, f"{label}-out")
-    query = (df.writeStream.format(fmt).outputMode(output_mode)
-             .option("checkpointLocation", scratch_path(spark, f"{label}-chk"))
-             .trigger(availableNow=True)
-             .start(out))
+def _finish(query) -> dict:
     query.awaitTermination()
-    progress = query.lastProgress or {}
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
-    return out, progress
+    return query.lastProgress or {}
+
+
+def run_available(df: DataFrame, out: str, checkpoint: str, output_mode: str = "append",
+                  fmt: str = "parquet") -> dict:
+    """Process everything available now into the file sink ``out``; return
+    the last progress report. A later call with the same ``out`` and
+    ``checkpoint`` takes up only what is new."""
+    return _finish(df.writeStream.format(fmt).outputMode(output_mode)
+                   .option("checkpointLocation", checkpoint)
+                   .trigger(availableNow=True)
+                   .start(out))
 
 
 def stream_trips(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -113,3 +113,21 @@ def test_changed_source_is_seen_and_types_pass_through(spark, tmp_dir):
     second = join(99.0)
     assert second.first().temperature_2m == 99.0
     assert dict(second.dtypes)["pickup_zip"] == "int" and dict(second.dtypes)["tpep_pickup_datetime"] == "timestamp"
+
+
+def test_guard_ties_do_not_depend_on_order(spark):
+    from ridewx.operators.observations import guard_report, hours_of, unique_hours, type_observations
+    from ridewx.schemas import WEATHER_RAW_SCHEMA
+    t = dt.datetime(2024, 1, 1, 5)
+    rows = [(t, 1.0, 50.0, 0.1, 0.1, None, 3.0, 61), (t, 1.0, 50.0, 0.1, None, 0.1, 3.0, 61),
+            (None, 9.0, 50.0, 0.0, 0.0, 0.0, 3.0, 0)]
+    seen = set()
+    for order in (rows, rows[::-1]):
+        raw = spark.createDataFrame(order, WEATHER_RAW_SCHEMA).coalesce(1)
+        by_raw = hours_of(raw).collect()
+        by_typed = unique_hours(type_observations(raw)).collect()
+        assert len(by_raw) == len(by_typed) == 1  # a row without a time is in no hour
+        seen.add(by_raw[0])
+        r = guard_report(raw).first()
+        assert (r.observations, r.without_time, r.hours, r.dropped) == (3, 1, 1, 1)
+    assert len(seen) == 1

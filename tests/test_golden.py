@@ -1,4 +1,6 @@
-"""Golden results for the 8-trip / 5-observation fixtures (FIXTURES.md §5)."""
+"""Golden results, worked out by hand, for the 13 trips and 10 observations
+of ``fixtures/``: every class, the class "Other", all six bands and one trip
+without an observation."""
 
 import pytest
 
@@ -17,37 +19,48 @@ def silver(fixture_trips, fixture_weather_raw):
 
 def test_bronze_typing(fixture_weather_raw):
     rows = {r.hour: r for r in bronze_weather(fixture_weather_raw).df.collect()}
-    assert rows[9].weather_category == "Rain" and rows[9].is_raining is True
-    assert rows[14].weather_category == "Snow" and rows[14].is_snowing is True
-    assert rows[8].weather_category == "Partly Cloudy" and rows[8].is_raining is False
-    assert rows[12].weather_category == "Clear"
-    assert abs(rows[9].temperature_2m - 3.1) < 1e-6
+    assert [rows[h].weather_category for h in sorted(rows)] == [
+        "Snow", "Foggy", "Drizzle", "Partly Cloudy", "Clear", "Rain", "Rain Showers",
+        "Thunderstorm", "Snow Showers", "Other"]
+    assert [h for h in sorted(rows) if rows[h].is_raining] == [8, 15, 17, 18]
+    assert [h for h in sorted(rows) if rows[h].is_snowing] == [6, 22]
+    assert rows[7].temperature_2m == 4.25
 
 
 def test_silver_keeps_every_trip(silver):
     df, checks = silver
-    assert df.count() == 8
+    assert df.count() == 13
     assert len(df.columns) == 18
     m = {k: v for c in checks for k, v in c.metrics().items()}
-    assert m["valid_fare"] == 0 and m["has_weather_data"] == 0
+    assert m["valid_fare"] == 0 and m["has_weather_data"] == 1
 
 
 def test_weather_impact_summary(silver):
     got = {r.weather_category: tuple(r)[1:] for r in metrics.weather_impact_summary(silver[0]).collect()}
     assert got == {
-        "Clear": (3, 12.25, 1.6, 23.0, 36.75),
-        "Rain": (2, 17.38, 2.5, 3.1, 34.75),
-        "Snow": (2, 27.13, 3.95, -5.2, 54.25),
-        "Partly Cloudy": (1, 15.5, 2.5, 2.5, 15.5),
+        "Snow": (2, 11.25, 2.0, -7.5, 22.5),
+        "Foggy": (1, 21.25, 5.5, 4.3, 21.25),
+        "Drizzle": (1, 18.0, 4.25, 12.0, 18.0),
+        "Partly Cloudy": (1, 6.0, 0.75, 18.0, 6.0),
+        "Clear": (2, 17.0, 4.0, 21.5, 34.0),
+        "Rain": (1, 30.5, 7.5, 26.8, 30.5),
+        "Rain Showers": (1, 13.75, 3.25, 30.0, 13.75),
+        "Thunderstorm": (1, 12.0, 2.5, 33.5, 12.0),
+        "Snow Showers": (1, 9.0, 1.5, -1.0, 9.0),
+        "Other": (1, 17.5, 4.0, 0.0, 17.5),
+        None: (1, 11.0, 2.0, None, 11.0),
     }
 
 
 def test_temperature_band_analysis(silver):
     rows = metrics.temperature_band_analysis(silver[0]).collect()
     assert [tuple(r) for r in rows] == [
-        ("Freezing (<0°C)", 2, 27.13, 3.95, -5.2, -5.2),
-        ("Cold (0-10°C)", 4, 15.31, 2.25, 2.5, 3.5),
-        ("Hot (>30°C)", 2, 12.88, 1.65, 32.8, 32.8),
+        ("Freezing (<0°C)", 3, 10.5, 1.83, -7.5, -1.0),
+        ("Cold (0-10°C)", 2, 19.38, 4.75, 0.0, 4.3),
+        ("Cool (10-18°C)", 1, 18.0, 4.25, 12.0, 12.0),
+        ("Comfortable (18-25°C)", 3, 13.33, 2.92, 18.0, 21.5),
+        ("Warm (25-30°C)", 1, 30.5, 7.5, 26.8, 26.8),
+        ("Hot (>30°C)", 3, 12.25, 2.58, 30.0, 33.5),
     ]
 
 
@@ -56,17 +69,23 @@ def test_hourly_weather_metrics(silver):
     got = [(str(r.pickup_date), r.pickup_hour, r.weather_category, r.trip_count, r.avg_fare,
             r.total_revenue, r.avg_distance) for r in rows]
     assert got == [
-        ("2023-01-15", 8, "Partly Cloudy", 1, 15.5, 15.5, 2.5),
-        ("2023-01-15", 9, "Rain", 2, 17.38, 34.75, 2.5),
-        ("2023-01-15", 10, "Clear", 1, 11.0, 11.0, 1.5),
-        ("2023-02-20", 14, "Snow", 2, 27.13, 54.25, 3.95),
-        ("2023-07-04", 12, "Clear", 2, 12.88, 25.75, 1.65),
+        ("2021-03-02", 6, "Snow", 2, 11.25, 22.5, 2.0),
+        ("2021-03-02", 7, "Foggy", 1, 21.25, 21.25, 5.5),
+        ("2021-03-02", 8, "Drizzle", 1, 18.0, 18.0, 4.25),
+        ("2021-05-11", 13, "Partly Cloudy", 1, 6.0, 6.0, 0.75),
+        ("2021-05-11", 14, "Clear", 2, 17.0, 34.0, 4.0),
+        ("2021-05-11", 15, "Rain", 1, 30.5, 30.5, 7.5),
+        ("2021-08-19", 17, "Rain Showers", 1, 13.75, 13.75, 3.25),
+        ("2021-08-19", 18, "Thunderstorm", 1, 12.0, 12.0, 2.5),
+        ("2021-12-24", 22, "Snow Showers", 1, 9.0, 9.0, 1.5),
+        ("2021-12-24", 23, "Other", 1, 17.5, 17.5, 4.0),
+        ("2021-12-25", 0, None, 1, 11.0, 11.0, 2.0),
     ]
 
 
-def test_match_rate_is_full(silver):
+def test_match_rate(silver):
     r = match_rate(silver[0]).first()
-    assert (r.total_trips, r.matched_trips, r.match_rate, r.meets_threshold) == (8, 8, 1.0, True)
+    assert (r.total_trips, r.matched_trips, r.match_rate, r.meets_threshold) == (13, 12, 12 / 13, True)
 
 
 def test_counts_add_up_across_gold(silver):
@@ -79,51 +98,53 @@ def test_counts_add_up_across_gold(silver):
 
 def test_condition_compare(silver):
     r = metrics.condition_compare(silver[0]).first()
-    # Clear: 11.00, 16.25, 9.50 -> 12.25; Rain: 22.00, 12.75 -> 17.375
-    assert (r.base_trips, r.other_trips) == (3, 2)
-    assert (r.base_avg_fare, r.other_avg_fare) == (12.25, 17.38)
+    # Clear: 24.00, 10.00 -> 17; Rain and Rain Showers: 30.50, 13.75 -> 22.125
+    assert (r.base_trips, r.other_trips) == (2, 2)
+    assert (r.base_avg_fare, r.other_avg_fare) == (17.0, 22.13)
     assert r.fare_difference == 5.13       # 5.125, HALF_UP
-    assert r.pct_change == 41.8            # (17.375 / 12.25 - 1) * 100 = 41.84...
+    assert r.pct_change == 30.1            # (22.125 / 17 - 1) * 100 = 30.14...
 
 
 def test_fare_boxplot(silver):
     from ridewx.operators.stats import fare_boxplot
     rows = {r.weather_condition: r for r in fare_boxplot(silver[0]).collect()}
-    assert set(rows) == {"Clear", "Rain", "Snow", "Partly Cloudy"}
-    clear = rows["Clear"]  # fares 950, 1100, 1625 cents
-    assert (clear.trips, clear.q1_cents, clear.median_cents, clear.q3_cents) == (3, 1025.0, 1100.0, 1362.5)
-    assert (clear.lower_fence_cents, clear.upper_fence_cents) == (518.75, 1868.75)
-    assert (clear.lower_whisker, clear.upper_whisker, clear.outliers) == (9.5, 16.25, 0)
+    assert set(rows) == {"Rain", "Snow", "Foggy", "Partly Cloudy", "Clear", "Other", None}
+    rain = rows["Rain"]  # fares 1200, 1375, 1800, 3050 cents
+    assert (rain.trips, rain.q1_cents, rain.median_cents, rain.q3_cents) == (4, 1331.25, 1587.5, 2112.5)
+    assert (rain.lower_fence_cents, rain.upper_fence_cents) == (159.375, 3284.375)
+    assert (rain.lower_whisker, rain.upper_whisker, rain.outliers) == (12.0, 30.5, 0)
 
 
 def test_rainy_day_ridership(silver):
     got = {r.rainy_day: (r.days, r.total_trips, r.avg_trips_per_day)
            for r in metrics.rainy_day_ridership(silver[0]).collect()}
-    assert got == {True: (1, 4, 4.0), False: (2, 4, 2.0)}
+    assert got == {True: (3, 10, 3.33), False: (1, 2, 2.0), None: (1, 1, 1.0)}
 
 
 def test_explore_summary_coarse_categories(silver):
     got = {r.weather_category: (r.trip_count, r.avg_fare) for r in
            metrics.explore_summary(silver[0]).collect()}
-    assert got == {"Clear": (3, 12.25), "Rain": (2, 17.38), "Snow": (2, 27.13),
-                   "Partly Cloudy": (1, 15.5)}
+    assert got == {"Clear": (2, 17.0), "Partly Cloudy": (1, 6.0), "Rain": (2, 22.13), "Snow": (3, 10.5),
+                   "Thunderstorm": (1, 12.0), "Other": (3, 18.92)}
 
 
 def test_distance_trend_and_bins(silver):
     import numpy as np
 
     from ridewx.operators.stats import distance_by_degree, distance_trend
-    temps = np.array([2.5, 3.1, 3.1, 3.5, -5.2, -5.2, 32.8, 32.8], dtype=np.float32).astype(float)
-    dist = np.array([2.5, 3.2, 1.8, 1.5, 4.1, 3.8, 2.2, 1.1])
+    temps = np.array([-7.5, -7.5, 4.25, 12.0, 18.0, 21.5, 21.5, 26.75, 30.0, 33.5, -1.0, 0.0])
+    dist = np.array([3.0, 1.0, 5.5, 4.25, 0.75, 6.0, 2.0, 7.5, 3.25, 2.5, 1.5, 4.0])
     slope, intercept = np.polyfit(temps, dist, 1)
     r2 = np.corrcoef(temps, dist)[0, 1] ** 2
     t = distance_trend(silver[0]).first()
-    assert t.pairs == 8
+    assert t.pairs == 12
     assert abs(t.slope - slope) < 1e-9 and abs(t.intercept - intercept) < 1e-9
     assert abs(t.r2 - r2) < 1e-9
     bins = {r.temperature_degree: (r.trip_count, r.avg_distance)
             for r in distance_by_degree(silver[0]).collect()}
-    assert bins == {2: (1, 2.5), 3: (3, 2.17), -6: (2, 3.95), 32: (2, 1.65)}
+    assert bins == {
+        -8: (2, 2.0), -1: (1, 1.5), 0: (1, 4.0), 4: (1, 5.5), 12: (1, 4.25), 18: (1, 0.75),
+        21: (2, 4.0), 26: (1, 7.5), 30: (1, 3.25), 33: (1, 2.5)}
 
 
 def test_profile_and_category_counts(fixture_weather_raw):
@@ -131,10 +152,10 @@ def test_profile_and_category_counts(fixture_weather_raw):
     from ridewx.operators.stats import profile_weather
     w = type_observations(fixture_weather_raw)
     p = profile_weather(w).first()
-    assert (p.records, str(p.first_date), str(p.last_date)) == (5, "2023-01-15", "2023-07-04")
-    assert (p.min_temperature, p.max_temperature) == (-5.2, 32.8)
+    assert (p.records, str(p.first_date), str(p.last_date)) == (10, "2021-03-02", "2021-12-24")
+    assert (p.min_temperature, p.max_temperature) == (-7.5, 33.5)
     counts = {r.weather_category: r.observations for r in metrics.category_counts(w).collect()}
-    assert counts == {"Clear": 2, "Partly Cloudy": 1, "Rain": 1, "Snow": 1}
+    assert counts == {"Clear": 1, "Partly Cloudy": 1, "Rain": 2, "Snow": 2, "Thunderstorm": 1, "Other": 3}
 
 
 def test_stream_windows_on_fixture(spark, fixture_trips, fixture_weather_raw, tmp_dir):
@@ -151,15 +172,21 @@ def test_stream_windows_on_fixture(spark, fixture_trips, fixture_weather_raw, tm
     fixture_trips.coalesce(1).write.parquet(folder)
     hours = unique_hours(bronze_weather(fixture_weather_raw).df)
     stream = check_trip_stream(read_file_stream(spark, folder))
-    out, _ = run_available(hourly_stream_metrics(enrich_stream(stream, hours)), "fixture_x2")
+    out = os.path.join(tmp_dir, "out")
+    run_available(hourly_stream_metrics(enrich_stream(stream, hours)), out, os.path.join(tmp_dir, "chk"))
     got = sorted((str(r.window_start), r.weather_category, r.trip_count, r.avg_fare)
                  for r in spark.read.parquet(out).collect())
-    # latest pickup 2023-07-04 12:30, watermark 11:30: the July window stays open
+    # latest pickup 2021-12-25 00:10, watermark 23:10: the last two windows stay open
     assert got == [
-        ("2023-01-15 08:00:00", "Partly Cloudy", 1, 15.5),
-        ("2023-01-15 09:00:00", "Rain", 2, 17.38),
-        ("2023-01-15 10:00:00", "Clear", 1, 11.0),
-        ("2023-02-20 14:00:00", "Snow", 2, 27.13),
+        ("2021-03-02 06:00:00", "Snow", 2, 11.25),
+        ("2021-03-02 07:00:00", "Foggy", 1, 21.25),
+        ("2021-03-02 08:00:00", "Drizzle", 1, 18.0),
+        ("2021-05-11 13:00:00", "Partly Cloudy", 1, 6.0),
+        ("2021-05-11 14:00:00", "Clear", 2, 17.0),
+        ("2021-05-11 15:00:00", "Rain", 1, 30.5),
+        ("2021-08-19 17:00:00", "Rain Showers", 1, 13.75),
+        ("2021-08-19 18:00:00", "Thunderstorm", 1, 12.0),
+        ("2021-12-24 22:00:00", "Snow Showers", 1, 9.0),
     ]
 
 
@@ -168,11 +195,11 @@ def test_enrich_daily_on_fixture(fixture_trips, fixture_weather_raw):
     from ridewx.operators.observations import daily_weather, type_observations
     days = daily_weather(type_observations(fixture_weather_raw))
     rows = enrich_daily(fixture_trips, days).collect()
-    assert len(rows) == 8
-    jan = {(r.observations, r.day_avg_temperature, r.day_min_temperature, r.day_max_temperature,
-            r.day_precipitation, r.day_had_rain, r.day_had_snow)
-           for r in rows if str(r.pickup_date) == "2023-01-15"}
-    assert jan == {(3, 3.0, 2.5, 3.5, 0.2, True, False)}
-    feb = {(r.day_avg_temperature, r.day_precipitation, r.day_had_snow)
-           for r in rows if str(r.pickup_date) == "2023-02-20"}
-    assert feb == {(-5.2, 1.5, True)}
+    assert len(rows) == 12
+    march = {(r.observations, r.day_avg_temperature, r.day_min_temperature, r.day_max_temperature,
+              r.day_precipitation, r.day_had_rain, r.day_had_snow)
+             for r in rows if str(r.pickup_date) == "2021-03-02"}
+    assert march == {(3, 2.9, -7.5, 12.0, 3.0, True, True)}
+    december = {(r.day_avg_temperature, r.day_precipitation, r.day_had_snow)
+                for r in rows if str(r.pickup_date) == "2021-12-24"}
+    assert december == {(-0.5, 0.5, True)}

@@ -105,7 +105,7 @@ def test_silver_fail_check_sees_a_row_alone_in_its_file(spark, tmp_dir):
     good.coalesce(1).write.parquet(os.path.join(tmp_dir, "s"), mode="append")
     bad.coalesce(1).write.parquet(os.path.join(tmp_dir, "s"), mode="append")
     trips = spark.read.parquet(os.path.join(tmp_dir, "s"))
-    silver, _ = enrich_hourly(trips, Inputs.of(spark, SF_SMALL).hours())
+    silver, _ = enrich_hourly(trips, Inputs(spark, SF_SMALL).hours())
     with pytest.raises(PySparkException, match="valid_pickup_datetime"):
         silver.collect()
 
@@ -114,7 +114,7 @@ def test_match_rate_check_warns_below_threshold(spark):
     from ridewx.operators.quality import ExpectationFailed, MatchRateWarning, check_match_rate
     from ridewx.plans.catalog import Inputs
     from tests.conftest import SF_SMALL
-    silver = Inputs.of(spark, SF_SMALL).silver()
+    silver = Inputs(spark, SF_SMALL).silver()
     with pytest.warns(MatchRateWarning, match="188 of 726"):
         row = check_match_rate(silver)  # 25.9 % at sf0.001 (FIXTURES.md)
     assert not row.meets_threshold

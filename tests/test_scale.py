@@ -73,16 +73,16 @@ def test_load_observations_from_landing(spark, tmp_dir):
     landing = os.path.join(tmp_dir, "landing")
     os.makedirs(landing)
     doc = {"latitude": 0.0, "longitude": 0.0, "hourly": {
-        "time": ["2023-01-01T00:00", "2023-01-01T01:00"],
-        "temperature_2m": [2.5, 2.1], "relative_humidity_2m": [85.0, 87.0],
-        "precipitation": [0.0, 0.1], "rain": [0.0, 0.1], "snowfall": [0.0, 0.0],
-        "wind_speed_10m": [12.5, 11.2], "weather_code": [3, 61]}}
+        "time": ["2022-10-30T04:00", "2022-10-30T05:00"],
+        "temperature_2m": [9.5, -4.0], "relative_humidity_2m": [40.0, 99.0],
+        "precipitation": [0.0, 8.25], "rain": [0.0, 8.25], "snowfall": [0.0, 0.0],
+        "wind_speed_10m": [2.0, 30.75], "weather_code": [2, 65]}}
     with open(os.path.join(landing, "w0.json"), "w") as f:
         json.dump(doc, f)
     out = load_observations(spark, landing, os.path.join(tmp_dir, "weather_hourly"))
     rows = {r.hour: r for r in out.collect()}
-    assert rows[0].weather_category == "Partly Cloudy" and rows[1].weather_category == "Rain"
-    assert rows[1].is_raining is True and str(rows[0].date) == "2023-01-01"
+    assert rows[4].weather_category == "Partly Cloudy" and rows[5].weather_category == "Rain"
+    assert rows[5].is_raining is True and str(rows[4].date) == "2022-10-30"
 
 
 def test_hour_helpers_are_zone_free_in_dst_gap(spark):
@@ -101,10 +101,13 @@ def test_hour_helpers_are_zone_free_in_dst_gap(spark):
 
 def test_cluster_conf_sizes_partitions():
     from ridewx.session import cluster_conf
-    conf = cluster_conf(100 * 10**12, cores=8000)
-    assert int(conf["spark.sql.shuffle.partitions"]) == -(-100 * 10**12 // (256 << 20))
+    # sized by what is shuffled, not by what is read
+    conf = cluster_conf(cores=8000, shuffled_bytes=10**12)
+    assert int(conf["spark.sql.shuffle.partitions"]) == max(8000, -(-10**12 // (256 << 20)))
+    assert int(cluster_conf(cores=8)["spark.sql.shuffle.partitions"]) == 8
+    # more than the driver can track is left to larger partitions
+    assert int(cluster_conf(cores=8, shuffled_bytes=10**14)["spark.sql.shuffle.partitions"]) == 50_000
     assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
-    assert int(cluster_conf(10, cores=8)["spark.sql.shuffle.partitions"]) == 8
 
 
 def test_checkpoint_folder_rules():

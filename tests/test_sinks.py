@@ -33,6 +33,8 @@ def test_build_graph_lazily(spark):
     assert set(layers.frames) >= {"weather_hourly", "taxi_weather_joined",
                                   "weather_impact_summary", "hourly_weather_metrics",
                                   "temperature_band_analysis"}
+    # Nothing has run yet: counters are empty, not waited for.
+    assert layers.checks["taxi_weather_joined"][0].metrics(wait=0.1) == {}
     assert layers["taxi_weather_joined"].count() == 726
 
 
