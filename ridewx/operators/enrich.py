@@ -2,9 +2,10 @@
 
 The observation side is one row per hour (or day), so it is tiny next to
 the events. It is broadcast only after a size check: the table is written
-to the checkpoint folder, its row count read back, and a broadcast hint is
-given when the count is under ``max_broadcast_rows``; above it the join
-falls back to a shuffle join, where AQE splits a skewed hour.
+to the checkpoint folder, its rows and bytes read back, and a broadcast hint
+is given when they are within ``max_broadcast_rows`` and
+``MAX_BROADCAST_BYTES``; above it the join falls back to a shuffle join,
+where AQE splits a skewed hour.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ from ridewx.session import materialize_counted
 # An hour row is under 100 bytes: one million rows (114 years of hours)
 # stay under ~100 MB per executor.
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+# The columns are the caller's choice, so bytes are bounded too.
+MAX_BROADCAST_BYTES = 512 << 20
 
 
 @dataclass
@@ -46,8 +49,8 @@ def size_checked(small: DataFrame, label: str,
     """
     if max_broadcast_rows is None:
         return SizedSide(small, -1, False)
-    table, rows = materialize_counted(small, label)
-    if rows <= max_broadcast_rows:
+    table, rows, size = materialize_counted(small, label)
+    if rows <= max_broadcast_rows and size <= MAX_BROADCAST_BYTES:
         return SizedSide(F.broadcast(table), rows, True)
     return SizedSide(table, rows, False)
 
@@ -89,6 +92,17 @@ def join_hours(trips: DataFrame, hours: DataFrame, how: str = "left",
     return joined.drop("weather_date", "weather_hour")
 
 
+def merge_hours(trips: DataFrame, hours: DataFrame, columns: list[str],
+                time_col: str = "tpep_pickup_datetime",
+                max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Left join as the exploration writes it: the named columns of the
+    hour's observation and its ``date`` and ``hour``, NULL without one.
+    ``trips`` must have no columns of these names."""
+    keyed = with_hour_keys(trips, time_col)
+    side = size_checked(hours.select("date", "hour", *columns), "hours", max_broadcast_rows).df
+    return keyed.join(side, (keyed["pickup_date"] == side["date"]) & (keyed["pickup_hour"] == side["hour"]), "left")
+
+
 def check_trips(trips: DataFrame) -> Checked:
     """Trip expectations: fail on a missing pickup time, drop negative fares."""
     return apply_expectations(trips, TRIP_EXPECTATIONS, "trips")

@@ -142,13 +142,16 @@ def condition_compare(silver: DataFrame, base: str = "Clear", other: str = "Rain
     )
 
 
-def rainy_day_ridership(silver: DataFrame) -> DataFrame:
-    """Do rainy days have more trips? Days are rainy when any matched trip
-    that day saw rain; days with no observation form the NULL class."""
-    per_day = silver.groupBy("pickup_date").agg(
-        F.count(F.lit(1)).alias("trips"),
-        F.bool_or("is_raining").alias("rainy_day"),
-    )
+def rainy_day_ridership(trips: DataFrame, hours: DataFrame,
+                        time_col: str = "tpep_pickup_datetime") -> DataFrame:
+    """Do rainy days have more trips? A day is rainy when any of its hours
+    saw rain, with or without a trip in that hour; days with trips but no
+    observation form the NULL class. Both sides are counted per day before
+    they are joined."""
+    rain = hours.groupBy(F.col("date").alias("weather_date")).agg(F.bool_or("is_raining").alias("rainy_day"))
+    per_day = (trips.groupBy(F.to_date(F.col(time_col)).alias("pickup_date"))
+               .agg(F.count(F.lit(1)).alias("trips"))
+               .join(rain, F.col("pickup_date") == F.col("weather_date"), "left"))
     return per_day.groupBy("rainy_day").agg(
         F.count(F.lit(1)).alias("days"),
         F.sum("trips").alias("total_trips"),

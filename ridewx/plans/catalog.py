@@ -11,6 +11,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ridewx.functions.classify import (
     LIBRARY_NULL_LABEL,
@@ -22,12 +23,13 @@ from ridewx.functions.classify import (
 from ridewx.functions.timecols import between_inclusive
 from ridewx.operators import metrics, stats
 from ridewx.operators.sampling import first_rows_by_time
-from ridewx.operators.enrich import check_trips, enrich_daily, enrich_hourly, join_hours
+from ridewx.operators.enrich import check_trips, enrich_daily, enrich_hourly, join_hours, merge_hours
 from ridewx.operators.observations import (
     bronze_weather,
     daily_weather,
     guard_report,
     hours_of,
+    rename_to_units,
     type_observations,
 )
 from ridewx.operators.quality import (
@@ -42,9 +44,11 @@ from ridewx.operators.quality import (
     quality_report,
     quality_reports,
 )
-from ridewx.schemas import TRIP_SCHEMA
+from ridewx.plans import medallion
+from ridewx.schemas import TRIP_SCHEMA, WEATHER_HOURLY_SCHEMA, WEATHER_RAW_SCHEMA
 from ridewx.sources import responses, standin
-from ridewx.sources.tables import read_table
+from ridewx.sources.sinks import write_clustered, write_table
+from ridewx.sources.tables import read_fixture, read_table
 from ridewx.session import scratch_path, source_path
 from ridewx.streaming.enrich_stream import (
     check_trip_stream,
@@ -58,6 +62,9 @@ from ridewx.streaming.enrich_stream import (
 SAMPLE_FROM, SAMPLE_TO, SAMPLE_ROWS = "2024-01-01", "2024-01-30", 10_000
 WINDOW_DAYS = 7
 PREVIEW_ROWS = 5
+REFRESH_FROM, REFRESH_TO = "2024-01-10", "2024-01-12"
+# The exploration's columns.
+EXPLORATION_COLUMNS = ["temperature_c", "precipitation_mm", "weather_category"]
 SAMPLE_COLUMNS = ["pickup_datetime", "dropoff_datetime", "pickup_zip", "dropoff_zip",
                   "trip_distance", "fare_amount"]
 
@@ -158,8 +165,53 @@ def union_chunks(i: Inputs) -> DataFrame:
     return type_observations(responses.union_chunks([notebook_shape, command_shape]))
 
 
+def csv_read_back(i: Inputs) -> DataFrame:
+    """Trips written as CSV with a header, read back as text and
+    typed again."""
+    path = scratch_path(i.spark, "trips") + ".csv"
+    text = i.trips.select(*[F.col(c).cast("string") for c in TRIP_SCHEMA.names])
+    write_table(text, path, fmt="csv", header="true")
+    return read_fixture(i.spark, path).select(
+        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in TRIP_SCHEMA.fields])
+
+
+def json_read_back(i: Inputs) -> DataFrame:
+    """Staged observations written as JSON lines with times as
+    text, read back by schema and typed."""
+    path = scratch_path(i.spark, "weather") + ".json"
+    write_table(i.weather_raw.withColumn("datetime", F.col("datetime").cast("string")), path, fmt="json")
+    schema = StructType([StructField(f.name, StringType() if f.name == "datetime" else f.dataType)
+                         for f in WEATHER_RAW_SCHEMA.fields])
+    return type_observations(read_fixture(i.spark, path, schema, lines=True))
+
+
+def clustered_read_back(i: Inputs) -> DataFrame:
+    """Typed observations with a time, written clustered by date and
+    read back."""
+    path = scratch_path(i.spark, "clustered")
+    write_clustered(i.weather(), path, "date", "datetime")
+    return read_table(i.spark, path).select(*WEATHER_HOURLY_SCHEMA.names)
+
+
+def refresh_silver(i: Inputs) -> DataFrame:
+    """All layers written from trips whose fares were still wrong
+    on some dates; these dates are refreshed and silver is read back."""
+    root = scratch_path(i.spark, "layers")
+    late = F.to_date("tpep_pickup_datetime").between(
+        F.lit(REFRESH_FROM).cast("date"), F.lit(REFRESH_TO).cast("date"))
+    early = i.trips.withColumn("fare_amount", F.when(late, F.col("fare_amount") + 1).otherwise(F.col("fare_amount")))
+    medallion.write_all(early, i.weather_raw, root)
+    return medallion.refresh(i.trips, i.weather_raw, root, REFRESH_FROM, REFRESH_TO)["taxi_weather_joined"]
+
+
 # --- projections and classification --------------------------------------
 
+def unit_names(i: Inputs) -> DataFrame:
+    """Observations with their measures under unit names."""
+    return rename_to_units(i.weather())
+
+
+
 def bronze_weather_q(i: Inputs) -> DataFrame:
     """Typed hourly observations with bronze expectations."""
     return bronze_weather(i.weather_raw).df
@@ -245,6 +297,13 @@ def enrich_hourly_q(i: Inputs) -> DataFrame:
     return i.silver()
 
 
+def merge_hourly(i: Inputs) -> DataFrame:
+    """All trips with three columns of their hour, under unit names and
+    in coarse classes, and the hour's own date and hour."""
+    hours = rename_to_units(i.hours()).withColumn("weather_category", classify_code_coarse("weather_code"))
+    return merge_hours(i.trips, hours, EXPLORATION_COLUMNS)
+
+
 def enrich_daily_q(i: Inputs) -> DataFrame:
     """Trips joined (inner) to the day's observations."""
     return enrich_daily(i.checked_trips(), daily_weather(i.weather()))
@@ -314,7 +373,7 @@ def distance_by_degree(i: Inputs) -> DataFrame:
 
 def rainy_day_ridership(i: Inputs) -> DataFrame:
     """A11."""
-    return metrics.rainy_day_ridership(i.silver())
+    return metrics.rainy_day_ridership(i.checked_trips(), i.hours())
 
 
 # --- streaming ------------------------------------------------------------
@@ -355,6 +414,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "expect_drop": _q(expect_drop),
     "expect_fail_pass": _q(expect_fail_pass),
     "match_rate": _q(match_rate_q),
+    "csv_read_back": _q(csv_read_back),
+    "json_read_back": _q(json_read_back),
+    "clustered_read_back": _q(clustered_read_back),
+    "refresh_silver": _q(refresh_silver),
+    "unit_names": _q(unit_names),
+    "merge_hourly": _q(merge_hourly),
     "unique_hours": _q(unique_hours_q),
     "enrich_hourly": _q(enrich_hourly_q),
     "enrich_daily": _q(enrich_daily_q),

@@ -4,7 +4,8 @@ Each dataset is a function of named inputs; ``build`` resolves them lazily
 in dependency order and returns DataFrames (one plan each, no action).
 ``write_all`` materializes the layers, which is where the expectation
 counters are filled; gold reads the written silver, so the three gold
-tables share one silver computation instead of three.
+tables share one silver computation instead of three. ``refresh`` replaces
+the dates of a range in silver instead of writing it whole.
 """
 
 from __future__ import annotations
@@ -12,13 +13,16 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from typing import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from ridewx.operators import metrics
 from ridewx.operators.enrich import enrich_hourly
 from ridewx.operators.observations import bronze_weather, hours_of
 from ridewx.operators.quality import Checked
-from ridewx.sources.sinks import write_clustered, write_table
+from ridewx.schemas import SILVER_SCHEMA
+from ridewx.sources.sinks import member, replace_dates, write_clustered, write_table
+from ridewx.sources.tables import read_table
 
 
 @dataclass
@@ -81,7 +85,8 @@ def build(trips: DataFrame, weather_raw: DataFrame) -> Layers:
 
 def load_observations(spark, landing_path: str, target: str, fmt: str = "parquet") -> DataFrame:
     """The load step: landed response documents → typed, classified
-    observations written (overwrite) to ``target``, clustered by time.
+    observations written (overwrite) to ``target`` (a table name or a path),
+    clustered by time: the staged table in its 13-column form.
 
     Replaces the serial fetch-and-concatenate loop: every landed document
     is parsed where it lies, and the write replaces the whole table.
@@ -90,27 +95,68 @@ def load_observations(spark, landing_path: str, target: str, fmt: str = "parquet
     from ridewx.sources.responses import read_responses
 
     typed = type_observations(read_responses(spark, landing_path))
-    write_clustered(typed, target, "date", "datetime", fmt=fmt)
-    return spark.read.format(fmt).load(target)
+    write_clustered(typed, target, "date", "datetime", fmt=fmt, partition_by_date=False)
+    return read_table(spark, target, fmt)
 
 
-def write_all(trips: DataFrame, weather_raw: DataFrame, root: str,
+def _write_bronze(layers: Layers, weather_raw: DataFrame, target: str, fmt: str) -> DataFrame:
+    bronze = _bronze(layers, weather_raw)
+    name = member(target, "weather_hourly")
+    # A few rows per date: no date folders.
+    write_clustered(bronze, name, "date", "datetime", fmt=fmt, partition_by_date=False)
+    layers.frames["weather_hourly"] = read_table(bronze.sparkSession, name, fmt)
+    return layers["weather_hourly"]
+
+
+def _write_gold(layers: Layers, target: str, fmt: str) -> None:
+    for ds in GRAPH[2:]:
+        out = ds.fn(layers, layers["taxi_weather_joined"])
+        write_table(out, member(target, ds.name), fmt=fmt)
+        layers.frames[ds.name] = read_table(out.sparkSession, member(target, ds.name), fmt)
+
+
+def read_silver(spark, target: str, fmt: str = "parquet") -> DataFrame:
+    """Written silver in its own column order (a folder column is read back
+    last)."""
+    return read_table(spark, member(target, "taxi_weather_joined"), fmt).select(*SILVER_SCHEMA.names)
+
+
+def write_all(trips: DataFrame, weather_raw: DataFrame, target: str,
               fmt: str = "parquet") -> Layers:
-    """Write every layer under ``root``; each later layer reads the written
-    one. Bronze and silver are written clustered by time."""
-    spark = trips.sparkSession
+    """Write every layer under ``target``, a root path or a schema name; each
+    later layer reads the written one. Bronze and silver are clustered by
+    time."""
     layers = Layers(frames={"trips": trips, "weather_raw": weather_raw})
-    bronze = _bronze(layers, weather_raw)
-    write_clustered(bronze, f"{root}/weather_hourly", "date", "datetime", fmt=fmt)
-    # A folder column is read back last: keep the layer's own order.
-    bronze = spark.read.format(fmt).load(f"{root}/weather_hourly").select(*bronze.columns)
-    silver = _silver(layers, trips, bronze)
-    write_clustered(silver, f"{root}/taxi_weather_joined", "pickup_date",
+    silver = _silver(layers, trips, _write_bronze(layers, weather_raw, target, fmt))
+    write_clustered(silver, member(target, "taxi_weather_joined"), "pickup_date",
                     "tpep_pickup_datetime", fmt=fmt)
-    silver = spark.read.format(fmt).load(f"{root}/taxi_weather_joined").select(*silver.columns)
-    layers.frames.update(weather_hourly=bronze, taxi_weather_joined=silver)
-    for ds in GRAPH[2:]:
-        out = ds.fn(layers, silver)
-        write_table(out, f"{root}/{ds.name}", fmt=fmt)
-        layers.frames[ds.name] = spark.read.format(fmt).load(f"{root}/{ds.name}")
+    layers.frames["taxi_weather_joined"] = read_silver(trips.sparkSession, target, fmt)
+    _write_gold(layers, target, fmt)
+    return layers
+
+
+def _in_dates(time_col: str, first: str, last: str) -> Column:
+    """Whether the time lies on the dates ``first`` to ``last``; a range of
+    the column itself, so that it reaches the scan."""
+    t = F.col(time_col)
+    start = F.lit(first).cast("date").cast("timestamp_ntz")
+    end = F.date_add(F.lit(last).cast("date"), 1).cast("timestamp_ntz")
+    return (t >= start) & (t < end)
+
+
+def refresh(trips: DataFrame, weather_raw: DataFrame, target: str, first: str, last: str,
+            fmt: str = "parquet") -> Layers:
+    """Bring layers written by ``write_all`` up to date for the dates
+    ``first`` to ``last``: only the trips of these dates are read and joined,
+    and only their folders of silver are replaced. Bronze, a few rows per
+    hour, and gold, which sums over all dates, are written anew; gold reads
+    the written silver. A date left without any trip keeps its old rows.
+    Trips without a pickup time lie in no range and are not checked here."""
+    layers = Layers(frames={"trips": trips, "weather_raw": weather_raw})
+    bronze = _write_bronze(layers, weather_raw, target, fmt)
+    silver = _silver(layers, trips.filter(_in_dates("tpep_pickup_datetime", first, last)),
+                     bronze.filter(F.col("date").between(F.lit(first).cast("date"), F.lit(last).cast("date"))))
+    replace_dates(silver, member(target, "taxi_weather_joined"), "pickup_date", "tpep_pickup_datetime", fmt)
+    layers.frames["taxi_weather_joined"] = read_silver(trips.sparkSession, target, fmt)
+    _write_gold(layers, target, fmt)
     return layers

@@ -241,6 +241,19 @@ SELECT count(*) AS total_trips, count(temperature_2m) AS matched_trips,
 FROM silver""")
     q["unique_hours"] = _with("SELECT * FROM hours")
     q["enrich_hourly"] = _with("SELECT * FROM silver")
+    q["csv_read_back"] = _with("SELECT * FROM trips")
+    q["json_read_back"] = _with("SELECT * FROM wx")
+    q["clustered_read_back"] = _with("SELECT * FROM wx")
+    q["refresh_silver"] = _with("SELECT * FROM silver")
+    q["unit_names"] = _with("""
+SELECT datetime, temperature_2m AS temperature_c, relative_humidity_2m, precipitation AS precipitation_mm,
+       rain AS rain_mm, snowfall, wind_speed_10m AS wind_speed_kmh, weather_code, date, hour,
+       is_raining, is_snowing, weather_category FROM wx""")
+    q["merge_hourly"] = _with(f"""
+SELECT t.*, {_keys()}, h.date, h.hour, h.temperature_2m AS temperature_c, h.precipitation AS precipitation_mm,
+       CASE WHEN h.date IS NOT NULL THEN {category('h.weather_code', COARSE_CLASSES, None)} END AS weather_category
+FROM trips t LEFT JOIN hours h
+  ON h.date = CAST(t.tpep_pickup_datetime AS DATE) AND h.hour = hour(t.tpep_pickup_datetime)""")
     q["enrich_daily"] = _with(f"""
 , d AS (
   SELECT date AS weather_date, count(*) AS observations,
@@ -345,8 +358,9 @@ SELECT CAST(floor(CAST(temperature_2m AS DOUBLE)) AS INTEGER) AS temperature_deg
        {mean('sum(d)', 'count(d)', 4, 2)} AS avg_distance
 FROM ({_SCALED_SILVER}) WHERE temperature_2m IS NOT NULL GROUP BY 1""")
     q["rainy_day_ridership"] = _with(f"""
-, d AS (SELECT pickup_date, count(*) AS trips, bool_or(is_raining) AS rainy_day
-        FROM silver GROUP BY pickup_date)
+, d AS (SELECT pickup_date, count(*) AS trips,
+              (SELECT bool_or(is_raining) FROM hours h WHERE h.date = t.pickup_date) AS rainy_day
+        FROM (SELECT CAST(tpep_pickup_datetime AS DATE) AS pickup_date FROM checked) t GROUP BY pickup_date)
 SELECT rainy_day, count(*) AS days, CAST(sum(trips) AS BIGINT) AS total_trips,
        {mean('sum(trips)', 'count(*)', 0, 2)} AS avg_trips_per_day
 FROM d GROUP BY rainy_day""")

@@ -157,14 +157,18 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return materialize_counted(df, label)[0]
 
 
-def materialize_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
-    """``materialize`` that also returns the row count, taken from a
-    counter on the write itself (no second job)."""
+def materialize_counted(df: DataFrame, label: str) -> tuple[DataFrame, int, int]:
+    """``materialize`` that also returns the rows and their bytes as JSON
+    text (names and all, so more than a packed row takes), from counters on
+    the write itself (no second job)."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
     obs = Observation(f"{label}_rows_{uuid.uuid4().hex[:8]}")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path), int(obs.get["rows"])
+    size = F.octet_length(F.to_json(F.struct(*[df[c] for c in df.columns])))
+    df.observe(obs, F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes")
+               ).write.mode("overwrite").parquet(path)
+    counted = obs.get
+    return spark.read.parquet(path), int(counted["rows"]), int(counted["bytes"])
 
 
 def source_path(sf_dir: str, table: str) -> str:

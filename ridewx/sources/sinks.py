@@ -5,22 +5,50 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
+def is_path(name_or_path: str) -> bool:
+    """Paths are recognised by a slash (a URI has one); the rest are names."""
+    return "/" in name_or_path
+
+
+def member(target: str, name: str) -> str:
+    """Table ``name`` of ``target``, a root path or a schema name."""
+    return f"{target.rstrip('/')}/{name}" if is_path(target) else f"{target}.{name}"
+
+
 def write_table(df: DataFrame, name_or_path: str, fmt: str = "parquet",
-                mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
+                mode: str = "overwrite", partition_by: list[str] | None = None, **options: str) -> None:
     """Save ``df`` as a catalog table (unqualified or qualified name) or to
     a path. Overwrite replaces the table atomically per the format's rules."""
-    writer = df.write.mode(mode).format(fmt)
+    writer = df.write.mode(mode).format(fmt).options(**options)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if "/" in name_or_path or "://" in name_or_path:
+    if is_path(name_or_path):
         writer.save(name_or_path)
     else:
         writer.saveAsTable(name_or_path)
 
 
-def write_clustered(df: DataFrame, path: str, date_col: str, time_col: str,
+def replace_dates(df: DataFrame, name_or_path: str, date_col: str, time_col: str,
+                  fmt: str = "parquet") -> None:
+    """Replace the dates that ``df`` holds in a table written by
+    ``write_clustered``; the folders of all other dates are not touched.
+    A date of which ``df`` has no row stays as it is.
+    """
+    out = df.hint("rebalance", date_col).sortWithinPartitions(date_col, time_col)
+    if is_path(name_or_path):
+        (out.write.mode("overwrite").format(fmt).option("partitionOverwriteMode", "dynamic")
+         .partitionBy(date_col).save(name_or_path))
+    else:
+        # Inserts go by position. The table was saved with dynamic overwrite.
+        columns = df.sparkSession.read.table(name_or_path).columns
+        out.select(*columns).write.insertInto(name_or_path, overwrite=True)
+
+
+def write_clustered(df: DataFrame, name_or_path: str, date_col: str, time_col: str,
                     fmt: str = "parquet", partition_by_date: bool = True) -> None:
-    """Write clustered by time: one folder per date, files sorted by time.
+    """Write a table or path clustered by time: one folder per date, files
+    sorted by time. Without date folders (for tables of a few rows per date)
+    the files hold ranges of dates.
 
     ``REBALANCE`` hashes rows by date and lets AQE split a date that holds
     far more rows than the rest into several tasks (and merge small ones),
@@ -29,8 +57,9 @@ def write_clustered(df: DataFrame, path: str, date_col: str, time_col: str,
     Readers filtering on a time range skip whole date folders (partition
     pruning) and row groups (min/max statistics on the sorted time).
     """
-    out = df.hint("rebalance", date_col).sortWithinPartitions(date_col, time_col)
-    writer = out.write.mode("overwrite").format(fmt)
     if partition_by_date:
-        writer = writer.partitionBy(date_col)
-    writer.save(path)
+        out = df.hint("rebalance", date_col).sortWithinPartitions(date_col, time_col)
+        write_table(out, name_or_path, fmt, partition_by=[date_col], partitionOverwriteMode="dynamic")
+    else:
+        out = df.hint("rebalance").sortWithinPartitions(date_col, time_col)
+        write_table(out, name_or_path, fmt)

@@ -25,17 +25,17 @@ def use_namespace(spark: SparkSession, catalog: str | None = None,
         spark.catalog.setCurrentDatabase(schema)
 
 
-def read_fixture(spark: SparkSession, path: str,
-                 schema: T.StructType | None = None) -> DataFrame:
-    """A JSON array file or a CSV file with a header.
+def read_fixture(spark: SparkSession, path: str, schema: T.StructType | None = None,
+                 lines: bool = False) -> DataFrame:
+    """A JSON array file or a CSV file (or folder) with a header.
 
-    JSON is read as one multi-line document (typed by ``schema`` when
-    given); CSV columns stay strings, as nothing is inferred. Any other
+    JSON is read as one multi-line document, or with ``lines`` as one
+    document per line, which splits (typed by ``schema`` when given); CSV columns stay strings, as nothing is inferred. Any other
     suffix is rejected.
     """
     suffix = os.path.splitext(path)[1].lower()
     if suffix == ".json":
-        reader = spark.read.option("multiLine", "true")
+        reader = spark.read.option("multiLine", str(not lines).lower())
         if schema is not None:
             reader = reader.schema(schema)
         return reader.json(path)

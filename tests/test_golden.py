@@ -5,8 +5,8 @@ without an observation."""
 import pytest
 
 from ridewx.operators import metrics
-from ridewx.operators.enrich import enrich_hourly
-from ridewx.operators.observations import bronze_weather, unique_hours
+from ridewx.operators.enrich import check_trips, enrich_hourly
+from ridewx.operators.observations import bronze_weather, hours_of, unique_hours
 from ridewx.operators.quality import match_rate
 
 
@@ -115,9 +115,10 @@ def test_fare_boxplot(silver):
     assert (rain.lower_whisker, rain.upper_whisker, rain.outliers) == (12.0, 30.5, 0)
 
 
-def test_rainy_day_ridership(silver):
+def test_rainy_day_ridership(fixture_trips, fixture_weather_raw):
+    trips, hours = check_trips(fixture_trips).df, hours_of(fixture_weather_raw)
     got = {r.rainy_day: (r.days, r.total_trips, r.avg_trips_per_day)
-           for r in metrics.rainy_day_ridership(silver[0]).collect()}
+           for r in metrics.rainy_day_ridership(trips, hours).collect()}
     assert got == {True: (3, 10, 3.33), False: (1, 2, 2.0), None: (1, 1, 1.0)}
 
 
@@ -203,3 +204,10 @@ def test_enrich_daily_on_fixture(fixture_trips, fixture_weather_raw):
     december = {(r.day_avg_temperature, r.day_precipitation, r.day_had_snow)
                 for r in rows if str(r.pickup_date) == "2021-12-24"}
     assert december == {(-0.5, 0.5, True)}
+
+
+def test_rain_in_an_hour_without_a_trip_makes_the_day_rainy(spark):
+    trips = spark.sql("SELECT TIMESTAMP_NTZ'2022-02-02 10:00:00' AS tpep_pickup_datetime")
+    hours = spark.sql("""SELECT * FROM VALUES (DATE'2022-02-02', 10, false), (DATE'2022-02-02', 3, true)
+                         AS h(date, hour, is_raining)""")
+    assert [r.rainy_day for r in metrics.rainy_day_ridership(trips, hours).collect()] == [True]

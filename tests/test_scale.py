@@ -141,3 +141,11 @@ def test_checkpoint_folder_rules():
         checkpoint_dir(Session("k8s://api", {}))
     # local mode gets a temporary folder
     assert checkpoint_dir(Session("local[2]", {})).startswith("/")
+
+
+def test_wide_hour_table_is_not_broadcast(spark, monkeypatch):
+    from ridewx.operators import enrich
+    wide = spark.range(50).select(F.lit("x" * 1000).alias("note"), "id")
+    assert enrich.size_checked(wide, "wide").broadcast
+    monkeypatch.setattr(enrich, "MAX_BROADCAST_BYTES", 40_000)
+    assert not enrich.size_checked(wide, "wide").broadcast

@@ -51,6 +51,49 @@ def test_write_all_layers(spark, tmp_dir):
     assert m["weather_hourly"]["reasonable_temperature"] == 35
 
 
+def _files(folder):
+    return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns
+            for d, _, fs in os.walk(folder) for f in fs if f.endswith(".parquet")}
+
+
+def test_refresh_replaces_only_its_dates(spark, tmp_dir):
+    from pyspark.sql import functions as F
+    i = Inputs(spark, SF_SMALL)
+    root = os.path.join(tmp_dir, "layers")
+    medallion.write_all(i.trips.withColumn("fare_amount", F.col("fare_amount") + 1), i.weather_raw, root)
+    before = _files(f"{root}/taxi_weather_joined")
+    out = medallion.refresh(i.trips, i.weather_raw, root, "2024-01-03", "2024-01-04")
+    after = _files(f"{root}/taxi_weather_joined")
+    dates = {p.split("pickup_date=")[1][:10] for p in before.keys() ^ after.keys()}
+    assert dates == {"2024-01-03", "2024-01-04"}
+    assert all(after[p] == t for p, t in before.items() if p in after)
+    silver, day = out["taxi_weather_joined"], F.col("pickup_date").between("2024-01-03", "2024-01-04")
+    right = i.silver()
+    fares = lambda df: sorted(r.fare_amount for r in df.select("fare_amount").collect())
+    assert fares(silver.filter(day)) == fares(right.filter(day))
+    assert silver.columns == right.columns
+    # Elsewhere the old fares, one higher, which also keeps more trips.
+    assert silver.filter(~day).count() >= right.filter(~day).count()
+    assert sum(r.trip_count for r in out["weather_impact_summary"].collect()) == silver.count()
+    # Bronze has no date folders.
+    assert not [p for p in _files(f"{root}/weather_hourly") if "date=" in p]
+
+
+def test_layers_as_catalog_tables(spark):
+    i = Inputs(spark, SF_SMALL)
+    spark.sql("CREATE DATABASE IF NOT EXISTS ridewx_layers")
+    try:
+        medallion.write_all(i.trips.limit(0), i.weather_raw, "ridewx_layers")
+        assert spark.table("ridewx_layers.taxi_weather_joined").count() == 0
+        medallion.write_all(i.trips, i.weather_raw, "ridewx_layers")
+        assert spark.table("ridewx_layers.taxi_weather_joined").count() == 726
+        out = medallion.refresh(i.trips, i.weather_raw, "ridewx_layers", "2024-01-02", "2024-01-02")
+        assert out["taxi_weather_joined"].count() == 726
+        assert sorted(map(str, out["taxi_weather_joined"].collect())) == sorted(map(str, i.silver().collect()))
+    finally:
+        spark.sql("DROP DATABASE IF EXISTS ridewx_layers CASCADE")
+
+
 def test_catalog_tables_by_qualified_name(spark):
     from ridewx.sources.tables import use_namespace
     spark.sql("CREATE DATABASE IF NOT EXISTS ridewx_test")
