@@ -17,7 +17,9 @@ the room by itself has a window of its own, marked ``over_budget``. Tokens
 of a turn are estimated as 4 + one for each 4 characters as rendered.
 
 Conversations are worked on in segments of ``SEGMENT`` turns (a window does
-not cross one), so a long conversation is many small groups.
+not cross one), so a long conversation is many small groups. Turns are
+numbered in two levels, inside ranges of ``RANGE`` turn values and over the
+ranges' counts, so no task sorts a whole conversation.
 
 Defined results: null text and role are empty; turns are ordered by turn,
 role, text (null turns first); repeated rows are turns of their own; null
@@ -30,6 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUDGET, HISTORY, HISTORY_TURNS, SEGMENT = 2048, 256, 2, 128
+RANGE = 1024
 SYSTEM, TARGET = "system", "assistant"
 END = "<|end|>\n"
 
@@ -54,6 +57,19 @@ def _fold(values: Column, zero: Column, step) -> Column:
     return F.aggregate(values, zero, step)
 
 
+def numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``at``, their place in their conversation from 0."""
+    # One struct as the key: it is never null, and joins and windows by it
+    # share a partitioning.
+    rows = rows.withColumn("range", F.struct("conv_id", F.floor(F.col("turn") / RANGE).alias("k")))
+    earlier = Window.partitionBy("range.conv_id").orderBy("range.k").rowsBetween(Window.unboundedPreceding, -1)
+    counts = (rows.groupBy("range").agg(F.count(F.lit(1)).alias("n"))
+              .select("range", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")))
+    inside = F.row_number().over(Window.partitionBy("range").orderBy("turn", "role", "text"))
+    return (rows.withColumn("at", inside).join(counts, "range")
+            .withColumn("at", (F.col("before") + F.col("at") - 1)).drop("range", "before"))
+
+
 def windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY,
             history_turns: int = HISTORY_TURNS) -> DataFrame:
     """conv_id, segment, span (order of the windows), text, turns, repeated
@@ -62,10 +78,8 @@ def windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY,
     text, role = (F.coalesce(turns[c], F.lit("")) for c in ("text", "role"))
     rows = turns.select(turns["conv_id"].alias("conv_id"), turns["turn"].alias("turn"),
                         role.alias("role"), text.alias("text"))
-    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
     tokens = 4 + F.ceil((F.char_length(escape(F.col("text"))) + F.char_length("role")) / 4)
-    rows = (rows.withColumn("at", F.row_number().over(order) - 1)
-            .withColumn("tokens", tokens.cast("long")))
+    rows = numbered(rows).withColumn("tokens", tokens.cast("long"))
     is_system = (F.col("at") == 0) & (F.col("role") == SYSTEM)
     system = rows.filter(is_system).select(
         F.col("conv_id").alias("sys_conv"), F.struct("role", "text", "tokens").alias("system"))

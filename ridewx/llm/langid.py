@@ -4,8 +4,9 @@ Features are hashed byte n-grams (1 to 3 bytes, inside runs of letters and
 the gaps around them, ASCII lower-cased) as log counts times inverse document
 frequency, scaled to length one. Document frequencies cover all training
 rows. Weights are fitted with follow-the-regularised-leader with proximal
-L1 and L2 penalties on at most ``SAMPLE_PER_LABEL`` rows of each label (a
-hash of doc_id chooses), and a temperature is fitted on a part of the
+L1 and L2 penalties on at most ``SAMPLE_PER_LABEL`` rows of each label and
+``SAMPLE_ROWS`` in all (a hash of doc_id chooses; rows without one are not
+learned from), and a temperature is fitted on a part of the
 sample that training doesn't see. Predictions use the text alone.
 
 Defined results: null text, empty text and text without a letter are
@@ -31,6 +32,8 @@ DIM = 1 << BITS
 UNKNOWN = "und"
 #: Bound of the fitted sample: expected rows of a label (texts are whole).
 SAMPLE_PER_LABEL = 1500
+#: The same for all labels together: DIM floats each, about 256 MB.
+SAMPLE_ROWS = 16_000
 EPOCHS, BATCH, ALPHA, BETA, L1, L2 = 4, 32, 0.5, 1.0, 1e-3, 1e-4
 _DOCS = 256
 
@@ -150,18 +153,20 @@ class Model:
 
 def train(docs: DataFrame, is_training: Column) -> Model:
     """Fit on the rows of ``docs`` (doc_id, text, lang) where
-    ``is_training`` holds, lang is known and the text has a letter."""
+    ``is_training`` holds, doc_id and lang are known and the text has a
+    letter."""
     rows = docs.filter(is_training).select(docs["doc_id"], docs["text"], docs["lang"]).filter(
-        "lang is not null and text is not null and text rlike '\\\\p{L}'")
+        "doc_id is not null and lang is not null and text is not null and text rlike '\\\\p{L}'")
     df = (rows.select("text").mapInArrow(_frequencies, "slot long, n long")
           .groupBy("slot").agg(F.sum("n").alias("n")).toPandas())
     sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    n = sizes.agg(F.sum("n")).first()[0] or 0
+    n, labels = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    per_label = min(SAMPLE_PER_LABEL, SAMPLE_ROWS / max(1, labels))
     freq = np.zeros(DIM)
     freq[df["slot"]] = df["n"]
     idf = np.log((1 + n) / (1 + freq)) + 1
     unit = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / (1 << 20)
-    sample = (rows.join(sizes, "lang").filter(unit * F.col("n") < SAMPLE_PER_LABEL)
+    sample = (rows.join(sizes, "lang").filter(unit * F.col("n") < per_label)
               .select("text", "lang").repartition(1))
     found = sample.mapInArrow(_fit(idf), "langs array<string>, model binary").first()
     if found is None:

@@ -236,6 +236,18 @@ def test_chat_windows_round_trip(spark):
     assert chat_windows.read_back(chat_windows.windows(df.filter("conv_id = 77"))).count() == 0
 
 
+def test_turn_numbers_match_one_sort(spark):
+    rows = [(c, t, r, x) for c in (1, 2, None) for t in (None, None, -3, 0, 1023, 1024, 1024, 5000)
+            for r, x in (("user", "b"), ("assistant", "a"))]
+    random.shuffle(rows)
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = chat_windows.numbered(df).collect()
+    for c in (1, 2, None):
+        mine = sorted((r for r in rows if r[0] == c), key=lambda r: (r[1] is not None, r[1] or 0, r[2:]))
+        assert [tuple(r)[:4] for r in sorted((g for g in got if g.conv_id == c), key=lambda g: g.at)] == mine
+        assert sorted(g.at for g in got if g.conv_id == c) == list(range(len(mine)))
+
+
 def fill(sizes):
     order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
     weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}
