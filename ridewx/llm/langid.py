@@ -166,7 +166,8 @@ def train(docs: DataFrame, is_training: Column) -> Model:
     freq[df["slot"]] = df["n"]
     idf = np.log((1 + n) / (1 + freq)) + 1
     unit = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / (1 << 20)
-    sample = (rows.join(sizes, "lang").filter(unit * F.col("n") < per_label)
+    # One count per label, far smaller than the label's weights in the model.
+    sample = (rows.join(F.broadcast(sizes), "lang").filter(unit * F.col("n") < per_label)
               .select("text", "lang").repartition(1))
     found = sample.mapInArrow(_fit(idf), "langs array<string>, model binary").first()
     if found is None:
