@@ -9,7 +9,9 @@ is drawn from one bucket.
 Ids equal those of the tokenizers library. They are computed with tiktoken
 from the same vocabulary as ranks, with a possessive spelling of the same
 split pattern (about three times faster); texts that hold the special
-string go through the tokenizers library itself.
+string, and texts that tiktoken's regex refuses (white-space runs of more
+than about a million characters), go whole through the tokenizers library
+itself.
 
 Defined results: null text is empty, a document then has only the end id;
 repeated rows are packed each on its own; an empty table gives no piece.
@@ -44,11 +46,14 @@ def encoder(ranks_path: str, json_path: str):
     slow: list = []
 
     def ids(text: str) -> np.ndarray:
-        if SPECIAL in text:
-            if not slow:
-                slow.append(Tokenizer.from_file(json_path))
-            return np.array(slow[0].encode(text, add_special_tokens=False).ids, np.uint32)
-        return np.asarray(fast.encode_to_numpy(text), np.uint32)
+        if SPECIAL not in text:
+            try:
+                return np.asarray(fast.encode_to_numpy(text), np.uint32)
+            except ValueError:  # the regex ran out of its backtracking stack
+                pass
+        if not slow:
+            slow.append(Tokenizer.from_file(json_path))
+        return np.array(slow[0].encode(text, add_special_tokens=False).ids, np.uint32)
 
     return ids
 

@@ -161,6 +161,22 @@ def test_packing_round_trip(docs, none):
         pow2_pack.pack(docs, seq_len=1000)
 
 
+def test_packing_of_texts_the_fast_encoder_refuses(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["before", "a" + " " * 1_100_000 + "b", "c" + "\u3000" * 1_100_000 + "d", "after"]
+    pieces = collections.defaultdict(list)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    for p in pow2_pack.pack(df).collect():
+        pieces[p.doc_id].append(p)
+    for doc_id, text in enumerate(texts):
+        want = tok.encode(text, add_special_tokens=False).ids + [1]
+        got = b"".join(bytes(p.ids) for p in sorted(pieces[doc_id], key=lambda p: p.start))
+        assert got == np.array(want, "<u4").tobytes()
+
+
 def repeats(rows):
     seen, out = set(), {}
     for key in sorted(rows, key=lambda k: (k[0] is None, k[0] or 0, k[1])):
