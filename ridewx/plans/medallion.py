@@ -150,13 +150,14 @@ def refresh(trips: DataFrame, weather_raw: DataFrame, target: str, first: str, l
     ``first`` to ``last``: only the trips of these dates are read and joined,
     and only their folders of silver are replaced. Bronze, a few rows per
     hour, and gold, which sums over all dates, are written anew; gold reads
-    the written silver. A date left without any trip keeps its old rows.
+    the written silver. A date left without any trip is emptied.
     Trips without a pickup time lie in no range and are not checked here."""
     layers = Layers(frames={"trips": trips, "weather_raw": weather_raw})
     bronze = _write_bronze(layers, weather_raw, target, fmt)
     silver = _silver(layers, trips.filter(_in_dates("tpep_pickup_datetime", first, last)),
                      bronze.filter(F.col("date").between(F.lit(first).cast("date"), F.lit(last).cast("date"))))
-    replace_dates(silver, member(target, "taxi_weather_joined"), "pickup_date", "tpep_pickup_datetime", fmt)
+    replace_dates(silver, member(target, "taxi_weather_joined"), "pickup_date", "tpep_pickup_datetime",
+                  first, last, fmt)
     layers.frames["taxi_weather_joined"] = read_silver(trips.sparkSession, target, fmt)
     _write_gold(layers, target, fmt)
     return layers

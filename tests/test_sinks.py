@@ -1,5 +1,7 @@
 import os
 
+import pytest
+
 from ridewx.plans import medallion
 from ridewx.plans.catalog import Inputs
 from ridewx.sources.sinks import write_clustered, write_table
@@ -79,6 +81,38 @@ def test_refresh_replaces_only_its_dates(spark, tmp_dir):
     assert not [p for p in _files(f"{root}/weather_hourly") if "date=" in p]
 
 
+@pytest.mark.parametrize("as_table", [False, True])
+def test_refresh_empties_dates_that_lose_all_trips(spark, tmp_dir, as_table):
+    from pyspark.sql import functions as F
+    i = Inputs(spark, SF_SMALL)
+    day = F.to_date("tpep_pickup_datetime")
+    # One date withdrawn, one whose fares now all fail the drop check.
+    late = (i.trips.filter(day != F.lit("2024-01-03").cast("date"))
+            .withColumn("fare_amount", F.when(day == F.lit("2024-01-04").cast("date"), -1.0)
+                        .otherwise(F.col("fare_amount"))))
+    root, whole = ("ridewx_lost", "ridewx_whole") if as_table else (f"{tmp_dir}/lost", f"{tmp_dir}/whole")
+    content = lambda layers: {n: sorted(map(str, layers[n].collect())) for n in (
+        "taxi_weather_joined", "weather_impact_summary", "hourly_weather_metrics", "temperature_band_analysis")}
+    try:
+        if as_table:
+            for name in (root, whole):
+                spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+        old = medallion.write_all(i.trips, i.weather_raw, root)["taxi_weather_joined"]
+        assert {str(r[0]) for r in old.select("pickup_date").distinct().collect()} >= {"2024-01-03", "2024-01-04"}
+        want = content(medallion.write_all(late, i.weather_raw, whole))
+        # The range also holds dates that keep their trips.
+        for _ in range(2):
+            assert content(medallion.refresh(late, i.weather_raw, root, "2024-01-03", "2024-01-05")) == want
+        # No date is left, then all come back.
+        gone = medallion.refresh(late.limit(0), i.weather_raw, root, "2000-01-01", "2100-01-01")
+        assert not any(content(gone).values())
+        assert content(medallion.refresh(late, i.weather_raw, root, "2000-01-01", "2100-01-01")) == want
+    finally:
+        if as_table:
+            for name in (root, whole):
+                spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+
+
 def test_layers_as_catalog_tables(spark):
     i = Inputs(spark, SF_SMALL)
     spark.sql("CREATE DATABASE IF NOT EXISTS ridewx_layers")
