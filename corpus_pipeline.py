@@ -17,15 +17,11 @@ from ridewx.llm import bagminhash, golomb_dedup, langid, mixing, pow2_pack
 from ridewx.llm.common import cut, without_rows
 from ridewx.llm.queries import fold, table
 
-#: A document leaves when its language is unknown or less likely than this.
-LEAST_LANGUAGE_SCORE = 0.4
-
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents whose language is known with some confidence."""
+    """Keep documents whose language is known, however close the next one."""
     model = langid.train(docs, ~fold("doc_id", 4, 2))
-    rejected = (F.col("lang_pred") == langid.UNKNOWN) | (F.col("score") < LEAST_LANGUAGE_SCORE)
-    return without_rows(docs, langid.predict(docs, model).filter(rejected))
+    return without_rows(docs, langid.predict(docs, model).filter(F.col("lang_pred") == langid.UNKNOWN))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -407,6 +407,19 @@ def test_pipeline_stages(spark, tmp_dir, docs):
     assert tokens == seen["mixing"].count()
 
 
+def test_pipeline_keeps_documents_between_languages(spark, monkeypatch):
+    import corpus_pipeline
+
+    # Three languages of one and the same text: none is likelier than a third.
+    rows = [(i, "ab cd ef", lang, "s") for i, lang in enumerate(["da", "nb", "sv"] * 40)] + [(500, "123", "da", "s")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").coalesce(1)
+    monkeypatch.setattr(corpus_pipeline, "fold", lambda *_: F.lit(False))
+    scores = langid.predict(df, langid.train(df, F.lit(True))).filter("doc_id < 500").collect()
+    assert all(r.lang_pred != langid.UNKNOWN and r.score < 0.4 for r in scores)
+    kept = corpus_pipeline.identify_language(spark, df, "").select("doc_id").collect()
+    assert {r.doc_id for r in kept} == set(range(120))
+
+
 def test_row_keys_stay_when_executors_change(spark, tmp_dir):
     path = f"{tmp_dir}/many_files"
     spark.range(400).selectExpr("id AS doc_id", "cast(id AS string) AS text").repartition(16).write.parquet(path)
