@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridewx.llm import (bagminhash, chat_windows, golomb_dedup, langid, line_rules, mixing, pow2_pack,
-                        quality_crf, suffix_trees, toxicity_gbt)
+from ridewx.llm import (bagminhash, chat_windows, collision_projections, golomb_dedup, langid, line_rules, mixing,
+                        pow2_pack, prefix_trie, quality_crf, setm_phrases, suffix_trees, toxicity_gbt)
 from ridewx.llm.common import SPACE_RUN
 from ridewx.sources.tables import read_table
 
@@ -96,6 +96,21 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector at cosine 0.9."""
+    return collision_projections.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the rebuilt conversations' prefix trie, with subtree totals."""
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first collocations of every lang."""
+    return setm_phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of corpus_pipeline.py over documents."""
     import corpus_pipeline
@@ -106,7 +121,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_langid, op2_quality_crf, op3_near_dedup, op4_packing, op5_exact_dedup,
                             op6_quality_rules, op7_toxicity, op8_substring_dedup, op9_chat_format,
-                            op10_mixing, pipeline)}
+                            op10_mixing, op11_embedding_dedup, op12_prefix_trie, op13_collocations,
+                            pipeline)}
 
 _EXACT = f"""
 WITH n AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '{SPACE_RUN}', ' ', 'g')) AS text_sha256,
@@ -175,4 +191,7 @@ ORACLE_SQL: dict[str, str] = {
     "op6_quality_rules": line_rules.ORACLE_SQL,
     "op8_substring_dedup": _WINDOWED,
     "op9_chat_format": _CHAT,
+    "op11_embedding_dedup": collision_projections.ORACLE_SQL,
+    "op12_prefix_trie": prefix_trie.ORACLE_SQL,
+    "op13_collocations": setm_phrases.ORACLE_SQL,
 }
