@@ -111,13 +111,16 @@ def check_trips(trips: DataFrame) -> Checked:
 def enrich_hourly(trips: DataFrame, hours: DataFrame,
                   time_col: str = "tpep_pickup_datetime",
                   max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
-                  observe: bool = True) -> tuple[DataFrame, list[Checked]]:
+                  observe: bool = True, stop: bool = True) -> tuple[DataFrame, list[Checked]]:
     """The silver layer: trips left-joined to their hour, with the layer's
     expectations applied to the joined rows in one step (fail on a missing
     pickup time, then one set of counters, then drop negative fares), so
     every counter sees the same rows, as for any declared dataset.
 
-    ``observe=False`` keeps the fail and drop checks but no warn counters.
+    ``observe=False`` keeps the fail and drop checks but no warn counters;
+    ``stop=False`` counts the fail check instead of raising, for a staged
+    write. Unless ``max_broadcast_rows`` is None, the hour table is written
+    and counted while this is called.
     Trip columns keep their types (TIMESTAMP or TIMESTAMP_NTZ times, zips of
     any type). Returns the 18-column table and the checks, whose counters
     fill after the first action.
@@ -125,7 +128,7 @@ def enrich_hourly(trips: DataFrame, hours: DataFrame,
     joined = join_hours(trips, hours, "left", time_col, max_broadcast_rows=max_broadcast_rows)
     out = joined.select(*trips.columns, *WEATHER_JOIN_COLUMNS, "pickup_date", "pickup_hour")
     expectations = TRIP_EXPECTATIONS + (SILVER_EXPECTATIONS if observe else [])
-    checked = apply_expectations(out, expectations, "taxi_weather_joined")
+    checked = apply_expectations(out, expectations, "taxi_weather_joined", stop)
     return checked.df, [checked]
 
 

@@ -5,6 +5,11 @@ a category or hour holding a third of all trips still ships one partial
 row per task. Money, distance and temperature averages are exact HALF_UP
 (see ``functions.exact``). Sorting is a presentation step (``ordered``),
 as a stored table has no order.
+
+``gold_state`` holds what the three gold tables need of the trips of each
+date, in a form that adds up: counts and exact integer sums per hour and
+its conditions. ``*_from_state`` finish a gold table from any set of such
+rows, so a change of some dates costs only these dates' trips.
 """
 
 from __future__ import annotations
@@ -21,6 +26,7 @@ from ridewx.functions.exact import (
     max_exact,
     mean_half_up,
     min_exact,
+    round_scaled,
     scaled,
     sum_exact,
 )
@@ -78,6 +84,55 @@ def temperature_band_analysis(silver: DataFrame, ordered: bool = True,
                        band_order("temperature_band")) if ordered else out
 
 
+STATE_KEYS = ["pickup_date", "pickup_hour", "weather_category", "temperature_2m", "is_raining", "is_snowing"]
+
+
+def gold_state(silver: DataFrame) -> DataFrame:
+    """Mergeable state of the gold tables: per pickup hour and its observed
+    conditions the trips, and the counts and sums of known fares and
+    distances in whole 10**-places units. Rows of one key add up."""
+    fare, distance = scaled("fare_amount", MONEY_PLACES), scaled("trip_distance", DISTANCE_PLACES)
+    return silver.groupBy(*STATE_KEYS).agg(
+        F.count(F.lit(1)).alias("trips"), F.count(fare).alias("fares"), F.sum(fare).alias("fare_sum"),
+        F.count(distance).alias("distances"), F.sum(distance).alias("distance_sum"))
+
+
+def _of_state() -> dict:
+    return {"trip_count": F.sum("trips"),
+            "avg_fare": mean_half_up(F.sum("fare_sum"), F.sum("fares"), MONEY_PLACES, 2),
+            "avg_distance": mean_half_up(F.sum("distance_sum"), F.sum("distances"), DISTANCE_PLACES, 2),
+            "total_revenue": round_scaled(F.sum("fare_sum"), MONEY_PLACES, 2)}
+
+
+def _finished(state: DataFrame, keys: list[str], columns: list[str], **more) -> DataFrame:
+    known = {**_of_state(), **more}
+    return state.groupBy(*keys).agg(*[known[c].alias(c) for c in columns])
+
+
+def summary_from_state(state: DataFrame) -> DataFrame:
+    """``weather_impact_summary`` of the trips behind ``state``. All trips of
+    a state row share their temperature."""
+    t = scaled("temperature_2m", TEMPERATURE_PLACES)
+    mean = mean_half_up(F.sum(t * F.col("trips")), F.sum(F.when(t.isNotNull(), F.col("trips"))),
+                        TEMPERATURE_PLACES, 1)
+    return _finished(state, ["weather_category"],
+                     ["trip_count", "avg_fare", "avg_distance", "avg_temperature", "total_revenue"],
+                     avg_temperature=mean)
+
+
+def hourly_from_state(state: DataFrame) -> DataFrame:
+    """``hourly_weather_metrics`` of the trips behind ``state``."""
+    return _finished(state, STATE_KEYS, ["trip_count", "avg_fare", "total_revenue", "avg_distance"])
+
+
+def bands_from_state(state: DataFrame, null_band: str | None = None) -> DataFrame:
+    """``temperature_band_analysis`` of the trips behind ``state``."""
+    return _finished(state.withColumn("temperature_band", temperature_band("temperature_2m", null_band)),
+                     ["temperature_band"], ["trip_count", "avg_fare", "avg_distance", "min_temp", "max_temp"],
+                     min_temp=min_exact("temperature_2m", TEMPERATURE_PLACES, 1),
+                     max_temp=max_exact("temperature_2m", TEMPERATURE_PLACES, 1))
+
+
 def explore_summary(silver: DataFrame, ordered: bool = True) -> DataFrame:
     """The exploration's summary: coarse category, trips counted by known
     fares, everything rounded to two places; trips without an observation

@@ -26,8 +26,10 @@ def rename_to_units(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed({k: v for k, v in UNIT_NAMES.items() if k in df.columns})
 
 
-def type_observations(raw: DataFrame, null_label: str = PIPELINE_NULL_LABEL) -> DataFrame:
-    """Staged rows (either staged shape) → typed hourly observations.
+def type_observations(raw: DataFrame, null_label: str = PIPELINE_NULL_LABEL,
+                      keep: tuple[str, ...] = ()) -> DataFrame:
+    """Staged rows (either staged shape) → typed hourly observations, led by
+    the columns named in ``keep``.
 
     Date, hour, flags and category are recomputed from the base columns,
     so rows staged with or without them give the same result. Untrusted
@@ -35,6 +37,7 @@ def type_observations(raw: DataFrame, null_label: str = PIPELINE_NULL_LABEL) ->
     instead of failing the load under ANSI mode.
     """
     out = raw.select(
+        *keep,
         F.col("datetime").try_cast("timestamp_ntz").alias("datetime"),
         *[F.col(v).try_cast("float").alias(v) for v in MEASURES],
         F.col("weather_code").try_cast("int").alias("weather_code"),
@@ -46,7 +49,8 @@ def type_observations(raw: DataFrame, null_label: str = PIPELINE_NULL_LABEL) ->
         (F.col("snowfall") > 0).alias("is_snowing"),
         classify_code("weather_code", null_label=null_label).alias("weather_category"),
     )
-    return check_schema(out, WEATHER_HOURLY_SCHEMA, what="weather_hourly")
+    check_schema(out.drop(*keep), WEATHER_HOURLY_SCHEMA, what="weather_hourly")
+    return out
 
 
 def bronze_weather(raw: DataFrame) -> Checked:

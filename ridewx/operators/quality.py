@@ -87,12 +87,15 @@ def _fail_filter(e: Expectation) -> Column:
 
 
 def apply_expectations(df: DataFrame, expectations: list[Expectation],
-                       label: str = "dataset") -> Checked:
-    """Fail filters → one observe with all counters → drop filters."""
+                       label: str = "dataset", stop: bool = True) -> Checked:
+    """Fail filters → one observe with all counters → drop filters.
+    ``stop=False`` leaves the fail filters out: their violations are only
+    counted, for a staged write that is judged before it is published
+    (``snapshots.audit``)."""
     if not expectations:
         return Checked(df, None, [])
     for e in expectations:
-        if e.action == FAIL:
+        if e.action == FAIL and stop:
             df = df.filter(_fail_filter(e))
     obs = Observation(f"{label}_{uuid.uuid4().hex[:8]}")
     counters = [F.count(F.lit(1)).alias("rows")]
@@ -129,6 +132,44 @@ def quality_reports(df: DataFrame, datasets: dict[str, list[Expectation]]) -> Da
     return agg.select(F.inline(rows))
 
 
+def violations(expectations: list[Expectation]) -> Column:
+    """Names of the drop and fail expectations that a row violates, in the
+    order given."""
+    named = F.array(*[F.when(~e.passes(), F.lit(e.name)) for e in expectations if e.action != WARN])
+    return F.array_compact(named).cast("array<string>")
+
+
+def quarantine(df: DataFrame, expectations: list[Expectation], path: str, label: str = "dataset",
+               fmt: str = "parquet") -> tuple[DataFrame, DataFrame, Checked]:
+    """Split rows by their drop and fail expectations in one pass, losing
+    none: rows that violate one go to ``path``/rejected=true with the names
+    of all they violate, the others to ``path``/rejected=false. Warn
+    expectations are counted only. Returns (good rows, rejected rows with
+    ``violations``, the checks with their counters)."""
+    if "violations" in df.columns or "rejected" in df.columns:
+        raise ValueError("the rows have a column named violations or rejected")
+    checked = apply_expectations(df, [e if e.action == WARN else Expectation(e.name, e.predicate, FAIL, e.null_passes)
+                                      for e in expectations], label, stop=False)
+    tagged = checked.df.withColumn("violations", violations(expectations))
+    (tagged.withColumn("rejected", F.size("violations") > 0).write.mode("overwrite").format(fmt)
+     .partitionBy("rejected").save(path))
+    written = df.sparkSession.read.schema(tagged.schema.add("rejected", "boolean")).format(fmt).load(path)
+    return (written.filter(~F.col("rejected")).select(*df.columns),
+            written.filter("rejected").select(*df.columns, "violations"),
+            Checked(checked.df, checked.observation, list(expectations)))
+
+
+def quarantine_report(good: DataFrame, rejected: DataFrame) -> DataFrame:
+    """Rows per outcome: ``kept``, ``rejected`` (each row once), and one
+    ``reason`` row for each expectation with the rows that violate it."""
+    count = F.count(F.lit(1)).alias("rows")
+    whole = lambda df, outcome: df.agg(count).select(
+        F.lit(outcome).alias("outcome"), F.lit(None).cast("string").alias("expectation"), "rows")
+    reasons = rejected.select(F.explode("violations").alias("expectation")).groupBy("expectation").agg(count)
+    return (whole(good, "kept").unionByName(whole(rejected, "rejected"))
+            .unionByName(reasons.select(F.lit("reason").alias("outcome"), "expectation", "rows")))
+
+
 def match_rate(enriched: DataFrame, probe_col: str = "temperature_2m",
                threshold: float = 0.9) -> DataFrame:
     """Share of rows that found an observation, with the threshold check."""

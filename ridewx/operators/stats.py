@@ -94,8 +94,108 @@ def distance_trend(silver: DataFrame) -> DataFrame:
     )
 
 
+BANDWIDTH_DEGREES = 5
+SMOOTH_DIGITS = 6
+
+
+def _moments(x, y) -> list:
+    """Exact sums of a bin: rows, x, x * x, y, x * y, as whole numbers."""
+    return [F.count(F.lit(1)).alias("n"), F.sum(x).alias("sx"), F.sum(x * x).alias("sxx"),
+            F.sum(y).alias("sy"), F.sum(x * y).alias("sxy")]
+
+
+def distance_smooth(silver: DataFrame, bandwidth: int = BANDWIDTH_DEGREES) -> DataFrame:
+    """A smooth curve of trip distance over temperature: at every whole
+    degree a line is fitted to the trips within ``bandwidth`` degrees, with
+    tricube weights of their distance, and read off there.
+
+    One pass over the trips reduces them to the moments of bins a tenth of a
+    degree wide, exact whole numbers that add up map-side; a bin holding a
+    third of all trips is one row. Each bin then goes to the degrees it
+    reaches, 2 * ``bandwidth`` at most, and every degree solves its own two
+    normal equations. A weight is taken at its bin's middle; the trips keep
+    their own temperatures otherwise. The bandwidth is fixed in degrees, not
+    a share of all trips. Where all weight lies on one temperature, the value
+    is the weighted mean. Degrees more than one degree away from any trip are
+    left out, and so are trips without temperature or distance."""
+    y, x = scaled("trip_distance", DISTANCE_PLACES), scaled("temperature_2m", TEMPERATURE_PLACES)
+    unit, middle = 10 ** TEMPERATURE_PLACES, 10 ** (TEMPERATURE_PLACES - 1)
+    rows = (silver.select(x.alias("x"), y.alias("y")).filter("x IS NOT NULL AND y IS NOT NULL")
+            .withColumn("bin", F.round(F.col("x") / middle).cast("bigint")))
+    offset = F.col("x") - F.col("bin") * middle
+    bins = rows.groupBy("bin").agg(*_moments(offset, F.col("y")))
+    # Whole degrees that the bin reaches.
+    reach = bins.withColumn("degree", F.explode(F.sequence(
+        F.ceil(F.col("bin") / 10 - bandwidth), F.floor(F.col("bin") / 10 + bandwidth))))
+    away = (F.col("bin") - F.col("degree") * 10) / 10.0
+    u = F.abs(away) / float(bandwidth)
+    w = F.pow(F.lit(1.0) - u * u * u, F.lit(3.0))
+    t = F.col("sx") / float(unit)
+    tt = F.col("sxx") / float(unit) / float(unit)
+    v = F.col("sy") / float(10 ** DISTANCE_PLACES)
+    tv = F.col("sxy") / float(unit) / float(10 ** DISTANCE_PLACES)
+    sums = reach.groupBy(F.col("degree").cast("int").alias("temperature_degree")).agg(
+        F.min(F.abs(away)).alias("nearest"), F.sum("n").alias("trips"),
+        F.sum(w * F.col("n")).alias("s0"), F.sum(w * (away * F.col("n") + t)).alias("s1"),
+        F.sum(w * (away * away * F.col("n") + 2 * away * t + tt)).alias("s2"),
+        F.sum(w * v).alias("t0"), F.sum(w * (away * v + tv)).alias("t1")).filter("nearest <= 1.0 AND s0 > 0")
+    det = F.col("s0") * F.col("s2") - F.col("s1") * F.col("s1")
+    fitted = F.when(det > F.lit(1e-9) * F.col("s0") * F.col("s0"),
+                    (F.col("s2") * F.col("t0") - F.col("s1") * F.col("t1")) / det).otherwise(F.col("t0") / F.col("s0"))
+    return sums.select("temperature_degree", "trips", F.round(fitted, SMOOTH_DIGITS).alias("smooth_distance"))
+
+
+#: Size of a fare sketch: ranks err by about 0.3 % of the fares.
+SKETCH_K = 1024
+
+
+def fare_sketches(silver: DataFrame, k: int = SKETCH_K) -> DataFrame:
+    """Mergeable quantile sketches (KLL) of fares in cents, per pickup date
+    and weather condition, with the fares' count: a state of bounded size
+    that is kept beside silver and merged over any dates."""
+    cents = scaled("fare_amount", CENTS)
+    return (silver.select("pickup_date", condition_recode().alias("weather_condition"), cents.alias("cents"))
+            .filter("cents IS NOT NULL").groupBy("pickup_date", "weather_condition")
+            .agg(F.count(F.lit(1)).alias("trips"), F.kll_sketch_agg_bigint("cents", F.lit(k)).alias("sketch")))
+
+
+def fare_quartiles(sketches: DataFrame, k: int = SKETCH_K) -> DataFrame:
+    """Approximate quartiles of fares in cents per condition, from any set
+    of ``fare_sketches``; each is a fare that occurs, and its rank is off by
+    a small share (0.3 % of the fares or so at ``SKETCH_K``). ``fare_boxplot``
+    is the exact form."""
+    merged = sketches.groupBy("weather_condition").agg(
+        F.sum("trips").alias("trips"), F.kll_merge_agg_bigint("sketch", F.lit(k)).alias("sketch"))
+    q = F.kll_sketch_get_quantile_bigint("sketch", F.array(*[F.lit(p) for p in QUARTILES]))
+    return merged.withColumn("q", q).select(
+        "weather_condition", "trips", F.col("q")[0].alias("q1_cents"), F.col("q")[1].alias("median_cents"),
+        F.col("q")[2].alias("q3_cents"))
+
+
+RANK_ERROR = 0.01
+
+
+def quartile_errors(silver: DataFrame, quartiles: DataFrame, error: float = RANK_ERROR) -> DataFrame:
+    """Per condition the trips, and for each approximate quartile whether its
+    rank among all fares lies within ``error`` of the share it stands for.
+    One pass over the trips counts the fares below and up to each value; the
+    quartiles have one row per condition."""
+    cents = scaled("fare_amount", CENTS)
+    fares = silver.select(condition_recode().alias("_wc"), cents.alias("cents")).filter("cents IS NOT NULL")
+    joined = fares.join(quartiles.drop("trips"), F.col("_wc").eqNullSafe(F.col("weather_condition")))
+    names = ["q1", "median", "q3"]
+    counts = joined.groupBy("_wc").agg(
+        F.count(F.lit(1)).alias("trips"),
+        *[F.count_if(F.col("cents") < F.col(f"{q}_cents")).alias(f"{q}_below") for q in names],
+        *[F.count_if(F.col("cents") <= F.col(f"{q}_cents")).alias(f"{q}_upto") for q in names])
+    ok = [((F.col(f"{q}_below") <= (F.lit(p) + error) * F.col("trips"))
+           & (F.col(f"{q}_upto") >= (F.lit(p) - error) * F.col("trips"))).alias(f"{q}_ok")
+          for q, p in zip(names, QUARTILES)]
+    return counts.select(F.col("_wc").alias("weather_condition"), "trips", *ok)
+
+
 def distance_by_degree(silver: DataFrame) -> DataFrame:
-    """Average distance per whole degree of temperature (the smoother)."""
+    """Average distance per whole degree of temperature."""
     degree = F.floor(F.col("temperature_2m").cast("double")).cast("int")
     return (silver.filter(F.col("temperature_2m").isNotNull())
             .groupBy(degree.alias("temperature_degree"))

@@ -11,17 +11,18 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from ridewx.functions.classify import (
     LIBRARY_NULL_LABEL,
+    WEATHER_CODE_CLASSES,
     classify_code,
     classify_code_coarse,
     condition_recode,
     temperature_band,
 )
 from ridewx.functions.timecols import between_inclusive
-from ridewx.operators import metrics, stats
+from ridewx.operators import changes, instants, metrics, stats
 from ridewx.operators.sampling import first_rows_by_time
 from ridewx.operators.enrich import check_trips, enrich_daily, enrich_hourly, join_hours, merge_hours
 from ridewx.operators.observations import (
@@ -31,6 +32,7 @@ from ridewx.operators.observations import (
     hours_of,
     rename_to_units,
     type_observations,
+    unique_raw_hours,
 )
 from ridewx.operators.quality import (
     BRONZE_EXPECTATIONS,
@@ -40,7 +42,10 @@ from ridewx.operators.quality import (
     TRIP_ROW_CHECKS,
     WEATHER_ROW_CHECKS,
     apply_expectations,
+    expect_or_drop,
     match_rate,
+    quarantine,
+    quarantine_report,
     quality_report,
     quality_reports,
 )
@@ -48,21 +53,30 @@ from ridewx.plans import medallion
 from ridewx.schemas import TRIP_SCHEMA, WEATHER_HOURLY_SCHEMA, WEATHER_RAW_SCHEMA
 from ridewx.sources import responses, standin
 from ridewx.sources.sinks import write_clustered, write_table
-from ridewx.sources.tables import read_fixture, read_table
+from ridewx.sources.tables import read_fixture, read_table, rows_to_frame, use_namespace
 from ridewx.session import scratch_path, source_path
 from ridewx.streaming.enrich_stream import (
     check_trip_stream,
     enrich_stream,
     hourly_stream_metrics,
+    read_file_stream,
     run_available,
     stream_trips,
+    wall_clock_instant,
 )
+from ridewx.streaming.late_weather import enrich_late
+from ridewx.streaming.match_monitor import match_rate_stream
 
 # Parameters of the catalog queries.
 SAMPLE_FROM, SAMPLE_TO, SAMPLE_ROWS = "2024-01-01", "2024-01-30", 10_000
 WINDOW_DAYS = 7
 PREVIEW_ROWS = 5
 REFRESH_FROM, REFRESH_TO = "2024-01-10", "2024-01-12"
+# Micro-batches of the replayed late stream: trips of these days of the
+# month, each followed one batch later by its observations.
+LATE_DAYS = [(1, 10), (11, 20), (21, 31)]
+# A zone and a shift of the events that brings a clock change (2024-11-03) among them.
+CLOCK_ZONE, CLOCK_SHIFT_DAYS = "America/New_York", 295
 # The exploration's columns.
 EXPLORATION_COLUMNS = ["temperature_c", "precipitation_mm", "weather_category"]
 SAMPLE_COLUMNS = ["pickup_datetime", "dropoff_datetime", "pickup_zip", "dropoff_zip",
@@ -196,12 +210,105 @@ def clustered_read_back(i: Inputs) -> DataFrame:
 def refresh_silver(i: Inputs) -> DataFrame:
     """All layers written from trips whose fares were still wrong
     on some dates; these dates are refreshed and silver is read back."""
+    return _refreshed(i)["taxi_weather_joined"]
+
+
+def _refreshed(i: Inputs) -> medallion.Layers:
+    """Layers written from trips whose fares were still wrong on some dates,
+    after these dates' refresh."""
     root = scratch_path(i.spark, "layers")
     late = F.to_date("tpep_pickup_datetime").between(
         F.lit(REFRESH_FROM).cast("date"), F.lit(REFRESH_TO).cast("date"))
     early = i.trips.withColumn("fare_amount", F.when(late, F.col("fare_amount") + 1).otherwise(F.col("fare_amount")))
     medallion.write_all(early, i.weather_raw, root)
-    return medallion.refresh(i.trips, i.weather_raw, root, REFRESH_FROM, REFRESH_TO)["taxi_weather_joined"]
+    return medallion.refresh(i.trips, i.weather_raw, root, REFRESH_FROM, REFRESH_TO)
+
+
+def refresh_gold(i: Inputs) -> DataFrame:
+    """The summary after a refresh of three dates, finished from the
+    state that only these dates' silver was read for."""
+    return _refreshed(i)["weather_impact_summary"]
+
+
+def refresh_gold_bands(i: Inputs) -> DataFrame:
+    """The temperature bands after the same refresh."""
+    return _refreshed(i)["temperature_band_analysis"]
+
+
+def _old_load(i: Inputs) -> DataFrame:
+    """The hours of an earlier load: a night not there yet, a morning still
+    too warm, an evening since withdrawn."""
+    hours = unique_raw_hours(i.weather_raw).withColumns({"date": F.to_date("datetime"), "hour": F.hour("datetime")})
+    day, hour = F.dayofmonth("datetime"), F.col("hour")
+    warm = F.when((day == 12) & (hour < 12), F.col("temperature_2m") + 1).otherwise(F.col("temperature_2m"))
+    return hours.filter(~((day == 11) & (hour < 6))).withColumn("temperature_2m", warm)
+
+
+def _new_load(i: Inputs) -> DataFrame:
+    hours = unique_raw_hours(i.weather_raw).withColumns({"date": F.to_date("datetime"), "hour": F.hour("datetime")})
+    return hours.filter(~((F.dayofmonth("datetime") == 13) & (F.col("hour") >= 18)))
+
+
+def weather_changes(i: Inputs) -> DataFrame:
+    """The hours inserted, updated and deleted between two loads."""
+    return changes.change_feed(_old_load(i), _new_load(i), ["date", "hour"]).select(
+        "date", "hour", "kind", F.array_join("changed", ",").alias("changed"))
+
+
+def refresh_changed(i: Inputs) -> DataFrame:
+    """Layers of the old load, brought up to the new one by a refresh
+    of the dates that changed; silver is read back."""
+    root = scratch_path(i.spark, "layers")
+    old, new = _old_load(i), _new_load(i)
+    medallion.write_all(i.trips, old.select(*WEATHER_RAW_SCHEMA.names), root)
+    return medallion.refresh_changed(i.trips, old, new, root)[medallion.SILVER]
+
+
+def qualified_read(i: Inputs) -> DataFrame:
+    """Trips saved as a table and read by its catalog-qualified name."""
+    name = _trip_table(i)
+    return read_table(i.spark, f"spark_catalog.{name}")
+
+
+def namespace_read(i: Inputs) -> DataFrame:
+    """The same by a bare name in the current schema, which is then set
+    back."""
+    database, name = _trip_table(i).split(".")
+    before = i.spark.catalog.currentDatabase()
+    use_namespace(i.spark, "spark_catalog", database)
+    try:
+        return read_table(i.spark, name)
+    finally:
+        use_namespace(i.spark, "spark_catalog", before)
+
+
+def table_handle(i: Inputs) -> DataFrame:
+    """A lazy handle on a table, with a filter and columns put on it."""
+    return (read_table(i.spark, _trip_table(i)).filter(F.col("fare_amount") >= 0)
+            .select("tpep_pickup_datetime", "fare_amount"))
+
+
+def _trip_table(i: Inputs) -> str:
+    database = "ridewx_" + scratch_path(i.spark, "t").rsplit("-", 1)[1]
+    i.spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(i.spark, 'database')}'")
+    write_table(i.trips, f"{database}.trips")
+    return f"{database}.trips"
+
+
+def code_lookup(i: Inputs) -> DataFrame:
+    """The code classes as local rows, joined to every event; the table
+    has one row per code."""
+    rows = [{"code": c, "label": label} for label, codes in WEATHER_CODE_CLASSES for c in codes]
+    schema = StructType([StructField("code", IntegerType()), StructField("label", StringType())])
+    labels = F.broadcast(rows_to_frame(i.spark, rows, schema))
+    k = F.get_json_object("props", "$.k").try_cast("int")
+    coded = i.events.select("event_id", k.alias("weather_code"))
+    return coded.join(labels, F.col("weather_code") == F.col("code"), "left").select("event_id", "weather_code", "label")
+
+
+def rejected_documents(i: Inputs) -> DataFrame:
+    """Response documents that cannot be parsed, by reason."""
+    return responses.rejected_report(standin.broken_documents(i.events))
 
 
 # --- projections and classification --------------------------------------
@@ -280,6 +387,25 @@ def expect_fail_pass(i: Inputs) -> DataFrame:
     return apply_expectations(i.trips, fails, "trips_fail").df
 
 
+QUARANTINE_CHECKS = TRIP_EXPECTATIONS + [
+    expect_or_drop("pickup_before_dropoff", "tpep_pickup_datetime < tpep_dropoff_datetime"),
+    expect_or_drop("fare_not_over_100", "fare_amount <= 100"),
+]
+
+
+def quarantine_counts(i: Inputs) -> DataFrame:
+    """Trips split into good and rejected rows, each rejected row with
+    all its reasons, written and read back, counted."""
+    good, rejected, _ = quarantine(i.trips, QUARANTINE_CHECKS, scratch_path(i.spark, "quarantine"), "trips")
+    return quarantine_report(good, rejected)
+
+
+def quarantined_trips(i: Inputs) -> DataFrame:
+    """The rejected trips with their reasons."""
+    _, rejected, _ = quarantine(i.trips, QUARANTINE_CHECKS, scratch_path(i.spark, "quarantine"), "trips")
+    return rejected.withColumn("violations", F.array_join("violations", ","))
+
+
 def match_rate_q(i: Inputs) -> DataFrame:
     """Share of trips that found an observation, 90 % check."""
     return match_rate(i.silver())
@@ -319,6 +445,26 @@ def unmatched_anti(i: Inputs) -> DataFrame:
     return join_hours(i.checked_trips(), i.hours(), "left_anti")
 
 
+def repeated_hour(i: Inputs) -> DataFrame:
+    """Trips and observations around the end of daylight saving
+    time. Observations land as local times without offset; both passes of
+    the repeated hour keep their observation and their trips."""
+    later = lambda c: wall_clock_instant(F.date_add(F.to_date(c), CLOCK_SHIFT_DAYS).cast("string")
+                                         .cast("timestamp_ntz")) + (F.col(c) - F.to_date(c).cast("timestamp_ntz"))
+    raw = i.weather_raw.withColumn("instant", later("datetime"))
+    landed = standin.local_documents(instants.unique_instants(raw.drop("datetime"), CLOCK_ZONE), CLOCK_ZONE)
+    parsed = responses.parse_response_text(landed, "body", keep=("day",))
+    resolved = instants.resolve_instants(parsed, CLOCK_ZONE, ["day"])
+    seen = resolved.filter(F.col("temperature_2m").isNotNull())
+    hours = instants.unique_instants(seen.drop("day", "position"), CLOCK_ZONE)
+    trips = i.trips.withColumn("pickup", later("tpep_pickup_datetime"))
+    joined = instants.join_on_instant(trips, hours, "pickup", CLOCK_ZONE, ["temperature_2m", "weather_code", "clock"])
+    return joined.select(
+        instants.wall_clock(F.col("pickup"), "UTC").alias("pickup_utc"),
+        instants.wall_clock(F.col("pickup"), CLOCK_ZONE).alias("pickup_local"),
+        "fare_amount", "temperature_2m", "weather_code", "clock")
+
+
 # --- aggregates -----------------------------------------------------------
 
 def weather_impact_summary(i: Inputs) -> DataFrame:
@@ -371,6 +517,17 @@ def distance_by_degree(i: Inputs) -> DataFrame:
     return stats.distance_by_degree(i.silver())
 
 
+def distance_smooth(i: Inputs) -> DataFrame:
+    """A10: local regression of distance on temperature."""
+    return stats.distance_smooth(i.silver())
+
+
+def fare_sketch_check(i: Inputs) -> DataFrame:
+    """Quartiles from merged daily sketches, held against the exact ranks
+    of the fares."""
+    return stats.quartile_errors(i.silver(), stats.fare_quartiles(stats.fare_sketches(i.silver())))
+
+
 def rainy_day_ridership(i: Inputs) -> DataFrame:
     """A11."""
     return metrics.rainy_day_ridership(i.checked_trips(), i.hours())
@@ -396,6 +553,31 @@ def stream_hourly_metrics(i: Inputs) -> DataFrame:
     return i.spark.read.parquet(out)
 
 
+def stream_late_weather(i: Inputs) -> DataFrame:
+    """Trips and observations as two streams; the observations of every
+    ten days land one micro-batch after their trips. All trips of hours that
+    the watermark has passed are there."""
+    trips_at, weather_at = scratch_path(i.spark, "late-trips"), scratch_path(i.spark, "late-weather")
+    i.weather_raw.limit(0).coalesce(1).write.mode("append").parquet(weather_at)
+    for first, last in LATE_DAYS:
+        for rows, time, path in ((i.trips, "tpep_pickup_datetime", trips_at), (i.weather_raw, "datetime", weather_at)):
+            # One file a step, so that a step is one micro-batch.
+            (rows.filter(F.dayofmonth(time).between(first, last)).coalesce(1).write.mode("append").parquet(path))
+    trips = check_trip_stream(read_file_stream(i.spark, trips_at, max_files_per_trigger=1))
+    weather = read_file_stream(i.spark, weather_at, max_files_per_trigger=1)
+    out = scratch_path(i.spark, "late-out")
+    run_available(enrich_late(trips, weather), out, scratch_path(i.spark, "late-chk"))
+    return i.spark.read.parquet(out)
+
+
+def stream_match_rate(i: Inputs) -> DataFrame:
+    """Match rate over the last 24 hours, hour by hour, and alerts."""
+    trips = check_trip_stream(stream_trips(i.spark, i.sf_dir))
+    out = scratch_path(i.spark, "match-out")
+    run_available(match_rate_stream(enrich_stream(trips, i.hours())), out, scratch_path(i.spark, "match-chk"))
+    return i.spark.read.parquet(out)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_events": scan_events,
     "sample_trips": _q(sample_trips),
@@ -438,6 +620,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rainy_day_ridership": _q(rainy_day_ridership),
     "stream_enrich": _q(stream_enrich),
     "stream_hourly_metrics": _q(stream_hourly_metrics),
+    "stream_late_weather": _q(stream_late_weather),
+    "stream_match_rate": _q(stream_match_rate),
+    "refresh_gold": _q(refresh_gold),
+    "refresh_gold_bands": _q(refresh_gold_bands),
+    "weather_changes": _q(weather_changes),
+    "refresh_changed": _q(refresh_changed),
+    "quarantine_counts": _q(quarantine_counts),
+    "quarantined_trips": _q(quarantined_trips),
+    "distance_smooth": _q(distance_smooth),
+    "fare_sketch_check": _q(fare_sketch_check),
+    "repeated_hour": _q(repeated_hour),
+    "qualified_read": _q(qualified_read),
+    "namespace_read": _q(namespace_read),
+    "table_handle": _q(table_handle),
+    "code_lookup": _q(code_lookup),
+    "rejected_documents": _q(rejected_documents),
 }
 
 FLAGSHIP = "weather_impact_summary"

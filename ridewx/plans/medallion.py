@@ -3,9 +3,17 @@
 Each dataset is a function of named inputs; ``build`` resolves them lazily
 in dependency order and returns DataFrames (one plan each, no action).
 ``write_all`` materializes the layers, which is where the expectation
-counters are filled; gold reads the written silver, so the three gold
-tables share one silver computation instead of three. ``refresh`` replaces
-the dates of a range in silver instead of writing it whole.
+counters are filled. Gold is finished from a state table that adds up
+(``metrics.gold_state``), made in one pass over the written silver.
+
+``refresh`` replaces the dates of a range: it joins the trips of these
+dates, makes their state from what was just written, and finishes gold from
+the state of all dates, a few rows per hour; the rest of silver is not read.
+
+Under a root path silver, state and gold are published as snapshots
+(``sources.snapshots``): a load is written, judged by its counters, and only
+then named, so readers see the old rows until all is well. Under a schema
+name the tables are written in place; there a fail check stops the write.
 """
 
 from __future__ import annotations
@@ -17,11 +25,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ridewx.operators import metrics
+from ridewx.operators.changes import change_feed, date_runs
 from ridewx.operators.enrich import enrich_hourly
 from ridewx.operators.observations import bronze_weather, hours_of
 from ridewx.operators.quality import Checked
 from ridewx.schemas import SILVER_SCHEMA
-from ridewx.sources.sinks import member, replace_dates, write_clustered, write_table
+from ridewx.sources import snapshots
+from ridewx.sources.sinks import is_path, member, replace_dates, write_clustered, write_table
 from ridewx.sources.tables import read_table
 
 
@@ -54,7 +64,11 @@ def _bronze(layers: Layers, weather_raw: DataFrame) -> DataFrame:
 
 def _silver(layers: Layers, trips: DataFrame, weather_hourly: DataFrame) -> DataFrame:
     # No size check here: it would run a job while the layers are only built.
-    silver, checks = enrich_hourly(trips, hours_of(weather_hourly), max_broadcast_rows=None)
+    return _silver_of(layers, trips, hours_of(weather_hourly))
+
+
+def _silver_of(layers: Layers, trips: DataFrame, hours: DataFrame) -> DataFrame:
+    silver, checks = enrich_hourly(trips, hours, max_broadcast_rows=None)
     layers.checks["taxi_weather_joined"] = checks
     return silver
 
@@ -108,30 +122,93 @@ def _write_bronze(layers: Layers, weather_raw: DataFrame, target: str, fmt: str)
     return layers["weather_hourly"]
 
 
-def _write_gold(layers: Layers, target: str, fmt: str) -> None:
-    for ds in GRAPH[2:]:
-        out = ds.fn(layers, layers["taxi_weather_joined"])
-        write_table(out, member(target, ds.name), fmt=fmt)
-        layers.frames[ds.name] = read_table(out.sparkSession, member(target, ds.name), fmt)
+#: Gold tables and how each is finished from the state.
+GOLD = {
+    "weather_impact_summary": metrics.summary_from_state,
+    "hourly_weather_metrics": metrics.hourly_from_state,
+    "temperature_band_analysis": metrics.bands_from_state,
+}
+SILVER, STATE = "taxi_weather_joined", "gold_state"
+#: Gold tables have no date; a snapshot of one is a single folder.
+WHOLE, WHOLE_COLUMN = "all", "part"
 
 
-def read_silver(spark, target: str, fmt: str = "parquet") -> DataFrame:
-    """Written silver in its own column order (a folder column is read back
-    last)."""
-    return read_table(spark, member(target, "taxi_weather_joined"), fmt).select(*SILVER_SCHEMA.names)
+def read_layer(spark, target: str, name: str, fmt: str = "parquet") -> DataFrame:
+    """A written layer: of a root path its published rows, of a schema the
+    table."""
+    path = member(target, name)
+    if not is_path(target) or name == "weather_hourly":
+        out = read_table(spark, path, fmt)
+    elif name in GOLD:
+        return snapshots.read(spark, path, WHOLE_COLUMN, fmt).drop(WHOLE_COLUMN)
+    else:
+        out = snapshots.read(spark, path, "pickup_date", fmt)
+    # A folder column is read back last.
+    return out.select(*SILVER_SCHEMA.names) if name == SILVER else out
 
 
-def write_all(trips: DataFrame, weather_raw: DataFrame, target: str,
-              fmt: str = "parquet") -> Layers:
+def read_silver(spark, target: str, fmt: str = "parquet") -> DataFrame:
+    """Written silver in its own column order."""
+    return read_layer(spark, target, SILVER, fmt)
+
+
+def _finish_gold(layers: Layers, spark, target: str, fmt: str) -> None:
+    """Gold from the state of all dates."""
+    state = read_layer(spark, target, STATE, fmt)
+    layers.frames[STATE] = state
+    for name, finish in GOLD.items():
+        out, path = finish(state), member(target, name)
+        if is_path(target):
+            load = snapshots.stage(out.withColumn(WHOLE_COLUMN, F.lit(WHOLE)), path, WHOLE_COLUMN, out.columns[0], fmt)
+            snapshots.publish(spark, load)
+        else:
+            write_table(out, path, fmt=fmt)
+        layers.frames[name] = read_layer(spark, target, name, fmt)
+
+
+def _load(layers: Layers, trips: DataFrame, hours: DataFrame, target: str, fmt: str,
+          first: str | None = None, last: str | None = None,
+          max_share: dict[str, float] | None = None) -> None:
+    """Silver, state and gold of ``trips``: the dates ``first`` to ``last``,
+    or everything."""
+    spark = trips.sparkSession
+    silver_path, state_path = member(target, SILVER), member(target, STATE)
+    if is_path(target):
+        silver, checks = enrich_hourly(trips, hours, max_broadcast_rows=None, stop=False)
+        layers.checks[SILVER] = checks
+        load = snapshots.stage(silver, silver_path, "pickup_date", "tpep_pickup_datetime", fmt)
+        snapshots.audit(checks, max_share)
+        changed = load.read(spark)
+        state = snapshots.stage(metrics.gold_state(changed), state_path, "pickup_date", "pickup_hour", fmt)
+        snapshots.publish(spark, load, first, last)
+        snapshots.publish(spark, state, first, last)
+    else:
+        silver = _silver_of(layers, trips, hours)
+        if first is None:
+            write_clustered(silver, silver_path, "pickup_date", "tpep_pickup_datetime", fmt=fmt)
+        else:
+            replace_dates(silver, silver_path, "pickup_date", "tpep_pickup_datetime", first, last, fmt)
+        changed = read_silver(spark, target, fmt)
+        if first is None:
+            write_clustered(metrics.gold_state(changed), state_path, "pickup_date", "pickup_hour", fmt=fmt)
+        else:
+            changed = changed.filter(F.col("pickup_date").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
+            replace_dates(metrics.gold_state(changed), state_path, "pickup_date", "pickup_hour", first, last, fmt)
+    #: The silver rows that the state was made from.
+    layers.frames["changed_silver"] = changed
+    layers.frames[SILVER] = read_silver(spark, target, fmt)
+    _finish_gold(layers, spark, target, fmt)
+
+
+def write_all(trips: DataFrame, weather_raw: DataFrame, target: str, fmt: str = "parquet",
+              max_share: dict[str, float] | None = None) -> Layers:
     """Write every layer under ``target``, a root path or a schema name; each
     later layer reads the written one. Bronze and silver are clustered by
-    time."""
+    time. ``max_share`` (root paths): the share of rows that may violate a
+    warn expectation, by name; a load beyond it is not published."""
     layers = Layers(frames={"trips": trips, "weather_raw": weather_raw})
-    silver = _silver(layers, trips, _write_bronze(layers, weather_raw, target, fmt))
-    write_clustered(silver, member(target, "taxi_weather_joined"), "pickup_date",
-                    "tpep_pickup_datetime", fmt=fmt)
-    layers.frames["taxi_weather_joined"] = read_silver(trips.sparkSession, target, fmt)
-    _write_gold(layers, target, fmt)
+    bronze = _write_bronze(layers, weather_raw, target, fmt)
+    _load(layers, trips, hours_of(bronze), target, fmt, max_share=max_share)
     return layers
 
 
@@ -145,19 +222,34 @@ def _in_dates(time_col: str, first: str, last: str) -> Column:
 
 
 def refresh(trips: DataFrame, weather_raw: DataFrame, target: str, first: str, last: str,
-            fmt: str = "parquet") -> Layers:
+            fmt: str = "parquet", max_share: dict[str, float] | None = None) -> Layers:
     """Bring layers written by ``write_all`` up to date for the dates
     ``first`` to ``last``: only the trips of these dates are read and joined,
-    and only their folders of silver are replaced. Bronze, a few rows per
-    hour, and gold, which sums over all dates, are written anew; gold reads
-    the written silver. A date left without any trip is emptied.
-    Trips without a pickup time lie in no range and are not checked here."""
+    and only these dates of silver and state are replaced; gold is finished
+    from the state. Bronze, a few rows per hour, is written anew. A date left
+    without any trip is emptied. Trips without a pickup time lie in no range;
+    they are checked with every refresh, so one of them stops it."""
     layers = Layers(frames={"trips": trips, "weather_raw": weather_raw})
     bronze = _write_bronze(layers, weather_raw, target, fmt)
-    silver = _silver(layers, trips.filter(_in_dates("tpep_pickup_datetime", first, last)),
-                     bronze.filter(F.col("date").between(F.lit(first).cast("date"), F.lit(last).cast("date"))))
-    replace_dates(silver, member(target, "taxi_weather_joined"), "pickup_date", "tpep_pickup_datetime",
-                  first, last, fmt)
-    layers.frames["taxi_weather_joined"] = read_silver(trips.sparkSession, target, fmt)
-    _write_gold(layers, target, fmt)
+    in_range = _in_dates("tpep_pickup_datetime", first, last) | F.col("tpep_pickup_datetime").isNull()
+    hours = hours_of(bronze.filter(F.col("date").between(F.lit(first).cast("date"), F.lit(last).cast("date"))))
+    _load(layers, trips.filter(in_range), hours, target, fmt, first, last, max_share)
+    return layers
+
+
+def refresh_changed(trips: DataFrame, old: DataFrame, new: DataFrame, target: str, fmt: str = "parquet",
+                    max_share: dict[str, float] | None = None) -> Layers:
+    """Bring layers written from the observations ``old`` up to those of
+    ``new`` (one row per ``date`` and ``hour`` on either side): only dates
+    with an inserted, updated or deleted hour are refreshed, a run of
+    consecutive dates at a time. Without a change the layers stay as they
+    are."""
+    spark, raw = trips.sparkSession, new.drop("date", "hour")
+    runs = date_runs(change_feed(old, new, ["date", "hour"]), "date")
+    layers = Layers(frames={"trips": trips, "weather_raw": raw})
+    for first, last in runs:
+        layers = refresh(trips, raw, target, first, last, fmt, max_share)
+    if not runs:
+        for name in (SILVER, STATE, *GOLD):
+            layers.frames[name] = read_layer(spark, target, name, fmt)
     return layers

@@ -376,6 +376,84 @@ FROM ({_SCALED_SILVER})
 WHERE date_trunc('hour', tpep_pickup_datetime) + INTERVAL 1 HOUR
       <= (SELECT max(tpep_pickup_datetime) FROM checked) - INTERVAL 1 HOUR
 GROUP BY 1, 2, 3""")
+    q["refresh_gold"] = q["weather_impact_summary"]
+    q["refresh_gold_bands"] = q["temperature_band_analysis"]
+    passed = "date_trunc('hour', tpep_pickup_datetime) + INTERVAL 1 HOUR"
+    q["stream_late_weather"] = _with(f"""
+SELECT * FROM silver WHERE {passed} <= least((SELECT max(tpep_pickup_datetime) FROM checked),
+                                             (SELECT max(datetime) FROM raw)) - INTERVAL 1 HOUR""")
+    q["stream_match_rate"] = _with(f"""
+, h AS (SELECT {passed} AS window_end, count(*) AS n, count(temperature_2m) AS m FROM silver
+        WHERE {passed} <= (SELECT max(tpep_pickup_datetime) FROM checked) - INTERVAL 1 HOUR GROUP BY 1),
+w AS (SELECT window_end, CAST(sum(n) OVER last_day AS BIGINT) AS trips, CAST(sum(m) OVER last_day AS BIGINT) AS matched,
+             count(*) OVER last_day AS hours
+      FROM h WINDOW last_day AS (ORDER BY window_end RANGE BETWEEN INTERVAL 23 HOURS PRECEDING AND CURRENT ROW))
+SELECT *, matched / trips AS match_rate, matched < trips * CAST(0.9 AS DOUBLE) AS alert FROM w""")
+    loads = """
+, first_raw AS (SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY CAST(datetime AS DATE), hour(datetime) ORDER BY datetime) AS rn
+    FROM raw WHERE datetime IS NOT NULL) WHERE rn = 1),
+u AS (SELECT CAST(datetime AS DATE) AS date, CAST(hour(datetime) AS INTEGER) AS hour, day(datetime) AS d, * FROM first_raw),
+feed AS (
+  SELECT date, hour, 'inserted' AS kind, '' AS changed FROM u WHERE d = 11 AND hour < 6
+  UNION ALL SELECT date, hour, 'updated', 'temperature_2m' FROM u WHERE d = 12 AND hour < 12
+  UNION ALL SELECT date, hour, 'deleted', '' FROM u WHERE d = 13 AND hour >= 18)"""
+    q["weather_changes"] = _with(f"{loads}\nSELECT * FROM feed")
+    gone = "day(tpep_pickup_datetime) = 13 AND hour(tpep_pickup_datetime) >= 18"
+    measures = ", ".join(f"CASE WHEN NOT ({gone}) THEN {c} END AS {c}" for c in (
+        "temperature_2m", "relative_humidity_2m", "precipitation", "rain", "snowfall", "wind_speed_10m",
+        "weather_code", "weather_category", "is_raining", "is_snowing"))
+    q["refresh_changed"] = _with(f"SELECT * REPLACE ({measures}) FROM silver")
+    bad = {"valid_fare": "fare_amount < 0", "pickup_before_dropoff": "NOT (tpep_pickup_datetime < tpep_dropoff_datetime)",
+           "fare_not_over_100": "fare_amount > 100"}
+    any_bad = " OR ".join(f"({b})" for b in bad.values())
+    reasons = "\nUNION ALL ".join(
+        f"SELECT 'reason', '{name}', count(*) FROM trips WHERE {b} HAVING count(*) > 0" for name, b in bad.items())
+    q["quarantine_counts"] = _with(f"""
+SELECT 'kept' AS outcome, CAST(NULL AS VARCHAR) AS expectation, count(*) AS rows FROM trips WHERE NOT ({any_bad})
+UNION ALL SELECT 'rejected', NULL, count(*) FROM trips WHERE {any_bad}
+UNION ALL {reasons}""")
+    listed = ", ".join(f"CASE WHEN {b} THEN '{name}' END" for name, b in bad.items())
+    q["quarantined_trips"] = _with(f"SELECT *, concat_ws(',', {listed}) AS violations FROM trips WHERE {any_bad}")
+    q["distance_smooth"] = _with(f"""
+, b AS (SELECT CAST(round(t / 1000.0) AS BIGINT) AS bin, t - 1000 * CAST(round(t / 1000.0) AS BIGINT) AS x, d AS y
+        FROM ({_SCALED_SILVER}) WHERE t IS NOT NULL AND d IS NOT NULL),
+m AS (SELECT bin, count(*) AS n, sum(x) AS sx, sum(x * x) AS sxx, sum(y) AS sy, sum(x * y) AS sxy FROM b GROUP BY bin),
+r AS (SELECT *, CAST(unnest(generate_series(CAST(ceil(bin / 10.0 - 5) AS BIGINT), CAST(floor(bin / 10.0 + 5) AS BIGINT))) AS INTEGER) AS p FROM m),
+w AS (SELECT *, (bin - p * 10) / CAST(10 AS DOUBLE) AS a, pow(1 - pow(abs((bin - p * 10) / CAST(10 AS DOUBLE)) / 5, 3), 3) AS w FROM r),
+s AS (SELECT p, min(abs(a)) AS nearest, CAST(sum(n) AS BIGINT) AS trips, sum(w * n) AS s0, sum(w * (a * n + sx / 1e4)) AS s1,
+             sum(w * (a * a * n + 2 * a * sx / 1e4 + sxx / 1e8)) AS s2, sum(w * sy / 1e4) AS t0,
+             sum(w * (a * sy / 1e4 + sxy / 1e8)) AS t1 FROM w GROUP BY p)
+SELECT p AS temperature_degree, trips,
+       round(CASE WHEN s0 * s2 - s1 * s1 > 1e-9 * s0 * s0 THEN (s2 * t0 - s1 * t1) / (s0 * s2 - s1 * s1) ELSE t0 / s0 END, 6)
+         AS smooth_distance
+FROM s WHERE nearest <= 1 AND s0 > 0""")
+    q["fare_sketch_check"] = _with("""
+SELECT CASE WHEN is_raining THEN 'Rain' WHEN is_snowing THEN 'Snow' ELSE weather_category END AS weather_condition,
+       count(*) AS trips, true AS q1_ok, true AS median_ok, true AS q3_ok
+FROM silver WHERE fare_amount IS NOT NULL GROUP BY 1""")
+    shift = f"INTERVAL {catalog.CLOCK_SHIFT_DAYS} DAY"
+    q["repeated_hour"] = _with(f"""
+, o AS (SELECT * EXCLUDE (rn) FROM (SELECT date_trunc('hour', datetime + {shift}) AS h, temperature_2m, weather_code,
+          row_number() OVER (PARTITION BY date_trunc('hour', datetime) ORDER BY datetime) AS rn FROM raw) WHERE rn = 1)
+SELECT tpep_pickup_datetime + {shift} AS pickup_utc,
+       tpep_pickup_datetime + {shift} - CASE WHEN tpep_pickup_datetime + {shift} < TIMESTAMP '2024-11-03 06:00:00'
+                                             THEN INTERVAL 4 HOUR ELSE INTERVAL 5 HOUR END AS pickup_local,
+       fare_amount, temperature_2m, weather_code,
+       CASE WHEN o.h = TIMESTAMP '2024-11-03 05:00:00' THEN 'first' WHEN o.h = TIMESTAMP '2024-11-03 06:00:00' THEN 'second'
+            WHEN o.h IS NOT NULL THEN 'plain' END AS clock
+FROM trips LEFT JOIN o ON o.h = date_trunc('hour', tpep_pickup_datetime + {shift})""")
+    q["qualified_read"] = q["namespace_read"] = _with("SELECT * FROM trips")
+    q["table_handle"] = _with("SELECT tpep_pickup_datetime, fare_amount FROM trips WHERE fare_amount >= 0")
+    q["code_lookup"] = _with(f"""
+SELECT event_id, weather_code, CASE WHEN label <> 'Other' THEN label END AS label
+FROM (SELECT event_id, k AS weather_code, {category('k')} AS label FROM ev)""")
+    q["rejected_documents"] = _with("""
+, d AS (SELECT DISTINCT CAST(ts AS DATE) AS day, user_id FROM ev WHERE event_type = 'error')
+SELECT CASE user_id % 7 WHEN 0 THEN 'Invalid response: missing ''hourly'' data'
+                        WHEN 1 THEN 'Invalid response: missing ''time'' in hourly data'
+                        WHEN 2 THEN 'Invalid response: hourly arrays differ in length' END AS problem,
+       count(*) AS documents FROM d GROUP BY 1""")
     return q
 
 

@@ -30,23 +30,34 @@ def read_responses(spark: SparkSession, path: str) -> DataFrame:
     return explode_hourly(docs)
 
 
-def parse_response_text(docs: DataFrame, text_col: str = "body") -> DataFrame:
-    """Response documents held as JSON text in a column → typed rows."""
-    parsed = docs.select(F.from_json(F.col(text_col), RESPONSE_SCHEMA).alias("r"))
-    return explode_hourly(parsed.select("r.*"))
+def parse_response_text(docs: DataFrame, text_col: str = "body", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Response documents held as JSON text in a column → typed rows, led by
+    the columns named in ``keep`` (see ``explode_hourly``)."""
+    parsed = docs.select(*keep, F.from_json(F.col(text_col), RESPONSE_SCHEMA).alias("r"))
+    return explode_hourly(parsed.select(*keep, "r.*"), keep)
+
+
+def problem(hourly: Column) -> Column:
+    """Why a response cannot be parsed, or NULL."""
+    n = F.size(hourly["time"])
+    even = [hourly[v].isNull() | (F.size(hourly[v]) == n) for v in HOURLY_VARIABLES]
+    return (F.when(hourly.isNull(), F.lit(MISSING_HOURLY))
+            .when(hourly["time"].isNull(), F.lit(MISSING_TIME))
+            .when(~reduce(lambda a, b: a & b, even), F.lit(UNEVEN)))
+
+
+def rejected_report(docs: DataFrame, text_col: str = "body") -> DataFrame:
+    """Documents per problem; those without one under a NULL problem. Text
+    that is no JSON object has no hourly data."""
+    parsed = docs.select(F.from_json(F.col(text_col), RESPONSE_SCHEMA)["hourly"].alias("hourly"))
+    return parsed.groupBy(problem(F.col("hourly")).alias("problem")).agg(F.count(F.lit(1)).alias("documents"))
 
 
 def _checked(responses: DataFrame) -> DataFrame:
     # A fail check must sit in a filter: an unused projected raise_error
     # would be pruned away.
-    h = F.col("hourly")
-    n = F.size(h["time"])
-    even = [h[v].isNull() | (F.size(h[v]) == n) for v in HOURLY_VARIABLES]
-    ok = (F.when(h.isNull(), F.raise_error(F.lit(MISSING_HOURLY)).cast("boolean"))
-          .when(h["time"].isNull(), F.raise_error(F.lit(MISSING_TIME)).cast("boolean"))
-          .when(~reduce(lambda a, b: a & b, even), F.raise_error(F.lit(UNEVEN)).cast("boolean"))
-          .otherwise(F.lit(True)))
-    return responses.filter(ok)
+    why = problem(F.col("hourly"))
+    return responses.filter(F.when(why.isNotNull(), F.raise_error(why).cast("boolean")).otherwise(F.lit(True)))
 
 
 def _values(hourly: Column, name: str, n: Column) -> Column:
@@ -61,8 +72,10 @@ def _values(hourly: Column, name: str, n: Column) -> Column:
     return F.coalesce(F.transform(hourly[name], one), F.array_repeat(F.lit(None).cast(elem), n)).alias(name)
 
 
-def explode_hourly(responses: DataFrame) -> DataFrame:
-    """Response structs → one row per time (the staged 8-column shape).
+def explode_hourly(responses: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Response structs → one row per time (the staged 8-column shape). With
+    ``keep``, columns that name the document, these come first, then the
+    row's ``position`` in its document.
 
     Fails when a response has no ``hourly``, no ``time`` or arrays of other
     lengths; elements that are not numbers become NULL (see
@@ -70,12 +83,13 @@ def explode_hourly(responses: DataFrame) -> DataFrame:
     h = F.col("hourly")
     n = F.size(h["time"])
     zipped = F.arrays_zip(h["time"].alias("time"), *[_values(h, v, n) for v in HOURLY_VARIABLES])
-    return (
-        _checked(responses)
-        .select(F.inline(zipped))
-        .select(parse_local_time("time").alias("datetime"),
-                *[F.col(v) for v in HOURLY_VARIABLES])
-    )
+    checked = _checked(responses)
+    if keep:
+        rows = checked.select(*keep, F.posexplode(zipped).alias("position", "x")).select(*keep, "position", "x.*")
+    else:
+        rows = checked.select(F.inline(zipped))
+    return rows.select(*keep, *(["position"] if keep else []), parse_local_time("time").alias("datetime"),
+                       *[F.col(v) for v in HOURLY_VARIABLES])
 
 
 def failed_elements(responses: DataFrame) -> DataFrame:

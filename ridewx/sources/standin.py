@@ -96,6 +96,40 @@ def response_documents(events: DataFrame) -> DataFrame:
     return items.select("day", F.to_json(doc).alias("body"))
 
 
+def broken_documents(events: DataFrame, every: int = 7) -> DataFrame:
+    """``response_documents`` of which every so many stations' are broken in
+    one of three ways: no hourly data, no times, one array emptied."""
+    docs = response_documents(events)
+    station = F.get_json_object("body", "$.longitude").cast("double").cast("bigint") % every
+    emptied = F.regexp_replace("body", r'"rain":\[[^]]*]', '"rain":[]')
+    return docs.select("day", F.when(station == 0, F.lit('{"invalid": "response"}'))
+                       .when(station == 1, F.replace("body", F.lit('"time":'), F.lit('"times":')))
+                       .when(station == 2, emptied).otherwise(F.col("body")).alias("body"))
+
+
+def local_documents(observations: DataFrame, zone: str) -> DataFrame:
+    """One document per local day with every hour that passed on it, 23 to
+    25 of them, as local times without offset in order of time; readings are
+    NULL where an hour has no observation. ``observations`` have
+    ``hour_instant`` and the variables, one row per hour."""
+    wall = F.from_utc_timestamp("hour_instant", zone)
+    days = observations.select(F.to_date(wall).alias("day")).distinct()
+    # TIMESTAMP arithmetic on the wall clock read as UTC, whatever the session's zone.
+    midnight = F.to_utc_timestamp(F.concat(F.col("day").cast("string"), F.lit(" 00:00:00Z")).cast("timestamp"), zone)
+    grid = days.select("day", F.explode(F.sequence(F.lit(0), F.lit(24))).alias("h"), midnight.alias("m")).select(
+        "day", F.timestamp_add("HOUR", "h", "m").alias("hour_instant"))
+    shown = F.timestamp_add("MICROSECOND", F.unix_micros(F.from_utc_timestamp("hour_instant", zone)),
+                            F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+    grid = grid.withColumn("shown", shown).filter(F.to_date("shown") == F.col("day"))
+    rows = grid.join(observations.select("hour_instant", *HOURLY_VARIABLES), "hour_instant", "left")
+    time = F.replace(F.substring(F.col("shown").cast("string"), 1, 16), F.lit(" "), F.lit("T")).alias("time")
+    items = rows.groupBy("day").agg(F.array_sort(F.collect_list(
+        F.struct("hour_instant", time, *HOURLY_VARIABLES))).alias("items"))
+    part = lambda name: F.transform("items", lambda x: x[name]).alias(name)
+    hourly = F.struct(*[part(v) for v in ["time", *HOURLY_VARIABLES]]).alias("hourly")
+    return items.select("day", F.to_json(F.struct(hourly), {"ignoreNullFields": "false"}).alias("body"))
+
+
 def trips(events: DataFrame) -> DataFrame:
     """Trip rows from every non-observation event.
 

@@ -5,7 +5,9 @@ the (size-checked, broadcast) hour table; it keeps no state. X2 groups the
 enriched stream into tumbling one-hour windows of pickup time with a
 watermark, in append mode: a window is emitted once the watermark passes
 its end and its state is dropped, so state holds only the open windows.
-Trips later than the watermark are dropped, as in any append aggregate.
+Trips later than the watermark are dropped, as in any append aggregate, and
+counted in the report that ``run_available`` returns. ``late_weather`` has
+the form in which observations are a stream too.
 
 Sources and sinks are files. The caller names the sink and the streaming
 checkpoint, so a query restarted with the same ones resumes where it
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 from ridewx.functions.timecols import hour_start
 from ridewx.functions.exact import DISTANCE_PLACES, MONEY_PLACES, avg_exact, sum_exact
 from ridewx.operators.enrich import hour_side, join_hours, size_checked, with_hour_keys
-from ridewx.operators.quality import SILVER_EXPECTATIONS, TRIP_EXPECTATIONS, DROP, FAIL
+from ridewx.operators.quality import SILVER_EXPECTATIONS, TRIP_EXPECTATIONS, DROP, FAIL, apply_expectations
 from ridewx.schemas import WEATHER_JOIN_COLUMNS
 from ridewx.sources import standin
 
@@ -71,16 +73,22 @@ def enrich_stream(trips: DataFrame, hours: DataFrame,
 
 
 def enrich_batches(trips: DataFrame, hours: Callable[[], DataFrame], out: str, checkpoint: str,
-                   time_col: str = "tpep_pickup_datetime", fmt: str = "parquet") -> str:
+                   time_col: str = "tpep_pickup_datetime", fmt: str = "parquet",
+                   on_counters: Callable[[int, dict], None] | None = None) -> str:
     """X1 with an hour table that may grow: every micro-batch of ``trips``
     is joined to ``hours()`` as it is then, and written to a folder of its
     own under ``out`` (overwritten if the batch is run again, so each trip
-    is written once). Processes what is available now; returns ``out``."""
+    is written once). The silver layer's warn checks are counted on every
+    batch and passed to ``on_counters`` with the batch's number. Processes
+    what is available now; returns ``out``."""
     columns = [*trips.columns, *WEATHER_JOIN_COLUMNS, "pickup_date", "pickup_hour"]
 
     def write(batch: DataFrame, number: int) -> None:
-        (join_hours(batch, hours(), "left", time_col).select(*columns)
-         .write.mode("overwrite").format(fmt).save(f"{out}/batch={number}"))
+        checked = apply_expectations(join_hours(batch, hours(), "left", time_col).select(*columns),
+                                     SILVER_EXPECTATIONS, f"silver_batch_{number}")
+        checked.df.write.mode("overwrite").format(fmt).save(f"{out}/batch={number}")
+        if on_counters is not None:
+            on_counters(number, checked.metrics())
 
     _finish(trips.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
@@ -118,11 +126,24 @@ def hourly_stream_metrics(enriched: DataFrame, time_col: str = "tpep_pickup_date
                     "avg_distance"))
 
 
+LATE_ROWS = "rowsDroppedByWatermark"
+
+
+def late_rows(progress: list) -> int:
+    """Rows that stateful operators dropped because they lay behind the
+    watermark, over the given progress reports."""
+    return sum(op["numRowsDroppedByWatermark"] for p in progress for op in p["stateOperators"])
+
+
 def _finish(query) -> dict:
+    """The last progress report, with the rows dropped behind the watermark
+    under ``LATE_ROWS``, over as many micro-batches as the session keeps
+    reports of (``spark.sql.streaming.numRecentProgressUpdates``)."""
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
-    return query.lastProgress or {}
+    recent = query.recentProgress
+    return {**recent[-1], LATE_ROWS: late_rows(recent)} if recent else {LATE_ROWS: 0}
 
 
 def run_available(df: DataFrame, out: str, checkpoint: str, output_mode: str = "append",
