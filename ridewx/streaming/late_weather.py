@@ -9,7 +9,8 @@ watermark has passed its hour, so no observation can still come.
 
 The watermark follows the slower of the two streams, each allowed ``delay``
 of disorder, so it never passes hours whose observations are merely late as
-a whole. State holds the trips and observations of open hours only. Rows
+a whole. A restarted query keeps the watermark it had, and moves it on once
+both streams have delivered rows again. State holds the trips and observations of open hours only. Rows
 behind the watermark are dropped and counted (``run_available``).
 
 An hour's trips are one key of the join: in a micro-batch they meet in one
