@@ -47,11 +47,11 @@ def keyed(docs: DataFrame, *columns: str) -> DataFrame:
     return docs.select(F.monotonically_increasing_id().alias("row"), *cols)
 
 
-def cut(df: DataFrame, label: str) -> DataFrame:
+def cut(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back:
     a lost executor then re-reads files instead of recomputing."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -1,19 +1,19 @@
 """Phrase collocation mining with SETM's relations.
 
 Occurrence relations R1, R2, ... hold (piece, place, item) in order of
-place. R1 holds the words. R(k+1) comes from merging R(k) with R1 on the
-adjacent place of the same piece; its items are counted, and a semi-join
-with the frequent items drops all other occurrences before the next length.
-
-The relations are persisted as one row per stretch of text: the places and
-the items of the stretch in sorted arrays, with the stretch's own small
-item table. Places are numbered with a gap between pieces, and a stretch
-ends where a piece ends, so the merge on adjacent places stays inside a
-row and no occurrence is ever shuffled by itself. Counting shuffles one row
-for each distinct item of a stretch: all rows of an item meet, add up, and
-are answered, if frequent, with the item's number; the answers of a stretch
-meet its relations again and filter them. An item that holds a third of all
-occurrences thus gives one row per stretch.
+place. R1 holds the words. The occurrences of R(k) are merged on the
+adjacent place of the same piece, the longer phrases are counted, and a
+semi-join with the frequent ones gives R(k+1), which is persisted.
+
+A persisted row is one stretch of text: the places and items of the stretch
+in sorted, packed arrays. Places are numbered with a gap between pieces, and
+a stretch ends where a piece ends, so the merge on adjacent places stays
+inside a row and no occurrence is ever shuffled by itself. For counting, a
+stretch sends each of its distinct items once, in one packed message to each
+owner (items are dealt to owners by a hash); the owner adds up and answers
+each stretch with the numbers of its frequent items; the answers of a
+stretch meet its relation and filter it. An item that holds a third of all
+occurrences thus gives one entry per stretch.
 
 An item is a pair of numbers (frequent phrase, next word) and words are
 compared as text, so nothing rests on hashes. Numbers are exact: scores are
@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridewx.llm.common import cut, slices
-from ridewx.llm.textops import runs, text_bytes
+from ridewx.llm.textops import mix, runs, span_hash, text_bytes
 
 MIN_COUNT, MAX_WORDS, TOP = 30, 4, 2000
 #: A candidate goes when a longer one holds this share (percent) of it.
@@ -46,6 +46,8 @@ STRETCH = 1 << 20
 #: Bits of a stretch's number in its task, and of an item's in its stretch;
 #: with the task's number above them an item has one number of 63 bits.
 STRETCH_BITS, ITEM_BITS = 16, 27
+#: Items counted by one owner, about.
+OWNED = 1 << 20
 
 _PIECE_END = np.zeros(256, bool)
 _PIECE_END[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = True
@@ -54,8 +56,8 @@ _BETWEEN[[0x20, 0x09]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
-_RELATION = ("stretch long, places binary, words binary, items binary, parts binary, left array<long>, "
-             "right array<long>, n array<long>")
+#: R(k): places, the number of the phrase that starts at each, and its last word's number.
+_RELATION = "stretch long, size long, places binary, items binary, ids array<long>, lasts array<long>"
 
 
 def tokens(col: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -86,15 +88,26 @@ def counted(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return l[at], r[at], np.diff(np.append(at, len(l))), item
 
 
-def _stretch(number: int, parts: list) -> dict:
+def squeezed(values: np.ndarray) -> bytes:
+    return pa.compress(np.ascontiguousarray(values), "zstd", asbytes=True)
+
+
+def spread(cell, size: int, kind: str) -> np.ndarray:
+    kind = np.dtype(kind)
+    return np.frombuffer(pa.decompress(cell.as_py(), size * kind.itemsize, "zstd", asbytes=True), kind)
+
+
+def _stretch(number: int, parts: list) -> pa.RecordBatch:
     words = pa.chunked_array([p[0] for p in parts]).combine_chunks().dictionary_encode()
     langs = pa.chunked_array([p[1] for p in parts]).combine_chunks().dictionary_encode()
-    new = np.concatenate([p[2] for p in parts])
     lang, word, n, item = counted(langs.indices.to_numpy(), words.indices.to_numpy())
-    # A gap before each piece, so that adjacent places share a piece.
-    places = np.arange(len(item)) + np.cumsum(new)
-    return {"stretch": number, "places": places.astype("<i8").tobytes(), "items": item.astype("<i4").tobytes(),
-            "lang": langs.dictionary.take(pa.array(lang)), "word": words.dictionary.take(pa.array(word)), "n": n}
+    one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+    named = lambda array, at: one(array.dictionary.take(pa.array(at)).cast(pa.string()))
+    return pa.RecordBatch.from_pydict({
+        "stretch": pa.array([number], pa.int64()), "size": pa.array([len(item)], pa.int64()),
+        "starts": pa.array([squeezed(np.concatenate([p[2] for p in parts]))], pa.binary()),
+        "items": pa.array([squeezed(item.astype("<i4"))], pa.binary()),
+        "lang": named(langs, lang), "word": named(words, word), "n": one(pa.array(n, pa.int64()))})
 
 
 def _words(batches):
@@ -119,80 +132,218 @@ def _words(batches):
             parts.append((words.slice(at, to - at), lang.slice(at, to - at), new[at:to]))
             held, at = held + to - at, to
             if held >= STRETCH:
-                yield _row(_stretch(number, parts))
+                yield _stretch(number, parts)
                 number, parts, held = number + 1, [], 0
     if parts:
-        yield _row(_stretch(number, parts))
+        yield _stretch(number, parts)
+
+
+def packed(*columns: np.ndarray) -> bytes:
+    """Columns of one length as one compressed buffer."""
+    return pa.compress(b"".join(c.tobytes() for c in columns), "zstd", asbytes=True)
+
+
+def unpacked(cell, size: int, *kinds: str) -> list[np.ndarray]:
+    kinds = [np.dtype(k) for k in kinds]
+    data = pa.decompress(cell.as_py(), size * sum(k.itemsize for k in kinds), "zstd", asbytes=True)
+    ends = np.cumsum([size * k.itemsize for k in kinds])
+    return [np.frombuffer(data[e - size * k.itemsize:e], k) for e, k in zip(ends, kinds)]
+
+
+def _known(answers: pa.Table, size: int) -> np.ndarray:
+    """The number of each of a stretch's items, -1 for those not frequent."""
+    known = np.full(size, -1, np.int64)
+    for n, message in zip(answers.column("size").to_pylist(), answers.column("message")):
+        item, number = unpacked(message, n, "<u4", "<i8")
+        known[np.cumsum(item, dtype=np.int64)] = number
+    return known
+
+
+def by_bucket(bucket: np.ndarray):
+    """(bucket, places) for every bucket in ``bucket``, places rising."""
+    order = np.argsort(bucket, kind="stable")
+    first = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+    for a, b in zip(first, np.append(first[1:], len(order))):
+        yield int(bucket[order[a]]), order[a:b]
+
+
+def _messages(rows: list[tuple], names: tuple = ("bucket", "stretch", "size", "message")) -> pa.RecordBatch:
+    kinds = {"message": pa.binary()}
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kinds.get(name, pa.int64()))
+                                       for i, name in enumerate(names)], names=list(names))
+
+
+def _word_messages(buckets: int):
+    """The words of every stretch and their counts, to the words' owners."""
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                stretch = batch.column("stretch")[i].as_py()
+                lang, word, n = (batch.column(c)[i].values for c in ("lang", "word", "n"))
+                data, offs = text_bytes(word)
+                bucket = (span_hash(data, offs[:-1], offs[1:]) % np.uint64(buckets)).astype(np.int64)
+                out = []
+                for b, at in by_bucket(bucket):
+                    some = pa.array(at)
+                    rows = pa.RecordBatch.from_arrays([lang.take(some), word.take(some), n.take(some),
+                                                       pa.array(at.astype(np.int32))], names=["lang", "word", "n", "item"])
+                    sink = pa.BufferOutputStream()
+                    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+                        w.write_batch(rows)
+                    out.append((b, stretch, len(at), sink.getvalue().to_pybytes()))
+                yield _messages(out)
+
+    return run
+
+
+def _answers(stretch: np.ndarray, item: np.ndarray, f: np.ndarray, number: np.ndarray, most: list) -> pa.Table:
+    """Rows (stretch, message) of the frequent entries, and one row that
+    names each frequent item once: its number, count and ``most``."""
+    order = np.lexsort((item, stretch))
+    stretch, item = stretch[order], item[order]
+    out = []
+    for s, at in by_bucket(stretch):
+        out.append((s, len(at), packed(np.diff(item[at], prepend=0).astype("<u4"), number[order[at]].astype("<i8"))))
+    first = np.flatnonzero(number[order] == (stretch << ITEM_BITS) + item)
+    table = _messages([*out, (None, None, None)], ("stretch", "size", "message"))
+    named = [("id", pa.array(number[order[first]])), ("f", pa.array(f[order[first]])),
+             *[(name, values.take(pa.array(order[first]))) for name, values in most]]
+    empty = [None] * len(out)
+    return pa.table({**{c: table.column(c) for c in table.schema.names},
+                     **{name: pa.array([*empty, values], pa.list_(values.type)) for name, values in named}})
+
+
+def _summed(group: np.ndarray, stretch: np.ndarray, item: np.ndarray, n: np.ndarray, min_count: int):
+    """Entries whose ``group`` (sorted) adds up to ``min_count``: (kept
+    places, each one's total, its number: the smallest (stretch, item))."""
+    first = np.flatnonzero(np.diff(group, prepend=-1))
+    if not len(first):
+        return first, first, first
+    size = np.diff(np.append(first, len(group)))
+    f = np.repeat(np.add.reduceat(n, first), size)
+    number = np.repeat(np.minimum.reduceat((stretch << ITEM_BITS) + item, first), size)
+    kept = np.flatnonzero(f >= min_count)
+    return kept, f[kept], number[kept]
+
+
+def _count_words(min_count: int):
+    def run(table: pa.Table) -> pa.Table:
+        read = [pa.ipc.open_stream(m.as_buffer()).read_all() for m in table.column("message")]
+        stretch = np.repeat(table.column("stretch").to_numpy(), table.column("size").to_numpy())
+        rows = pa.concat_tables(read).combine_chunks()
+        words, langs = (rows.column(c).combine_chunks().dictionary_encode() for c in ("word", "lang"))
+        order = np.lexsort((langs.indices.to_numpy(), words.indices.to_numpy()))
+        group = (words.indices.to_numpy().astype(np.int64) * max(1, len(langs.dictionary)) + langs.indices.to_numpy())[order]
+        stretch, item = stretch[order], rows.column("item").to_numpy().astype(np.int64)[order]
+        kept, f, number = _summed(group, stretch, item, rows.column("n").to_numpy()[order], min_count)
+        at = pa.array(order[kept])
+        return _answers(stretch[kept], item[kept], f, number, [
+            (c, rows.column(c).combine_chunks().take(at)) for c in ("lang", "word")])
+
+    return run
+
+
+def _count_phrases(min_count: int):
+    def run(table: pa.Table) -> pa.Table:
+        size = table.column("size").to_numpy()
+        read = [unpacked(m, n, "<u4", "<i8", "<i8", "<u4") for m, n in zip(table.column("message"), size.tolist())]
+        item = np.concatenate([np.cumsum(r[0], dtype=np.int64) for r in read])
+        left = np.concatenate([np.cumsum(r[1]) for r in read])
+        right, n = (np.concatenate([r[k] for r in read]) for k in (2, 3))
+        stretch = np.repeat(table.column("stretch").to_numpy(), size)
+        order = np.lexsort((right, left))
+        left, right, stretch, item = left[order], right[order], stretch[order], item[order]
+        group = np.cumsum((np.diff(left, prepend=-1) != 0) | (np.diff(right, prepend=-1) != 0))
+        kept, f, number = _summed(group, stretch, item, n[order].astype(np.int64), min_count)
+        return _answers(stretch[kept], item[kept], f, number, [
+            ("left", pa.array(left[kept])), ("right", pa.array(right[kept]))])
+
+    return run
+
+
+def _relation(stretch, places: np.ndarray, phrase: np.ndarray, last: np.ndarray) -> pa.Table:
+    ids, first, item = np.unique(phrase, return_index=True, return_inverse=True)
+    steps = np.diff(places, prepend=0)
+    return pa.table({
+        "stretch": pa.array([stretch.as_py()], pa.int64()), "size": pa.array([len(places)], pa.int64()),
+        "places": pa.array([squeezed(steps.astype("<u4"))], pa.binary()),
+        "items": pa.array([squeezed(item.astype("<i4"))], pa.binary()),
+        "ids": pa.array([ids], pa.list_(pa.int64())), "lasts": pa.array([last[first]], pa.list_(pa.int64()))})
 
 
-def _row(s: dict) -> pa.RecordBatch:
-    one = lambda values, kind: pa.ListArray.from_arrays(
-        pa.array([0, len(values)], pa.int32()), values if isinstance(values, pa.Array) else pa.array(values, kind))
-    return pa.RecordBatch.from_pydict({
-        "stretch": pa.array([s["stretch"]], pa.int64()), "places": pa.array([s["places"]], pa.binary()),
-        "items": pa.array([s["items"]], pa.binary()),
-        "lang": one(s["lang"].cast(pa.string()), None), "word": one(s["word"].cast(pa.string()), None),
-        "n": one(s["n"], pa.int64())})
-
-
-def _i(cell, kind: str) -> np.ndarray:
-    return np.frombuffer(cell.as_py() or b"", kind)
-
-
-def _extend(key, relation: pa.Table, answers: pa.Table) -> pa.Table:
-    """One stretch: the semi-join of its last relation with the frequent
-    items, and the merge of what is left with R1 on the next place.
-
-    ``places`` and ``words`` are R1 (the word at each place); ``items`` and
-    ``parts`` are R(k) (the item at each place; as R1 comes in, ``words`` is
-    empty and R(k) is R1)."""
-    if not relation.num_rows:
-        return relation_rows([])
-    names = relation.schema.names
-    places = _i(relation.column("places")[0], "<i8")
-    items = _i(relation.column("items")[0], "<i4")
-    known = np.full(int(items.max()) + 1 if len(items) else 0, -1, np.int64)
-    known[answers.column("item").to_numpy()] = answers.column("id").to_numpy()
-    if "parts" in names:
-        words, at = _i(relation.column("words")[0], "<i8"), _i(relation.column("parts")[0], "<i8")
-    else:
-        words, at = known[items], places
-    kept = known[items] >= 0
-    at, phrase = at[kept], known[items][kept]
-    if "parts" not in names:
-        places, words = places[kept], words[kept]
-        length = 1
-    else:
-        length = int(relation.column("length")[0].as_py())
-    # Both relations are sorted by place: merge on the place after the phrase.
-    to = np.searchsorted(places, at + length)
-    hit = to < len(places)
-    hit[hit] = places[to[hit]] == (at + length)[hit]
-    at, left, right = at[hit], phrase[hit], words[to[hit]]
-    l, r, n, item = counted(left, right)
-    return relation_rows([{"stretch": key[0].as_py(), "places": places.tobytes(), "words": words.tobytes(),
-                           "items": item.astype("<i4").tobytes(), "parts": at.tobytes(),
-                           "left": l, "right": r, "n": n}])
-
-
-def relation_rows(rows: list[dict]) -> pa.Table:
-    lists = lambda name: pa.array([r[name] for r in rows], pa.list_(pa.int64()))
-    return pa.table({
-        "stretch": pa.array([r["stretch"] for r in rows], pa.int64()),
-        **{c: pa.array([r[c] for r in rows], pa.binary()) for c in ("places", "words", "items", "parts")},
-        **{c: lists(c) for c in ("left", "right", "n")}})
+_NOTHING = pa.schema([("stretch", pa.int64()), ("size", pa.int64()), ("places", pa.binary()), ("items", pa.binary()),
+                      ("ids", pa.list_(pa.int64())), ("lasts", pa.list_(pa.int64()))]).empty_table()
 
 
-def frequent(rows: DataFrame, by: list[str], min_count: int, label: str) -> DataFrame:
-    """The rows (stretch, item, n, ...) of items that occur ``min_count``
-    times or more in all stretches, with the item's count ``f`` and a number
-    ``id``, the smallest (stretch, item) that holds it; ``first`` marks that
-    row. One shuffle: an item has one row per stretch."""
-    same = Window.partitionBy(*by)
-    own = F.col("stretch") * (1 << ITEM_BITS) + F.col("item")
-    out = (rows.withColumn("own", own).withColumns({"f": F.sum("n").over(same), "id": F.min("own").over(same)})
-           .filter(F.col("f") >= min_count))
-    return cut(out.select("stretch", "item", "id", "f", (F.col("id") == F.col("own")).alias("first"), *by), label)
+def _frequent_words(key, relation: pa.Table, answers: pa.Table) -> pa.Table:
+    """R1 of a stretch without its rare words."""
+    if not relation.num_rows or not answers.num_rows:
+        return _NOTHING
+    size = relation.column("size")[0].as_py()
+    item = spread(relation.column("items")[0], size, "<i4")
+    # A gap before each piece, so that adjacent places share a piece.
+    places = np.arange(size) + np.cumsum(spread(relation.column("starts")[0], size, "?"))
+    word = _known(answers, int(item.max()) + 1)[item]
+    kept = word >= 0
+    return _relation(key[0], places[kept], word[kept], word[kept])
+
+
+def _longer(row) -> tuple:
+    """The merge of R(k) with itself on the next place: a phrase and the
+    last word of the one that starts a place later. (places, distinct left,
+    right and n, item of each place). What R1 has on the place after a
+    phrase is that word, unless the phrase it ends is rare."""
+    size, places, items, ids, lasts = row
+    places = np.cumsum(spread(places, size.as_py(), "<u4"), dtype=np.int64)
+    items = spread(items, size.as_py(), "<i4")
+    next_to = np.flatnonzero(places[1:] == places[:-1] + 1)
+    ids, lasts = ids.values.to_numpy(), lasts.values.to_numpy()
+    return places[next_to], *counted(ids[items[next_to]], lasts[items[next_to + 1]])
+
+
+def _phrase_messages(buckets: int):
+    """The longer phrases of every stretch and their counts, to their owners."""
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                stretch = batch.column("stretch")[i].as_py()
+                _, left, right, n, _ = _longer([batch.column(c)[i] for c in ("size", "places", "items", "ids", "lasts")])
+                key = mix(mix(left.astype(np.uint64)) + right.astype(np.uint64))
+                out = [(b, stretch, len(at), packed(
+                    np.diff(at, prepend=0).astype("<u4"), np.diff(left[at], prepend=0).astype("<i8"),
+                    right[at].astype("<i8"), n[at].astype("<u4")))
+                    for b, at in by_bucket((key % np.uint64(buckets)).astype(np.int64))]
+                yield _messages(out)
+
+    return run
+
+
+def _frequent_phrases(key, relation: pa.Table, answers: pa.Table) -> pa.Table:
+    """R(k + 1) of a stretch: the longer phrases that are frequent."""
+    if not relation.num_rows or not answers.num_rows:
+        return _NOTHING
+    places, left, right, _, item = _longer([relation.column(c)[0] for c in ("size", "places", "items", "ids", "lasts")])
+    phrase = _known(answers, len(left))[item]
+    kept = phrase >= 0
+    return _relation(key[0], places[kept], phrase[kept], right[item[kept]])
+
+
+_SENT = "bucket long, stretch long, size long, message binary"
+_ANSWERS = "stretch long, size long, message binary, id array<long>, f array<long>, "
+
+
+def counts(sent: DataFrame, count, columns: str, label: str) -> tuple[DataFrame, DataFrame]:
+    """(answers, items) of the owners: per stretch its frequent items and
+    their numbers, packed; and every frequent item once."""
+    names = [c.split()[0] for c in columns.split(", ")]
+    back = cut(sent.groupBy("bucket").applyInArrow(count, _ANSWERS + columns), label, "zstd")
+    items = back.filter("id IS NOT NULL").select(F.inline(F.arrays_zip("id", "f", *names)))
+    return back.filter("stretch IS NOT NULL").select("stretch", "size", "message"), items
+
+
+def _buckets(rows: DataFrame, size) -> int:
+    """Owners for as many items as ``size`` adds up to over ``rows``."""
+    return 1 + (rows.agg(F.sum(size)).first()[0] or 0) // OWNED
 
 
 def mine(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS) -> tuple[DataFrame, DataFrame]:
@@ -200,22 +351,24 @@ def mine(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS
     ``min_count`` occurrences in its lang: lang, words, f; and lang, n."""
     texts = docs.select(F.coalesce(docs["lang"].cast("string"), F.lit(NO_LANG)).alias("lang"),
                         F.coalesce(docs["text"], F.lit("")).alias("text"))
-    relation = cut(texts.mapInArrow(_words, "stretch long, places binary, items binary, lang array<string>, "
-                                            "word array<string>, n array<long>"), "R1")
-    item = F.posexplode(F.arrays_zip("lang", "word", "n")).alias("item", "x")
-    counts = relation.select("stretch", item).select("stretch", "item", "x.*")
-    totals = counts.groupBy("lang").agg(F.sum("n").alias("n"))
-    answers = frequent(counts, ["lang", "word"], min_count, "F1")
-    known = answers.filter("first").select("id", "lang", F.array("word").alias("words"), "f")
+    stretches = cut(texts.mapInArrow(_words, "stretch long, size long, starts binary, items binary, "
+                                             "lang array<string>, word array<string>, n array<long>"), "R1", "zstd")
+    totals = stretches.select(F.inline(F.arrays_zip("lang", "n"))).groupBy("lang").agg(F.sum("n").alias("n"))
+    answers, items = counts(
+        stretches.select("stretch", "lang", "word", "n").mapInArrow(
+            _word_messages(_buckets(stretches, F.size("n"))), _SENT),
+        _count_words(min_count), "lang array<string>, word array<string>", "F1")
+    known = items.select("id", "lang", F.array("word").alias("words"), "f")
     phrases, single = known, known.select(F.col("id").alias("right"), F.col("words").alias("next"))
+    relation, semi_join = stretches.select("stretch", "size", "starts", "items"), _frequent_words
     for length in range(2, max_words + 1):
-        relation = cut(relation.drop("lang", "word", "left", "right", "n").groupBy("stretch").cogroup(
-            answers.select("stretch", "item", "id").groupBy("stretch")).applyInArrow(_extend, _RELATION)
-            .withColumn("length", F.lit(length)), f"R{length}")
-        pairs = relation.select("stretch", F.posexplode(F.arrays_zip("left", "right", "n")).alias("item", "x"))
-        answers = frequent(pairs.select("stretch", "item", "x.*"), ["left", "right"], min_count, f"F{length}")
-        known = cut(answers.filter("first").select("id", "left", "right", "f")
-                    .join(known.select(F.col("id").alias("left"), "lang", "words"), "left")
+        relation = cut(relation.groupBy("stretch").cogroup(answers.groupBy("stretch"))
+                       .applyInArrow(semi_join, _RELATION), f"R{length - 1}", "zstd")
+        answers, items = counts(
+            relation.mapInArrow(_phrase_messages(_buckets(relation, F.col("size"))), _SENT),
+            _count_phrases(min_count), "left array<long>, right array<long>", f"F{length}")
+        semi_join = _frequent_phrases
+        known = cut(items.join(known.select(F.col("id").alias("left"), "lang", "words"), "left")
                     .join(single, "right")
                     .select("id", "lang", F.concat("words", "next").alias("words"), "f"), f"phrases{length}")
         phrases = phrases.unionByName(known)
