@@ -14,7 +14,9 @@ Signatures are cut into ``BANDS`` bands of ``ROWS`` components; texts that
 share a band are candidates (a pair at 0.8 is missed with probability
 7e-5). Candidates are checked by exact multiset overlap of their texts:
 
-* equal word sequences are first reduced to one representative;
+* equal word sequences are first reduced to one representative (equal in
+  two independent 64-bit hashes of all words and their places, each from a
+  SipHash of its own; the bytes are not compared again);
 * in every band bucket each member is checked against the member with the
   smallest id (a star, not all pairs), and components are found;
 * buckets that still hold several components are cut into blocks; inside a
@@ -97,12 +99,12 @@ def _sign(batches):
         col = batch.column(2)
         n = batch.num_rows
         sig = t.mix(signatures(*t.shingles(col, SHINGLE), n).view(U))
-        h, bounds, *_ = t.words(col)
-        place = t.powers(0x2545F4914F6CDD1D, len(h) + 1)
-        total = np.zeros((2, len(h) + 1), U)
-        inner = np.arange(len(h)) - np.repeat(bounds[:-1], np.diff(bounds))
-        total[0, 1:] = np.cumsum(h * place[inner])
-        total[1, 1:] = np.cumsum(t.mix(h + U(7)) * place[inner])
+        hashes, bounds = t.keyed_words(col, 2)
+        inner = (np.arange(bounds[-1]) - np.repeat(bounds[:-1], np.diff(bounds))).astype(U)
+        total = np.zeros((2, len(inner) + 1), U)
+        for total_of, h in zip(total, hashes):
+            # Each word is mixed with its place, so that no pattern of words cancels out.
+            total_of[1:] = np.cumsum(t.mix(h ^ t.mix(inner + U(1))))
         ident = t.mix(total[:, bounds[1:]] - total[:, bounds[:-1]])
         band = np.zeros((n, BANDS), U)
         parts = sig.reshape(n, BANDS, ROWS)

@@ -1,8 +1,9 @@
 """Substring deduplication with prefix-partitioned suffix trees.
 
 The suffixes of all texts are cut at ``DEPTH`` words and written over an
-alphabet of ``SYMBOL``-word symbols (64-bit hashes; the second and later
-symbols of a path keep 32 bits). Suffixes are dealt out by a prefix of
+alphabet of ``SYMBOL``-word symbols (64-bit hashes over the words' SipHash;
+the second and later symbols of a path keep 32 bits, so two windows are
+equal when 160 bits are; inside a slice, 256). Suffixes are dealt out by a prefix of
 variable length: one symbol, and more for prefixes that a sample of the
 documents shows to be heavy, so that every group fits in memory. A group
 builds its subtree by sorting its suffixes; common prefixes of neighbours
@@ -50,7 +51,7 @@ _NO_ID = (1 << 63) - 1
 def anchors(col: pa.Array):
     """(windows' first word, their text, their anchor's word, symbol hash at
     every word, words before each text) of a slice."""
-    h, bounds, *_ = t.words(col)
+    (h,), bounds = t.keyed_words(col)
     g = t.grams(h, SYMBOL)
     first, doc = t.gram_docs(bounds, DEPTH)
     if not len(first):
@@ -182,10 +183,9 @@ def _suffix_rows(heavy: list[np.ndarray], bins: int):
             rows = batch.column(0).to_numpy()[doc]
             ids = batch.column(1).fill_null(_NO_ID).to_numpy()[doc]
             pos = first - bounds[doc]
-            path = t.mix(t.mix(t.mix(s[0]) + s[1]) + s[2]) + s[3]
-            order = np.lexsort((pos, rows, ids, path))
+            order = np.lexsort((pos, rows, ids, *s[::-1]))
             again = np.zeros(len(order), bool)
-            again[1:] = path[order][1:] == path[order][:-1]
+            again[1:] = (s[:, order[1:]] == s[:, order[:-1]]).all(axis=0)
             known = np.zeros(len(order), bool)
             known[order] = again
             # Known windows leave as runs: row, start, length.
