@@ -35,14 +35,16 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Draw documents until every source meets its target."""
+    """Draw documents until every source meets its target; the one that
+    meets it is cut there."""
     return mixing.mixed_documents(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces of power-of-two length, one sequence each."""
+    """Token pieces of power-of-two length, one sequence each, with their ids
+    (little-endian unsigned 32-bit)."""
     return pow2_pack.pack(docs).select(
-        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "ids")
 
 
 STAGES = [
