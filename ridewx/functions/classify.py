@@ -78,10 +78,6 @@ def classify_code_coarse(code: str | Column,
     return classify_code(code, WEATHER_CODE_CLASSES_COARSE, null_label)
 
 
-def codes_of(label: str, classes=WEATHER_CODE_CLASSES) -> list[int]:
-    return [c for name, codes in classes for c in codes if name == label]
-
-
 def is_positive(amount: str | Column) -> Column:
     """``amount > 0``; a NULL amount gives a NULL flag (quirk Q2)."""
     return _col(amount) > 0

@@ -70,6 +70,56 @@ def sum_exact(value: str | Column, places: int, out_places: int | None = None) -
     return round_scaled(F.sum(scaled(value, places)), places, places if out_places is None else out_places)
 
 
+#: Digits that ``fine_sums`` keeps behind the places of a measure.
+FINE = 5
+
+
+def fine_sums(value: str | Column, places: int) -> tuple[Column, Column, Column]:
+    """(sum, rest, count) of a measure, all aggregates of 64-bit integers:
+    the sum of its whole ``10**-places`` units and, in units ``10**FINE``
+    finer, the sum of what these leave over. Nothing of a double is cut but
+    what lies behind the last of these digits, and neither sum overflows
+    before the first one alone would. NaN and values beyond 64 bits are left
+    out of all three."""
+    s = scaled(value, places)
+    rest = F.round((_col(value).cast("double") * (10 ** places) - s) * (10 ** FINE)).try_cast("bigint")
+    return F.sum(s), F.sum(rest), F.count(s)
+
+
+def joined_sum(total: Column, rest: Column) -> Column:
+    """The two sums of ``fine_sums`` as one integer (a decimal)."""
+    wide = "decimal(38,0)"
+    return total.cast(wide) * (10 ** FINE) + F.coalesce(rest.cast(wide), F.lit(0).cast(wide))
+
+
+def mean_fine(total: Column, rest: Column, n: Column, places: int, out_places: int) -> Column:
+    """Mean of a measure from its ``fine_sums``, HALF_UP to ``out_places``."""
+    num = F.abs(joined_sum(total, rest)) * 2
+    den = n.cast("decimal(38,0)") * (10 ** (places + FINE - out_places))
+    q = _idiv(num + den, den * 2)
+    return F.when(n > 0, F.signum(joined_sum(total, rest)).cast("double") * q / float(10 ** out_places))
+
+
+def total_fine(total: Column, rest: Column, places: int, out_places: int) -> Column:
+    """A measure's sum from its ``fine_sums``, HALF_UP to ``out_places``."""
+    step = 10 ** (places + FINE - out_places)
+    whole = joined_sum(total, rest)
+    q = _idiv(F.abs(whole) * 2 + step, F.lit(2 * step).cast("decimal(38,0)"))
+    return F.signum(whole).cast("double") * q / float(10 ** out_places)
+
+
+def avg_fine(value: str | Column, places: int, out_places: int) -> Column:
+    """``round(avg(value), out_places)``, exact but for digits behind place
+    ``places + FINE`` (an aggregate)."""
+    return mean_fine(*fine_sums(value, places), places, out_places)
+
+
+def sum_fine(value: str | Column, places: int, out_places: int) -> Column:
+    """``round(sum(value), out_places)``, as exact as ``avg_fine``."""
+    total, rest, _ = fine_sums(value, places)
+    return total_fine(total, rest, places, out_places)
+
+
 def min_exact(value: str | Column, in_places: int, out_places: int) -> Column:
     return round_scaled(F.min(scaled(value, in_places)), in_places, out_places)
 
@@ -78,8 +128,9 @@ def max_exact(value: str | Column, in_places: int, out_places: int) -> Column:
     return round_scaled(F.max(scaled(value, in_places)), in_places, out_places)
 
 
-# Decimal places of the inputs that aggregates keep. Results are rounded
-# once, from these, so they agree with rounding the mean of the values.
+# Decimal places of the inputs that aggregates keep. Money and distances are
+# doubles and keep FINE more digits in a sum of their own. Temperatures are
+# single-precision numbers, whose own decimals end before the fourth place.
 MONEY_PLACES = 4
 DISTANCE_PLACES = 4
 TEMPERATURE_PLACES = 4

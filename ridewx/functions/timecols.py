@@ -22,11 +22,6 @@ def parse_local_time(text: str | Column) -> Column:
     return F.to_timestamp_ntz(_col(text))
 
 
-def as_local(ts: str | Column) -> Column:
-    """Any timestamp-like column as TIMESTAMP_NTZ (wall-clock time)."""
-    return _col(ts).cast("timestamp_ntz")
-
-
 def date_key(ts: str | Column) -> Column:
     return F.to_date(_col(ts))
 

@@ -20,15 +20,20 @@ from pyspark.sql import functions as F
 from ridewx.functions.classify import band_order, classify_code_coarse, temperature_band
 from ridewx.functions.exact import (
     DISTANCE_PLACES,
+    FINE,
     MONEY_PLACES,
     TEMPERATURE_PLACES,
     avg_exact,
+    avg_fine,
+    fine_sums,
+    joined_sum,
     max_exact,
+    mean_fine,
     mean_half_up,
     min_exact,
-    round_scaled,
     scaled,
-    sum_exact,
+    sum_fine,
+    total_fine,
 )
 
 
@@ -37,15 +42,15 @@ def _trip_count():
 
 
 def _avg_fare():
-    return avg_exact("fare_amount", MONEY_PLACES, 2).alias("avg_fare")
+    return avg_fine("fare_amount", MONEY_PLACES, 2).alias("avg_fare")
 
 
 def _avg_distance():
-    return avg_exact("trip_distance", DISTANCE_PLACES, 2).alias("avg_distance")
+    return avg_fine("trip_distance", DISTANCE_PLACES, 2).alias("avg_distance")
 
 
 def _revenue():
-    return sum_exact("fare_amount", MONEY_PLACES, 2).alias("total_revenue")
+    return sum_fine("fare_amount", MONEY_PLACES, 2).alias("total_revenue")
 
 
 def weather_impact_summary(silver: DataFrame, ordered: bool = True) -> DataFrame:
@@ -90,18 +95,20 @@ STATE_KEYS = ["pickup_date", "pickup_hour", "weather_category", "temperature_2m"
 def gold_state(silver: DataFrame) -> DataFrame:
     """Mergeable state of the gold tables: per pickup hour and its observed
     conditions the trips, and the counts and sums of known fares and
-    distances in whole 10**-places units. Rows of one key add up."""
-    fare, distance = scaled("fare_amount", MONEY_PLACES), scaled("trip_distance", DISTANCE_PLACES)
-    return silver.groupBy(*STATE_KEYS).agg(
-        F.count(F.lit(1)).alias("trips"), F.count(fare).alias("fares"), F.sum(fare).alias("fare_sum"),
-        F.count(distance).alias("distances"), F.sum(distance).alias("distance_sum"))
+    distances (``exact.fine_sums``). Rows of one key add up."""
+    named = [column.alias(name) for measure, places, names in (
+        ("fare_amount", MONEY_PLACES, ("fare_sum", "fare_rest", "fares")),
+        ("trip_distance", DISTANCE_PLACES, ("distance_sum", "distance_rest", "distances")))
+        for column, name in zip(fine_sums(measure, places), names)]
+    return silver.groupBy(*STATE_KEYS).agg(F.count(F.lit(1)).alias("trips"), *named)
 
 
 def _of_state() -> dict:
     return {"trip_count": F.sum("trips"),
-            "avg_fare": mean_half_up(F.sum("fare_sum"), F.sum("fares"), MONEY_PLACES, 2),
-            "avg_distance": mean_half_up(F.sum("distance_sum"), F.sum("distances"), DISTANCE_PLACES, 2),
-            "total_revenue": round_scaled(F.sum("fare_sum"), MONEY_PLACES, 2)}
+            "avg_fare": mean_fine(F.sum("fare_sum"), F.sum("fare_rest"), F.sum("fares"), MONEY_PLACES, 2),
+            "avg_distance": mean_fine(F.sum("distance_sum"), F.sum("distance_rest"), F.sum("distances"),
+                                      DISTANCE_PLACES, 2),
+            "total_revenue": total_fine(F.sum("fare_sum"), F.sum("fare_rest"), MONEY_PLACES, 2)}
 
 
 def _finished(state: DataFrame, keys: list[str], columns: list[str], **more) -> DataFrame:
@@ -170,25 +177,24 @@ def condition_compare(silver: DataFrame, base: str = "Clear", other: str = "Rain
     """Average fare under two conditions (coarse categories), their
     difference and the percent change, in one pass."""
     cat = classify_code_coarse("weather_code", null_label=None)
-    cents = scaled("fare_amount", MONEY_PLACES)
-    sums = silver.select(cat.alias("c"), cents.alias("cents")).agg(
-        F.count_if((F.col("c") == base) & F.col("cents").isNotNull()).alias("nb"),
-        F.sum(F.when(F.col("c") == base, F.col("cents"))).alias("sb"),
-        F.count_if((F.col("c") == other) & F.col("cents").isNotNull()).alias("no"),
-        F.sum(F.when(F.col("c") == other, F.col("cents"))).alias("so"),
-    )
+    known = silver.select(cat.alias("c"), F.col("fare_amount"))
+    of = lambda name: F.when(F.col("c") == name, F.col("fare_amount"))
+    base_sums, other_sums = fine_sums(of(base), MONEY_PLACES), fine_sums(of(other), MONEY_PLACES)
+    sums = known.agg(base_sums[2].alias("nb"), joined_sum(*base_sums[:2]).alias("sb"),
+                     other_sums[2].alias("no"), joined_sum(*other_sums[:2]).alias("so"))
     nb, sb, no, so = (F.col(c) for c in ("nb", "sb", "no", "so"))
+    places = MONEY_PLACES + FINE
     # other/no - base/nb = (so*nb - sb*no) / (no*nb), in scaled units
-    diff_num = so.cast("decimal(38,0)") * nb - sb.cast("decimal(38,0)") * no
+    diff_num = so * nb - sb * no
     valid = (nb > 0) & (no > 0)
     return sums.select(
         F.lit(base).alias("base_condition"),
         F.lit(other).alias("other_condition"),
         nb.alias("base_trips"),
         no.alias("other_trips"),
-        mean_half_up(sb, nb, MONEY_PLACES, 2).alias("base_avg_fare"),
-        mean_half_up(so, no, MONEY_PLACES, 2).alias("other_avg_fare"),
-        F.when(valid, _ratio_half_up(diff_num, no.cast("decimal(38,0)") * nb * 10 ** MONEY_PLACES, 2))
+        _ratio_half_up(sb, nb.cast("decimal(38,0)") * 10 ** places, 2).alias("base_avg_fare"),
+        _ratio_half_up(so, no.cast("decimal(38,0)") * 10 ** places, 2).alias("other_avg_fare"),
+        F.when(valid, _ratio_half_up(diff_num, no.cast("decimal(38,0)") * nb * 10 ** places, 2))
         .alias("fare_difference"),
         F.when(valid & (sb != 0),
                _ratio_half_up(diff_num * 100 * F.signum(sb).cast("int"),

@@ -13,7 +13,7 @@ from ridewx.functions.classify import condition_recode
 from ridewx.functions.exact import (
     DISTANCE_PLACES,
     TEMPERATURE_PLACES,
-    avg_exact,
+    avg_fine,
     max_exact,
     min_exact,
     scaled,
@@ -200,4 +200,4 @@ def distance_by_degree(silver: DataFrame) -> DataFrame:
     return (silver.filter(F.col("temperature_2m").isNotNull())
             .groupBy(degree.alias("temperature_degree"))
             .agg(F.count(F.lit(1)).alias("trip_count"),
-                 avg_exact("trip_distance", DISTANCE_PLACES, 2).alias("avg_distance")))
+                 avg_fine("trip_distance", DISTANCE_PLACES, 2).alias("avg_distance")))

@@ -96,8 +96,3 @@ def check_schema(df: DataFrame, expected: T.StructType, *, exact_order: bool = T
             f"got={[(n, t.simpleString()) for n, t in got]}")
     return df
 
-
-def required_columns(df: DataFrame, names: list[str], what: str = "table") -> None:
-    missing = [n for n in names if n not in df.columns]
-    if missing:
-        raise SchemaMismatch(f"{what}: missing required columns {missing}")

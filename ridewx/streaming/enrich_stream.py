@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridewx.functions.timecols import hour_start
-from ridewx.functions.exact import DISTANCE_PLACES, MONEY_PLACES, avg_exact, sum_exact
+from ridewx.functions.exact import DISTANCE_PLACES, MONEY_PLACES, avg_fine, sum_fine
 from ridewx.operators.enrich import hour_side, join_hours, size_checked, with_hour_keys
 from ridewx.operators.quality import SILVER_EXPECTATIONS, TRIP_EXPECTATIONS, DROP, FAIL, apply_expectations
 from ridewx.schemas import WEATHER_JOIN_COLUMNS
@@ -117,9 +117,9 @@ def hourly_stream_metrics(enriched: DataFrame, time_col: str = "tpep_pickup_date
     return (timed.withWatermark(EVENT_TIME, delay)
             .groupBy(F.window(EVENT_TIME, "1 hour"), "window_start", "weather_category")
             .agg(F.count(F.lit(1)).alias("trip_count"),
-                 avg_exact("fare_amount", MONEY_PLACES, 2).alias("avg_fare"),
-                 sum_exact("fare_amount", MONEY_PLACES, 2).alias("total_revenue"),
-                 avg_exact("trip_distance", DISTANCE_PLACES, 2).alias("avg_distance"))
+                 avg_fine("fare_amount", MONEY_PLACES, 2).alias("avg_fare"),
+                 sum_fine("fare_amount", MONEY_PLACES, 2).alias("total_revenue"),
+                 avg_fine("trip_distance", DISTANCE_PLACES, 2).alias("avg_distance"))
             .select("window_start",
                     F.timestamp_add("HOUR", F.lit(1), F.col("window_start")).alias("window_end"),
                     "weather_category", "trip_count", "avg_fare", "total_revenue",

@@ -1,5 +1,6 @@
 from decimal import ROUND_HALF_UP, Decimal
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -74,3 +75,29 @@ def test_inputs_are_rounded_once_and_nan_does_not_abort(spark):
     r = df.agg(avg_exact("fare", MONEY_PLACES, 2).alias("f"), avg_exact("t", TEMPERATURE_PLACES, 1).alias("t"),
                sum_exact("fare", MONEY_PLACES, 2).alias("s")).first()
     assert (r.f, r.t, r.s) == (0.0, 2.4, 0.01)
+
+
+def test_digits_behind_the_fourth_place_count(spark):
+    from ridewx.functions.exact import MONEY_PLACES, avg_fine, sum_fine
+
+    def of(*values):
+        df = spark.createDataFrame([(v,) for v in values], "x double")
+        return tuple(df.agg(avg_fine("x", MONEY_PLACES, 2).alias("a"), sum_fine("x", MONEY_PLACES, 2).alias("s")).first())
+
+    assert of(0.00499999) == (0.0, 0.0) and of(0.00500001) == (0.01, 0.01)
+    assert of(27.12, 27.13) == (27.13, 54.25) and of(-27.12, -27.13) == (-27.13, -54.25)
+    assert of(0.00004, 0.00004, 0.00007) == (0.0, 0.0) and of(*[0.00004] * 125) == (0.0, 0.01)
+    assert of(5.0, None, float("nan")) == (5.0, 5.0) and of(None) == (None, None)
+    assert of(9e14, -9e14, 1.005) == (0.34, 1.01)
+
+
+def test_fine_sums_add_up_in_parts(spark):
+    from ridewx.functions.exact import fine_sums, mean_fine
+
+    df = spark.range(1000).selectExpr("id % 7 AS part", "(id * 7919 % 100003) / 30011.0 AS x")
+    names = ("s", "r", "n")
+    part = df.groupBy("part").agg(*[c.alias(n) for c, n in zip(fine_sums("x", 4), names)])
+    whole = df.agg(mean_fine(*fine_sums("x", 4), 4, 2)).first()[0]
+    assert part.agg(mean_fine(F.sum("s"), F.sum("r"), F.sum("n"), 4, 2)).first()[0] == whole
+    exact = sum((i * 7919 % 100003) / 30011.0 for i in range(1000)) / 1000
+    assert whole == pytest.approx(exact, abs=0.00501)
