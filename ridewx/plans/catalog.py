@@ -213,6 +213,26 @@ def refresh_silver(i: Inputs) -> DataFrame:
     return _refreshed(i)["taxi_weather_joined"]
 
 
+def stream_ingest(i: Inputs) -> DataFrame:
+    """Response documents read as a stream while they land, in two
+    runs of one query; the second takes up only what is new."""
+    docs, out = scratch_path(i.spark, "landing"), scratch_path(i.spark, "ingested")
+    checkpoint = scratch_path(i.spark, "ingest-chk")
+    landed = standin.response_documents(i.events)
+    for part in (F.dayofmonth("day") <= 15, F.dayofmonth("day") > 15):
+        landed.filter(part).select("body").write.mode("append").text(docs)
+        run_available(responses.stream_responses(i.spark, docs), out, checkpoint)
+    return responses.with_time_parts(i.spark.read.parquet(out))
+
+
+def missing_windows(i: Inputs) -> DataFrame:
+    """Planned windows of which some days have not landed: here the last
+    week of every month."""
+    rows = i.weather_raw.filter(F.dayofmonth("datetime") < 22)
+    missing = responses.missing_windows(responses.plan_windows(_trip_bounds(i), WINDOW_DAYS), rows)
+    return missing.withColumn("missing_days", F.array_join(F.col("missing_days").cast("array<string>"), ","))
+
+
 def _refreshed(i: Inputs) -> medallion.Layers:
     """Layers written from trips whose fares were still wrong on some dates,
     after these dates' refresh."""
@@ -636,6 +656,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "table_handle": _q(table_handle),
     "code_lookup": _q(code_lookup),
     "rejected_documents": _q(rejected_documents),
+    "stream_ingest": _q(stream_ingest),
+    "missing_windows": _q(missing_windows),
 }
 
 FLAGSHIP = "weather_impact_summary"

@@ -443,6 +443,16 @@ SELECT tpep_pickup_datetime + {shift} AS pickup_utc,
        CASE WHEN o.h = TIMESTAMP '2024-11-03 05:00:00' THEN 'first' WHEN o.h = TIMESTAMP '2024-11-03 06:00:00' THEN 'second'
             WHEN o.h IS NOT NULL THEN 'plain' END AS clock
 FROM trips LEFT JOIN o ON o.h = date_trunc('hour', tpep_pickup_datetime + {shift})""")
+    q["stream_ingest"] = q["ingest_hourly"]
+    q["missing_windows"] = _with(f"""
+, b AS (SELECT CAST(min(tpep_pickup_datetime) AS DATE) AS s, CAST(max(tpep_pickup_datetime) AS DATE) AS e FROM trips),
+w AS (SELECT CAST(row_number() OVER (ORDER BY ws) - 1 AS INTEGER) AS window_index, ws AS window_start,
+             least(ws + {n - 1}, e) AS window_end
+      FROM (SELECT e, CAST(unnest(generate_series(s, e, INTERVAL {n} DAY)) AS DATE) AS ws FROM b)),
+d AS (SELECT *, CAST(unnest(generate_series(window_start, window_end, INTERVAL 1 DAY)) AS DATE) AS day FROM w)
+SELECT window_index, window_start, window_end, string_agg(CAST(day AS VARCHAR), ',' ORDER BY day) AS missing_days
+FROM d WHERE NOT EXISTS (SELECT 1 FROM raw WHERE CAST(datetime AS DATE) = d.day AND day(datetime) < 22)
+GROUP BY 1, 2, 3""")
     q["qualified_read"] = q["namespace_read"] = _with("SELECT * FROM trips")
     q["table_handle"] = _with("SELECT tpep_pickup_datetime, fare_amount FROM trips WHERE fare_amount >= 0")
     q["code_lookup"] = _with(f"""

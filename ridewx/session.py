@@ -13,6 +13,7 @@ import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Settings the library relies on. ``spark.sql.session.timeZone`` is pinned
 # because observation times are local wall-clock hours (naive timestamps);
@@ -158,13 +159,20 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 
 def materialize_counted(df: DataFrame, label: str) -> tuple[DataFrame, int, int]:
-    """``materialize`` that also returns the rows and their bytes as JSON
-    text (names and all, so more than a packed row takes), from counters on
-    the write itself (no second job)."""
+    """``materialize`` that also returns the rows and about the bytes they
+    take in memory (text by its length, other columns by their width; nested
+    ones as JSON text), from counters on the write itself (no second job)."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
     obs = Observation(f"{label}_rows_{uuid.uuid4().hex[:8]}")
-    size = F.octet_length(F.to_json(F.struct(*[df[c] for c in df.columns])))
+    size = F.lit(8).cast("long")
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            size = size + F.coalesce(F.octet_length(df[f.name]), F.lit(0)) + 16
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(df[f.name]))), F.lit(0))
+        else:
+            size = size + 16
     df.observe(obs, F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes")
                ).write.mode("overwrite").parquet(path)
     counted = obs.get

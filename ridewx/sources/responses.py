@@ -142,6 +142,27 @@ def plan_windows(bounds: DataFrame, chunk_days: int = 30,
     )
 
 
+def stream_responses(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Response documents landing in ``folder`` (one JSON document per line)
+    as a stream of typed rows. A document that cannot be parsed stops the
+    stream, which resumes at it. The streaming checkpoint remembers the files
+    that were read: a restarted query reads none twice."""
+    reader = spark.readStream.format("text")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return parse_response_text(reader.load(folder), "value")
+
+
+def missing_windows(windows: DataFrame, rows: DataFrame, time_col: str = "datetime") -> DataFrame:
+    """The planned windows (``plan_windows``) of which not every day has a
+    row, with those days. Days are made unique before they meet the plan,
+    both sides by their date, so no range join is needed."""
+    days = windows.withColumn("day", F.explode(F.sequence("window_start", "window_end")))
+    seen = rows.select(F.to_date(time_col).alias("day")).distinct()
+    return (days.join(seen, "day", "left_anti").groupBy("window_index", "window_start", "window_end")
+            .agg(F.array_sort(F.collect_list("day")).alias("missing_days")))
+
+
 def window_index(day: str | Column, range_start: str | Column, chunk_days: int) -> Column:
     """Index of the request window holding ``day`` (no range join needed)."""
     d = F.col(day) if isinstance(day, str) else day
