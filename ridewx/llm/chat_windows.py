@@ -13,8 +13,12 @@ repeated history. Every window starts with the conversation's system turn
 ``HISTORY_TURNS`` turns and ``HISTORY`` tokens from before its first turn,
 then holds its own turns. The loss mask covers the texts of the window's
 own assistant turns; repeated turns are masked. A turn that is longer than
-the room by itself has a window of its own, marked ``over_budget``. Tokens
-of a turn are estimated as 4 + one for each 4 characters as rendered.
+the room by itself has a window of its own, marked ``over_budget``.
+
+Tokens of a turn are, unless a column of counts is named, its UTF-8 bytes as
+rendered: no byte-level tokenizer makes more, in any script, so no window
+that is not marked passes the budget. Text that a tokenizer packs well fills
+windows better with true counts, taken over the rendered turn (``rendered``).
 
 Conversations are worked on in segments of ``SEGMENT`` turns (a window does
 not cross one), so a long conversation is many small groups. Turns are
@@ -70,16 +74,22 @@ def numbered(rows: DataFrame) -> DataFrame:
             .withColumn("at", (F.col("before") + F.col("at") - 1)).drop("range", "before"))
 
 
+def rendered(role: Column, text: Column) -> Column:
+    """A turn as windows hold it, end mark included."""
+    return F.concat(_head(F.coalesce(role, F.lit(""))), escape(F.coalesce(text, F.lit(""))), F.lit("\n" + END))
+
+
 def windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY,
-            history_turns: int = HISTORY_TURNS) -> DataFrame:
+            history_turns: int = HISTORY_TURNS, tokens: str | None = None) -> DataFrame:
     """conv_id, segment, span (order of the windows), text, turns, repeated
     (leading turns that an earlier window holds too), loss (array of start,
-    length in code points), over_budget."""
+    length in code points), over_budget. ``tokens`` names a column of
+    ``turns`` with the tokens of each rendered turn; a null counts its bytes."""
     text, role = (F.coalesce(turns[c], F.lit("")) for c in ("text", "role"))
-    rows = turns.select(turns["conv_id"].alias("conv_id"), turns["turn"].alias("turn"),
-                        role.alias("role"), text.alias("text"))
-    tokens = 4 + F.ceil((F.char_length(escape(F.col("text"))) + F.char_length("role")) / 4)
-    rows = numbered(rows).withColumn("tokens", tokens.cast("long"))
+    bound = F.octet_length(rendered(turns["role"], turns["text"])).cast("long")
+    count = bound if tokens is None else F.coalesce(turns[tokens].cast("long"), bound)
+    rows = numbered(turns.select(turns["conv_id"].alias("conv_id"), turns["turn"].alias("turn"),
+                                 role.alias("role"), text.alias("text"), count.alias("tokens")))
     is_system = (F.col("at") == 0) & (F.col("role") == SYSTEM)
     system = rows.filter(is_system).select(
         F.col("conv_id").alias("sys_conv"), F.struct("role", "text", "tokens").alias("system"))

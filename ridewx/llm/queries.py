@@ -159,7 +159,7 @@ WITH RECURSIVE c AS (
 e AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS k,
         replace(replace(replace(text, '\', '\e'), '<', '\l'), '[', '\b') AS body,
         replace(replace(replace(role, '\', '\e'), '<', '\l'), '[', '\b') AS head FROM c),
-t AS (SELECT *, 4 + ceil((length(body) + length(role)) / 4.0)::BIGINT AS tokens,
+t AS (SELECT *, strlen(head) + strlen(body) + 14 AS tokens,
         length(head) + length(body) + 14 AS chars, k = 0 AND role = 'system' AS sys FROM e),
 s AS (SELECT conv_id, max(CASE WHEN sys THEN tokens ELSE 0 END) AS stok,
         max(CASE WHEN sys THEN chars ELSE 0 END) AS schars, count(*) AS n,

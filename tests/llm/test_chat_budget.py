@@ -1,0 +1,58 @@
+"""Windows keep their budget in the tokens of a real tokenizer, in any
+script; and the SQL walks the same windows."""
+
+import random
+
+import duckdb
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from ridewx.llm import chat_windows, queries
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+@pytest.fixture(scope="module")
+def talks():
+    rng = random.Random(4)
+    chinese = [chr(c) for c in range(0x4E00, 0x4E00 + 900)]
+    rows = [(1, t, "user" if t % 2 else "assistant", "".join(rng.choices(chinese, k=400))) for t in range(40)]
+    rows += [(2, t, "user" if t % 2 else "assistant", "".join(rng.choices(chinese, k=rng.randrange(200)))) for t in range(60)]
+    rows += [(3, t, "assistant", "the quick brown fox " * rng.randrange(30)) for t in range(80)]
+    rows += [(4, 0, "system", "<|x|> [é] \\ ünï"), *[(4, t, "user", "🙂🙃" * rng.randrange(60)) for t in range(1, 50)]]
+    rows += [(5, t, None, None) for t in range(300)] + [(6, 0, "user", "q" * 9000)]
+    return rows
+
+
+def test_no_unmarked_window_passes_the_budget(spark, talks):
+    encode = Tokenizer.from_file(str(public_tokenizers.path("byte_bpe_50k.json")))
+    count = lambda text: len(encode.encode(text, add_special_tokens=False).ids)
+    windows = chat_windows.windows(spark.createDataFrame(talks, SCHEMA)).collect()
+    tight = [w for w in windows if not w.over_budget]
+    assert len(tight) > 50 and max(count(w.text) for w in tight) <= chat_windows.BUDGET
+    assert {w.conv_id for w in windows if w.over_budget} == {6}
+
+
+def test_true_counts_fill_windows_better(spark, talks):
+    encode = Tokenizer.from_file(str(public_tokenizers.path("byte_bpe_50k.json")))
+    count = lambda text: len(encode.encode(text, add_special_tokens=False).ids)
+    df = spark.createDataFrame(talks, SCHEMA)
+    texts = df.select("*", chat_windows.rendered(F.col("role"), F.col("text")).alias("r")).collect()
+    counted = spark.createDataFrame([(*r[:4], count(r.r) if r.conv_id != 5 else None) for r in texts], SCHEMA + ", n int")
+    given = chat_windows.windows(counted, tokens="n").filter("conv_id = 3").collect()
+    bound = chat_windows.windows(df).filter("conv_id = 3").collect()
+    assert len(given) < len(bound)
+    # Turns are counted apart; what follows one begins a token of its own.
+    assert all(count(w.text) <= chat_windows.BUDGET for w in given)
+
+
+def test_sql_walks_the_same_windows(spark, talks):
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", talks)
+    want = con.execute(queries.ORACLE_SQL["op9_chat_format"]).fetchall()
+    probe = [(-1, 0, "user", queries.PROBE), (-1, 1, "assistant", queries.PROBE)]
+    got = chat_windows.read_back(chat_windows.windows(spark.createDataFrame(talks + probe, SCHEMA)))
+    assert sorted(map(tuple, got.collect())) == sorted(want)
