@@ -15,8 +15,8 @@ share a band are candidates (a pair at 0.8 is missed with probability
 7e-5). Candidates are checked by exact multiset overlap of their texts:
 
 * equal word sequences are first reduced to one representative (equal in
-  two independent 64-bit hashes of all words and their places, each from a
-  SipHash of its own; the bytes are not compared again);
+  two independent 64-bit hashes of all words and their places, from 64 bits
+  of the words' BLAKE2b each; the bytes are not compared again);
 * in every band bucket each member is checked against the member with the
   smallest id (a star, not all pairs), and components are found;
 * buckets that still hold several components are cut into blocks; inside a
@@ -99,7 +99,7 @@ def _sign(batches):
         col = batch.column(2)
         n = batch.num_rows
         sig = t.mix(signatures(*t.shingles(col, SHINGLE), n).view(U))
-        hashes, bounds = t.keyed_words(col, 2)
+        hashes, bounds = t.word_ids(col, 2)
         inner = (np.arange(bounds[-1]) - np.repeat(bounds[:-1], np.diff(bounds))).astype(U)
         total = np.zeros((2, len(inner) + 1), U)
         for total_of, h in zip(total, hashes):

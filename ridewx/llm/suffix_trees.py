@@ -1,7 +1,7 @@
 """Substring deduplication with prefix-partitioned suffix trees.
 
 The suffixes of all texts are cut at ``DEPTH`` words and written over an
-alphabet of ``SYMBOL``-word symbols (64-bit hashes over the words' SipHash;
+alphabet of ``SYMBOL``-word symbols (64-bit hashes over the words' BLAKE2b;
 the second and later symbols of a path keep 32 bits, so two windows are
 equal when 160 bits are; inside a slice, 256). Suffixes are dealt out by a prefix of
 variable length: one symbol, and more for prefixes that a sample of the
@@ -51,7 +51,7 @@ _NO_ID = (1 << 63) - 1
 def anchors(col: pa.Array):
     """(windows' first word, their text, their anchor's word, symbol hash at
     every word, words before each text) of a slice."""
-    (h,), bounds = t.keyed_words(col)
+    (h,), bounds = t.word_ids(col)
     g = t.grams(h, SYMBOL)
     first, doc = t.gram_docs(bounds, DEPTH)
     if not len(first):

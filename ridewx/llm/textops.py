@@ -6,13 +6,15 @@ code points.
 
 There are two hashes of a word. ``words`` gives a polynomial over its bytes
 modulo 2**64 followed by a bit mix: quick, for features, but words that
-collide can be written down for it. ``keyed_words`` gives SipHash, for which
-none are known; whatever decides that two words, shingles or texts are equal
-builds on it. N-gram hashes combine the hashes of n words.
+collide can be written down for it. ``word_ids`` takes 64 bits or more of
+BLAKE2b, for which none are known; whatever decides that two words, shingles
+or texts are equal builds on it. N-gram hashes combine the hashes of n words.
 """
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import numpy as np
 import pyarrow as pa
 
@@ -93,25 +95,19 @@ def words(col: pa.Array):
     return span_hash(data, starts, ends), bounds, starts, ends, data
 
 
-#: Keys of the word hashes: of the only, or first, and of a second one.
-KEYS = ("ridewx word id 1", "ridewx word id 2")
-
-
-def keyed_words(col: pa.Array, hashes: int = 1):
-    """(a SipHash of every word for each of the first ``hashes`` keys, words
-    before each text). Each distinct word of the slice is hashed once."""
-    import pandas as pd
-
+def word_ids(col: pa.Array, hashes: int = 1):
+    """(``hashes`` independent 64-bit hashes of every word, words before each
+    text). Each distinct word of the slice is hashed once, by BLAKE2b."""
     data, offs = text_bytes(col)
     inside = ~_WS[data]
     starts, ends, bounds = runs(inside, offs)
     size = np.concatenate([[0], np.cumsum(ends - starts)])
     each = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [
         None, pa.py_buffer(size.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data[inside]))]).dictionary_encode()
-    distinct = np.empty(len(each.dictionary), object)
-    distinct[:] = each.dictionary.to_pylist()
+    digests = b"".join(blake2b(w, digest_size=8 * hashes).digest() for w in each.dictionary.to_pylist())
+    distinct = np.frombuffer(digests, "<u8").reshape(-1, hashes)
     code = each.indices.to_numpy()
-    return [pd.util.hash_array(distinct, hash_key=key, categorize=False)[code] for key in KEYS[:hashes]], bounds
+    return [np.ascontiguousarray(distinct[:, i])[code] for i in range(hashes)], bounds
 
 
 def grams(h: np.ndarray, n: int) -> np.ndarray:
@@ -135,7 +131,7 @@ def gram_docs(bounds: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
 def shingles(col: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
     """(text index, shingle hash) of all n-word shingles; a text of one to
     n-1 words has one shingle, all its words."""
-    (h,), bounds = keyed_words(col)
+    (h,), bounds = word_ids(col)
     first, doc = gram_docs(bounds, n)
     sh = grams(h, n)[first] if len(first) else np.empty(0, U)
     count = np.diff(bounds)

@@ -19,17 +19,17 @@ def test_the_words_collide_as_polynomials_only():
     col = pa.array([X, Y])
     old = textops.words(col)[0]
     assert old[0] == old[1]
-    for h in textops.keyed_words(col, 2)[0]:
+    for h in textops.word_ids(col, 2)[0]:
         assert h[0] != h[1]
 
 
-def test_keyed_words_do_not_depend_on_the_slice():
+def test_word_ids_do_not_depend_on_the_slice():
     col = pa.array(["a bb", None, "", "bb\nccc a \x00é"])
-    (h,), bounds = textops.keyed_words(col)
+    (h,), bounds = textops.word_ids(col)
     assert bounds.tolist() == [0, 2, 2, 2, 6]
     assert h[0] == h[4] and h[1] == h[2] and len(set(h.tolist())) == 4
-    assert textops.keyed_words(pa.array(["ccc"]))[0][0][0] == h[3]
-    assert len(textops.keyed_words(pa.array([], pa.string()))[0][0]) == 0
+    assert textops.word_ids(pa.array(["ccc"]))[0][0][0] == h[3]
+    assert len(textops.word_ids(pa.array([], pa.string()))[0][0]) == 0
 
 
 def test_substring_dedup_keeps_colliding_words(spark):
