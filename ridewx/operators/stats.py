@@ -6,7 +6,9 @@ behind them are computed where the data lies.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridewx.functions.classify import condition_recode
@@ -37,6 +39,36 @@ def profile_weather(weather: DataFrame) -> DataFrame:
     )
 
 
+def exact_quantiles(hist: DataFrame, group: str, value: str, freq: str, shares: list[float] = QUARTILES,
+                    block: int = 1024) -> DataFrame:
+    """``group``, ``n`` and ``q`` (linear interpolation, one entry per share)
+    from a histogram of whole-number values, without gathering a group's
+    histogram in one task. Counts of blocks of ``block`` values are summed up
+    first (a row per block); only blocks that hold a wanted rank are then
+    summed up value by value."""
+    def earlier(*by: str):
+        return Window.partitionBy(*by[:-1]).orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, -1)
+
+    before = F.coalesce(F.sum("m").over(earlier("g", "b")), F.lit(0))
+    blocks = (hist.groupBy(F.col(group).alias("g"), F.floor(F.col(value) / block).alias("b")).agg(F.sum(freq).alias("m"))
+              .withColumns({"before": before, "n": F.sum("m").over(Window.partitionBy("g"))}))
+    # Zero-based ranks on either side of each share's place among n values.
+    place = [(F.col("n") - 1) * F.lit(p) for p in shares]
+    ranks = [f(x).cast("long") for x in place for f in (F.floor, F.ceil)]
+    holds = [(F.col("before") <= r) & (r < F.col("before") + F.col("m")) for r in ranks]
+    wanted = blocks.filter(reduce(lambda a, b: a | b, holds)).select("g", "b", "before", "n")
+    inside = (hist.select(F.col(group).alias("g2"), F.col(value).alias("v"), F.col(freq).alias("f"),
+                          F.floor(F.col(value) / block).alias("b2"))
+              .join(wanted, F.col("g2").eqNullSafe(F.col("g")) & (F.col("b2") == F.col("b")))
+              .withColumn("at", F.col("before") + F.coalesce(F.sum("f").over(earlier("g", "b", "v")), F.lit(0))))
+    found = inside.groupBy("g", "n").agg(*[
+        F.max(F.when((F.col("at") <= r) & (r < F.col("at") + F.col("f")), F.col("v"))).alias(f"v{i}")
+        for i, r in enumerate(ranks)])
+    q = [F.col(f"v{2 * i}") + (F.col(f"v{2 * i + 1}") - F.col(f"v{2 * i}")) * (x - F.floor(x))
+         for i, x in enumerate(place)]
+    return found.select(F.col("g").alias(group), "n", F.array(*q).alias("q"))
+
+
 def fare_boxplot(silver: DataFrame) -> DataFrame:
     """Box-plot statistics of fares per weather condition, in one pass.
 
@@ -46,9 +78,8 @@ def fare_boxplot(silver: DataFrame) -> DataFrame:
     size is bounded by conditions x distinct fares, not by trips.
     Everything else runs on the histogram:
 
-    - exact quartiles with ``percentile(cents, p, frequency)`` (linear
-      interpolation), reported in cents without rounding; fences
-      ``q1 - 1.5 iqr`` and ``q3 + 1.5 iqr``;
+    - exact quartiles (``exact_quantiles``), reported in cents without
+      rounding; fences ``q1 - 1.5 iqr`` and ``q3 + 1.5 iqr``;
     - whiskers (the extreme fares inside the fences) and the outlier count,
       from the histogram joined to its condition's fences. The fence table
       has one row per condition, and conditions are a fixed label set (the
@@ -59,9 +90,7 @@ def fare_boxplot(silver: DataFrame) -> DataFrame:
                           scaled("fare_amount", CENTS).alias("cents"))
             .filter(F.col("cents").isNotNull())
             .groupBy("weather_condition", "cents").agg(F.count(F.lit(1)).alias("freq")))
-    quart = hist.groupBy("weather_condition").agg(
-        F.sum("freq").alias("trips"),
-        F.percentile("cents", QUARTILES, F.col("freq")).alias("q"))
+    quart = exact_quantiles(hist, "weather_condition", "cents", "freq").withColumnRenamed("n", "trips")
     q1, q3 = F.col("q")[0], F.col("q")[2]
     fences = quart.select(
         F.col("weather_condition").alias("_wc"), "trips",

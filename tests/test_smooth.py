@@ -21,6 +21,21 @@ def numpy_smooth(x, y, degree, bandwidth=5):
     return np.linalg.lstsq(design, y[near] * np.sqrt(w), rcond=1e-9)[0][0]
 
 
+def test_exact_quantiles_match_numpy(spark):
+    rng = np.random.default_rng(9)
+    groups = {"a": rng.integers(-5000, 5000, 4001), "b": np.array([7]), None: rng.integers(0, 3, 50),
+              "c": np.array([-3, 10**6]), "d": rng.integers(0, 10**9, 300)}
+    rows = [(g, int(v), int(n)) for g, values in groups.items() for v, n in zip(*np.unique(values, return_counts=True))]
+    hist = spark.createDataFrame(rows, "g string, v long, f long")
+    for block in (1, 16, 1024):
+        shares = [0.0, 0.1, 0.25, 0.5, 0.75, 1.0]
+        got = {r.g: (r.n, list(r.q)) for r in stats.exact_quantiles(hist, "g", "v", "f", shares, block).collect()}
+        assert set(got) == set(groups)
+        for g, values in groups.items():
+            assert got[g][0] == len(values) and got[g][1] == pytest.approx(np.quantile(values, shares))
+    assert stats.exact_quantiles(hist.limit(0), "g", "v", "f").count() == 0
+
+
 def test_smooth_matches_numpy(spark):
     rng = np.random.default_rng(4)
     x = np.round(np.concatenate([rng.normal(8, 7, 3000), rng.uniform(35, 36, 20)]), 2)
