@@ -3,16 +3,18 @@
 Every line that holds a word is labelled good or bad by a two-state chain.
 A line's features (character classes, word shapes, repeats) come with those
 of the line before and after it. The chain is fitted by gradient ascent on
-at most ``SAMPLE_PER_LABEL`` documents of each label, whose lines carry
-their document's label; forward-backward marginals of the good state,
-weighted by line length, give the document's raw quality, and a logistic
-curve fitted on a held-back part of the sample turns that into a
+about ``SAMPLE_PER_LABEL`` documents of each label at most, and within
+``SAMPLE_BYTES``, whose lines carry their document's label; forward-backward
+marginals of the good state, weighted by line length, give the document's
+raw quality, and a logistic curve, fitted on a held-back part of the sample
+in which each label weighs what it weighs in the corpus, turns that into a
 probability. Scores use the text alone.
 
 Defined results: a text without a word (null, empty) has the raw quality 0
-and the lowest score; with no label of one kind all scores are 0.5;
-repeated rows are scored each on their own; an empty table gives an empty
-result.
+and the lowest score; with no label of one kind all scores are 0.5; equal
+raw qualities have equal scores; a very long text is a chain of all its
+lines; repeated rows are scored each on their own; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -25,9 +27,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ridewx.llm import textops as t
-from ridewx.llm.common import keyed, slices
+from ridewx.llm.common import cut, keyed, slices
 
 SAMPLE_PER_LABEL = 1500
+#: Bytes of a fitted sample, about, and what the features of a line take.
+SAMPLE_BYTES, LINE_BYTES = 512 << 20, 600
 EPOCHS, BATCH, RATE, PENALTY = 30, 64, 0.05, 1e-4
 
 _ASCII = np.arange(256)
@@ -154,7 +158,9 @@ class Model:
         return 1 / (1 + np.exp(-(self.curve[0] * self.quality(col) + self.curve[1])))
 
 
-def fit(texts: pa.Array, label: np.ndarray, seed: int = 3) -> Model:
+def fit(texts: pa.Array, label: np.ndarray, share: np.ndarray | None = None, seed: int = 3) -> Model:
+    """Line weights from three quarters of the texts, the final curve from
+    the rest; ``share``: what each text weighs in the curve."""
     x, size, before = lines(texts)
     mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-6
     f = with_neighbours((x - mean) / scale, before)
@@ -185,56 +191,81 @@ def fit(texts: pa.Array, label: np.ndarray, seed: int = 3) -> Model:
                 w += RATE * m[i] / (1 - 0.9 ** step) / (np.sqrt(v[i] / (1 - 0.999 ** step)) + 1e-8)
     p, _ = marginals(f @ weights, trans, before)
     q = raw_quality(p, size, before)[held]
-    return Model(mean, scale, weights, trans, logistic(q, label[held]))
+    return Model(mean, scale, weights, trans, logistic(q, label[held], None if share is None else share[held]))
 
 
-def logistic(q: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Slope and offset of a logistic curve, classes weighted equally and
-    the slope kept from running away (ridge)."""
+def logistic(q: np.ndarray, y: np.ndarray, share: np.ndarray | None = None) -> np.ndarray:
+    """Slope and offset of a logistic curve, rows weighing ``share`` (classes
+    weigh alike without it) and the slope kept from running away (ridge)."""
     c = np.array([4.0, -2.0])
     x = np.stack([q, np.ones(len(q))], axis=1)
     if len(y) and 0 < y.sum() < len(y):
-        weight = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean())) / len(y)
+        if share is None:
+            share = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
+        weight = share / share.sum()
+        def loss(c: np.ndarray) -> float:
+            z = x @ c
+            return (weight * (np.logaddexp(0, z) - y * z)).sum() + 5e-5 * c @ c
+
         for _ in range(50):
             p = 1 / (1 + np.exp(-np.clip(x @ c, -30, 30)))
             g = x.T @ (weight * (y - p)) - 1e-4 * c
             hess = (x * (weight * p * (1 - p))[:, None]).T @ x + 1e-4 * np.eye(2)
-            c = c + np.linalg.solve(hess, g)
+            step, now = np.linalg.solve(hess, g), loss(c)
+            # Newton's step, halved until it helps.
+            while np.abs(step).max() > 1e-9 and loss(c + step) > now:
+                step = step / 2
+            c = c + step
     return c
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, is_training: Column, label: str,
-                    per_label: int) -> DataFrame:
-    """text, y: about ``per_label`` training rows of each label at most,
-    chosen by a hash of doc_id; whole texts, null as empty."""
+                    per_label: int, line_bytes: int = 0) -> DataFrame:
+    """text, y, n: about ``per_label`` training rows of each label at most,
+    and rows of about ``SAMPLE_BYTES`` in all, where a row takes its text's
+    bytes and ``line_bytes`` for each line. A hash of the row chooses, so
+    rows that share a doc_id are chosen apart. Whole texts, null as empty;
+    ``n`` counts the label's rows."""
     known = (labels.select(F.col("doc_id").alias("id"), F.col(label).cast("int").alias("y"))
              .filter("id is not null and y in (0, 1)")
              .groupBy("id").agg(F.max("y").alias("y")))
     known = known.filter(is_training)
-    sizes = known.groupBy("y").agg(F.count(F.lit(1)).alias("n"))
-    unit = F.pmod(F.xxhash64("id"), F.lit(1 << 20)) / (1 << 20)
-    chosen = known.join(F.broadcast(sizes), "y").filter(unit * F.col("n") < per_label).select("id", "y")
-    # At most about 2 * per_label rows of two numbers: bounded, so broadcast.
-    return (docs.select(docs["doc_id"].alias("id"), F.coalesce(docs["text"], F.lit("")).alias("text"))
-            .join(F.broadcast(chosen), "id").select("text", "y"))
-
-
-def gather(batches) -> tuple[pa.Array, np.ndarray]:
+    texts = keyed(docs, "doc_id", "text")
+    lines = F.char_length("text") - F.char_length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
+    rows = cut(texts.select("row", F.col("doc_id").alias("id"),
+                            (F.octet_length("text") + lines * line_bytes).cast("long").alias("bytes"))
+               .join(known, "id").select("row", "y", "bytes"), "labelled_rows")
+    # Two labels: two rows.
+    sizes = rows.groupBy("y").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("total"))
+    unit = F.pmod(F.xxhash64("row"), F.lit(1 << 62)) / (1 << 62)
+    share = F.least(F.lit(float(per_label)) / F.col("n"), F.lit(SAMPLE_BYTES / 2) / F.greatest("total", F.lit(1)))
+    chosen = rows.join(F.broadcast(sizes), "y").filter(unit < share).select("row", "y", "n")
+    # About 2 * per_label rows of three numbers: bounded, so broadcast.
+    return texts.select("row", "text").join(F.broadcast(chosen), "row").select("text", "y", "n")
+
+
+def gather(batches) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct texts of the sample in a random order, their label, and how
+    much of the corpus each stands for. Equal texts are one example, so
+    groups of copies don't fill the sample."""
     got = [b for b in batches if b.num_rows]
     if not got:
-        return pa.array([], pa.string()), np.zeros(0, np.int64)
-    table = pa.Table.from_batches(got).sort_by([("text", "ascending"), ("y", "ascending")])
-    return table.column("text").combine_chunks(), table.column("y").to_numpy().astype(np.int64)
+        return pa.array([], pa.large_string()), np.zeros(0, np.int64), np.zeros(0)
+    table = pa.Table.from_batches(got)
+    table = table.set_column(0, "text", table.column("text").cast(pa.large_string())).sort_by(
+        [("text", "ascending"), ("y", "ascending")])
+    texts, y = table.column("text").combine_chunks(), table.column("y").to_numpy().astype(np.int64)
+    first = np.array([i for i in range(len(y)) if i == 0 or texts[i] != texts[i - 1]])
+    order = np.random.default_rng(5).permutation(first)
+    y, n = y[order], table.column("n").to_numpy()[order]
+    return texts.take(pa.array(order)), y, n / np.bincount(y, minlength=2)[y]
 
 
 def _fit(batches):
-    texts, y = gather(batches)
+    texts, y, share = gather(batches)
     if len(set(y.tolist())) < 2:
         return
-    # Equal texts are one example, so groups of copies don't fill the sample.
-    first = np.array([i for i in range(len(y)) if i == 0 or texts[i] != texts[i - 1]])
-    order = np.random.default_rng(5).permutation(first)
-    m = fit(texts.take(pa.array(order)), y[order])
+    m = fit(texts, y, share)
     buf = io.BytesIO()
     np.savez(buf, mean=m.mean, scale=m.scale, weights=m.weights, trans=m.trans, curve=m.curve)
     yield pa.RecordBatch.from_arrays([pa.array([buf.getvalue()])], names=["model"])
@@ -242,7 +273,7 @@ def _fit(batches):
 
 def train(docs: DataFrame, labels: DataFrame, is_training: Column) -> Model | None:
     """Fit on the labelled rows where ``is_training`` (over ``id``) holds."""
-    sample = labelled_sample(docs, labels, is_training, "quality", SAMPLE_PER_LABEL)
+    sample = labelled_sample(docs, labels, is_training, "quality", SAMPLE_PER_LABEL, LINE_BYTES)
     found = sample.repartition(1).mapInArrow(_fit, "model binary").first()
     if found is None:
         return None

@@ -7,13 +7,17 @@ rates of obfuscated words (letters mixed with look-alike characters) and of
 stretched letters, and length. The lexicon is learned: words much more
 frequent in toxic than in clean training texts, together with a short fixed
 list. Histogram trees are boosted on the logistic loss and an isotonic
-curve, fitted on a held-back part, maps their sum to a probability. All is
-fitted on at most ``SAMPLE_PER_LABEL`` training rows of each label; equal
-texts count once. Scores use the text alone.
+curve maps their sum to a probability; it is fitted on sums of trees that
+have not seen the text (cross-fitting), with each label weighing what it
+weighs in the corpus. All is fitted on about ``SAMPLE_PER_LABEL`` training
+rows of each label at most, and within the byte bound of
+``quality_crf.labelled_sample``; equal texts count once. Scores use the text
+alone.
 
 Defined results: null text is empty and scored by its (zero) features; with
-no label of one kind all scores are 0.5; repeated rows are scored each on
-their own; an empty table gives an empty result.
+no label of one kind all scores are 0.5; equal sums of trees have equal
+scores; a very long text is scored whole, by rates over its length; repeated
+rows are scored each on their own; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,6 +32,7 @@ from ridewx.llm import textops as t
 from ridewx.llm.quality_crf import gather, labelled_sample, score  # noqa: F401
 
 SAMPLE_PER_LABEL = 3000
+FOLDS = 4
 TREES, DEPTH, RATE, BINS, LAMBDA = 80, 3, 0.2, 32, 1.0
 LEXICON, LEAST_TEXTS, LEAST_ODDS = 400, 5, 3.0
 REACH = 5
@@ -203,12 +208,14 @@ def margin(x: np.ndarray, trees: dict[str, np.ndarray]) -> np.ndarray:
     return out
 
 
-def isotonic(m: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pool adjacent violators: knots and their non-decreasing values."""
+def isotonic(m: np.ndarray, y: np.ndarray, share: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Pool adjacent violators, rows weighing ``share``: knots and their
+    non-decreasing values."""
+    share = np.ones(len(y)) if share is None else share * (len(y) / share.sum())
     order = np.argsort(m, kind="stable")
     at, inverse = np.unique(m[order], return_inverse=True)
-    weight = np.bincount(inverse).astype(float)
-    value = np.bincount(inverse, y[order]) / weight
+    weight = np.bincount(inverse, share[order])
+    value = np.bincount(inverse, (share * y)[order]) / weight
     blocks: list[list[float]] = []  # sum, weight, first knot, last knot
     for k, (v, w) in enumerate(zip(value, weight)):
         blocks.append([v * w, w, k, k])
@@ -234,26 +241,34 @@ class Model:
         return np.interp(margin(x, self.a), self.a["knots"], self.a["levels"])
 
 
-def fit(texts: pa.Array, y: np.ndarray) -> Model:
-    """Lexicon on half of the texts, trees on a quarter, curve on the last
-    quarter; with few texts of a label, all on all."""
-    part = np.arange(len(y)) % 4
-    few = min(y.sum(), (1 - y).sum()) < 80
-    lexicon, grown, held = (np.full(len(y), True) if few else p for p in (part < 2, part == 2, part == 3))
-    keys, odds = learn_lexicon(texts.filter(pa.array(lexicon)), y[lexicon])
-    x = features(texts, keys, odds)
-    trees = boost(x[grown], y[grown])
-    knots, levels = isotonic(margin(x[held], trees), y[held])
-    return Model({**trees, "keys": keys, "odds": odds, "knots": knots, "levels": levels})
+def fit(texts: pa.Array, y: np.ndarray, share: np.ndarray | None = None) -> Model:
+    """Cross-fitted in ``FOLDS`` parts, for samples of any size: a part's
+    features come from the other parts' lexicon, and the curve from margins
+    of trees that the other parts grew. The lexicon and the trees that stay
+    are made from all parts."""
+    part = np.arange(len(y)) % FOLDS
+    x = None
+    for k in range(FOLDS):
+        mine, rest = np.flatnonzero(part == k), np.flatnonzero(part != k)
+        if len(mine):
+            f = features(texts.take(pa.array(mine)), *learn_lexicon(texts.take(pa.array(rest)), y[rest]))
+            x = np.zeros((len(y), f.shape[1])) if x is None else x
+            x[mine] = f
+    m = np.zeros(len(y))
+    for k in range(FOLDS):
+        mine, rest = np.flatnonzero(part == k), np.flatnonzero(part != k)
+        if len(mine) and len(rest):
+            m[mine] = margin(x[mine], boost(x[rest], y[rest]))
+    keys, odds = learn_lexicon(texts, y)
+    knots, levels = isotonic(m, y, share)
+    return Model({**boost(x, y), "keys": keys, "odds": odds, "knots": knots, "levels": levels})
 
 
 def _fit(batches):
-    texts, y = gather(batches)
+    texts, y, share = gather(batches)
     if len(set(y.tolist())) < 2:
         return
-    first = np.array([i for i in range(len(y)) if i == 0 or texts[i] != texts[i - 1]])
-    order = np.random.default_rng(5).permutation(first)
-    model = fit(texts.take(pa.array(order)), y[order])
+    model = fit(texts, y, share)
     buf = io.BytesIO()
     np.savez(buf, **model.a)
     yield pa.RecordBatch.from_arrays([pa.array([buf.getvalue()])], names=["model"])
