@@ -22,6 +22,13 @@ def parse_local_time(text: str | Column) -> Column:
     return F.to_timestamp_ntz(_col(text))
 
 
+def wall_clock(instant: Column, zone: str) -> Column:
+    """The TIMESTAMP_NTZ that a clock in ``zone`` shows at a TIMESTAMP,
+    whatever the session's zone."""
+    micros = F.unix_micros(F.from_utc_timestamp(instant, zone))
+    return F.timestamp_add("MICROSECOND", micros, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+
+
 def date_key(ts: str | Column) -> Column:
     return F.to_date(_col(ts))
 

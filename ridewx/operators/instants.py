@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ridewx.functions.timecols import wall_clock
 from ridewx.operators.enrich import DEFAULT_MAX_BROADCAST_ROWS, size_checked
 from ridewx.operators.observations import earliest_per_group
 from ridewx.streaming.enrich_stream import wall_clock_instant
@@ -23,13 +24,6 @@ PLAIN, FIRST, SECOND, GAP = "plain", "first", "second", "gap"
 OVERLAP_MINUTES = 60
 
 
-def wall_clock(instant: Column, zone: str) -> Column:
-    """The TIMESTAMP_NTZ that a clock in ``zone`` shows, whatever the
-    session's zone."""
-    micros = F.unix_micros(F.from_utc_timestamp(instant, zone))
-    return F.timestamp_add("MICROSECOND", micros, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
-
-
 def hour_instant(instant: Column, zone: str) -> Column:
     """When the local hour that holds ``instant`` began."""
     into = F.pmod(F.unix_micros(F.from_utc_timestamp(instant, zone)), F.lit(3_600_000_000))

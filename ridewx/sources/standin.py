@@ -17,6 +17,7 @@ from ridewx.functions.classify import (
     WEATHER_CODE_CLASSES_COARSE,
     classify_code_coarse,
 )
+from ridewx.functions.timecols import wall_clock
 from ridewx.schemas import HOURLY_VARIABLES
 from ridewx.session import source_path
 
@@ -112,14 +113,11 @@ def local_documents(observations: DataFrame, zone: str) -> DataFrame:
     25 of them, as local times without offset in order of time; readings are
     NULL where an hour has no observation. ``observations`` have
     ``hour_instant`` and the variables, one row per hour."""
-    wall = F.from_utc_timestamp("hour_instant", zone)
-    days = observations.select(F.to_date(wall).alias("day")).distinct()
-    # TIMESTAMP arithmetic on the wall clock read as UTC, whatever the session's zone.
+    shown = wall_clock(F.col("hour_instant"), zone)
+    days = observations.select(F.to_date(shown).alias("day")).distinct()
     midnight = F.to_utc_timestamp(F.concat(F.col("day").cast("string"), F.lit(" 00:00:00Z")).cast("timestamp"), zone)
     grid = days.select("day", F.explode(F.sequence(F.lit(0), F.lit(24))).alias("h"), midnight.alias("m")).select(
         "day", F.timestamp_add("HOUR", "h", "m").alias("hour_instant"))
-    shown = F.timestamp_add("MICROSECOND", F.unix_micros(F.from_utc_timestamp("hour_instant", zone)),
-                            F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
     grid = grid.withColumn("shown", shown).filter(F.to_date("shown") == F.col("day"))
     rows = grid.join(observations.select("hour_instant", *HOURLY_VARIABLES), "hour_instant", "left")
     time = F.replace(F.substring(F.col("shown").cast("string"), 1, 16), F.lit(" "), F.lit("T")).alias("time")
