@@ -22,8 +22,8 @@ share a band are candidates (a pair at 0.8 is missed with probability
 * buckets that still hold several components are cut into blocks; inside a
   block, then between its blocks, texts of different components are
   compared exactly over an inverted index of their shingles. Texts of the
-  largest component are not compared with each other, and only links that
-  join two components are returned.
+  largest component are not compared with each other and don't leave their
+  block, and only links that join two components are returned.
 
 Hence no link between different texts is lost by the stars, and no bucket
 emits all its pairs. Classes are the connected components of the links.
@@ -243,25 +243,32 @@ def _between(threshold: float):
 def between_components(members: DataFrame, labels: DataFrame, sized: DataFrame, texts: DataFrame,
                        threshold: float, across: bool) -> DataFrame:
     """Links inside the blocks of buckets that hold several components, or
-    (``across``) between the blocks."""
+    (``across``) between the blocks. Of two texts of different components one
+    is outside the bucket's largest: only such texts visit the other blocks,
+    so a large group of near copies costs its strangers a visit per block
+    and its own members none."""
     marked = members.join(sized, "v").join(labels, "v", "left").withColumn("c", F.coalesce("c", "v"))
     blocks = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("words") / BLOCK_WORDS))
     mixed = (marked.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"),
                                        F.count(F.lit(1)).alias("n"), F.sum("words").alias("words"))
              # In a bucket of two the star has been the only pair.
              .filter("lo < hi and n > 2").select("key", blocks.alias("blocks")))
-    rows = marked.join(mixed.filter("blocks > 1") if across else mixed, "key").withColumn(
-        "block", F.pmod(F.xxhash64("v"), F.col("blocks")))
     if across:
-        rows = (rows.withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
-                .filter("block <> other")
-                .withColumn("side", F.when(F.col("block") < F.col("other"), 0).otherwise(1)))
+        mixed = mixed.filter("blocks > 1")
+        largest = (marked.join(mixed.select("key"), "key", "left_semi").groupBy("key", "c")
+                   .agg(F.count(F.lit(1)).alias("m")).groupBy("key")
+                   .agg(F.max(F.struct("m", "c"))["c"].alias("largest")))
+        mixed = mixed.join(largest, "key")
+    rows = marked.join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("v"), F.col("blocks")))
+    if across:
+        own = F.array("block")
+        visits = F.when(F.col("c") == F.col("largest"), own).otherwise(F.expr("sequence(0L, blocks - 1)"))
+        rows = (rows.withColumn("at", F.explode(visits))
+                .withColumn("side", F.when(F.col("at") == F.col("block"), 0).otherwise(1)))
     else:
-        rows = rows.withColumns({"other": F.col("block"), "side": F.lit(2)})
-    rows = rows.select("key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"),
-                       "side", "v", "c")
-    return (rows.join(texts.withColumnRenamed("row", "v"), "v")
-            .groupBy("key", "x", "y").applyInArrow(_between(threshold), "a long, b long").distinct())
+        rows = rows.withColumns({"at": F.col("block"), "side": F.lit(2)})
+    return (rows.select("key", "at", "side", "v", "c").join(texts.withColumnRenamed("row", "v"), "v")
+            .groupBy("key", "at").applyInArrow(_between(threshold), "a long, b long").distinct())
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

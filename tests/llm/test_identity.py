@@ -50,3 +50,34 @@ def test_near_dedup_keeps_colliding_texts(spark):
     signed = {r.doc_id: (r.h1, r.h2) for r in bagminhash.keyed(df, "doc_id", "text").mapInArrow(
         bagminhash._sign, bagminhash._SIGNED).collect()}
     assert signed[3][0] != signed[4][0] and signed[3][1] != signed[4][1]
+
+
+def test_strangers_visit_the_blocks_of_a_large_group(spark, monkeypatch):
+    """A bucket of n texts of one component and one stranger makes O(n) rows."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(bagminhash, "BLOCK", 8)
+    n = 200
+    members = spark.range(n).select(F.col("id").alias("v"), F.lit(1).cast("long").alias("key"))
+    labels = spark.range(n - 1).select(F.col("id").alias("v"), F.lit(0).cast("long").alias("c"))
+    sized = spark.range(n).select(F.col("id").alias("v"), F.lit(10).alias("words"))
+    base = " ".join(f"w{i}" for i in range(60))
+    texts = spark.range(n).select(F.col("id").alias("row"), F.lit(base).alias("text"))
+    seen = []
+    monkeypatch.setattr(bagminhash, "_between", lambda threshold: lambda table: __import__("pyarrow").table(
+        {"a": [table.num_rows], "b": [int((table.column("side").to_numpy() == 1).sum()) + 1000 * table.column("v")[0].as_py()]}))
+    seen = bagminhash.between_components(members, labels, sized, texts, 0.8, True).collect()
+    blocks = -(-n // 8)
+    assert sum(r.a for r in seen) == n + blocks - 1 and sum(r.b % 1000 for r in seen) == blocks - 1
+
+
+def test_links_between_blocks_are_found(spark, monkeypatch):
+    """Near copies that only blocks of other texts hold are still linked."""
+    monkeypatch.setattr(bagminhash, "BLOCK", 4)
+    base = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(60):  # a chain: each shares 0.9 of its shingles with the next
+        base = base[2:] + [f"x{i}", f"y{i}"]
+        rows.append((i, " ".join(base)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert {r.class_id for r in bagminhash.near_duplicates(df).collect()} == {0}
