@@ -13,7 +13,8 @@ only: all others stay with the loads that hold them.
 A snapshot's file has one row for each date, and one without a date that
 names the table's schema, so an empty table can be read. Two publishers of
 the same next version cannot both succeed: the second finds its folder taken
-and raises.
+and raises. A publisher that was interrupted leaves such a folder behind;
+``vacuum`` removes it.
 """
 
 from __future__ import annotations
@@ -70,6 +71,12 @@ def versions(spark: SparkSession, root: str) -> list[int]:
     return sorted(out)
 
 
+def _unfinished(spark: SparkSession, root: str, known: list[int]) -> list[str]:
+    """Version folders without a snapshot's file."""
+    done = {f"version={v}" for v in known}
+    return [n for n in _names(spark, f"{root}/snapshots") if n.startswith("version=") and n not in done]
+
+
 def _snapshot(spark: SparkSession, root: str, version: int) -> tuple[dict[str, str], T.StructType]:
     rows = spark.read.schema(_SNAPSHOT).json(f"{root}/snapshots/version={version}").collect()
     schema = next(r["schema"] for r in rows if r["day"] is None)
@@ -112,6 +119,9 @@ def publish(spark: SparkSession, load: Load, first: str | None = None, last: str
     ``last`` (dates it holds no row of are emptied), or the whole table.
     Returns the version."""
     known = versions(spark, load.root)
+    if pending := _unfinished(spark, load.root, known):
+        raise RuntimeError(f"{load.root}: {pending[0]} exists without a snapshot: another publisher is at work, "
+                           "or one was interrupted (then run vacuum)")
     days: dict[str, str] = {}
     if known and first is not None:
         old, schema = _snapshot(spark, load.root, known[-1])
@@ -145,8 +155,9 @@ def read(spark: SparkSession, root: str, date_col: str, fmt: str = "parquet", ve
 
 
 def vacuum(spark: SparkSession, root: str, date_col: str, keep: int = 2) -> list[str]:
-    """Delete what the last ``keep`` snapshots don't name: older snapshots,
-    date folders that were replaced, and loads that were never published.
+    """Delete what the last ``keep`` snapshots don't name: older and
+    unfinished snapshots, date folders that were replaced, and loads that were
+    never published.
     Run it when no load is under way. Returns the deleted folders' names."""
     root = root.rstrip("/")
     known = versions(spark, root)
@@ -158,8 +169,8 @@ def vacuum(spark: SparkSession, root: str, date_col: str, keep: int = 2) -> list
         fs.delete(path, True)
         gone.append(folder)
 
-    for v in known[:-keep]:
-        delete(f"snapshots/version={v}")
+    for name in _unfinished(spark, root, known) + [f"version={v}" for v in known[:-keep]]:
+        delete(f"snapshots/{name}")
     for name in _names(spark, f"{root}/data"):
         days = [d for d in _names(spark, f"{root}/data/{name}") if d.startswith(f"{date_col}=")]
         live = [d for d in days if (name[len("load="):], d[len(date_col) + 1:]) in used]

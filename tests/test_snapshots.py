@@ -95,6 +95,18 @@ def test_vacuum_keeps_the_newest_snapshots(spark, tmp_dir):
     assert len(os.listdir(f"{root}/data")) == 2
 
 
+def test_an_interrupted_publisher_is_cleared_away(spark, tmp_dir):
+    root = f"{tmp_dir}/t"
+    snapshots.publish(spark, snapshots.stage(days(spark, (1, 1)), root, "day", "v"))
+    os.makedirs(f"{root}/snapshots/version=2/_temporary/0")
+    with pytest.raises(RuntimeError, match="version=2"):
+        snapshots.publish(spark, snapshots.stage(days(spark, (1, 2)), root, "day", "v"))
+    assert rows(snapshots.read(spark, root, "day").select("v")) == ["Row(v=1)"]
+    snapshots.vacuum(spark, root, "day")
+    assert snapshots.publish(spark, snapshots.stage(days(spark, (1, 2)), root, "day", "v")) == 2
+    assert rows(snapshots.read(spark, root, "day").select("v")) == ["Row(v=2)"]
+
+
 def test_audit_judges_the_counters(spark, tmp_dir):
     df = days(spark, (1, 1), (2, -1), (3, None))
     checked = apply_expectations(df, [expect_or_fail("positive", "v > 0"), expect("known", "v IS NOT NULL")],
