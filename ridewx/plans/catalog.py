@@ -65,7 +65,7 @@ from ridewx.streaming.enrich_stream import (
     wall_clock_instant,
 )
 from ridewx.streaming.late_weather import enrich_late
-from ridewx.streaming.match_monitor import match_rate_stream
+from ridewx.streaming.match_monitor import match_rate_stream, state_conf
 
 # Parameters of the catalog queries.
 SAMPLE_FROM, SAMPLE_TO, SAMPLE_ROWS = "2024-01-01", "2024-01-30", 10_000
@@ -594,7 +594,8 @@ def stream_match_rate(i: Inputs) -> DataFrame:
     """Match rate over the last 24 hours, hour by hour, and alerts."""
     trips = check_trip_stream(stream_trips(i.spark, i.sf_dir))
     out = scratch_path(i.spark, "match-out")
-    run_available(match_rate_stream(enrich_stream(trips, i.hours())), out, scratch_path(i.spark, "match-chk"))
+    run_available(match_rate_stream(enrich_stream(trips, i.hours())), out, scratch_path(i.spark, "match-chk"),
+                  conf=state_conf(i.spark))
     return i.spark.read.parquet(out)
 
 

@@ -18,7 +18,8 @@ stopped. The hour table of X1 and X2 is the one read when the query starts;
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -146,15 +147,31 @@ def _finish(query) -> dict:
     return {**recent[-1], LATE_ROWS: late_rows(recent)} if recent else {LATE_ROWS: 0}
 
 
+@contextmanager
+def _settings(spark: SparkSession, conf: dict) -> Iterator[None]:
+    """``conf`` in the session, whose own settings are put back."""
+    before = {key: spark.conf.get(key, None) for key in conf}
+    try:
+        for key, value in conf.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def run_available(df: DataFrame, out: str, checkpoint: str, output_mode: str = "append",
-                  fmt: str = "parquet") -> dict:
+                  fmt: str = "parquet", conf: dict | None = None) -> dict:
     """Process everything available now into the file sink ``out``; return
     the last progress report. A later call with the same ``out`` and
-    ``checkpoint`` takes up only what is new."""
-    return _finish(df.writeStream.format(fmt).outputMode(output_mode)
-                   .option("checkpointLocation", checkpoint)
-                   .trigger(availableNow=True)
-                   .start(out))
+    ``checkpoint`` takes up only what is new. ``conf``: settings of this
+    query alone (it takes them over from the session when it starts)."""
+    with _settings(df.sparkSession, conf or {}):
+        query = (df.writeStream.format(fmt).outputMode(output_mode)
+                 .option("checkpointLocation", checkpoint)
+                 .trigger(availableNow=True)
+                 .start(out))
+    return _finish(query)
 
 
 def stream_trips(spark: SparkSession, sf_dir: str) -> DataFrame:

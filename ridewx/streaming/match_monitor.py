@@ -6,6 +6,9 @@ map-side, so only one row per hour reaches the stateful operator, whatever
 the number of trips. Its state is the last hours' counts. A timer at the end
 of each hour (event time) sums the hours of the window, emits the rate and
 forgets hours that no later window needs.
+
+``transformWithState`` keeps its timers apart from its map, which Spark's
+default state store cannot; ``state_conf`` has the setting to start with.
 """
 
 from __future__ import annotations
@@ -14,7 +17,7 @@ import sys
 from collections.abc import Iterator
 
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
@@ -25,6 +28,7 @@ from ridewx.streaming.enrich_stream import EVENT_TIME, wall_clock_instant
 # Executors run the processor without having this library installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 WINDOW_HOURS, THRESHOLD = 24, 0.9
 HOUR_MS = 3_600_000
 _COUNTS = T.StructType([T.StructField("trips", T.LongType()), T.StructField("matched", T.LongType())])
@@ -69,6 +73,15 @@ class SlidingCounts(StatefulProcessor):
         pass
 
 
+def state_conf(spark: SparkSession) -> dict:
+    """What a match rate stream needs besides the session's settings: RocksDB
+    where the session has Spark's default store (another one stays)."""
+    package, _, name = spark.conf.get(PROVIDER).rpartition(".")
+    if name != "HDFSBackedStateStoreProvider":
+        return {}
+    return {PROVIDER: f"{package}.RocksDBStateStoreProvider"}
+
+
 def match_rate_stream(trips: DataFrame, matched: str | Column = "temperature_2m",
                       time_col: str = "tpep_pickup_datetime", delay: str = "1 hour", hours: int = WINDOW_HOURS,
                       threshold: float = THRESHOLD, monitor: Column | None = None) -> DataFrame:
@@ -76,7 +89,8 @@ def match_rate_stream(trips: DataFrame, matched: str | Column = "temperature_2m"
     with trips, over the ``hours`` that end with it (``hours`` of them with
     trips). A trip is matched where ``matched`` is not null. ``monitor``: a
     column to watch separately (its values are the stateful operator's keys,
-    kept in the result); one monitor for all trips by default."""
+    kept in the result); one monitor for all trips by default. Start it
+    with ``state_conf``."""
     found = F.col(matched) if isinstance(matched, str) else matched
     name = F.lit("all") if monitor is None else monitor.cast("string")
     counts = (trips.withColumn(EVENT_TIME, wall_clock_instant(F.col(time_col))).withWatermark(EVENT_TIME, delay)

@@ -6,6 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from ridewx.plans.catalog import QUERIES
 from ridewx.streaming.enrich_stream import (
     LATE_ROWS,
     check_trip_stream,
@@ -15,7 +16,7 @@ from ridewx.streaming.enrich_stream import (
     run_available,
 )
 from ridewx.streaming.late_weather import enrich_late
-from ridewx.streaming.match_monitor import match_rate_stream
+from ridewx.streaming.match_monitor import PROVIDER, match_rate_stream, state_conf
 
 TRIPS = ("tpep_pickup_datetime timestamp_ntz, tpep_dropoff_datetime timestamp_ntz, pickup_zip string, "
          "dropoff_zip string, trip_distance double, fare_amount double")
@@ -107,6 +108,27 @@ def test_match_rate_by_monitor(spark, tmp_dir):
         ("a", 5, 0.0, True), ("b", 5, 1.0, False)}
 
 
+def test_match_rate_on_sparks_default_state_store(spark, tmp_dir):
+    default = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    session = spark.newSession()
+    session.conf.set(PROVIDER, default)
+    rows = [(at(0, 5), "error"), (at(0, 10), "click"), (at(0, 20), "click"), (at(2), "click"), (at(2, 30), "error"),
+            (at(3), "click"), (at(9), "click")]
+    session.createDataFrame([(n, t, 1, kind, 50.0, '{"k": 7}') for n, (t, kind) in enumerate(rows)],
+                            "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, "
+                            "props string").coalesce(1).write.parquet(os.path.join(tmp_dir, "events.parquet"))
+    found = QUERIES["stream_match_rate"](session, tmp_dir).collect()
+    assert {(r.window_end, r.trips, r.matched, r.hours, r.alert) for r in found} == {
+        (at(1), 2, 2, 1, False), (at(3), 3, 3, 2, False), (at(4), 4, 3, 3, True)}
+    assert session.conf.get(PROVIDER) == default  # the caller's setting is put back
+
+
+def test_another_state_store_stays(spark):
+    session = spark.newSession()
+    session.conf.set(PROVIDER, "org.example.OtherProvider")
+    assert state_conf(session) == {}
+
+
 def test_batches_report_their_counters(spark, fixture_trips, fixture_weather_raw, tmp_dir):
     from ridewx.operators.observations import hours_of
 
