@@ -5,6 +5,7 @@ long inputs, ties, repeated rows, empty tables and clashing columns."""
 import collections
 import hashlib
 import math
+import os
 import random
 import re
 import zlib
@@ -256,6 +257,26 @@ def test_collocations_of_an_empty_table(spark):
     assert setm_phrases.collocations(spark.createDataFrame([], "text string, lang string")).count() == 0
 
 
+def test_relations_and_answers_are_small(spark, monkeypatch):
+    written = []
+
+    def cut(df, label, compression=None):
+        out = write(df, label, compression)
+        if label[0] in "RF":
+            written.extend(os.path.getsize(f.removeprefix("file://")) for f in out.inputFiles())
+        return out
+
+    write = setm_phrases.cut
+    monkeypatch.setattr(setm_phrases, "cut", cut)
+    monkeypatch.setattr(setm_phrases, "STRETCH", 50_000)
+    rng = random.Random(3)
+    rows = [(" ".join(f"w{min(int(rng.paretovariate(0.8)), 20_000)}" for _ in range(5_000)), "en") for _ in range(60)]
+    df = spark.createDataFrame(rows, "text string, lang string").coalesce(1)
+    assert setm_phrases.collocations(df, min_count=4).count() > 100
+    # Numbers as they were, not byte by byte: 5.3 bytes a word.
+    assert sum(written) < 4.7 * 60 * 5_000
+
+
 def test_pieces_and_words():
     words, text, new = setm_phrases.tokens(pa.array(["Ab c.d", None, "É,\tX"]))
     assert words.to_pylist() == ["ab", "c", "d", "É", "x"]
