@@ -17,7 +17,6 @@ stopped. The hour table of X1 and X2 is the one read when the query starts;
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
@@ -178,8 +177,10 @@ def stream_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stand-in trips as a stream over the events table: its folder of
     part files, or the single ``events.parquet`` file in ``sf_dir``."""
     table = standin.source_path(sf_dir, "events")
-    if "://" in table or os.path.isdir(table):
-        events = read_file_stream(spark, table, "*.parquet")
-    else:
+    # Spark names the files, also on file systems that os.path does not reach.
+    names = [f.rsplit("/", 2)[1:] for f in spark.read.parquet(table).inputFiles()]
+    if len(names) == 1 and names[0][1] == "events.parquet" != names[0][0]:
         events = read_file_stream(spark, sf_dir, "events.parquet")
+    else:
+        events = read_file_stream(spark, table, "*.parquet")
     return standin.trips(events)

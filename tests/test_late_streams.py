@@ -2,7 +2,9 @@
 sliding match rate and the counters of the batch form."""
 
 import datetime as dt
+import glob
 import os
+import shutil
 
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from ridewx.streaming.enrich_stream import (
     hourly_stream_metrics,
     read_file_stream,
     run_available,
+    stream_trips,
 )
 from ridewx.streaming.late_weather import enrich_late
 from ridewx.streaming.match_monitor import PROVIDER, match_rate_stream, state_conf
@@ -123,6 +126,23 @@ def test_match_rate_on_sparks_default_state_store(spark, tmp_dir):
     assert session.conf.get(PROVIDER) == default  # the caller's setting is put back
 
 
+def test_trip_stream_of_one_remote_file(spark, tmp_dir):
+    # One file, then a folder of part files, by a path that names its file system.
+    rows = spark.createDataFrame([(1, at(1), 1, "click", 50.0, '{"k": 7}')],
+                                 "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, "
+                                 "props string").coalesce(1)
+    folder = os.path.join(tmp_dir, "folder")
+    rows.write.parquet(os.path.join(folder, "events.parquet"))
+    part, = glob.glob(os.path.join(folder, "events.parquet", "*.parquet"))
+    one = os.path.join(tmp_dir, "one")
+    os.mkdir(one)
+    shutil.copy(part, os.path.join(one, "events.parquet"))
+    for n, path in enumerate((one, f"file://{one}", folder, f"file://{folder}")):
+        out = os.path.join(tmp_dir, f"out{n}")
+        run_available(stream_trips(spark, path), out, os.path.join(tmp_dir, f"chk{n}"))
+        assert spark.read.parquet(out).count() == 1
+
+
 def test_another_state_store_stays(spark):
     session = spark.newSession()
     session.conf.set(PROVIDER, "org.example.OtherProvider")
